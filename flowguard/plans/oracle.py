@@ -98,3 +98,128 @@ FROM flows_raw LEFT JOIN fam ON fam.key = upper(trim("Label"))
 WHERE fam.family IS NULL AND NOT starts_with(upper(trim("Label")), 'WEB ATTACK')
 GROUP BY 1, 2
 """
+
+
+# --- sampling -------------------------------------------------------------------
+
+def alloc_sql(name: str, counts: str, test_sql: str) -> str:
+    """CTE ``name(c, n, n_train)``: largest-remainder train sizes of a stratified
+    split of the count table ``counts(c, n)``; ``test_sql`` is a SQL expression
+    of the total ``tot`` giving the test size."""
+    return f"""
+{name}_t AS (
+  SELECT c, n, CAST(sum(n) OVER () AS BIGINT) AS tot FROM {counts}
+),
+{name}_u AS (
+  SELECT c, n, tot - CAST({test_sql} AS BIGINT) AS draw FROM {name}_t
+),
+{name}_v AS (
+  SELECT c, n, draw, CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) * CAST(draw AS DOUBLE) AS cont
+  FROM {name}_u
+),
+{name} AS (
+  SELECT c, n, CAST(floor(cont) AS BIGINT)
+         + CASE WHEN row_number() OVER (ORDER BY cont - floor(cont) DESC, c)
+                     <= draw - sum(CAST(floor(cont) AS BIGINT)) OVER () THEN 1 ELSE 0 END AS n_train
+  FROM {name}_v
+)"""
+
+
+HASH_ORDER = "md5(concat_ws(':', 42, row_id)), row_id"
+
+
+def holdout_sql() -> str:
+    """CTEs ``hold(row_id)``: the canonical 15 % holdout of ``flows``."""
+    return """,
+hc0 AS (SELECT target_tipo AS c, count(*) AS n FROM flows GROUP BY 1),
+hvalid AS (SELECT f.* FROM flows f JOIN hc0 ON hc0.c = f.target_tipo WHERE hc0.n >= 2),
+hc AS (SELECT target_tipo AS c, count(*) AS n FROM hvalid GROUP BY 1),""" + alloc_sql(
+        "ha", "hc", "ceil(0.15::DOUBLE * tot)") + """,
+hrank AS (SELECT row_id, target_tipo,
+                 row_number() OVER (PARTITION BY target_tipo ORDER BY """ + HASH_ORDER + """) AS rnk
+          FROM hvalid),
+hold AS (SELECT r.row_id FROM hrank r JOIN ha ON ha.c = r.target_tipo WHERE r.rnk > ha.n_train)"""
+
+
+def three_way_sql(src: str, label: str, prefix: str) -> str:
+    """CTE ``{prefix}parts(row_id, part, ...)``: 70/15/15 split of ``src`` by ``label``."""
+    p = prefix
+    return f""",
+{p}c AS (SELECT {label} AS c, count(*) AS n FROM {src} GROUP BY 1),""" + alloc_sql(
+        f"{p}a1", f"{p}c", "ceil(0.15::DOUBLE * tot)") + f""",
+{p}c2 AS (SELECT c, n_train AS n FROM {p}a1),""" + alloc_sql(
+        f"{p}a2", f"{p}c2", "ceil((0.15::DOUBLE / (1.0::DOUBLE - 0.15::DOUBLE)) * tot)") + f""",
+{p}rank AS (SELECT s.*, row_number() OVER (PARTITION BY {label} ORDER BY {HASH_ORDER}) AS rnk FROM {src} s),
+{p}parts AS (
+  SELECT r.*, CASE WHEN r.rnk <= {p}a2.n_train THEN 'train'
+                   WHEN r.rnk <= {p}a1.n_train THEN 'val' ELSE 'test' END AS part
+  FROM {p}rank r JOIN {p}a1 ON {p}a1.c = r.{label} JOIN {p}a2 ON {p}a2.c = r.{label}
+)"""
+
+
+ORACLE["stratified_split_rows"] = with_flows(three_way_sql("flows", "target_tipo", "s") + """
+SELECT row_id, target_tipo, part FROM sparts
+""")
+
+ORACLE["stratified_split_counts"] = with_flows(three_way_sql("flows", "target_tipo", "s") + """
+SELECT part, target_tipo, count(*) AS n FROM sparts GROUP BY 1, 2
+""")
+
+ORACLE["sample_audit"] = with_flows(""",
+sc AS (SELECT target_tipo AS c, count(*) AS n FROM flows GROUP BY 1),""" + alloc_sql(
+    "sa", "sc", "ceil(0.10::DOUBLE * tot)") + """,
+srank AS (SELECT target_tipo, row_number() OVER (PARTITION BY target_tipo ORDER BY """ + HASH_ORDER + """) AS rnk
+          FROM flows),
+samp AS (SELECT r.target_tipo FROM srank r JOIN sa ON sa.c = r.target_tipo WHERE r.rnk > sa.n_train),
+fp AS (SELECT target_tipo, CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE) AS full_pct
+       FROM flows GROUP BY 1),
+sp AS (SELECT target_tipo, CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE) AS sample_pct
+       FROM samp GROUP BY 1),
+au AS (SELECT fp.target_tipo, fp.full_pct, COALESCE(sp.sample_pct, 0.0) AS sample_pct,
+              COALESCE(sp.sample_pct, 0.0) - fp.full_pct AS deviation
+       FROM fp LEFT JOIN sp USING (target_tipo))
+SELECT target_tipo, full_pct, sample_pct, deviation,
+       CASE WHEN abs(deviation) <= 2.0 THEN 'OK' ELSE 'ERRO (>2%)' END AS status,
+       bool_and(abs(deviation) <= 2.0) OVER () AS validated
+FROM au
+""")
+
+ORACLE["canonical_holdout_rows"] = with_flows(holdout_sql() + """
+SELECT row_id FROM hold
+""")
+
+ORACLE["train_without_holdout"] = with_flows(holdout_sql() + """
+SELECT row_id, target_tipo FROM flows WHERE row_id NOT IN (SELECT row_id FROM hold)
+""")
+
+ORACLE["holdout_class_counts"] = with_flows(holdout_sql() + """
+SELECT target_tipo, count(*) AS n FROM flows WHERE row_id IN (SELECT row_id FROM hold) GROUP BY 1
+""")
+
+
+def stage1_parts_sql() -> str:
+    return holdout_sql() + """,
+rest AS (SELECT * FROM flows WHERE row_id NOT IN (SELECT row_id FROM hold))""" + three_way_sql(
+        "rest", "target_bin", "b")
+
+
+ORACLE["stratified_folds"] = with_flows(stage1_parts_sql() + """,
+tr AS (SELECT * FROM bparts WHERE part = 'train'),
+fc AS (SELECT target_bin AS c, count(*) AS n FROM tr GROUP BY 1),
+fpos AS (SELECT c, n, sum(n) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b FROM fc),
+fa AS (SELECT c, f.fold,
+              floor((b - f.fold + 4) / 5) - floor((b - n - f.fold + 4) / 5) AS n_fold
+       FROM fpos, (SELECT unnest(range(5)) AS fold) f),
+fk AS (SELECT c, fold, sum(n_fold) OVER (PARTITION BY c ORDER BY fold) AS k_hi,
+              sum(n_fold) OVER (PARTITION BY c ORDER BY fold) - n_fold AS k_lo FROM fa),
+trr AS (SELECT row_id, target_bin,
+               row_number() OVER (PARTITION BY target_bin ORDER BY """ + HASH_ORDER + """) AS rnk FROM tr)
+SELECT trr.row_id, trr.target_bin, CAST(fk.fold AS INTEGER) AS fold
+FROM trr JOIN fk ON fk.c = trr.target_bin AND trr.rnk > fk.k_lo AND trr.rnk <= fk.k_hi
+""")
+
+ORACLE["rare_class_filter"] = with_flows(holdout_sql() + """,
+att AS (SELECT * FROM flows WHERE row_id NOT IN (SELECT row_id FROM hold) AND target_bin = 1),
+ac AS (SELECT target_tipo, count(*) AS n FROM att GROUP BY 1)
+SELECT target_tipo, n FROM ac WHERE n >= 10
+""")

@@ -40,3 +40,74 @@ def q_class_distribution(spark, sf_dir):
 @register("unmapped_labels")
 def q_unmapped_labels(spark, sf_dir):
     return unmapped_labels(flows_from_events(spark, sf_dir))
+
+
+# --- sampling -----------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from flowguard.operators import sampling as SM  # noqa: E402
+
+
+def holdout_keys(spark, sf_dir):
+    return SM.canonical_holdout(flows_clean(spark, sf_dir))
+
+
+def stage1_parts(spark, sf_dir):
+    """Rows outside the holdout, split 70/15/15 by the binary target."""
+    df = flows_clean(spark, sf_dir)
+    rest = SM.exclude_holdout(df, SM.canonical_holdout(df))
+    return SM.three_way_split(rest, S.TARGET_BIN)
+
+
+@register("stratified_split_rows")
+def q_split_rows(spark, sf_dir):
+    return SM.three_way_split(flows_clean(spark, sf_dir), S.TARGET_FAMILY).select(S.ROW_ID, S.TARGET_FAMILY, SM.PART)
+
+
+@register("stratified_split_counts")
+def q_split_counts(spark, sf_dir):
+    parts = SM.three_way_split(flows_clean(spark, sf_dir), S.TARGET_FAMILY)
+    return parts.groupBy(SM.PART, S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sample_audit")
+def q_sample_audit(spark, sf_dir):
+    """A 10 % exact stratified sample of the cleaned flows, audited per class."""
+    df = flows_clean(spark, sf_dir)
+    sample = SM.stratified_sample(df, S.TARGET_FAMILY, 0.10)
+    return SM.sample_audit(df, sample, S.TARGET_FAMILY)
+
+
+@register("canonical_holdout_rows")
+def q_holdout_rows(spark, sf_dir):
+    return holdout_keys(spark, sf_dir)
+
+
+@register("train_without_holdout")
+def q_train_without_holdout(spark, sf_dir):
+    df = flows_clean(spark, sf_dir)
+    return SM.exclude_holdout(df, SM.canonical_holdout(df)).select(S.ROW_ID, S.TARGET_FAMILY)
+
+
+@register("holdout_class_counts")
+def q_holdout_class_counts(spark, sf_dir):
+    df = flows_clean(spark, sf_dir)
+    ev = SM.holdout_rows(df, SM.canonical_holdout(df))
+    return ev.groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_folds")
+def q_folds(spark, sf_dir):
+    """5 stratified folds over the stage-1 training part."""
+    train = stage1_parts(spark, sf_dir).where(F.col(SM.PART) == "train")
+    return SM.stratified_folds(train, S.TARGET_BIN).select(S.ROW_ID, S.TARGET_BIN, "fold")
+
+
+@register("rare_class_filter")
+def q_rare_class_filter(spark, sf_dir):
+    """Attack rows outside the holdout whose family has >= 10 rows."""
+    df = flows_clean(spark, sf_dir)
+    attacks = SM.exclude_holdout(df, SM.canonical_holdout(df)).where(F.col(S.TARGET_BIN) == 1)
+    return SM.drop_rare_classes(attacks, S.TARGET_FAMILY, S.MIN_CLASS_SIZE).groupBy(
+        S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))

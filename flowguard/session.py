@@ -54,7 +54,8 @@ def checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        if not allow_local:
+        local_master = spark.sparkContext.master.startswith("local")
+        if not (allow_local or local_master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(e.g. an object-store prefix) visible to every executor")
