@@ -69,7 +69,8 @@ def classification_report(cm: DataFrame, digits: int = 6) -> DataFrame:
         "_wf": _div0(F.sum(F.col("f1") * F.col("support")).over(every), total),
     })
     one = t.limit(1)
-    rows = pc.select("label", "precision", "recall", "f1", "support").unionByName(
+    rows = pc.select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1",
+                     "support").unionByName(
         one.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
                    F.lit(None).cast("double").alias("recall"), F.col("_acc").alias("f1"),
                    F.col("_tot").alias("support"))).unionByName(

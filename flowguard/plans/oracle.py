@@ -223,3 +223,234 @@ att AS (SELECT * FROM flows WHERE row_id NOT IN (SELECT row_id FROM hold) AND ta
 ac AS (SELECT target_tipo, count(*) AS n FROM att GROUP BY 1)
 SELECT target_tipo, n FROM ac WHERE n >= 10
 """)
+
+
+# --- rule trees, cascade, reports -------------------------------------------------
+
+import os as _os  # noqa: E402
+
+from flowguard.operators import rules as _R  # noqa: E402
+
+_RES = _os.path.join(_os.path.dirname(_os.path.dirname(_os.path.abspath(__file__))), "resources")
+T1 = _R.RuleTree.load(_os.path.join(_RES, "rules_stage1.json"))
+T2 = _R.RuleTree.load(_os.path.join(_RES, "rules_stage2.json"))
+with open(_os.path.join(_RES, "rules_stage1.threshold")) as _f:
+    THR = _f.read().strip()
+
+_r100 = "CAST(100 AS DOUBLE)"
+
+
+def _r2(x: str) -> str:
+    """numpy round(x, 2): half-even on x*100."""
+    return f"(round_even(({x}) * {_r100}, 0) / {_r100})"
+
+
+def cascade_sql(src: str, mode: str) -> str:
+    """CTE ``casc``: cascade columns over ``src`` (must hold the tree features)."""
+    default = "'Benign'" if mode == "evaluation" else "'N/A'"
+    return f""",
+{_R.leaf_values_sql(T1, "lv1")},
+{_R.leaf_values_sql(T2, "lv2")},
+leafs AS (SELECT s.*, {_R.to_sql_case(T1)} AS leaf1, {_R.to_sql_case(T2)} AS leaf2 FROM {src} s),
+casc AS (
+  SELECT l.*, lv1.p AS p_attack,
+         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN 'Ataque' ELSE 'Normal' END AS alert,
+         {_r2(f"(CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN lv1.p ELSE CAST(1 AS DOUBLE) - lv1.p END) * {_r100}")}
+           AS result_confidence,
+         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN lv2.label ELSE {default} END AS attack_type,
+         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN {_r2(f"lv2.confidence * {_r100}")} END AS type_confidence
+  FROM leafs l JOIN lv1 ON lv1.leaf = l.leaf1 JOIN lv2 ON lv2.leaf = l.leaf2
+)"""
+
+
+EVAL_SQL = holdout_sql() + """,
+hev0 AS (SELECT * FROM flows WHERE row_id IN (SELECT row_id FROM hold)),
+hevc AS (SELECT target_tipo, count(*) AS n FROM hev0 GROUP BY 1),
+hev AS (SELECT hev0.* FROM hev0 JOIN hevc USING (target_tipo) WHERE hevc.n >= 2)""" + cascade_sql("hev", "evaluation")
+
+ORACLE["rule_tree_score"] = with_flows(f""",
+{_R.leaf_values_sql(T1, "lv1")}
+SELECT row_id, leaf1 AS leaf, lv1.p AS p_attack
+FROM (SELECT row_id, {_R.to_sql_case(T1)} AS leaf1 FROM flows) x JOIN lv1 ON lv1.leaf = x.leaf1
+""")
+
+ORACLE["cascade_score"] = with_flows(EVAL_SQL + """
+SELECT row_id, target_tipo, alert, result_confidence, attack_type, type_confidence, p_attack FROM casc
+""")
+
+CM_SQL = """,
+labs AS (SELECT target_tipo AS label FROM casc UNION SELECT attack_type FROM casc),
+cnt AS (SELECT target_tipo AS actual, attack_type AS predicted, count(*) AS n FROM casc GROUP BY 1, 2),
+cm AS (SELECT a.label AS actual, p.label AS predicted, COALESCE(cnt.n, 0) AS n
+       FROM labs a JOIN labs p ON TRUE
+       LEFT JOIN cnt ON cnt.actual = a.label AND cnt.predicted = p.label)"""
+
+ORACLE["confusion_matrix"] = with_flows(EVAL_SQL + CM_SQL + """
+SELECT actual, predicted, n FROM cm
+""")
+
+REPORT_SQL = """,
+pa AS (SELECT actual AS label, sum(n) AS support, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) AS tp
+       FROM cm GROUP BY 1),
+pp AS (SELECT predicted AS label, sum(n) AS predicted FROM cm GROUP BY 1),
+pc AS (SELECT pa.label, pa.tp, pa.support, pp.predicted,
+              CASE WHEN pp.predicted <> 0 THEN CAST(pa.tp AS DOUBLE) / CAST(pp.predicted AS DOUBLE) ELSE 0.0 END AS precision,
+              CASE WHEN pa.support <> 0 THEN CAST(pa.tp AS DOUBLE) / CAST(pa.support AS DOUBLE) ELSE 0.0 END AS recall,
+              CASE WHEN pa.support + pp.predicted <> 0
+                   THEN CAST(2 * pa.tp AS DOUBLE) / CAST(pa.support + pp.predicted AS DOUBLE) ELSE 0.0 END AS f1
+       FROM pa JOIN pp USING (label)),
+tot AS (SELECT sum(support) AS s, sum(tp) AS t FROM pc),
+rep AS (
+  SELECT CAST(label AS VARCHAR) AS label, precision, recall, f1, support FROM pc
+  UNION ALL SELECT 'accuracy', NULL, NULL, CAST(t AS DOUBLE) / CAST(s AS DOUBLE), s FROM tot
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), (SELECT s FROM tot) FROM pc
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / (SELECT s FROM tot),
+                   sum(recall * support) / (SELECT s FROM tot), sum(f1 * support) / (SELECT s FROM tot),
+                   (SELECT s FROM tot) FROM pc)"""
+
+ORACLE["classification_report"] = with_flows(EVAL_SQL + CM_SQL + REPORT_SQL + """
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM rep
+""")
+
+ORACLE["missed_attacks"] = with_flows(EVAL_SQL + """,
+per AS (SELECT target_tipo AS family,
+               sum(CASE WHEN attack_type = 'Benign' THEN 1 ELSE 0 END) AS missed, count(*) AS total
+        FROM casc WHERE target_tipo <> 'Benign' GROUP BY 1),
+allrow AS (SELECT 'ALL' AS family, sum(missed) AS missed, sum(total) AS total FROM per)
+SELECT family, CAST(missed AS BIGINT) AS missed, CAST(total AS BIGINT) AS total,
+       CAST(missed AS DOUBLE) * 100.0 / CAST(total AS DOUBLE) AS pct
+FROM (SELECT * FROM per WHERE missed > 0 UNION ALL SELECT * FROM allrow WHERE total IS NOT NULL)
+""")
+
+NUMERIC_RE = (r"^\s*[+-]?(((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?"
+              r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$")
+
+
+def _junk(c: str) -> str:
+    return (f"""CASE WHEN row_id % 31 = 0 THEN 'abc' WHEN row_id % 37 = 0 THEN 'inf'
+         WHEN row_id % 41 = 0 THEN 'NaN' WHEN row_id % 43 = 0 THEN '1d' WHEN row_id % 47 = 0 THEN NULL
+         ELSE CAST("{c}" AS VARCHAR) END""")
+
+
+_CSV_FEATS = [" Flow Duration", "Total Fwd Packets", "Fwd Packet Length Max", "Flow Bytes/s",
+              "Flow Packets/s ", "SYN Flag Count", "Down/Up Ratio", "Unit Score"]
+
+FLOWS_CSV = FLOWS_RAW + """,
+flows_csv AS (
+  SELECT row_id, """ + ",\n         ".join(f'{_junk(c)} AS "{c.strip()}"' for c in _CSV_FEATS) + """,
+         "Source IP",
+         CASE row_id % 7 WHEN 0 THEN '6' WHEN 1 THEN '17' WHEN 2 THEN '1' WHEN 3 THEN '6.0'
+                         WHEN 4 THEN 'abc' WHEN 5 THEN NULL ELSE '200' END AS "Protocol"
+  FROM flows_raw
+)"""
+
+
+def _num0(c: str) -> str:
+    d = f'(CASE WHEN regexp_matches("{c}", \'{NUMERIC_RE}\') THEN TRY_CAST(trim("{c}") AS DOUBLE) END)'
+    return f"COALESCE(CASE WHEN isnan({d}) OR isinf({d}) THEN NULL ELSE {d} END, CAST(0 AS DOUBLE))"
+
+
+def conform_sql(cols: list[str]) -> str:
+    have = {c.strip() for c in _CSV_FEATS}
+    return ", ".join((_num0(c) if c in have else "CAST(0 AS DOUBLE)") + f' AS "{c}"' for c in cols)
+
+
+MODEL_COLS = list(T1.features) + [c for c in T2.features if c not in T1.features]
+
+PROTO_SQL = f"""(CASE WHEN regexp_matches("Protocol", '{NUMERIC_RE}')
+                   AND NOT isnan(TRY_CAST(trim("Protocol") AS DOUBLE)) AND NOT isinf(TRY_CAST(trim("Protocol") AS DOUBLE))
+                   AND abs(TRY_CAST(trim("Protocol") AS DOUBLE)) < 2147483648
+              THEN COALESCE(pn.name, 'Outro') || ' (' || CAST(CAST(trunc(TRY_CAST(trim("Protocol") AS DOUBLE)) AS INTEGER) AS VARCHAR) || ')'
+              ELSE "Protocol" END)"""
+
+PROTO_VALUES = """
+pn(code, name) AS (VALUES (1,'ICMP'), (2,'IGMP'), (6,'TCP'), (17,'UDP'), (47,'GRE'), (50,'ESP'), (51,'AH'),
+                          (58,'ICMPv6'), (89,'OSPF'), (132,'SCTP'))"""
+
+_PJOIN = """LEFT JOIN pn ON pn.code = (CASE WHEN regexp_matches("Protocol", '""" + NUMERIC_RE + """')
+                   AND NOT isnan(TRY_CAST(trim("Protocol") AS DOUBLE)) AND NOT isinf(TRY_CAST(trim("Protocol") AS DOUBLE))
+                   AND abs(TRY_CAST(trim("Protocol") AS DOUBLE)) < 2147483648
+              THEN CAST(trunc(TRY_CAST(trim("Protocol") AS DOUBLE)) AS INTEGER) END)"""
+
+CSV_SCORED = "WITH " + FLOWS_CSV + "," + PROTO_VALUES + f""",
+conf AS (SELECT row_id, "Source IP", "Protocol", {conform_sql(MODEL_COLS)} FROM flows_csv)""" + cascade_sql(
+    "conf", "dashboard") + f""",
+rt AS (SELECT row_id, "Source IP", {PROTO_SQL} AS "Protocolo", alert, result_confidence, attack_type, type_confidence
+       FROM casc {_PJOIN})"""
+
+ORACLE["alert_kpis"] = CSV_SCORED + """
+SELECT CAST(sum(CASE WHEN alert <> 'Ataque' THEN 1 ELSE 0 END) AS BIGINT) AS normal,
+       CAST(sum(CASE WHEN alert = 'Ataque' THEN 1 ELSE 0 END) AS BIGINT) AS attacks, count(*) AS total,
+       round_even(CAST(sum(CASE WHEN alert = 'Ataque' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) * 10.0, 0) / 10.0
+         AS anomaly_rate_pct
+FROM casc
+"""
+
+ORACLE["alert_distribution"] = CSV_SCORED + """
+SELECT alert, count(*) AS n FROM casc GROUP BY 1
+"""
+
+ORACLE["attack_types"] = CSV_SCORED + """
+SELECT attack_type, count(*) AS n FROM casc WHERE alert = 'Ataque' GROUP BY 1
+"""
+
+ORACLE["alert_context"] = CSV_SCORED + """
+SELECT * FROM rt
+"""
+
+ORACLE["result_page"] = CSV_SCORED + """
+SELECT * FROM rt ORDER BY row_id LIMIT 50 OFFSET 50
+"""
+
+ORACLE["protocol_names"] = "WITH " + FLOWS_CSV + "," + PROTO_VALUES + f"""
+SELECT row_id, "Protocol", {PROTO_SQL} AS "Protocolo" FROM flows_csv {_PJOIN}
+"""
+
+ORACLE["conform_features"] = "WITH " + FLOWS_CSV + f"""
+SELECT row_id, {conform_sql(MODEL_COLS)} FROM flows_csv
+"""
+
+THRESH_SQL = """,
+ft AS (SELECT f.row_id, f."Unit Score" AS s,
+              CASE WHEN upper(trim(f."Label")) = 'BENIGN' THEN 0 ELSE 1 END AS y FROM flows_raw f),
+thr AS (SELECT i, CASE WHEN i = 98 THEN 0.99::DOUBLE
+                       ELSE CAST(i AS DOUBLE) * ((0.99::DOUBLE - 0.01::DOUBLE) / CAST(98 AS DOUBLE)) + 0.01::DOUBLE END AS threshold
+        FROM (SELECT unnest(range(99)) AS i)),
+P AS (SELECT sum(y) AS pos FROM ft WHERE s IS NOT NULL),
+sw AS (SELECT thr.threshold,
+              CAST(sum(CASE WHEN ft.s >= thr.threshold AND ft.y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+              CAST(sum(CASE WHEN ft.s >= thr.threshold AND ft.y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+              CAST(sum(CASE WHEN ft.s >= thr.threshold THEN 1 ELSE 0 END) AS BIGINT) AS pp
+       FROM thr JOIN ft ON ft.s IS NOT NULL GROUP BY thr.threshold),
+sweep AS (SELECT threshold, tp, fp, CAST((SELECT pos FROM P) - tp AS BIGINT) AS fn,
+                 CASE WHEN (SELECT pos FROM P) <> 0 THEN CAST(tp AS DOUBLE) / CAST((SELECT pos FROM P) AS DOUBLE) ELSE 0.0 END AS recall,
+                 CASE WHEN pp <> 0 THEN CAST(tp AS DOUBLE) / CAST(pp AS DOUBLE) ELSE 0.0 END AS precision,
+                 CASE WHEN (SELECT pos FROM P) + pp <> 0
+                      THEN CAST(2 * tp AS DOUBLE) / CAST((SELECT pos FROM P) + pp AS DOUBLE) ELSE 0.0 END AS f1
+          FROM sw),
+best AS (
+  SELECT threshold, recall, precision, f1, (SELECT bool_or(recall >= 0.98::DOUBLE) FROM sweep) AS reached FROM sweep
+  ORDER BY CASE WHEN (SELECT bool_or(recall >= 0.98::DOUBLE) FROM sweep)
+                THEN (CASE WHEN recall >= 0.98::DOUBLE THEN f1 END) ELSE recall END DESC NULLS LAST, threshold
+  LIMIT 1)"""
+
+ORACLE["threshold_sweep"] = "WITH " + FLOWS_RAW + THRESH_SQL + """
+SELECT * FROM sweep
+"""
+
+ORACLE["best_threshold"] = "WITH " + FLOWS_RAW + THRESH_SQL + """
+SELECT * FROM best
+"""
+
+ORACLE["threshold_report"] = "WITH " + FLOWS_RAW + THRESH_SQL + """,
+casc AS (SELECT y AS target_tipo, CASE WHEN s >= (SELECT threshold FROM best) THEN 1 ELSE 0 END AS attack_type FROM ft
+         WHERE s IS NOT NULL),
+labs AS (SELECT * FROM (VALUES (0), (1)) v(label)),
+cnt AS (SELECT target_tipo AS actual, attack_type AS predicted, count(*) AS n FROM casc GROUP BY 1, 2),
+cm AS (SELECT a.label AS actual, p.label AS predicted, COALESCE(cnt.n, 0) AS n
+       FROM labs a JOIN labs p ON TRUE
+       LEFT JOIN cnt ON cnt.actual = a.label AND cnt.predicted = p.label)""" + REPORT_SQL + """
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM rep
+"""

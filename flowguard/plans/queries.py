@@ -111,3 +111,143 @@ def q_rare_class_filter(spark, sf_dir):
     attacks = SM.exclude_holdout(df, SM.canonical_holdout(df)).where(F.col(S.TARGET_BIN) == 1)
     return SM.drop_rare_classes(attacks, S.TARGET_FAMILY, S.MIN_CLASS_SIZE).groupBy(
         S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- rule trees, cascade, reports ------------------------------------------------
+
+import os  # noqa: E402
+
+from flowguard.operators import cascade as C  # noqa: E402
+from flowguard.operators import metrics as M  # noqa: E402
+from flowguard.operators import rules as R  # noqa: E402
+from flowguard.operators.clean import strip_column_names  # noqa: E402
+from flowguard.operators.features import conform_lenient  # noqa: E402
+from flowguard.sources.adapters import flows_csv_from_events  # noqa: E402
+
+RESOURCES = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "resources")
+
+
+def rule_trees() -> tuple[R.RuleTree, float, R.RuleTree]:
+    """The exported interpretable trees (stage 1 with its threshold, stage 2)."""
+    t1 = R.RuleTree.load(os.path.join(RESOURCES, "rules_stage1.json"))
+    t2 = R.RuleTree.load(os.path.join(RESOURCES, "rules_stage2.json"))
+    with open(os.path.join(RESOURCES, "rules_stage1.threshold")) as f:
+        thr = float(f.read().strip())
+    return t1, thr, t2
+
+
+def model_columns(t1: R.RuleTree, t2: R.RuleTree) -> list[str]:
+    cols = list(t1.features)
+    return cols + [c for c in t2.features if c not in cols]
+
+
+def holdout_eval(spark, sf_dir):
+    """Holdout rows of the cleaned flows, singleton classes removed."""
+    df = flows_clean(spark, sf_dir)
+    return C.drop_singleton_classes(SM.holdout_rows(df, SM.canonical_holdout(df)))
+
+
+def cascade_eval(spark, sf_dir):
+    t1, thr, t2 = rule_trees()
+    return C.score_rules(holdout_eval(spark, sf_dir), t1, thr, t2, C.EVALUATION)
+
+
+def csv_scored(spark, sf_dir):
+    """Uploaded-CSV scoring: names stripped, lenient conform, dashboard cascade."""
+    t1, thr, t2 = rule_trees()
+    raw = strip_column_names(flows_csv_from_events(spark, sf_dir))
+    keep = [c for c in [S.ROW_ID] + S.CONTEXT_COLUMNS if c in raw.columns]
+    x = conform_lenient(raw, model_columns(t1, t2), keep=keep)
+    return C.score_rules(x, t1, thr, t2, C.DASHBOARD)
+
+
+@register("rule_tree_score")
+def q_rule_tree_score(spark, sf_dir):
+    t1, _, _ = rule_trees()
+    df = flows_clean(spark, sf_dir)
+    return df.select(S.ROW_ID, R.leaf_expr(t1).alias("leaf"), R.score_columns(t1)["p"].alias("p_attack"))
+
+
+@register("cascade_score")
+def q_cascade_score(spark, sf_dir):
+    return cascade_eval(spark, sf_dir).select(S.ROW_ID, S.TARGET_FAMILY, *C.RESULT_COLUMNS, C.P_ATTACK)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(cascade_eval(spark, sf_dir), S.TARGET_FAMILY, C.ATTACK_TYPE)
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    cm = M.confusion_matrix(cascade_eval(spark, sf_dir), S.TARGET_FAMILY, C.ATTACK_TYPE)
+    return M.classification_report(cm)
+
+
+@register("missed_attacks")
+def q_missed_attacks(spark, sf_dir):
+    return C.missed_attacks(cascade_eval(spark, sf_dir))
+
+
+@register("alert_kpis")
+def q_alert_kpis(spark, sf_dir):
+    return C.alert_kpis(csv_scored(spark, sf_dir))
+
+
+@register("alert_distribution")
+def q_alert_distribution(spark, sf_dir):
+    return C.alert_distribution(csv_scored(spark, sf_dir))
+
+
+@register("attack_types")
+def q_attack_types(spark, sf_dir):
+    return C.attack_types(csv_scored(spark, sf_dir))
+
+
+@register("alert_context")
+def q_alert_context(spark, sf_dir):
+    return C.result_table(csv_scored(spark, sf_dir), keep=[S.ROW_ID])
+
+
+@register("result_page")
+def q_result_page(spark, sf_dir):
+    """Second page of 50 rows of the scored upload, in row order."""
+    return C.result_page(C.result_table(csv_scored(spark, sf_dir), keep=[S.ROW_ID]), page=2, size=50)
+
+
+@register("protocol_names")
+def q_protocol_names(spark, sf_dir):
+    from flowguard.functions.expressions import protocol_label
+    raw = flows_csv_from_events(spark, sf_dir)
+    return raw.select(S.ROW_ID, "Protocol", protocol_label(F.col("Protocol")).alias("Protocolo"))
+
+
+@register("conform_features")
+def q_conform_features(spark, sf_dir):
+    t1, _, t2 = rule_trees()
+    raw = strip_column_names(flows_csv_from_events(spark, sf_dir))
+    return conform_lenient(raw, model_columns(t1, t2), keep=[S.ROW_ID])
+
+
+def flows_scored_raw(spark, sf_dir):
+    """Uncleaned flows with targets; ``Unit Score`` serves as the score."""
+    return add_targets(strip_column_names(flows_from_events(spark, sf_dir)))
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark, sf_dir):
+    return M.threshold_sweep(flows_scored_raw(spark, sf_dir), S.TARGET_BIN, "Unit Score")
+
+
+@register("best_threshold")
+def q_best_threshold(spark, sf_dir):
+    return M.best_threshold(M.threshold_sweep(flows_scored_raw(spark, sf_dir), S.TARGET_BIN, "Unit Score"))
+
+
+@register("threshold_report")
+def q_threshold_report(spark, sf_dir):
+    """Binary report of ``Unit Score >= best threshold`` (threshold found by a job)."""
+    df = flows_scored_raw(spark, sf_dir)
+    thr = M.best_threshold_value(M.threshold_sweep(df, S.TARGET_BIN, "Unit Score"))
+    pred = df.withColumn("predicted_bin", (F.col("Unit Score") >= F.lit(thr)).cast("int"))
+    return M.classification_report(M.confusion_matrix(pred, S.TARGET_BIN, "predicted_bin", labels=[0, 1]))
