@@ -37,7 +37,8 @@ flows_raw AS (
               WHEN k < 75 THEN 'PortScan'
               WHEN k < 85 THEN 'FTP-Patator'
               WHEN k < 92 THEN 'Bot'
-              ELSE 'Web Attack ' || chr(65533) || ' XSS' END AS "Label"
+              ELSE 'Web Attack ' || chr(65533) || ' XSS' END AS "Label",
+         event_type AS source
   FROM ev
 )"""
 
@@ -454,3 +455,101 @@ cm AS (SELECT a.label AS actual, p.label AS predicted, COALESCE(cnt.n, 0) AS n
 SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
        CAST(support AS BIGINT) AS support FROM rep
 """
+
+
+# --- profile, balancing ------------------------------------------------------------
+
+_RAW_NUM = [" Flow Duration", "Total Fwd Packets", "Fwd Packet Length Max", "Flow Bytes/s", "Flow Packets/s ",
+            "SYN Flag Count", "Bwd PSH Flags", "Down/Up Ratio", "Unit Score"]
+_RAW_STR = ["Source IP", "Label"]
+
+
+def _prof_num(i: int, c: str) -> str:
+    q = f'"{c}"'
+    v = f"(CASE WHEN NOT isnan({q}) THEN {q} END)"
+    return f"""SELECT {i} AS pos, '{c}' AS "column", TRUE AS is_numeric, min({v}) AS min, max({v}) AS max,
+       round(avg({v}), 6) AS mean, COALESCE(max(CASE WHEN {v} < 0 OR {v} > 1 THEN 1 ELSE 0 END), 0) = 1 AS outside_01,
+       CAST(sum(CASE WHEN {q} IS NULL OR isnan({q}) THEN 1 ELSE 0 END) AS BIGINT) AS nulls,
+       CAST(sum(CASE WHEN isinf({q}) THEN 1 ELSE 0 END) AS BIGINT) AS infs,
+       count({v}) >= 2 AND sum(CASE WHEN isinf({q}) THEN 1 ELSE 0 END) = 0 AND min({v}) = max({v}) AS constant
+FROM flows_raw"""
+
+
+def _prof_str(i: int, c: str) -> str:
+    return f"""SELECT {i} AS pos, '{c}' AS "column", FALSE AS is_numeric, CAST(NULL AS DOUBLE) AS min,
+       CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, FALSE AS outside_01,
+       CAST(sum(CASE WHEN "{c}" IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS infs,
+       FALSE AS constant FROM flows_raw"""
+
+
+PROFILE_SQL = ",\nprof AS (\n" + "\nUNION ALL\n".join(
+    [_prof_num(i, c) for i, c in enumerate(_RAW_NUM)]
+    + [_prof_str(len(_RAW_NUM) + j, c) for j, c in enumerate(_RAW_STR)]) + "\n)"
+
+ORACLE["column_profile"] = "WITH " + FLOWS_RAW + PROFILE_SQL + """
+SELECT * FROM prof
+"""
+
+ORACLE["profile_summary"] = "WITH " + FLOWS_RAW + PROFILE_SQL + """
+SELECT (SELECT count(*) FROM flows_raw) AS "rows", count(*) AS "columns",
+       CAST(sum(CASE WHEN is_numeric THEN 1 ELSE 0 END) AS BIGINT) AS numeric_columns,
+       CAST(sum(CASE WHEN is_numeric AND outside_01 THEN 1 ELSE 0 END) AS BIGINT) AS outside_01_columns,
+       CAST(sum(nulls) AS BIGINT) AS nulls, CAST(sum(infs) AS BIGINT) AS infs,
+       CAST(sum(CASE WHEN constant THEN 1 ELSE 0 END) AS BIGINT) AS constant_columns,
+       count(*) - 1 AS features, 'Source IP' AS metadata_columns
+FROM prof
+"""
+
+ORACLE["label_counts_by_source"] = "WITH " + FLOWS_RAW + """
+SELECT source, "Label", count(*) AS n FROM flows_raw GROUP BY 1, 2
+UNION ALL SELECT source, '*', count(*) FROM flows_raw GROUP BY 1
+UNION ALL SELECT NULL, '*', count(*) FROM flows_raw
+"""
+
+UNDER_SQL = stage1_parts_sql() + """,
+tr AS (SELECT * FROM bparts WHERE part = 'train'),
+uc AS (SELECT target_bin AS c, count(*) AS n FROM tr GROUP BY 1),
+up AS (SELECT c, n, CASE WHEN row_number() OVER (ORDER BY n, c) = 1 THEN n
+                         ELSE CAST(floor(CAST(min(n) OVER () AS DOUBLE) / 0.333::DOUBLE) AS BIGINT) END AS keep FROM uc),
+ur AS (SELECT row_id, target_bin,
+              row_number() OVER (PARTITION BY target_bin ORDER BY """ + HASH_ORDER + """) AS urnk FROM tr),
+kept AS (SELECT ur.row_id, ur.target_bin FROM ur JOIN up ON up.c = ur.target_bin WHERE ur.urnk <= up.keep)"""
+
+ORACLE["undersample_rows"] = with_flows(UNDER_SQL + """
+SELECT row_id, target_bin FROM kept
+""")
+
+ORACLE["undersample_counts"] = with_flows(UNDER_SQL + """
+SELECT target_bin, count(*) AS n FROM kept GROUP BY 1
+""")
+
+ORACLE["class_weights"] = with_flows(UNDER_SQL + """,
+kc AS (SELECT target_bin, count(*) AS n FROM kept GROUP BY 1)
+SELECT target_bin, CAST(sum(n) OVER () AS DOUBLE) / CAST(count(*) OVER () * n AS DOUBLE) AS weight FROM kc
+""")
+
+S2_FEATS = ["Flow Duration", "Total Fwd Packets", "Fwd Packet Length Max", "Flow Bytes/s", "Flow Packets/s",
+            "SYN Flag Count", "Bwd PSH Flags", "Down/Up Ratio", "Unit Score"]
+
+S2_TRAIN_SQL = holdout_sql() + """,
+att0 AS (SELECT * FROM flows WHERE row_id NOT IN (SELECT row_id FROM hold) AND target_bin = 1),
+attc AS (SELECT target_tipo, count(*) AS n FROM att0 GROUP BY 1),
+att AS (SELECT att0.* FROM att0 JOIN attc USING (target_tipo) WHERE attc.n >= 10),
+s2c AS (SELECT target_tipo AS c, count(*) AS n FROM att GROUP BY 1),""" + alloc_sql(
+    "s2a", "s2c", "ceil(0.15::DOUBLE * tot)") + """,
+s2r AS (SELECT att.*, row_number() OVER (PARTITION BY target_tipo ORDER BY """ + HASH_ORDER + """) AS rnk FROM att),
+s2tr AS (SELECT s2r.* FROM s2r JOIN s2a ON s2a.c = s2r.target_tipo WHERE s2r.rnk <= s2a.n_train)"""
+
+_D2 = " + ".join(f'(a."{c}" - b."{c}") * (a."{c}" - b."{c}")' for c in S2_FEATS)
+
+ORACLE["smote_neighbours"] = with_flows(S2_TRAIN_SQL + f""",
+pairs AS (SELECT a.target_tipo, a.row_id AS pid, b.row_id AS nn_pid, sqrt(0.0::DOUBLE + {_D2}) AS dist
+          FROM s2tr a JOIN s2tr b ON a.target_tipo = b.target_tipo AND a.row_id <> b.row_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY dist, nn_pid) AS nn_rank FROM pairs)
+SELECT target_tipo, pid, CAST(nn_rank AS INTEGER) AS nn_rank, nn_pid FROM rk WHERE nn_rank <= 5
+""")
+
+ORACLE["smote_class_counts"] = with_flows(S2_TRAIN_SQL + """,
+cc AS (SELECT target_tipo, count(*) AS n FROM s2tr GROUP BY 1)
+SELECT target_tipo, max(n) OVER () AS n, max(n) OVER () - n AS synthetic FROM cc
+""")

@@ -251,3 +251,78 @@ def q_threshold_report(spark, sf_dir):
     thr = M.best_threshold_value(M.threshold_sweep(df, S.TARGET_BIN, "Unit Score"))
     pred = df.withColumn("predicted_bin", (F.col("Unit Score") >= F.lit(thr)).cast("int"))
     return M.classification_report(M.confusion_matrix(pred, S.TARGET_BIN, "predicted_bin", labels=[0, 1]))
+
+
+# --- profile, balancing -------------------------------------------------------------
+
+from flowguard.operators import balance as B  # noqa: E402
+from flowguard.operators import profile as P  # noqa: E402
+from flowguard.operators.features import split_features  # noqa: E402
+
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    return P.column_profile(flows_from_events(spark, sf_dir), exclude=[S.ROW_ID])
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    raw = flows_from_events(spark, sf_dir).drop(S.ROW_ID)
+    return P.profile_summary(raw, P.column_profile(raw))
+
+
+@register("label_counts_by_source")
+def q_label_counts_by_source(spark, sf_dir):
+    """Label counts per source (nulls kept) with a per-source and grand total (rollup)."""
+    raw = flows_from_events(spark, sf_dir, with_source=True)
+    per = raw.groupBy("source", "Label").agg(F.count(F.lit(1)).alias("n"))
+    tot = raw.rollup("source").agg(F.count(F.lit(1)).alias("n")).withColumn("Label", F.lit("*"))
+    return per.unionByName(tot)
+
+
+def stage1_train(spark, sf_dir):
+    return stage1_parts(spark, sf_dir).where(F.col(SM.PART) == "train")
+
+
+@register("undersample_rows")
+def q_undersample_rows(spark, sf_dir):
+    return B.undersample(stage1_train(spark, sf_dir), S.TARGET_BIN).select(S.ROW_ID, S.TARGET_BIN)
+
+
+@register("undersample_counts")
+def q_undersample_counts(spark, sf_dir):
+    kept = B.undersample(stage1_train(spark, sf_dir), S.TARGET_BIN)
+    return kept.groupBy(S.TARGET_BIN).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    return B.balanced_weights(B.undersample(stage1_train(spark, sf_dir), S.TARGET_BIN), S.TARGET_BIN)
+
+
+def stage2_train(spark, sf_dir):
+    df = flows_clean(spark, sf_dir)
+    att = SM.exclude_holdout(df, SM.canonical_holdout(df)).where(F.col(S.TARGET_BIN) == 1)
+    att = SM.drop_rare_classes(att, S.TARGET_FAMILY, S.MIN_CLASS_SIZE)
+    return SM.stratified_split(att, S.TARGET_FAMILY, S.STAGE2_TEST_FRACTION).where(F.col(SM.PART) == "train")
+
+
+@register("smote_neighbours")
+def q_smote_neighbours(spark, sf_dir):
+    """Exact 5 nearest same-family neighbours of every stage-2 training row."""
+    tr = stage2_train(spark, sf_dir)
+    feats = split_features(tr, extra_exclude=[SM.PART])
+    pts = tr.select(S.TARGET_FAMILY, F.col(S.ROW_ID).alias("pid"),
+                    F.array(*[F.col(f"`{c}`") for c in feats]).alias("x"))
+    return B.knn_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K).select(S.TARGET_FAMILY, "pid", "nn_rank", "nn_pid")
+
+
+@register("smote_class_counts")
+def q_smote_class_counts(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+    tr = stage2_train(spark, sf_dir)
+    feats = split_features(tr, extra_exclude=[SM.PART])
+    vec = VectorAssembler(inputCols=feats, outputCol="features").transform(tr)
+    out = B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K)
+    return out.groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"),
+                                            F.sum(F.col("synthetic").cast("long")).alias("synthetic"))

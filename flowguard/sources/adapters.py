@@ -22,8 +22,11 @@ def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int").cast("double")
 
 
-def flows_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flow table (uncleaned) with a planted label; one row per event."""
+def flows_from_events(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """Raw flow table (uncleaned) with a planted label; one row per event.
+
+    ``with_source`` adds ``source`` (the event type), standing in for the
+    capture file a flow was read from."""
     ev = read_table(spark, sf_dir, "events")
     eid, v, k = F.col("event_id"), F.col("value"), _k()
     one = F.lit(1.0)
@@ -54,6 +57,7 @@ def flows_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (v / (v + F.lit(50.0))).alias("Unit Score"),
         F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("Source IP"),
         label.alias("Label"),
+        *([F.col("event_type").alias("source")] if with_source else []),
     )
 
 
