@@ -22,35 +22,31 @@ from pyspark.sql import functions as F
 from flowguard import schema as S
 from flowguard.operators.distribution import class_counts
 from flowguard.operators.joins import bounded_broadcast
-from flowguard.operators.ranking import assign_by_rank, hash_key
+from flowguard.operators.ranking import assign_by_rank
+from flowguard.operators.sampling import collect_counts
 
 
 # --- undersampling ------------------------------------------------------------
 
-def undersample_plan(counts: DataFrame, label: str, ratio: float = S.UNDERSAMPLE_RATIO) -> DataFrame:
-    """Per class ``(label, n, keep)``: every class but the minority keeps
+def undersample_plan(counts: dict, ratio: float = S.UNDERSAMPLE_RATIO) -> dict:
+    """``{class: rows kept}``: every class but the minority keeps
     ``int(n_minority / ratio)`` rows; raises if that exceeds a class's size."""
-    every = Window.partitionBy()
-    first_min = Window.orderBy("n", F.col(f"`{label}`"))
-    t = (counts.withColumn("_nmin", F.min("n").over(every))
-         .withColumn("_is_min", F.row_number().over(first_min) == 1)
-         .withColumn("keep", F.when(F.col("_is_min"), F.col("n"))
-                     .otherwise(F.floor(F.col("_nmin").cast("double") / F.lit(float(ratio)))).cast("long")))
-    bad = t.where(F.col("keep") > F.col("n")).limit(1).collect()
-    if bad:
+    minority = min(sorted(counts, key=repr), key=lambda c: counts[c])
+    n_min = counts[minority]
+    plan = {c: (n if c == minority else int(n_min / ratio)) for c, n in counts.items()}
+    if any(plan[c] > counts[c] for c in counts):
         raise ValueError("the requested ratio would need new majority rows while undersampling; "
                          "increase the ratio (minority/majority is already above it)")
-    return t.select(f"`{label}`", "n", "keep")
+    return plan
 
 
 def undersample(df: DataFrame, label: str, ratio: float = S.UNDERSAMPLE_RATIO, seed: int = S.SEED,
                 row_id: str = S.ROW_ID) -> DataFrame:
     """Keep ``int(n_min/ratio)`` rows of every non-minority class (without
     replacement, by hash rank); the minority class is untouched."""
-    plan = undersample_plan(class_counts(df, label), label, ratio).persist()
-    bounds = plan.select(f"`{label}`", F.col("keep").alias("k"), F.lit(0).alias("ord"),
-                         F.lit(True).alias("value"))
-    out = assign_by_rank(df, [label], bounds, seed, "_keep", False, row_id)
+    plan = undersample_plan(collect_counts(df, label), ratio)
+    bounds = [(c, k, 0, True) for c, k in plan.items()]
+    out = assign_by_rank(df, label, bounds, seed, "_keep", False, row_id)
     return out.where("_keep").drop("_keep")
 
 
@@ -65,8 +61,11 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    w = balanced_weights(df, label).withColumnRenamed("weight", out)
-    return df.join(bounded_broadcast(w), on=label, how="left")
+    """Adds the balanced weight of each row's class (a per-class literal map)."""
+    counts = collect_counts(df, label)
+    total, k = sum(counts.values()), len(counts)
+    w = F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(float(total) / float(k * n)))])
+    return df.withColumn(out, F.element_at(w, F.col(label)))
 
 
 def smote_k(counts: DataFrame, k: int = S.SMOTE_K, floor_one: bool = True) -> int:
@@ -182,26 +181,24 @@ def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOT
     (by hash rank) one more.  Output keeps ``label`` and ``features`` plus
     ``synthetic``; originals pass through.
     """
-    counts = class_counts(df, label).persist()
-    every = Window.partitionBy()
-    plan = counts.withColumn("_need", F.max("n").over(every) - F.col("n"))
-    small = plan.where(F.col("_need") > 0).agg(F.min("n")).first()[0]
-    if small is not None and small <= k:
+    counts = collect_counts(df, label)
+    n_max = max(counts.values()) if counts else 0
+    need = {c: n_max - n for c, n in counts.items() if n < n_max}
+    if not need:
+        return df.select(label, features).withColumn("synthetic", F.lit(False))
+    small = min(counts[c] for c in need)
+    if small <= k:
         raise ValueError(f"expected n_neighbors <= n_samples_fit, but n_samples_fit = {small}, "
                          f"n_neighbors = {k + 1}")
     base = df.select(label, row_id, features).withColumn("x", vector_to_array(F.col(features)))
-    minority = base.join(bounded_broadcast(plan.where(F.col("_need") > 0).select(label)), on=label,
-                         how="left_semi").select(label, F.col(row_id).alias("pid"), "x")
-    if small is None:
-        return df.select(label, features).withColumn("synthetic", F.lit(False))
+    minority = base.where(F.col(label).isin(list(need))).select(label, F.col(row_id).alias("pid"), "x")
     nn = knn_within_class(minority, label, k, seed, "pid", "x")
-    # rank of each base row inside its class (for the remainder extra row)
-    ranked = assign_by_rank(minority.withColumnRenamed("pid", row_id),
-                            [label], plan.select(label, (F.col("_need") % F.col("n")).alias("k"),
-                                                 F.lit(0).alias("ord"), F.lit(1).alias("value")),
+    # the first (need mod n) rows of a class by hash rank yield one extra row
+    ranked = assign_by_rank(minority.withColumnRenamed("pid", row_id), label,
+                            [(c, m % counts[c], 0, 1) for c, m in need.items()],
                             seed, "_extra", 0, row_id).withColumnRenamed(row_id, "pid")
-    reps = (ranked.join(bounded_broadcast(plan.select(label, "n", "_need")), on=label)
-            .withColumn("_reps", (F.floor(F.col("_need") / F.col("n")) + F.col("_extra")).cast("int"))
+    per = F.create_map(*[x for c, m in need.items() for x in (F.lit(c), F.lit(m // counts[c]))])
+    reps = (ranked.withColumn("_reps", (F.element_at(per, F.col(label)) + F.col("_extra")).cast("int"))
             .where(F.col("_reps") > 0)
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_reps")))))
     pick = (F.floor(_u(seed, F.lit("nn"), F.col("pid"), F.col("_i")) * F.lit(k)) + 1).cast("int")
@@ -212,5 +209,4 @@ def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOT
            .withColumn("_g", _u(seed, F.lit("gap"), F.col("pid"), F.col("_i")))
            .select(label, array_to_vector(F.zip_with("x", "_nx", lambda a, b: a + F.col("_g") * (b - a)))
                    .alias(features), F.lit(True).alias("synthetic")))
-    counts.unpersist()
     return df.select(label, features).withColumn("synthetic", F.lit(False)).unionByName(gen)

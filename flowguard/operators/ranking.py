@@ -15,8 +15,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowguard.operators.joins import bounded_broadcast
-from flowguard.session import checkpoint_dir
 
 HASH = "_h"
 PREFIX_STEP = 4                 # hex characters per refinement level (65 536 buckets)
@@ -28,79 +26,91 @@ def hash_key(seed: int, row_id: str = "row_id") -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
 
 
-def _tid(cols: list[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+MAX_GROUP_TARGETS = 100_000     # per-group cut points we inline as literals
 
 
-def rank_cutoffs(keyed: DataFrame, group_cols: list[str], targets: DataFrame,
+def rank_cutoffs(keyed: DataFrame, group_cols: list[str], targets: list[tuple],
                  tie: str = "row_id", prefix_len: int = PREFIX_STEP,
-                 limit: int | None = None) -> DataFrame:
+                 limit: int | None = None) -> dict:
     """Key of the k-th smallest ``(HASH, tie)`` per group.
 
-    ``keyed`` has ``group_cols``, ``HASH`` and ``tie``; ``targets`` has
-    ``group_cols``, ``_tid`` and ``k`` (1 <= k <= group size).  Returns
-    ``(_tid, cut_key, cut_tie)``.
+    ``keyed`` has ``group_cols``, ``HASH`` and ``tie``; ``targets`` is a
+    list of ``(tid, group values..., k)`` with 1 <= k <= group size.  Returns
+    ``{tid: (cut_key, cut_tie)}``.  Only the histogram (tiny) and the rows of
+    the boundary buckets are shuffled.
     """
     limit = EXACT_RANK_LIMIT if limit is None else limit
+    spark = keyed.sparkSession
+    gtypes = [keyed.schema[c].dataType.simpleString() for c in group_cols]
+    tschema = ", ".join(["_tid string"] + [f"`{c}` {t}" for c, t in zip(group_cols, gtypes)] + ["k long"])
+    tdf = F.broadcast(spark.createDataFrame(targets, tschema))     # size bounded by the caller
     bucket = F.substring(F.col(HASH), 1, prefix_len)
     hist = keyed.groupBy(*group_cols, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*group_cols).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = hist.withColumn("_cum", F.sum("_n").over(w))
     lo = F.col("_cum") - F.col("_n")
-    bnd = (cum.join(bounded_broadcast(targets), on=group_cols)
+    bnd = (cum.join(tdf, on=group_cols)
            .where((lo < F.col("k")) & (F.col("k") <= F.col("_cum")))
-           .select(*group_cols, "_tid", "_b", (F.col("k") - lo).alias("_r"), "_n")
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    biggest = bnd.agg(F.max("_n")).first()[0]
-    if biggest is None:
-        bnd.unpersist()
-        return targets.select("_tid", F.lit(None).cast("string").alias("cut_key"),
-                              F.lit(None).cast(keyed.schema[tie].dataType).alias("cut_tie")).limit(0)
-    bkeys = bounded_broadcast(bnd.select(*group_cols, "_b").distinct())
-    inside = keyed.withColumn("_b", bucket).join(bkeys, on=group_cols + ["_b"], how="left_semi")
+           .select("_tid", *group_cols, "_b", (F.col("k") - lo).alias("_r"), "_n")
+           .collect())                                              # one row per target
+    if not bnd:
+        return {}
+    biggest = max(r["_n"] for r in bnd)
+    bschema = ", ".join(["_tid string"] + [f"`{c}` {t}" for c, t in zip(group_cols, gtypes)]
+                        + ["_b string", "_r long"])
+    brows = [(r["_tid"], *[r[c] for c in group_cols], r["_b"], r["_r"]) for r in bnd]
+    bdf = F.broadcast(spark.createDataFrame(brows, bschema))
+    inside = keyed.withColumn("_b", bucket).join(bdf.select(*group_cols, "_b").distinct(),
+                                                 on=group_cols + ["_b"], how="left_semi")
     if biggest > limit and prefix_len < 32:
         # Refine: the boundary bucket becomes part of the group key.
-        sub = inside.withColumnRenamed("_b", f"_p{prefix_len}")
-        sub_targets = bnd.select(*group_cols, F.col("_b").alias(f"_p{prefix_len}"), "_tid",
-                                 F.col("_r").alias("k"))
-        return rank_cutoffs(sub, group_cols + [f"_p{prefix_len}"], sub_targets, tie,
-                            prefix_len + PREFIX_STEP, limit)
+        pcol = f"_p{prefix_len}"
+        sub = inside.withColumnRenamed("_b", pcol)
+        sub_targets = [(r["_tid"], *[r[c] for c in group_cols], r["_b"], r["_r"]) for r in bnd]
+        return rank_cutoffs(sub, group_cols + [pcol], sub_targets, tie, prefix_len + PREFIX_STEP, limit)
     w2 = Window.partitionBy(*group_cols, "_b").orderBy(HASH, tie)
     ranked = inside.withColumn("_rn", F.row_number().over(w2))
-    return (ranked.join(bnd.select(*group_cols, "_b", "_tid", "_r"), on=group_cols + ["_b"])
-            .where(F.col("_rn") == F.col("_r"))
-            .select("_tid", F.col(HASH).alias("cut_key"), F.col(tie).alias("cut_tie")))
+    got = (ranked.join(bdf, on=group_cols + ["_b"])
+           .where(F.col("_rn") == F.col("_r"))
+           .select("_tid", F.col(HASH).alias("cut_key"), F.col(tie).alias("cut_tie"))
+           .collect())
+    return {r["_tid"]: (r["cut_key"], r["cut_tie"]) for r in got}
 
 
-def assign_by_rank(df: DataFrame, group_cols: list[str], boundaries: DataFrame, seed: int,
+def assign_by_rank(df: DataFrame, group: str, boundaries: list[tuple], seed: int,
                    out: str, default, row_id: str = "row_id") -> DataFrame:
     """Label each row by the rank range its hash falls in, per group.
 
-    ``boundaries`` has ``group_cols``, ``k`` (bigint), ``ord`` and ``value``:
-    a row of rank r (1-based, by ``md5(seed:row_id)`` then ``row_id``) gets
-    the ``value`` of the boundary with the smallest ``(k, ord)`` such that
-    r <= k; rows past the last boundary get ``default``.
+    ``boundaries`` lists ``(group value, k, ord, value)``: a row of rank r
+    (1-based, by ``md5(seed:row_id)`` then ``row_id``) gets the ``value`` of
+    the boundary with the smallest ``(k, ord)`` such that r <= k; rows past
+    the last boundary get ``default``.  The per-group cut points are inlined
+    as a literal map, so the assignment is a narrow projection.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    bounds = [b for b in boundaries if b[1] >= 1]
+    if len(bounds) > MAX_GROUP_TARGETS:
+        raise ValueError(f"{len(bounds)} rank boundaries; at most {MAX_GROUP_TARGETS} are supported")
     base = df.withColumn(HASH, hash_key(seed, row_id))
-    keyed = base.select(*group_cols, HASH, row_id).persist(StorageLevel.MEMORY_AND_DISK)
-    targets = (boundaries.where(F.col("k") >= 1)
-               .select(*group_cols, F.col("k").cast("long").alias("k")).distinct()
-               .withColumn("_tid", _tid(group_cols + ["k"])))
-    cuts = rank_cutoffs(keyed, group_cols, targets, tie=row_id)
-    per_group = (boundaries.where(F.col("k") >= 1)
-                 .withColumn("_tid", _tid(group_cols + ["k"]))
-                 .join(cuts, on="_tid")
-                 .groupBy(*group_cols)
-                 .agg(F.array_sort(F.collect_list(
-                     F.struct(F.col("k").cast("long").alias("k"), "ord", "cut_key", "cut_tie",
-                              F.col("value").alias("value")))).alias("_cuts"))
-                 .checkpoint(eager=True))
+    keyed = base.select(group, HASH, row_id).persist(StorageLevel.MEMORY_AND_DISK)
+    uniq = sorted({(b[0], int(b[1])) for b in bounds}, key=repr)
+    tids = {gk: f"{i}" for i, gk in enumerate(uniq)}
+    cuts = rank_cutoffs(keyed, [group], [(tids[gk], gk[0], gk[1]) for gk in uniq], tie=row_id) if uniq else {}
     keyed.unpersist()
+    gtype = df.schema[group].dataType
+    rtype = df.schema[row_id].dataType
+    per_group: dict = {}
+    for g, k, o, v in sorted(bounds, key=lambda b: (repr(b[0]), b[1], b[2])):
+        key, tie = cuts[tids[(g, int(k))]]
+        per_group.setdefault(g, []).append(F.struct(
+            F.lit(int(k)).cast("long").alias("k"), F.lit(int(o)).alias("ord"),
+            F.lit(key).alias("cut_key"), F.lit(tie).cast(rtype).alias("cut_tie"), F.lit(v).alias("value")))
     h, rid = F.col(HASH), F.col(row_id)
-    hit = F.filter("_cuts", lambda s: (h < s["cut_key"]) | ((h == s["cut_key"]) & (rid <= s["cut_tie"])))
-    return (base.join(bounded_broadcast(per_group), on=group_cols, how="left")
-            .withColumn(out, F.coalesce(F.try_element_at(hit, F.lit(1))["value"], F.lit(default)))
-            .drop("_cuts", HASH))
+    if per_group:
+        cmap = F.create_map(*[x for g, arr in per_group.items() for x in (F.lit(g).cast(gtype), F.array(*arr))])
+        hit = F.filter(F.element_at(cmap, F.col(group)),
+                       lambda s: (h < s["cut_key"]) | ((h == s["cut_key"]) & (rid <= s["cut_tie"])))
+        label = F.coalesce(F.try_element_at(hit, F.lit(1))["value"], F.lit(default))
+    else:
+        label = F.lit(default)
+    return base.withColumn(out, label).drop(HASH)

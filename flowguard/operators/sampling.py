@@ -9,74 +9,74 @@ one task.  Allocation tables have one row per class.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
 from flowguard.operators.distribution import class_counts
-from flowguard.operators.joins import anti_join, bounded_broadcast, semi_join
+from flowguard.operators.joins import anti_join, bounded_broadcast, semi_join  # noqa: F401
 from flowguard.operators.ranking import assign_by_rank
 
 PART = "part"
 
 
-def split_allocation(counts: DataFrame, label: str, test) -> DataFrame:
-    """Per-class ``n_train`` / ``n_test`` for a stratified two-way split.
+MAX_CLASSES = 100_000   # class-count tables are collected; beyond this we refuse
+
+
+def collect_counts(df: DataFrame, label: str) -> dict:
+    """``{class: n}`` (nulls excluded) -- a per-class aggregate, size-checked."""
+    rows = class_counts(df, label).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
+    return {r[0]: int(r[1]) for r in rows}
+
 
-    ``counts`` is ``(label, n)``; ``test`` is a fraction (float: ``ceil``
-    of fraction x total) or an absolute row count (int).  Train sizes are the
-    floor of the proportional share plus one for the largest remainders (ties
-    by label); the test side is the complement.
+def split_allocation(counts: dict, test) -> dict:
+    """Per-class train sizes of an exact stratified two-way split.
+
+    ``test`` is a fraction (``ceil(test * total)`` rows) or a row count.
+    Train sizes are the floor of the proportional share plus one for the
+    largest remainders (ties by class); the test side is the complement.
+    The arithmetic is double precision, in the same order as a stratified
+    shuffle split computes it.
     """
-    every = Window.partitionBy()
-    total = F.sum("n").over(every)
-    if isinstance(test, float):
-        n_test = F.ceil(F.lit(float(test)) * total.cast("double"))
-    else:
-        n_test = F.lit(int(test)).cast("long")
-    t = (counts.withColumn("_N", total)
-         .withColumn("_ntest", n_test)
-         .withColumn("_draw", F.col("_N") - F.col("_ntest"))
-         .withColumn("_cont", F.col("n").cast("double") / F.col("_N").cast("double")
-                     * F.col("_draw").cast("double"))
-         .withColumn("_fl", F.floor("_cont")))
-    t = t.withColumn("_need", F.col("_draw") - F.sum("_fl").over(every))
-    t = t.withColumn("_rr", F.row_number().over(
-        Window.orderBy(F.desc(F.col("_cont") - F.col("_fl")), F.col(f"`{label}`"))))
-    t = t.withColumn("n_train", (F.col("_fl") + F.when(F.col("_rr") <= F.col("_need"), 1).otherwise(0))
-                     .cast("long"))
-    return t.select(f"`{label}`", "n", "n_train", (F.col("n") - F.col("n_train")).alias("n_test"),
-                    "_N", "_ntest")
-
-
-def _check_split(alloc: DataFrame, what: str) -> None:
+    total = sum(counts.values())
+    n_test = math.ceil(float(test) * total) if isinstance(test, float) else int(test)
+    draw = total - n_test
+    cont = {c: n / total * draw for c, n in counts.items()}
+    train = {c: math.floor(v) for c, v in cont.items()}
+    need = draw - sum(train.values())
+    for c in sorted(counts, key=lambda c: (-(cont[c] - train[c]), c))[:max(need, 0)]:
+        train[c] += 1
+    return train
+
+
+def check_split(counts: dict, train: dict, what: str) -> None:
     """The preconditions of a stratified split (classes >= 2, sides >= #classes)."""
-    r = alloc.agg(F.min("n").alias("mn"), F.count(F.lit(1)).alias("k"),
-                  F.first("_N").alias("N"), F.first("_ntest").alias("nt")).first()
-    if r["k"] == 0:
+    if not counts:
         raise ValueError(f"{what}: empty input")
-    if r["mn"] < 2:
-        raise ValueError(f"{what}: the least populated class has {r['mn']} member(s); "
+    mn = min(counts.values())
+    if mn < 2:
+        raise ValueError(f"{what}: the least populated class has {mn} member(s); "
                          "every class needs at least 2")
-    if r["nt"] >= r["N"] or r["nt"] <= 0:
-        raise ValueError(f"{what}: test size {r['nt']} must lie in (0, {r['N']})")
-    if r["nt"] < r["k"] or r["N"] - r["nt"] < r["k"]:
-        raise ValueError(f"{what}: both sides need at least {r['k']} rows (one per class)")
+    total, n_train = sum(counts.values()), sum(train.values())
+    if not 0 < n_train < total:
+        raise ValueError(f"{what}: test size {total - n_train} must lie in (0, {total})")
+    if n_train < len(counts) or total - n_train < len(counts):
+        raise ValueError(f"{what}: both sides need at least {len(counts)} rows (one per class)")
 
 
 def stratified_split(df: DataFrame, label: str, test=S.TEST_FRACTION, seed: int = S.SEED,
                      row_id: str = S.ROW_ID, out: str = PART) -> DataFrame:
     """Add ``out`` = 'train' / 'test' (exact stratified two-way split)."""
-    counts = class_counts(df, label).persist()
-    alloc = split_allocation(counts, label, test).persist()
-    _check_split(alloc, "stratified_split")
-    bounds = alloc.select(f"`{label}`", F.col("n_train").alias("k"), F.lit(0).alias("ord"),
-                          F.lit("train").alias("value"))
-    res = assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), [label], bounds, seed,
-                         out, "test", row_id)
-    counts.unpersist()
-    return res
+    counts = collect_counts(df, label)
+    train = split_allocation(counts, test)
+    check_split(counts, train, "stratified_split")
+    bounds = [(c, k, 0, "train") for c, k in train.items()]
+    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out, "test", row_id)
 
 
 def three_way_split(df: DataFrame, label: str, val: float = S.VAL_FRACTION,
@@ -86,22 +86,16 @@ def three_way_split(df: DataFrame, label: str, val: float = S.VAL_FRACTION,
 
     Test first (``test`` of all rows), then validation as ``val/(1-test)`` of
     the rest, both stratified: n=100 with classes 80/20 gives 69/16/15 and
-    train classes 55/14.
+    train classes 55/14.  One hash ranking serves both splits: the first
+    ranks of a class are train, the next validation, the rest test.
     """
-    counts = class_counts(df, label).persist()
-    a1 = split_allocation(counts, label, test).persist()
-    _check_split(a1, "three_way_split (test)")
-    rest = a1.select(f"`{label}`", F.col("n_train").alias("n"))
-    a2 = split_allocation(rest, label, val / (1.0 - test)).persist()
-    _check_split(a2, "three_way_split (validation)")
-    bounds = (a2.select(f"`{label}`", F.col("n_train").alias("k"), F.lit(0).alias("ord"),
-                        F.lit("train").alias("value"))
-              .unionByName(a1.select(f"`{label}`", F.col("n_train").alias("k"), F.lit(1).alias("ord"),
-                                     F.lit("val").alias("value"))))
-    res = assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), [label], bounds, seed,
-                         out, "test", row_id)
-    counts.unpersist()
-    return res
+    counts = collect_counts(df, label)
+    a1 = split_allocation(counts, test)
+    check_split(counts, a1, "three_way_split (test)")
+    a2 = split_allocation(a1, val / (1.0 - test))
+    check_split(a1, a2, "three_way_split (validation)")
+    bounds = [(c, k, 0, "train") for c, k in a2.items()] + [(c, k, 1, "val") for c, k in a1.items()]
+    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out, "test", row_id)
 
 
 def stratified_sample(df: DataFrame, label: str, size=S.SAMPLE_SIZE, seed: int = S.SEED,
@@ -126,17 +120,23 @@ def rare_classes(df: DataFrame, label: str, min_samples: int) -> DataFrame:
 
 
 def drop_rare_classes(df: DataFrame, label: str, min_samples: int = S.MIN_CLASS_SIZE) -> DataFrame:
-    """Remove the rows of classes with fewer than ``min_samples`` rows."""
-    rare = rare_classes(df, label, min_samples).select(f"`{label}`")
-    return anti_join(df, bounded_broadcast(rare), label)
+    """Remove the rows of classes with fewer than ``min_samples`` rows
+    (the rare-class list is a small aggregate, applied as an IN filter)."""
+    rare = [c for c, n in collect_counts(df, label).items() if n < min_samples]
+    return df.where(~F.col(f"`{label}`").isin(rare)) if rare else df
 
 
 def canonical_holdout(df: DataFrame, label: str = S.TARGET_FAMILY, test: float = S.HOLDOUT_FRACTION,
                       seed: int = S.SEED, row_id: str = S.ROW_ID) -> DataFrame:
     """Keys ``(row_id)`` of the shared holdout: classes with < 2 rows removed,
     then the test side of a stratified split."""
-    valid = drop_rare_classes(df, label, S.MIN_STRATIFY_SIZE)
-    split = stratified_split(valid, label, test, seed, row_id, out="_side")
+    all_counts = collect_counts(df, label)
+    counts = {c: n for c, n in all_counts.items() if n >= S.MIN_STRATIFY_SIZE}
+    valid = df.where(F.col(f"`{label}`").isin(list(counts))) if len(counts) < len(all_counts) else df
+    train = split_allocation(counts, test)
+    check_split(counts, train, "canonical_holdout")
+    bounds = [(c, k, 0, "train") for c, k in train.items()]
+    split = assign_by_rank(valid, label, bounds, seed, "_side", "test", row_id)
     return split.where(F.col("_side") == "test").select(row_id)
 
 
@@ -150,41 +150,37 @@ def holdout_rows(df: DataFrame, holdout: DataFrame, row_id: str = S.ROW_ID) -> D
     return semi_join(df, holdout, row_id)
 
 
-def fold_allocation(counts: DataFrame, label: str, n_folds: int = S.CV_FOLDS) -> DataFrame:
-    """Per (class, fold) sizes of an unshuffled stratified k-fold.
-
-    Labels sorted by name are dealt round-robin to the folds; class c with
-    rows at sorted positions [a, b) gets, in fold i, the number of positions
-    p in [a, b) with p mod k = i.  Within a class folds are contiguous blocks.
-    """
-    cum = F.sum("n").over(Window.orderBy(F.col(f"`{label}`"))
-                          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    m = F.lit(n_folds)
-    t = (counts.withColumn("_b", cum).withColumn("_a", F.col("_b") - F.col("n"))
-         .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))))
+def fold_allocation(counts: dict, n_folds: int = S.CV_FOLDS) -> dict:
+    """``{class: [rows in fold 0, ..., fold k-1]}`` of an unshuffled
+    stratified k-fold: labels sorted by name are dealt round-robin to the
+    folds, so class c at sorted positions [a, b) gets, in fold i, the number
+    of positions p in [a, b) with p mod k = i.  Within a class folds are
+    contiguous blocks of its order."""
+    out, a = {}, 0
+    for c in sorted(counts):
+        b = a + counts[c]
 
-    def upto(x):  # positions p < x with p mod k == fold
-        return F.floor((x - F.col("fold") + m - 1) / m)
-    t = t.withColumn("n_fold", (upto(F.col("_b")) - upto(F.col("_a"))).cast("long"))
-    return t.withColumn("k", F.sum("n_fold").over(
-        Window.partitionBy(f"`{label}`").orderBy("fold")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))).select(
-        f"`{label}`", "fold", "n_fold", "k")
+        def upto(x, i):  # positions p < x with p mod k == i
+            return (x - i + n_folds - 1) // n_folds
+        out[c] = [upto(b, i) - upto(a, i) for i in range(n_folds)]
+        a = b
+    return out
 
 
 def stratified_folds(df: DataFrame, label: str, n_folds: int = S.CV_FOLDS, seed: int = S.SEED,
                      row_id: str = S.ROW_ID, out: str = "fold") -> DataFrame:
     """Add ``out`` (0..n_folds-1): stratified k-fold assignment by hash rank."""
-    counts = class_counts(df, label).persist()
-    r = counts.agg(F.max("n")).first()[0]
-    if r is None or r < n_folds:
+    counts = collect_counts(df, label)
+    if not counts or max(counts.values()) < n_folds:
         raise ValueError(f"n_splits={n_folds} cannot be greater than the number of members in each class")
-    alloc = fold_allocation(counts, label, n_folds)
-    bounds = alloc.select(f"`{label}`", "k", F.col("fold").alias("ord"), F.col("fold").alias("value"))
-    res = assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), [label], bounds, seed,
-                         out, n_folds - 1, row_id)
-    counts.unpersist()
-    return res
+    bounds = []
+    for c, sizes in fold_allocation(counts, n_folds).items():
+        k = 0
+        for i, m in enumerate(sizes):
+            k += m
+            bounds.append((c, k, i, i))
+    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out,
+                          n_folds - 1, row_id)
 
 
 def sample_audit(full: DataFrame, sample: DataFrame, label: str,
