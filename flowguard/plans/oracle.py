@@ -553,3 +553,18 @@ ORACLE["smote_class_counts"] = with_flows(S2_TRAIN_SQL + """,
 cc AS (SELECT target_tipo, count(*) AS n FROM s2tr GROUP BY 1)
 SELECT target_tipo, max(n) OVER () AS n, max(n) OVER () - n AS synthetic FROM cc
 """)
+
+
+# --- constant columns, scaler statistics ----------------------------------------------
+
+ORACLE["constant_columns_train"] = with_flows(three_way_sql("flows", "target_tipo", "s") + """,
+tr AS (SELECT * FROM sparts WHERE part = 'train')
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column" FROM tr HAVING count("{c}") >= 2 AND min("{c}") = max("{c}")"""
+    for c in S2_FEATS))
+
+ORACLE["scaler_stats"] = with_flows(UNDER_SQL + """,
+ku AS (SELECT f.* FROM flows f JOIN kept USING (row_id))
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, round(avg("{c}"), 6) AS mean, round(stddev_pop("{c}"), 6) AS std FROM ku"""
+    for c in S2_FEATS))

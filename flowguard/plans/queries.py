@@ -326,3 +326,89 @@ def q_smote_class_counts(spark, sf_dir):
     out = B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K)
     return out.groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"),
                                             F.sum(F.col("synthetic").cast("long")).alias("synthetic"))
+
+
+# --- learners (rows-only checks: model quality, not SQL) ---------------------------
+
+_BUNDLES: dict = {}
+
+
+def trained(spark, sf_dir, stage: int, family: str, grid: str = "small"):
+    """Train (once per session and input) a stage on the flows outside the holdout."""
+    from flowguard.plans import jobs as J
+    key = (id(spark), sf_dir, stage, family, grid)
+    if key not in _BUNDLES:
+        df = flows_clean(spark, sf_dir)
+        rest = SM.exclude_holdout(df, SM.canonical_holdout(df)).checkpoint(eager=True)
+        fn = J.train_stage1 if stage == 1 else J.train_stage2
+        _BUNDLES[key] = fn(rest, family=family, grid=grid)
+    return _BUNDLES[key]
+
+
+def _stage_report(spark, sf_dir, stage, family):
+    bundle, rep = trained(spark, sf_dir, stage, family)
+    table = rep["test"] if stage == 1 else rep["test_report"]
+    return table.withColumns({"family": F.lit(bundle.family), "threshold": F.lit(float(bundle.threshold))})
+
+
+for _stage in (1, 2):
+    for _fam in ("rf", "dt", "lr"):
+        def _q(spark, sf_dir, _s=_stage, _f=_fam):
+            return _stage_report(spark, sf_dir, _s, _f)
+        _q.__doc__ = f"Stage {_stage} {_fam}: CV on the training part, report on the test part."
+        register(f"stage{_stage}_{_fam}")(_q)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from flowguard.plans import jobs as J
+    bundle, _ = trained(spark, sf_dir, 1, "rf")
+    return J.feature_importance(spark, bundle)
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, sf_dir):
+    from flowguard.plans import jobs as J
+    bundle, _ = trained(spark, sf_dir, 2, "lr")
+    return J.feature_importance(spark, bundle)
+
+
+def _interpretable_tree(spark, sf_dir, stage):
+    from flowguard.plans import jobs as J
+    bundle, _ = trained(spark, sf_dir, stage, "interpretable")
+    kind = R.PROBABILITY if stage == 1 else R.CLASS
+    return R.tree_from_model(spark, bundle.model.stages[-1], J.kept_features(bundle), kind, bundle.classes
+                             if stage == 2 else None)
+
+
+@register("tree_rules")
+def q_tree_rules(spark, sf_dir):
+    """Leaf rules of the interpretable stage-1 tree trained on the tables."""
+    return R.rules_table(spark, _interpretable_tree(spark, sf_dir, 1))
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf_dir):
+    """Nodes of the interpretable stage-2 tree down to depth 5 (the drawn part)."""
+    return R.structure_to_depth(spark, _interpretable_tree(spark, sf_dir, 2), 5)
+
+
+@register("constant_columns_train")
+def q_constant_columns_train(spark, sf_dir):
+    """Features constant on the training part of a 70/15/15 split (removed from all parts)."""
+    parts = SM.three_way_split(flows_clean(spark, sf_dir), S.TARGET_FAMILY)
+    train = parts.where(F.col(SM.PART) == "train")
+    prof = P.column_profile(train.select(*[F.col(f"`{c}`") for c in split_features(train, [SM.PART])]))
+    return prof.where("constant").select("column")
+
+
+@register("scaler_stats")
+def q_scaler_stats(spark, sf_dir):
+    """Mean and population standard deviation per feature on the undersampled
+    stage-1 training part (what the standardising step of the logistic model uses)."""
+    tr = B.undersample(stage1_train(spark, sf_dir), S.TARGET_BIN)
+    feats = split_features(tr, [SM.PART])
+    return tr.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("v")) for c in feats])).alias("s")) \
+        .groupBy(F.col("s.feature").alias("feature")).agg(
+            F.round(F.avg("s.v"), 6).alias("mean"), F.round(F.stddev_pop("s.v"), 6).alias("std"))
