@@ -5,8 +5,9 @@ whole class in one task; normal traffic alone can be most of the table.  Here
 the k-th smallest key of each group is found from a histogram of hex-prefix
 buckets (a partial aggregation with a tiny output); only rows of the boundary
 bucket are ranked, and the bucket is refined recursively while it is large.
-Rows are then assigned to rank ranges by a map-side comparison against a
-broadcast cutoff table, so the big table is scanned but never shuffled.
+Rows are then assigned to rank ranges by comparing their key with the
+per-group cut points, inlined as a literal map: the big table is scanned but
+never shuffled.
 """
 
 from __future__ import annotations
