@@ -13,7 +13,8 @@ _INF = float("inf")
 
 # Unicode-aware trim: Python's str.strip() also removes tabs, NBSP, the
 # information separators 0x1C-0x1F, ...; Spark's trim() only removes spaces.
-_STRIP_RE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# btrim with the explicit set avoids a per-row regular expression.
+_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 
 # Textual numbers that pandas.to_numeric accepts: decimal / scientific
 # notation, inf / infinity / nan with an optional sign.  try_cast alone is too
@@ -23,7 +24,7 @@ NUMERIC_RE = (r"^\s*[+-]?(((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?"
 
 
 def unicode_strip(c: Column) -> Column:
-    return F.regexp_replace(c, _STRIP_RE, "")
+    return F.btrim(c, F.lit(_WHITESPACE))
 
 
 def label_key(c: Column) -> Column:
