@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from flowguard.llm.host_rules import OP9_SQL, op9_host_rules
+from flowguard.llm.mixing import OP2_SQL, op2_source_mix
+from flowguard.llm.near_dup import op10_near_duplicates
+from flowguard.llm.quality import op5_quality
+from flowguard.llm.sharding import op4_shards
 from flowguard.llm.tokens import op1_token_counts
 
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_source_mix": op2_source_mix,
+    "op4_shards": op4_shards,
+    "op5_quality": op5_quality,
+    "op9_host_rules": op9_host_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op2_source_mix": OP2_SQL,
+    "op9_host_rules": OP9_SQL,
+}
