@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import cut, n_words, read_table
+from flowguard.llm.common import WORD, cut, n_words, read_table
 
 #: Golden-ratio points as integers: slot i lies at i * STEP mod PERIOD, STEP / PERIOD being 0.618034.
 PERIOD, STEP = 1 << 31, 1327217885
@@ -93,14 +93,15 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
         share: float = 1.5, most: float = 2.0, block_words: int = 256, seed: str = "mix") -> DataFrame:
     """The mix: a row for each piece of a document in a slot, and one without slot for a document that isn't drawn.
 
-    Columns: _row (bucket and number of the document within it, unique with _src), doc_id, source, size, source_size,
+    Columns: _row (bucket and number of the document within it, unique with _src), doc_id, text_hash, source, size, source_size,
     target, slot, block, pass (0: first time through its source), first_word and n_words (0 without slot) of the piece.
 
     Null texts have size 0, a null source is a source of its own (last); repeated rows count one by one; other columns
     of ``df`` are not used. An empty table gives no rows. A target's words are drawn up to the next whole word. The
     order depends on ``seed``, ids and sizes alone, so reruns and retried tasks agree.
     """
-    base = cut(df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"))
+    base = cut(df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                        F.col(source).alias("source"), n_words(text).alias("size"))
                .withColumn("_src", source_key("source")))
     targets = cut(source_targets(base, weights, share, most).withColumn("limit", F.least(
         F.ceil(F.col("target") - F.lit(0.001)), F.floor(F.col("source_size") * F.lit(float(most)))).cast("long")))
@@ -110,7 +111,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     ahead = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (line.groupBy("_src", "_bucket").agg(F.sum("size").alias("_n"))
                .withColumn("_offset", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n"))
-    order = Window.partitionBy("_src", "_bucket").orderBy("_key", "doc_id", "size")
+    order = Window.partitionBy("_src", "_bucket").orderBy("_key", "doc_id", "size", "text_hash")
     # a document of each source meets its source's figures; one row a source, joined by hash or as AQE sees its size
     placed = (line.join(offsets, ["_src", "_bucket"])
               .withColumn("_start", F.col("_offset") + F.sum("size").over(
@@ -131,11 +132,31 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
               .withColumn("first_word", F.col("_first") - F.col("_from")))
     slots = schedule(targets, block_words)
     return pieces.join(slots, ["_src", "block"], "left").select(
-        "_src", "_row", "doc_id", "source", "size", "source_size", "target", "slot", "block", "pass",
+        "_src", "_row", "doc_id", "text_hash", "source", "size", "source_size", "target", "slot", "block", "pass",
         F.when(F.col("slot").isNotNull(), F.col("first_word")).alias("first_word"),
         F.when(F.col("slot").isNotNull(), F.col("n_words")).otherwise(F.lit(0)).alias("n_words"))
 
 
+def mixed_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+                    **options) -> DataFrame:
+    """``df``'s rows as often as the mix takes them, all columns. A document of whose words only the first are taken (one
+    of each source and pass at most) has these words for its text, parted by single blanks; one of no words is left out
+    as soon as the mix takes none of it."""
+    drawn = (mix(df, doc_id, text, source, **options).groupBy("_src", "_row", "doc_id", "text_hash", "pass", "size")
+             .agg(F.sum("n_words").alias("_taken")).where("_taken > 0"))
+    one = ["doc_id", "text_hash"]
+    # rows equal in id and text are numbered on both sides, so that each meets its own share
+    copies = (drawn.groupBy("_src", "_row", *one, "size").agg(F.collect_list("_taken").alias("_takes"))
+              .withColumn("_n", F.row_number().over(Window.partitionBy(*one).orderBy("_row"))))
+    mine = df.withColumn("_id", F.col(doc_id)).withColumn("_hash", F.xxhash64(text)).withColumn(
+        "_m", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0))))
+    met = mine.join(copies.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), "_n", "size", "_takes"
+                                  ).withColumnRenamed("size", "_size"), F.col("_id").eqNullSafe(F.col("_i")) & (
+        F.col("_hash") == F.col("_h")) & (F.col("_m") == F.col("_n"))).withColumn("_taken", F.explode("_takes"))
+    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_taken").cast("int")), " ")
+    return met.withColumn(text, F.when(F.col("_taken") < F.col("_size"), first).otherwise(F.col(text))).select(*df.columns)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mix(read_table(spark, sf_dir, "documents"))
             .groupBy("_src", "_row", "doc_id", "size", "source_size", "target")

@@ -146,6 +146,11 @@ def score(df: DataFrame, ensemble: Ensemble, text: str = "text") -> DataFrame:
             .withColumn("predicted", (F.col("score") >= CUT).cast("int")).drop("_s"))
 
 
+def kept(df: DataFrame, ensemble: Ensemble, text: str = "text") -> DataFrame:
+    """The rows of ``df``, its own columns only, that ``score`` would predict as 1."""
+    return statistics(df, text).where(ensemble.column() >= CUT).select(*df.columns)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = crc_of_id("doc_id") % 4 == 2

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+from flowguard.llm.decontaminate import op8_decontaminate
 from flowguard.llm.host_rules import OP9_SQL, op9_host_rules
+from flowguard.llm.licences import OP3_SQL, op3_licences
+from flowguard.llm.lm import op6_lm_scores
 from flowguard.llm.mixing import OP2_SQL, op2_source_mix
 from flowguard.llm.near_dup import op10_near_duplicates
 from flowguard.llm.quality import op5_quality
+from flowguard.llm.revisits import OP7_SQL, op7_revisits
 from flowguard.llm.sharding import op4_shards
 from flowguard.llm.tokens import op1_token_counts
 
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
+    "op3_licences": op3_licences,
     "op4_shards": op4_shards,
     "op5_quality": op5_quality,
+    "op6_lm_scores": op6_lm_scores,
+    "op7_revisits": op7_revisits,
+    "op8_decontaminate": op8_decontaminate,
     "op9_host_rules": op9_host_rules,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 LLM_ORACLE: dict[str, str] = {
     "op2_source_mix": OP2_SQL,
+    "op3_licences": OP3_SQL,
+    "op7_revisits": OP7_SQL,
     "op9_host_rules": OP9_SQL,
 }
