@@ -2,28 +2,33 @@
 
 Two permutations, the second read from circularly shifted places, give all coordinates of a signature. Equal sets are
 one class from the start. Classes that share a band are tested against the best-connected class of their bucket, and
-every further pair of a bucket that could still join two components is tested too, unless the triangle inequality of
-the Jaccard distance rules its link out. All tests are exact, on full sets of shingles.
+then every further pair of a bucket that could still join two components. Tests are exact, on full sets of shingles.
+Pairs are spared them if their sizes or signatures rule a link out, or what the first tests told: which shingles of the
+bucket's lead either class has, and how many others.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import WordKeys, cut, mixed, read_table, shingle_keys, words_of
 
 #: Places of the permutations; coordinates of a signature, in BANDS bands of ROWS. A pair of similarity 0.85 shares no
-#: band with a chance of (1 - 0.85 ** 4) ** 30 = 2.3e-10, one of 0.8 with 1.4e-7.
-UNIVERSE, BANDS, ROWS = 1 << 22, 30, 4
+#: band with a chance of (1 - 0.85 ** 6) ** 40 = 6e-9, one of 0.8 with 5e-6.
+UNIVERSE, BANDS, ROWS = 1 << 22, 40, 6
+#: The last bit of each coordinate goes to a sketch of WORDS numbers of 64 bits. A pair is spared its test if its
+#: sketches differ by SIGMAS standard deviations more than those of a pair at the limit would on average.
+WORDS, SIGMAS = 4, 6
 #: Shingles that are looked up at once.
-STEP = 8192
-SCHEMA = "text_hash long, n_shingles long, cls binary, bands array<long>"
+STEP = 4096
+SCHEMA = "text_hash long, n_shingles long, cls binary, bands array<long>, sketch array<long>"
 
 
 class Circulant:
@@ -44,20 +49,25 @@ class Circulant:
             np.minimum(out, self.shifted[at[i:i + STEP]].min(axis=0), out=out)
         return out
 
-    def bands(self, keys: np.ndarray) -> np.ndarray:
-        parts = self.signature(keys).reshape(BANDS, ROWS).astype(np.uint64)
+    def bands(self, signature: np.ndarray) -> np.ndarray:
+        parts = signature.reshape(BANDS, ROWS).astype(np.uint64)
         out = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for i in range(ROWS):
             out = mixed(out + parts[:, i] * np.uint64(0xD6E8FEB86659FD93))
         return out.view(np.int64)
 
+    def sketch(self, signature: np.ndarray) -> np.ndarray:
+        bits = np.zeros(64 * WORDS, np.uint8)
+        bits[:len(signature)] = signature & 1
+        return np.packbits(bits).view(np.int64)
+
 
 def shingle_set(text, keys_of: WordKeys, size: int) -> np.ndarray:
     return np.unique(shingle_keys(keys_of.of(words_of(text)), size))
 
 
 def signatures(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, cls, bands): cls names the set (128 bits), null with null bands for an empty
+    """(doc_id, text_hash, n_shingles, cls, bands, sketch): cls names the set (128 bits), null as the rest for an empty
     one; doc_id and text_hash find the row again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -66,15 +76,18 @@ def signatures(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                n, cls, bands = [], [], []
+                n, cls, bands, sketches = [], [], [], []
                 for t in part.column(1):
                     keys = shingle_set(t.as_py(), keys_of, size)
                     n.append(len(keys))
                     cls.append(xxhash.xxh3_128_digest(keys.tobytes()) if len(keys) else None)
-                    bands.append(hashes.bands(keys) if len(keys) else None)
+                    found = hashes.signature(keys) if len(keys) else None
+                    bands.append(None if found is None else hashes.bands(found))
+                    sketches.append(None if found is None else hashes.sketch(found))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
-                     pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text_hash", "n_shingles", "cls", "bands"])
+                     pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "n_shingles", "cls", "bands", "sketch"])
 
     ids = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = ids.schema["doc_id"].dataType.simpleString()
@@ -82,8 +95,9 @@ def signatures(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 
 def jaccard_of(size: int):
-    """A pandas UDF: shared shingles and shingles in either, of two texts."""
-    @F.pandas_udf("both long, either long")
+    """A pandas UDF for two texts: shared shingles, shingles in either, and a bit for each shingle of the first (in
+    rising order of keys): whether the second has it."""
+    @F.pandas_udf("both long, either long, has array<long>")
     def count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         keys_of, last = WordKeys(), {}
 
@@ -95,25 +109,29 @@ def jaccard_of(size: int):
             return last[text]
 
         for a, b in batches:
-            both, either = [], []
+            both, either, has = [], [], []
             for x, y in zip(a, b, strict=True):
                 s, t = of(x), shingle_set(y, keys_of, size)
-                n = len(np.intersect1d(s, t, assume_unique=True))
+                hit = t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s
+                n = int(hit.sum())
                 both.append(n)
                 either.append(len(s) + len(t) - n)
-            yield pd.DataFrame({"both": both, "either": either})
+                bits = np.zeros(-(-len(s) // 64) * 64, np.uint8)
+                bits[:len(s)] = hit
+                has.append(np.packbits(bits).view(np.int64))
+            yield pd.DataFrame({"both": both, "either": either, "has": has})
 
     return count
 
 
 def tested(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """``pairs`` (a, b) with both and either. a may be the same class in very many pairs: it is joined last, where AQE
-    can split it; each text is sent once a pair."""
+    """``pairs`` (a, b) with both, either and has. a may be the same class in very many pairs: it is joined last, where
+    AQE can split it; each text is sent once a pair."""
     one = texts.select(F.col("cls").alias("b"), F.col("text").alias("_tb"))
     two = texts.select(F.col("cls").alias("a"), F.col("text").alias("_ta"))
     count = jaccard_of(size)(F.col("_ta"), F.col("_tb"))
     return (pairs.join(one, "b").join(two, "a").select("a", "b", count.alias("_n"))
-            .select("a", "b", "_n.both", "_n.either"))
+            .select("a", "b", "_n.both", "_n.either", "_n.has"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -158,7 +176,7 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85,
                     size: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``df``; rows link if their sets of ``size``-word
+    """(doc_id, text_hash, n_shingles, component_id, kept) for every row of ``df``; rows link if their sets of ``size``-word
     shingles have a Jaccard similarity of ``percent`` / 100 or more.
 
     A-Z count as a-z. A text of fewer words is one shingle; one without words, or null, has an empty set, links with
@@ -173,20 +191,22 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     head_of = [F.col("cls") == F.col("_c"), F.col("doc_id") == F.col("rep"), F.col("text_hash") == F.col("rep_hash")]
     classes = rows.join(heads.withColumnRenamed("cls", "_c"), head_of).select("cls", "bands")
     members = cut(buckets(classes))
-    pairs = members.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
+    about = cut(rows.join(heads.withColumnRenamed("cls", "_c"), head_of).join(
+        members.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("n_shingles").alias("n"), "sketch"))
     texts = cut(texts_of(df, members.select("cls").distinct().join(heads, "cls"), doc_id, text))
-    stars = cut(tested(pairs, texts, size))
     linked = F.expr(f"100 * both >= {percent} * either")
+    star = members.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
+    stars = cut(tested(star, texts, size))
     roots = components(stars.where(linked))
-    more = cut(tested(open_pairs(members, stars, roots, percent), texts, size))
-    if not more.where(linked).isEmpty():
-        roots = components(stars.where(linked).select("a", "b").unionByName(more.where(linked).select("a", "b")))
+    more = cut(tested(open_pairs(members, about, stars, roots, percent), texts, size).where(linked))
+    if not more.isEmpty():
+        roots = components(stars.where(linked).unionByName(more))
     named = heads.join(roots, "cls")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
     found = heads.join(named.select("cls", "root").join(least, "root").select("cls", "least"), "cls", "left").select(
         "cls", F.coalesce("least", "rep").alias("_component"))
-    return rows.drop("bands").join(found, "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")).withColumn(
+    return rows.drop("bands", "sketch").join(found, "cls", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -196,25 +216,58 @@ def texts_of(df: DataFrame, heads: DataFrame, doc_id: str, text: str) -> DataFra
     return docs.join(heads, ["rep", "rep_hash"]).dropDuplicates(["rep", "rep_hash"]).select("cls", "text")
 
 
-def open_pairs(members: DataFrame, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component yet, except those that the triangle inequality excludes: the
-    distances of both to the bucket's lead are known, and differ by no more than the distance of the two."""
-    far = 1 - percent / 100
-    known = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), (
-        1 - F.col("both") / F.col("either")).alias("d"))
+def plausible(percent: int) -> Column:
+    """Whether a pair (na, sa, nb, sb: sizes and sketches) may be similar enough."""
+    limit, n = percent / 100, BANDS * ROWS
+    off = (1 - limit) / 2
+    most = math.ceil(n * off + SIGMAS * math.sqrt(n * off * (1 - off)))
+    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(WORDS)), F.lit(0))
+    return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)") & (differ <= most)
+
+
+def not_excluded(percent: int) -> Column:
+    """Whether a pair may still be similar enough, by its bucket's lead: the two share at most the lead's shingles that
+    both have (ha, hb), and of others no more than the one that has fewer of them (oa, ob)."""
+    common = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
+    most = common + F.least("oa", "ob")
+    return 100 * most >= percent * (F.col("na") + F.col("nb") - most)
+
+
+def open_pairs(members: DataFrame, about: DataFrame, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a bucket but no component yet. One of them is outside its lead's component; both meet by
+    bucket and size class, as sizes of linked sets differ by the limit at most."""
     of_lead = roots.select(F.col("cls").alias("lead"), F.col("root").alias("lead_root"))
-    all_ = (members.join(known, ["lead", "cls"], "left").fillna(0.0, ["d"])
-            .join(roots, "cls", "left").join(of_lead, "lead", "left")
-            .select("h", "cls", "d", F.coalesce("root", "cls").alias("root"),
-                    F.coalesce("lead_root", "lead").alias("lead_root")))
-    stray = all_.where("root != lead_root").select(
-        "h", F.col("cls").alias("a"), F.col("d").alias("da"), F.col("root").alias("ra"))
-    other = all_.join(stray.select("h").distinct(), "h", "left_semi").select(
-        "h", F.col("cls").alias("b"), F.col("d").alias("db"), F.col("root").alias("rb"), "lead_root")
-    return (stray.join(other, "h").where("ra != rb AND (rb = lead_root OR a < b)")
-            .where(F.abs(F.col("da") - F.col("db")) <= F.lit(far + 1e-9)).where("da > 0 AND db > 0")
-            .select("a", "b").distinct())
+    known = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), "both", "has")
+    buckets_of = members.groupBy("cls").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # BANDS at most
+    all_ = (members.join(known, ["lead", "cls"]).join(roots, "cls", "left").join(of_lead, "lead", "left")
+            .join(about.join(buckets_of, "cls"), "cls").withColumn("size", F.floor(F.log("n") / -math.log(percent / 100) + F.lit(1e-9)))
+            .select("h", "hs", "cls", "n", "sketch", "has", (F.col("n") - F.col("both")).alias("others"), "size",
+                    F.coalesce("root", "cls").alias("root"), F.coalesce("lead_root", "lead").alias("lead_root")))
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("h", "size", F.col("cls").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x),
+                           F.col("has").alias("h" + x), F.col("others").alias("o" + x), F.col("root").alias("r" + x),
+                           F.col("hs").alias("hs" + x), "lead_root")
+
+    stray = all_.where("root != lead_root")
+    other = all_.join(stray.select("h").distinct(), "h", "left_semi").withColumn(
+        "size", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1)))
+    # a pair of several buckets is named in the first of them
+    first = F.get(F.array_intersect("hsa", "hsb"), 0) == F.col("h")
+    may = F.expr("ra != rb AND (rb = lead_root OR a < b)") & plausible(percent) & not_excluded(percent) & first
+    return side(stray, "a").drop("lead_root").join(side(other, "b"), ["h", "size"]).where(may).select("a", "b").distinct()
+
+
+def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80,
+                 size: int = 5) -> DataFrame:
+    """The rows of ``df``, all columns, that near_duplicates keeps: one id of each component. Of rows equal in id and
+    text one stays; rows without id all stay."""
+    kept = near_duplicates(df, doc_id, text, percent, size).where("kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    mine = df.withColumn("_hash", F.xxhash64(text)).withColumn("_id", F.col(doc_id))
+    return (mine.where("_id IS NOT NULL").join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+            .unionByName(mine.where("_id IS NULL")).drop("_id", "_hash"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")
