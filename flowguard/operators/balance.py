@@ -1,29 +1,22 @@
 """Fit-time class balancing: undersampling, SMOTE and balanced class weights.
 
-All three run as DataFrame jobs on the training fold.  Neighbour search for
-SMOTE is exact but never forms all pairs within a class: rows are placed on
-a 1-D random projection (a lower bound of Euclidean distance), candidate pairs
-come only from neighbouring cells of that line, and a row whose k-th
-candidate distance is not covered by the searched band widens its band and
-searches again.  Every decision (which rows to keep, which neighbour, the
-interpolation factor) is drawn from ``md5(seed:...)`` so runs are reproducible.
+All three run as DataFrame jobs on the training fold.  Every decision (which
+rows to keep, which neighbour, the interpolation factor) is drawn from
+``md5(seed:...)`` so runs are reproducible.
 """
 
 from __future__ import annotations
 
-import math
-import random
-
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
 from flowguard.operators.distribution import class_counts
-from flowguard.operators.joins import bounded_broadcast
-from flowguard.operators.ranking import assign_by_rank
+from flowguard.operators.neighbours import knn_within_class
+from flowguard.operators.ranking import ClassRanks
 from flowguard.operators.sampling import collect_counts
+from flowguard.session import cut
 
 
 # --- undersampling ------------------------------------------------------------
@@ -44,9 +37,9 @@ def undersample(df: DataFrame, label: str, ratio: float = S.UNDERSAMPLE_RATIO, s
                 row_id: str = S.ROW_ID) -> DataFrame:
     """Keep ``int(n_min/ratio)`` rows of every non-minority class (without
     replacement, by hash rank); the minority class is untouched."""
-    plan = undersample_plan(collect_counts(df, label), ratio)
-    bounds = [(c, k, 0, True) for c, k in plan.items()]
-    out = assign_by_rank(df, label, bounds, seed, "_keep", False, row_id)
+    ranks = ClassRanks(df, label, seed, row_id)
+    plan = undersample_plan(ranks.counts(), ratio)
+    out = ranks.assign([(c, k, 0, True) for c, k in plan.items()], "_keep", False, missing=False)
     return out.where("_keep").drop("_keep")
 
 
@@ -68,106 +61,19 @@ def with_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> Dat
     return df.withColumn(out, F.element_at(w, F.col(label)))
 
 
-def smote_k(counts: DataFrame, k: int = S.SMOTE_K, floor_one: bool = True) -> int:
+def smote_k(counts: dict, k: int = S.SMOTE_K, floor_one: bool = True) -> int:
     """Neighbour count from the smallest class: min(k, max(1, n_min-1)) or
     min(k, n_min-1)."""
-    n_min = counts.agg(F.min("n")).first()[0]
+    n_min = min(counts.values())
     return min(k, max(1, n_min - 1)) if floor_one else min(k, n_min - 1)
 
 
-# --- exact k nearest neighbours within class -----------------------------------
-
-CELL_TARGET = 32     # rows per projection cell on average
-
-
 def _u(seed: int, *parts: Column) -> Column:
     """Uniform double in [0, 1) from md5(seed:parts)."""
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
 
 
-def _direction(dim: int, seed: int) -> list[float]:
-    rnd = random.Random(seed)
-    v = [rnd.gauss(0.0, 1.0) for _ in range(dim)]
-    norm = math.sqrt(sum(x * x for x in v)) or 1.0
-    return [x / norm for x in v]
-
-
-def _dist(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                              lambda acc, x: acc + x))
-
-
-def knn_within_class(points: DataFrame, label: str, k: int, seed: int = S.SEED,
-                     pid: str = "pid", vec: str = "x") -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by id) of every point among
-    the points of its own class.  ``points`` has ``label``, ``pid`` and an
-    array<double> ``vec``.  Returns ``(label, pid, nn_rank, nn_pid, dist)``.
-    """
-    dim = len(points.select(vec).first()[0])
-    r = F.array(*[F.lit(x) for x in _direction(dim, seed)])
-    p = points.withColumn("_s", F.aggregate(F.zip_with(F.col(vec), r, lambda a, b: a * b),
-                                            F.lit(0.0), lambda acc, x: acc + x))
-    # Cell width per class from the spread of the projection.
-    stats = p.groupBy(label).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_s", [0.05, 0.95], 10000).alias("_q"),
-        F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    spread = F.greatest(F.col("_q")[1] - F.col("_q")[0], (F.col("_hi") - F.col("_lo")) * F.lit(0.01))
-    stats = stats.select(label, "_lo", "_hi", (F.when(spread > 0, spread).otherwise(F.lit(1.0))
-                                               * F.lit(float(CELL_TARGET)) / F.col("_n").cast("double")).alias("_w"))
-    stats = stats.withColumn("_cmax", F.floor((F.col("_hi") - F.col("_lo")) / F.col("_w"))).drop("_hi")
-    p = (p.join(bounded_broadcast(stats), on=label)
-         .withColumn("_cell", F.floor((F.col("_s") - F.col("_lo")) / F.col("_w")))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    cand_side = p.select(F.col(label).alias("_ql"), F.col(pid).alias("_q"), F.col(vec).alias("_qx"),
-                         F.col("_cell").alias("_qc"))
-
-    def search(queries: DataFrame, radius: Column) -> DataFrame:
-        lo_c = F.greatest(F.col("_cell") - radius, F.lit(0).cast("long"))
-        hi_c = F.least(F.col("_cell") + radius, F.col("_cmax"))
-        qs = queries.withColumn("_c", F.explode(F.sequence(lo_c, F.greatest(lo_c, hi_c))))
-        cond = (F.col(label) == F.col("_ql")) & (F.col("_c") == F.col("_qc"))
-        pairs = (qs.join(cand_side, on=cond)
-                 .where(F.col("_q") != F.col(pid))
-                 .select(label, pid, "_s", "_cell", "_lo", "_w", "_cmax", F.col("_rad"),
-                         F.col("_q").alias("nn_pid"), _dist(F.col(vec), F.col("_qx")).alias("dist")))
-        w = Window.partitionBy(label, pid).orderBy("dist", "nn_pid")
-        return pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-
-    found = []
-    todo = p.withColumn("_rad", F.lit(1).cast("long"))
-    for _ in range(64):
-        got = search(todo, F.col("_rad")).persist(StorageLevel.MEMORY_AND_DISK)
-        # band covered in projection units: [lo + (cell-rad)*w, lo + (cell+rad+1)*w)
-        chk = got.groupBy(label, pid).agg(
-            F.max("dist").alias("_dk"), F.count(F.lit(1)).alias("_m"),
-            F.first("_s").alias("_s"), F.first("_cell").alias("_cell"), F.first("_lo").alias("_lo"),
-            F.first("_w").alias("_w"), F.first("_cmax").alias("_cmax"), F.first("_rad").alias("_rad"))
-        margin = F.least(F.col("_s") - (F.col("_lo") + (F.col("_cell") - F.col("_rad")) * F.col("_w")),
-                         F.col("_lo") + (F.col("_cell") + F.col("_rad") + 1) * F.col("_w") - F.col("_s"))
-        whole = (F.col("_cell") - F.col("_rad") <= 0) & (F.col("_cell") + F.col("_rad") >= F.col("_cmax"))
-        ok = (F.col("_m") >= k) & ((F.col("_dk") < margin) | whole)
-        chk = chk.withColumn("_ok", ok).persist(StorageLevel.MEMORY_AND_DISK)
-        good = chk.where("_ok").select(label, pid)
-        found.append(got.join(good, on=[label, pid], how="left_semi")
-                     .select(label, pid, "nn_rank", "nn_pid", "dist"))
-        # rows with no candidate at all never appear in ``got``
-        bad_ids = chk.where(~F.col("_ok")).select(label, pid, F.col("_dk"), F.col("_rad").alias("_r0"))
-        missing = todo.join(chk.select(label, pid), on=[label, pid], how="left_anti").select(
-            label, pid, F.lit(None).cast("double").alias("_dk"), F.col("_rad").alias("_r0"))
-        redo = bad_ids.unionByName(missing)
-        if redo.limit(1).count() == 0:
-            break
-        grow = F.greatest(F.col("_r0") * 2, F.ceil(F.coalesce(F.col("_dk"), F.lit(0.0)) / F.col("_w")) + 1)
-        todo = (p.join(redo, on=[label, pid]).withColumn("_rad", grow.cast("long"))
-                .drop("_dk", "_r0").checkpoint(eager=True))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 # --- SMOTE ----------------------------------------------------------------------
 
 def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOTE_K,
@@ -178,35 +84,36 @@ def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOT
 
     Base rows are used evenly: class c needs ``need = n_max - n_c`` rows; each
     base row yields ``need div n_c`` rows and the first ``need mod n_c`` rows
-    (by hash rank) one more.  Output keeps ``label`` and ``features`` plus
-    ``synthetic``; originals pass through.
+    (by hash rank) one more.  Output: ``label``, ``features``, ``synthetic``,
+    ``base_id``, ``draw`` (0 for originals, which pass through) and ``nn_pid``.
     """
-    counts = collect_counts(df, label)
+    ranks = ClassRanks(df.select(label, row_id, features), label, seed, row_id)
+    counts = ranks.counts()
     n_max = max(counts.values()) if counts else 0
     need = {c: n_max - n for c, n in counts.items() if n < n_max}
+    given = df.select(label, features, F.lit(False).alias("synthetic"), F.col(row_id).alias("base_id"),
+                      F.lit(0).alias("draw"), F.lit(None).cast("long").alias("nn_pid"))
     if not need:
-        return df.select(label, features).withColumn("synthetic", F.lit(False))
+        return given
     small = min(counts[c] for c in need)
     if small <= k:
         raise ValueError(f"expected n_neighbors <= n_samples_fit, but n_samples_fit = {small}, "
                          f"n_neighbors = {k + 1}")
-    base = df.select(label, row_id, features).withColumn("x", vector_to_array(F.col(features)))
-    minority = base.where(F.col(label).isin(list(need))).select(label, F.col(row_id).alias("pid"), "x")
-    nn = knn_within_class(minority, label, k, seed, "pid", "x")
-    # the first (need mod n) rows of a class by hash rank yield one extra row
-    ranked = assign_by_rank(minority.withColumnRenamed("pid", row_id), label,
-                            [(c, m % counts[c], 0, 1) for c, m in need.items()],
-                            seed, "_extra", 0, row_id).withColumnRenamed(row_id, "pid")
-    per = F.create_map(*[x for c, m in need.items() for x in (F.lit(c), F.lit(m // counts[c]))])
-    reps = (ranked.withColumn("_reps", (F.element_at(per, F.col(label)) + F.col("_extra")).cast("int"))
-            .where(F.col("_reps") > 0)
-            .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_reps")))))
-    pick = (F.floor(_u(seed, F.lit("nn"), F.col("pid"), F.col("_i")) * F.lit(k)) + 1).cast("int")
-    gen = (reps.withColumn("nn_rank", pick)
-           .join(nn.select(label, "pid", "nn_rank", "nn_pid"), on=[label, "pid", "nn_rank"])
-           .join(minority.select(label, F.col("pid").alias("nn_pid"), F.col("x").alias("_nx")),
-                 on=[label, "nn_pid"])
-           .withColumn("_g", _u(seed, F.lit("gap"), F.col("pid"), F.col("_i")))
-           .select(label, array_to_vector(F.zip_with("x", "_nx", lambda a, b: a + F.col("_g") * (b - a)))
-                   .alias(features), F.lit(True).alias("synthetic")))
-    return df.select(label, features).withColumn("synthetic", F.lit(False)).unionByName(gen)
+    # the first (need mod n) rows of a class by hash rank yield one row more
+    reps = F.lit(0)
+    for c, m in need.items():
+        reps = F.when(F.col(label) == F.lit(c), F.lit(m // counts[c])).otherwise(reps)
+    base = cut(ranks.assign([(c, m % counts[c], 0, 1) for c, m in need.items()], "_extra", 0)
+               .where(F.col("_extra").isNotNull())
+               .select(label, F.col(row_id).alias("pid"), vector_to_array(F.col(features)).alias("x"),
+                       (reps + F.col("_extra")).alias("_reps")))
+    near = knn_within_class(base.select(label, "pid", "x"), label, k)
+    pick = (F.floor(_u(seed, F.lit("nn"), F.col("pid"), F.col("draw")) * F.lit(k)) + 1).cast("int")
+    made = (base.where("_reps > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
+            .withColumn("nn_rank", pick)
+            .join(near.select(label, "pid", "nn_rank", "nn_pid"), on=[label, "pid", "nn_rank"])
+            .join(base.select(label, F.col("pid").alias("nn_pid"), F.col("x").alias("_nx")), on=[label, "nn_pid"])
+            .withColumn("_g", _u(seed, F.lit("gap"), F.col("pid"), F.col("draw")))
+            .select(label, array_to_vector(F.zip_with("x", "_nx", lambda a, b: a + F.col("_g") * (b - a))).alias(features),
+                    F.lit(True).alias("synthetic"), F.col("pid").alias("base_id"), "draw", "nn_pid"))
+    return given.unionByName(made)

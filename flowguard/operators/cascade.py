@@ -10,12 +10,11 @@ stage-2 model and the two branches are re-joined with ``unionByName``.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
 from flowguard.functions.expressions import protocol_label, round_half_even
-from flowguard.operators.distribution import class_counts
 from flowguard.operators.rules import RuleTree, score_columns
 
 EVALUATION = "evaluation"   # non-alerts are 'Benign'
@@ -102,12 +101,13 @@ def missed_attacks(scored: DataFrame, actual: str = S.TARGET_FAMILY, predicted:
     most missed first) plus an ``ALL`` row; percent of the family's attacks."""
     att = F.col(actual) != S.BENIGN_FAMILY
     miss = att & (F.col(predicted) == S.BENIGN_FAMILY)
-    per = (scored.where(att).groupBy(F.col(actual).alias("family"))
-           .agg(F.sum(miss.cast("long")).alias("missed"), F.count(F.lit(1)).alias("total")))
-    overall = per.agg(F.lit("ALL").alias("family"), F.sum("missed").alias("missed"), F.sum("total").alias("total"))
-    out = per.where(F.col("missed") > 0).unionByName(overall.where(F.col("total").isNotNull()))
-    return (out.withColumn("pct", F.col("missed").cast("double") * F.lit(100.0) / F.col("total").cast("double"))
-            .orderBy(F.col("family") == "ALL", F.desc("missed"), "family"))
+    every = F.grouping("family") == 1
+    per = (scored.where(att).select(F.col(actual).alias("family"), miss.cast("long").alias("m"))
+           .rollup("family").agg(F.sum("m").alias("missed"), F.count(F.lit(1)).alias("total"), every.alias("_all")))
+    out = per.where("_all AND total > 0 OR NOT _all AND missed > 0")
+    return (out.withColumn("family", F.when(F.col("_all"), F.lit("ALL")).otherwise(F.col("family")))
+            .withColumn("pct", F.col("missed").cast("double") * F.lit(100.0) / F.col("total").cast("double"))
+            .orderBy("_all", F.desc("missed"), "family").drop("_all"))
 
 
 def context_columns(df: DataFrame) -> list[Column]:
@@ -140,13 +140,18 @@ def result_page(table: DataFrame, page: int = 1, size: int = S.DEFAULT_PAGE_SIZE
     return table.orderBy(order).offset((page - 1) * size).limit(size)
 
 
+def page_after(table: DataFrame, last: object | None = None, size: int = S.DEFAULT_PAGE_SIZE,
+               order: str = S.ROW_ID) -> DataFrame:
+    """The next ``size`` rows after key ``last`` (None: the first page): a page
+    far down costs no more than the first, as nothing before it is gathered."""
+    if size not in S.PAGE_SIZES:
+        raise ValueError(f"page size must be one of {S.PAGE_SIZES}")
+    rest = table if last is None else table.where(F.col(order) > F.lit(last))
+    return rest.orderBy(order).limit(size)
+
+
 def page_caption(total: int, page: int, size: int) -> str:
     start = (page - 1) * size
     end = min(start + size, total)
     return f"Exibindo {start + 1}-{end} de {total} fluxos"
 
-
-def label_shares(df: DataFrame, label: str) -> DataFrame:
-    every = Window.partitionBy()
-    return class_counts(df, label).withColumn(
-        "pct", F.col("n").cast("double") * F.lit(100.0) / F.sum("n").over(every).cast("double"))

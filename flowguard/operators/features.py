@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from flowguard import schema as S
 from flowguard.functions.expressions import finite_or_zero, to_double_lenient
@@ -27,9 +28,14 @@ def conform_lenient(df: DataFrame, columns: list[str], keep: list[str] | None =
     """Scoring-time conforming: reorder to the model's columns, a missing
     column becomes 0, extra columns are dropped (except ``keep``), every cell
     is coerced to a number and NaN / +-Inf / unparsable / null become 0."""
-    have = set(df.columns)
-    feats = [
-        (finite_or_zero(to_double_lenient(F.col(f"`{c}`"))) if c in have else F.lit(0.0)).alias(c)
-        for c in columns
-    ]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def number(c: str):
+        if c not in kinds:
+            return F.lit(0.0)
+        col = F.col(f"`{c}`")
+        # numbers are taken as they are; only text is parsed
+        return finite_or_zero(col.cast("double") if isinstance(kinds[c], NumericType) else to_double_lenient(col))
+
+    feats = [number(c).alias(c) for c in columns]
     return df.select(*[F.col(f"`{c}`") for c in (keep or [])], *feats)

@@ -17,11 +17,11 @@ splits are the same.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from flowguard import schema as S
 from flowguard.operators import balance as B
 from flowguard.operators.metrics import binary_f1, macro_f1
+from flowguard.session import cut
 
 FEATURES = "features"
 LABEL = "label"
@@ -86,9 +87,15 @@ class Rebalanced(Estimator):
                            self.getOrDefault(self.k), self.seed)
         return df
 
-    def _fit(self, dataset: DataFrame) -> Model:
+    def prepared(self, dataset: DataFrame) -> DataFrame:
+        """The resampled, weighted rows that a fit sees; the same for every point of a grid."""
         df = self._resample(dataset.select(S.ROW_ID, LABEL, FEATURES)).select(LABEL, FEATURES)
-        df = B.with_balanced_weights(df, LABEL, WEIGHT).checkpoint(eager=True)
+        return cut(B.with_balanced_weights(df, LABEL, WEIGHT))
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        return self.fit_prepared(self.prepared(dataset))
+
+    def fit_prepared(self, df: DataFrame) -> Model:
         inner = self.inner.copy()
         if inner.hasParam("weightCol"):
             inner = inner.copy({inner.getParam("weightCol"): WEIGHT})
@@ -113,11 +120,11 @@ def attack_probability(df: DataFrame) -> Column:
 
 
 class BinaryF1Evaluator(Evaluator):
-    """F1 of the attack class with the prediction ``P(attack) >= 0.5``."""
+    """F1 of the attack class with the prediction ``P(attack) > 0.5`` (a tie is class 0)."""
 
     def _evaluate(self, dataset: DataFrame) -> float:
         p = attack_probability(dataset)
-        return binary_f1(dataset.withColumn(P_ATTACK, p), LABEL, F.col(P_ATTACK) >= 0.5)
+        return binary_f1(dataset.withColumn(P_ATTACK, p), LABEL, F.col(P_ATTACK) > 0.5)
 
     def isLargerBetter(self) -> bool:
         return True
@@ -143,14 +150,13 @@ def _front(features: list[str], scale: bool) -> list:
     return stages
 
 
-def candidates(features: list[str], stage: int, family: str = "all", grid: str = "full",
-               seed: int = S.SEED) -> list[tuple[str, list, list[dict]]]:
+def candidates(features: list[str], stage: int, family: str = "all", seed: int = S.SEED) -> list[tuple[str, list, list[dict]]]:
     """``(name, stages, param_maps)`` per candidate model family.
 
     stage 1: undersampling to 0.333; RF / DT as regressors, LR binomial.
     stage 2: SMOTE; RF / DT / LR multinomial classifiers.
-    ``grid='full'`` is the published grid, ``'small'`` one point per family.
-    ``family='interpretable'`` gives the shallow-tree grids.
+    Every family comes with its whole published grid; ``'interpretable'`` gives
+    the shallow-tree grids.
     """
     strat = "under" if stage == 1 else "smote"
     out = []
@@ -160,7 +166,7 @@ def candidates(features: list[str], stage: int, family: str = "all", grid: str =
         stages = _front(features, scale) + [wrap]
         pm = [{(wrap if p == "C" else inner).getParam("inverseReg" if p == "C" else p): v
                for p, v in m.items()} for m in maps]
-        out.append((name, stages, pm if grid == "full" else pm[:1]))
+        out.append((name, stages, pm))
 
     if family in ("all", "rf"):
         rf = (RandomForestRegressor(seed=seed, featureSubsetStrategy="sqrt", maxBins=128) if stage == 1
@@ -183,19 +189,3 @@ def candidates(features: list[str], stage: int, family: str = "all", grid: str =
         add("lr", lr, True, [{"C": c} for c in cs])
     return out
 
-
-def label_indexer(classes: list[str]) -> Transformer:
-    """Family name -> index in the alphabetical class list."""
-    return StringIndexer(inputCol=S.TARGET_FAMILY, outputCol=LABEL, stringOrderType="alphabetAsc",
-                         handleInvalid="error").fit(
-        _classes_frame(classes))
-
-
-def _classes_frame(classes: list[str]) -> DataFrame:
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame([(c,) for c in classes], f"{S.TARGET_FAMILY} string")
-
-
-def pipeline_of(stages: list) -> Pipeline:
-    return Pipeline(stages=list(stages))

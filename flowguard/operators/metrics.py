@@ -15,72 +15,77 @@ def _div0(a: Column, b: Column) -> Column:
     return F.when(b != 0, a.cast("double") / b.cast("double")).otherwise(F.lit(0.0))
 
 
-def label_set(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Sorted union of the actual and predicted labels ``(label)``."""
-    return (df.select(F.col(actual).alias("label"))
-            .union(df.select(F.col(predicted).alias("label")))
-            .where(F.col("label").isNotNull()).distinct())
-
-
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: list | None = None) -> DataFrame:
     """Long confusion matrix ``(actual, predicted, n)`` with every cell of the
     label grid, zero cells included.  Labels default to the union of actual
-    and predicted values."""
+    and predicted values.
+
+    One pass over ``df``: its counts, at most one row per pair of labels that
+    occurs, become one array, from which labels and grid are taken.
+    """
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
+    cells = counts.agg(F.collect_list(F.struct("actual", "predicted", "n")).alias("c"))
     if labels is None:
-        labs = label_set(df, actual, predicted).agg(F.collect_list("label").alias("ls"))
+        seen = F.array_distinct(F.concat(F.transform("c", lambda e: e["actual"]), F.transform("c", lambda e: e["predicted"])))
+        labs = F.filter(seen, lambda x: x.isNotNull())
     else:
-        labs = df.sparkSession.range(1).select(F.array(*[F.lit(x) for x in labels]).alias("ls"))
-    grid = (labs.select(F.explode("ls").alias("actual"), "ls")
-            .select("actual", F.explode("ls").alias("predicted")))
-    return (grid.join(counts, on=["actual", "predicted"], how="left")
-            .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+        labs = F.array(*[F.lit(x) for x in labels])
+    grid = cells.withColumn("l", labs).select("c", "l", F.explode("l").alias("actual")).select(
+        "c", "actual", F.explode("l").alias("predicted"))
+    n = F.aggregate(F.filter("c", lambda e: (e["actual"] == F.col("actual")) & (e["predicted"] == F.col("predicted"))),
+                    F.lit(0).cast("long"), lambda a, e: a + e["n"])
+    return grid.select("actual", "predicted", n.alias("n"))
 
 
 def per_class_scores(cm: DataFrame) -> DataFrame:
-    """``(label, tp, support, predicted, precision, recall, f1)`` from a long matrix."""
-    by_actual = cm.groupBy(F.col("actual").alias("label")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("predicted"))
-    t = by_actual.join(by_pred, on="label", how="full").fillna(0, subset=["support", "tp", "predicted"])
+    """``(label, tp, support, predicted, precision, recall, f1)`` from a long
+    matrix: each cell counts for its actual and its predicted label."""
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    sides = cm.select(F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), F.col("n").alias("s"), hit.alias("t"), F.lit(0).cast("long").alias("p")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t"),
+                 F.col("n").alias("p")))).alias("e")).select("e.*")
+    t = sides.groupBy("label").agg(F.sum("t").cast("long").alias("tp"), F.sum("s").cast("long").alias("support"),
+                                   F.sum("p").cast("long").alias("predicted"))
     return t.select(
-        "label", F.col("tp").cast("long").alias("tp"), F.col("support").cast("long").alias("support"),
-        F.col("predicted").cast("long").alias("predicted"),
-        _div0(F.col("tp"), F.col("predicted")).alias("precision"),
+        "label", "tp", "support", "predicted", _div0(F.col("tp"), F.col("predicted")).alias("precision"),
         _div0(F.col("tp"), F.col("support")).alias("recall"),
         _div0(2 * F.col("tp"), F.col("support") + F.col("predicted")).alias("f1"))
 
 
 def classification_report(cm: DataFrame, digits: int = 6) -> DataFrame:
     """Per-class precision / recall / F1 / support plus 'accuracy',
-    'macro avg' and 'weighted avg' rows (accuracy sits in ``f1``)."""
-    pc = per_class_scores(cm)
+    'macro avg' and 'weighted avg' rows (accuracy sits in ``f1``).  The three
+    rows come from the first class's row, so the matrix is read once."""
     every = Window.partitionBy()
+    pc = per_class_scores(cm)
     total = F.sum("support").over(every)
+
+    def mean(c):
+        return F.avg(c).over(every)
+
+    def weighted(c):
+        return _div0(F.sum(F.col(c) * F.col("support")).over(every), total)
+
+    def row(label, precision, recall, f1, support):
+        return F.struct(label.cast("string").alias("label"), precision.cast("double").alias("precision"),
+                        recall.cast("double").alias("recall"), f1.cast("double").alias("f1"),
+                        support.cast("long").alias("support"))
+
+    none = F.lit(None)
+    own = row(F.col("label"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"))
+    summary = [row(F.lit("accuracy"), none, none, F.col("_acc"), F.col("_tot")),
+               row(F.lit("macro avg"), F.col("_mp"), F.col("_mr"), F.col("_mf"), F.col("_tot")),
+               row(F.lit("weighted avg"), F.col("_wp"), F.col("_wr"), F.col("_wf"), F.col("_tot"))]
     t = pc.withColumns({
         "_tot": total, "_acc": _div0(F.sum("tp").over(every), total),
-        "_mp": F.avg("precision").over(every), "_mr": F.avg("recall").over(every),
-        "_mf": F.avg("f1").over(every),
-        "_wp": _div0(F.sum(F.col("precision") * F.col("support")).over(every), total),
-        "_wr": _div0(F.sum(F.col("recall") * F.col("support")).over(every), total),
-        "_wf": _div0(F.sum(F.col("f1") * F.col("support")).over(every), total),
-    })
-    one = t.limit(1)
-    rows = pc.select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1",
-                     "support").unionByName(
-        one.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                   F.lit(None).cast("double").alias("recall"), F.col("_acc").alias("f1"),
-                   F.col("_tot").alias("support"))).unionByName(
-        one.select(F.lit("macro avg").alias("label"), F.col("_mp").alias("precision"),
-                   F.col("_mr").alias("recall"), F.col("_mf").alias("f1"), F.col("_tot").alias("support"))
-    ).unionByName(
-        one.select(F.lit("weighted avg").alias("label"), F.col("_wp").alias("precision"),
-                   F.col("_wr").alias("recall"), F.col("_wf").alias("f1"), F.col("_tot").alias("support")))
-    return rows.select("label", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")],
-                       F.col("support").cast("long").alias("support"))
+        "_mp": mean("precision"), "_mr": mean("recall"), "_mf": mean("f1"),
+        "_wp": weighted("precision"), "_wr": weighted("recall"), "_wf": weighted("f1"),
+        "_first": F.row_number().over(Window.orderBy("label")) == 1})
+    rows = t.select(F.explode(F.when(F.col("_first"), F.array(own, *summary)).otherwise(F.array(own))).alias("r")).select("r.*")
+    return rows.select("label", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
 def macro_f1(df: DataFrame, actual: str, predicted: str) -> float:
@@ -119,19 +124,35 @@ def thresholds(n: int = S.THRESHOLD_COUNT, start: float = 0.01, stop: float = 0.
     return vals
 
 
+def cleared(score: Column, grid: list[float] | None) -> Column:
+    """How many thresholds of a rising grid a score reaches.  On the even grid
+    (None) the place is computed, then settled by the three thresholds around
+    it, each made as ``thresholds`` makes it."""
+    if grid is not None:
+        return F.size(F.filter(F.array(*[F.lit(float(t)) for t in grid]), lambda t: t <= score))
+    n, even = S.THRESHOLD_COUNT, thresholds()
+    step = (even[-1] - even[0]) / (n - 1)
+    place = F.floor((score - F.lit(even[0])) / F.lit(step)).cast("int")
+    low = F.least(F.greatest(place - 1, F.lit(0)), F.lit(n - 3))
+
+    def reached(i: Column) -> Column:
+        at = F.when(i == n - 1, F.lit(even[-1])).otherwise(i.cast("double") * F.lit(step) + F.lit(even[0]))
+        return (at <= score).cast("int")
+
+    return low + reached(low) + reached(low + 1) + reached(low + 2)
+
+
 def threshold_sweep(df: DataFrame, label: str, score: str,
                     grid: list[float] | None = None) -> DataFrame:
     """Recall, precision and F1 of ``score >= t`` for every threshold t.
 
-    One pass: each row finds how many thresholds it clears (binary search
-    over a sorted literal array is replaced by counting, the array is 99
-    long), rows are counted per (level, label) -- at most 2 x 100 groups --
-    and reverse cumulative sums give tp and predicted positives per level.
+    One pass: each row finds how many thresholds it clears, rows are counted
+    per (level, label) -- at most 2 x 100 groups -- and reverse cumulative sums
+    give tp and predicted positives per level.
     """
+    level = cleared(F.col(score), grid)
     grid = grid or thresholds()
     n = len(grid)
-    arr = F.array(*[F.lit(float(t)) for t in grid])
-    level = F.size(F.filter(arr, lambda t: t <= F.col(score)))
     counts = (df.where(F.col(score).isNotNull())
               .groupBy(level.alias("level")).agg(
                   F.sum((F.col(label) == 1).cast("long")).alias("pos"),

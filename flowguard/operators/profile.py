@@ -74,3 +74,65 @@ def profile_summary(df: DataFrame, prof: DataFrame, label: str = "Label") -> Dat
     return (rows.join(per_column, on="_k").drop("_k")
             .withColumn("features", F.col("columns") - F.lit(1 if label in df.columns else 0))
             .withColumn("metadata_columns", F.lit(meta)))
+
+
+REPORT_COLUMNS = ("section", "column", "metric", "value")
+
+
+def _long(section: str, column, pairs: list[tuple[str, object]]):
+    """Structs of one report row per metric; null values stay as rows."""
+    return F.array(*[F.struct(F.lit(section).alias("section"), column.alias("column"), F.lit(m).alias("metric"),
+                              v.cast("string").alias("value")) for m, v in pairs])
+
+
+def profile_report(df: DataFrame, errors: list[tuple[str, str]], file: str = "file", label: str = "Label") -> DataFrame:
+    """The profile as ``(section, column, metric, value)``, all text.
+
+    Sections: ``errors`` (files that could not be read), ``labels`` (rows per
+    file and label, column ``file``: label), ``files`` (rows per file),
+    ``totals``, ``normalisation`` (verdict and the detail columns' range and
+    mean), ``missing`` (nulls and infinities, total and of the detail columns)
+    and ``constant`` columns.  Label counts take one pass, all column
+    statistics another.
+    """
+    spark = df.sparkSession
+    counts = (df.rollup(file, label).agg(F.count(F.lit(1)).alias("n"), F.grouping(label).alias("gl"),
+                                         F.grouping(file).alias("gf")))
+    of_counts = counts.select(F.explode(F.when(F.col("gf") == 1, _long("totals", F.lit(None).cast("string"), [
+        ("rows", F.col("n"))])).when(F.col("gl") == 1, _long("files", F.col(file), [("rows", F.col("n"))])).otherwise(
+        _long("labels", F.concat_ws(": ", F.col(file), F.coalesce(F.col(label), F.lit("null"))), [("rows", F.col("n"))]))
+        ).alias("r")).select("r.*")
+    stats = column_profile(df.drop(file))
+    per = stats.withColumns({k: F.col(f"`{k}`") for k in ("min", "max", "mean")})
+    detail = F.col("column").isin(list(S.PROFILE_EXAMPLE_COLUMNS))
+    finite = F.col("column").isin(list(S.PROFILE_DETAIL_COLUMNS))
+    none = F.array().cast("array<struct<section:string,column:string,metric:string,value:string>>")
+    of_columns = per.select(F.explode(F.concat(
+        F.when(detail, _long("normalisation", F.col("column"), [(m, F.format_string("%.3f", F.col(m))) for m in (
+            "min", "max", "mean")])).otherwise(none),
+        F.when(finite, _long("missing", F.col("column"), [("nulls", F.col("nulls")), ("infs", F.col("infs"))])).otherwise(none),
+        F.when(F.col("constant"), _long("constant", F.col("column"), [("constant", F.lit(True))])).otherwise(none),
+    )).alias("r")).select("r.*")
+    meta = metadata_columns(df.columns)
+    outside = F.sum((F.col("is_numeric") & F.col("outside_01")).cast("long"))
+    nothing = F.lit(None).cast("string")
+    of_all = stats.agg(
+        F.count(F.lit(1)).alias("columns"), F.sum(F.col("is_numeric").cast("long")).alias("numeric"), outside.alias("out"),
+        F.sum("nulls").alias("nulls"), F.sum("infs").alias("infs"), F.sum(F.col("constant").cast("long")).alias("const")
+    ).select(F.explode(F.concat(
+        _long("totals", nothing, [("columns", F.col("columns")), ("features", F.col("columns") - int(label in df.columns)),
+                                  ("metadata_columns", F.lit(", ".join(meta)))]),
+        _long("normalisation", nothing, [("numeric_columns", F.col("numeric")), ("outside_01_columns", F.col("out")),
+                                         ("normalised", F.col("out") == 0)]),
+        _long("missing", nothing, [("nulls", F.col("nulls")), ("infs", F.col("infs"))]),
+        _long("constant", nothing, [("columns", F.col("const"))]))).alias("r")).select("r.*")
+    out = of_counts.unionByName(of_columns).unionByName(of_all)
+    if errors:
+        out = out.unionByName(spark.createDataFrame([("errors", f, "error", e) for f, e in errors],
+                                                    "section string, column string, metric string, value string"))
+    return out
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The report as JSON lines; it has a few rows per column and label."""
+    report.coalesce(1).write.mode("overwrite").json(path)

@@ -1,13 +1,12 @@
-"""Exact per-group ranks on a hash key without a full-table window.
+"""Exact per-class ranks on a hash key without a full-table window.
 
 A window ``row_number() over (partition by class order by hash)`` would put a
 whole class in one task; normal traffic alone can be most of the table.  Here
-the k-th smallest key of each group is found from a histogram of hex-prefix
-buckets (a partial aggregation with a tiny output); only rows of the boundary
-bucket are ranked, and the bucket is refined recursively while it is large.
-Rows are then assigned to rank ranges by comparing their key with the
-per-group cut points, inlined as a literal map: the big table is scanned but
-never shuffled.
+one pass counts rows per class and hash prefix.  Class sizes and the prefix
+that holds any k-th key follow from that small histogram, and only the rows of
+those prefixes are ranked (counted again by a longer prefix while they are
+many).  Rows are then labelled by comparing their key with the cut points of
+their class: the big table is scanned, but never shuffled or copied.
 """
 
 from __future__ import annotations
@@ -16,102 +15,129 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
 HASH = "_h"
-PREFIX_STEP = 4                 # hex characters per refinement level (65 536 buckets)
-EXACT_RANK_LIMIT = 2_000_000    # rows a boundary bucket may hold before refinement
+HASH_BITS, STEP_BITS = 60, 16   # key width; bits that one histogram adds to the known prefix
+EXACT_RANK_LIMIT = 2_000_000    # rows a prefix may hold before it is counted by a longer one
+INLINE_CUTS = 500               # cut points inlined as CASE branches; with more, classes are joined to a table
 
 
 def hash_key(seed: int, row_id: str = "row_id") -> Column:
-    """Deterministic uniform key: md5 hex of 'seed:row_id' (same in DuckDB)."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
+    """Deterministic uniform key: the first 60 bits of md5('seed:row_id')."""
+    text = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
+    return F.conv(F.substring(text, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-MAX_GROUP_TARGETS = 100_000     # per-group cut points we inline as literals
+def _prefix(bits: int) -> Column:
+    return F.shiftright(F.col(HASH), max(0, HASH_BITS - bits))
 
 
-def rank_cutoffs(keyed: DataFrame, group_cols: list[str], targets: list[tuple],
-                 tie: str = "row_id", prefix_len: int = PREFIX_STEP,
-                 limit: int | None = None) -> dict:
+def rank_cutoffs(keyed: DataFrame, hist: DataFrame, groups: list[str], targets: list[tuple], tie: str,
+                 bits: int = STEP_BITS) -> dict:
     """Key of the k-th smallest ``(HASH, tie)`` per group.
 
-    ``keyed`` has ``group_cols``, ``HASH`` and ``tie``; ``targets`` is a
-    list of ``(tid, group values..., k)`` with 1 <= k <= group size.  Returns
-    ``{tid: (cut_key, cut_tie)}``.  Only the histogram (tiny) and the rows of
-    the boundary buckets are shuffled.
+    ``hist`` has ``(groups, _b, _n)``, the rows of ``keyed`` per group and
+    prefix of ``bits``.  ``targets`` lists ``(tid, group values..., k)`` with
+    1 <= k <= group size; the answer is ``{tid: (cut_key, cut_tie)}``.
     """
-    limit = EXACT_RANK_LIMIT if limit is None else limit
     spark = keyed.sparkSession
-    gtypes = [keyed.schema[c].dataType.simpleString() for c in group_cols]
-    tschema = ", ".join(["_tid string"] + [f"`{c}` {t}" for c, t in zip(group_cols, gtypes)] + ["k long"])
-    tdf = F.broadcast(spark.createDataFrame(targets, tschema))     # size bounded by the caller
-    bucket = F.substring(F.col(HASH), 1, prefix_len)
-    hist = keyed.groupBy(*group_cols, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*group_cols).orderBy("_b")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    types = [keyed.schema[c].dataType.simpleString() for c in groups]
+    head = [f"`{c}` {t}" for c, t in zip(groups, types)]
+    wanted = spark.createDataFrame(targets, ", ".join(["_tid string", *head, "k long"]))
+    w = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_cum", F.sum("_n").over(w))
-    lo = F.col("_cum") - F.col("_n")
-    bnd = (cum.join(tdf, on=group_cols)
-           .where((lo < F.col("k")) & (F.col("k") <= F.col("_cum")))
-           .select("_tid", *group_cols, "_b", (F.col("k") - lo).alias("_r"), "_n")
-           .collect())                                              # one row per target
+    low = F.col("_cum") - F.col("_n")
+    bnd = (cum.join(wanted, on=groups).where((low < F.col("k")) & (F.col("k") <= F.col("_cum")))
+           .select("_tid", *groups, "_b", (F.col("k") - low).alias("_r"), "_n").collect())   # one row per target
     if not bnd:
         return {}
-    biggest = max(r["_n"] for r in bnd)
-    bschema = ", ".join(["_tid string"] + [f"`{c}` {t}" for c, t in zip(group_cols, gtypes)]
-                        + ["_b string", "_r long"])
-    brows = [(r["_tid"], *[r[c] for c in group_cols], r["_b"], r["_r"]) for r in bnd]
-    bdf = F.broadcast(spark.createDataFrame(brows, bschema))
-    inside = keyed.withColumn("_b", bucket).join(bdf.select(*group_cols, "_b").distinct(),
-                                                 on=group_cols + ["_b"], how="left_semi")
-    if biggest > limit and prefix_len < 32:
-        # Refine: the boundary bucket becomes part of the group key.
-        pcol = f"_p{prefix_len}"
-        sub = inside.withColumnRenamed("_b", pcol)
-        sub_targets = [(r["_tid"], *[r[c] for c in group_cols], r["_b"], r["_r"]) for r in bnd]
-        return rank_cutoffs(sub, group_cols + [pcol], sub_targets, tie, prefix_len + PREFIX_STEP, limit)
-    w2 = Window.partitionBy(*group_cols, "_b").orderBy(HASH, tie)
-    ranked = inside.withColumn("_rn", F.row_number().over(w2))
-    got = (ranked.join(bdf, on=group_cols + ["_b"])
-           .where(F.col("_rn") == F.col("_r"))
-           .select("_tid", F.col(HASH).alias("cut_key"), F.col(tie).alias("cut_tie"))
-           .collect())
+    rows = [(r["_tid"], *[r[c] for c in groups], r["_b"], r["_r"]) for r in bnd]
+    held = spark.createDataFrame(rows, ", ".join(["_tid string", *head, "_b long", "_r long"]))
+    inside = keyed.withColumn("_b", _prefix(bits)).join(
+        F.broadcast(held.select(*groups, "_b").distinct()), on=[*groups, "_b"], how="left_semi")
+    if max(r["_n"] for r in bnd) > EXACT_RANK_LIMIT and bits < HASH_BITS:
+        name = f"_p{bits}"
+        sub = inside.withColumnRenamed("_b", name)
+        longer = min(HASH_BITS, bits + STEP_BITS)
+        again = sub.groupBy(*groups, name, _prefix(longer).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        return rank_cutoffs(sub, again, [*groups, name], rows, tie, longer)
+    ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(HASH, tie)))
+    got = (ranked.join(held, on=[*groups, "_b"]).where(F.col("_rn") == F.col("_r"))
+           .select("_tid", F.col(HASH).alias("cut_key"), F.col(tie).alias("cut_tie")).collect())
     return {r["_tid"]: (r["cut_key"], r["cut_tie"]) for r in got}
 
 
-def assign_by_rank(df: DataFrame, group: str, boundaries: list[tuple], seed: int,
-                   out: str, default, row_id: str = "row_id") -> DataFrame:
-    """Label each row by the rank range its hash falls in, per group.
+class ClassRanks:
+    """Rows of a table ranked within their class by hash key, then row id.
 
-    ``boundaries`` lists ``(group value, k, ord, value)``: a row of rank r
-    (1-based, by ``md5(seed:row_id)`` then ``row_id``) gets the ``value`` of
-    the boundary with the smallest ``(k, ord)`` such that r <= k; rows past
-    the last boundary get ``default``.  The per-group cut points are inlined
-    as a literal map, so the assignment is a narrow projection.
+    Rows whose class is null have no rank.  ``counts`` and ``assign`` share one
+    histogram pass over the table.
     """
-    bounds = [b for b in boundaries if b[1] >= 1]
-    if len(bounds) > MAX_GROUP_TARGETS:
-        raise ValueError(f"{len(bounds)} rank boundaries; at most {MAX_GROUP_TARGETS} are supported")
-    base = df.withColumn(HASH, hash_key(seed, row_id))
-    keyed = base.select(group, HASH, row_id).persist(StorageLevel.MEMORY_AND_DISK)
-    uniq = sorted({(b[0], int(b[1])) for b in bounds}, key=repr)
-    tids = {gk: f"{i}" for i, gk in enumerate(uniq)}
-    cuts = rank_cutoffs(keyed, [group], [(tids[gk], gk[0], gk[1]) for gk in uniq], tie=row_id) if uniq else {}
-    keyed.unpersist()
-    gtype = df.schema[group].dataType
-    rtype = df.schema[row_id].dataType
-    per_group: dict = {}
-    for g, k, o, v in sorted(bounds, key=lambda b: (repr(b[0]), b[1], b[2])):
-        key, tie = cuts[tids[(g, int(k))]]
-        per_group.setdefault(g, []).append(F.struct(
-            F.lit(int(k)).cast("long").alias("k"), F.lit(int(o)).alias("ord"),
-            F.lit(key).alias("cut_key"), F.lit(tie).cast(rtype).alias("cut_tie"), F.lit(v).alias("value")))
-    h, rid = F.col(HASH), F.col(row_id)
-    if per_group:
-        cmap = F.create_map(*[x for g, arr in per_group.items() for x in (F.lit(g).cast(gtype), F.array(*arr))])
-        hit = F.filter(F.element_at(cmap, F.col(group)),
-                       lambda s: (h < s["cut_key"]) | ((h == s["cut_key"]) & (rid <= s["cut_tie"])))
-        label = F.coalesce(F.try_element_at(hit, F.lit(1))["value"], F.lit(default))
-    else:
+
+    def __init__(self, df: DataFrame, group: str, seed: int, row_id: str = "row_id"):
+        self.df, self.group, self.row_id = df, group, row_id
+        self.base = df.withColumn(HASH, hash_key(seed, row_id))
+        self.keyed = self.base.select(F.col(f"`{group}`").alias("_g"), HASH, F.col(row_id).alias("_id")).where(
+            "_g IS NOT NULL")
+        self.hist = self.keyed.groupBy("_g", _prefix(STEP_BITS).alias("_b")).agg(
+            F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+        self._counts: dict | None = None
+
+    def counts(self) -> dict:
+        """``{class: rows}``."""
+        if self._counts is None:
+            self._counts = {r[0]: int(r[1]) for r in self.hist.groupBy("_g").agg(F.sum("_n")).collect()}
+        return self._counts
+
+    def assign(self, boundaries: list[tuple], out: str, default, missing=None) -> DataFrame:
+        """Label each row by the rank range its key falls in.
+
+        ``boundaries`` lists ``(class, k, ord, value)``: a row of rank r gets the
+        ``value`` of the boundary with the smallest ``(k, ord)`` such that
+        r <= k; rows past the last boundary of their class get ``default``.
+        Rows of a class without boundary, or of none, get ``missing``.
+        """
+        classes = sorted({b[0] for b in boundaries}, key=repr)
+        bounds = sorted((b for b in boundaries if b[1] >= 1), key=lambda b: (repr(b[0]), b[1], b[2]))
+        pairs = sorted({(b[0], int(b[1])) for b in bounds}, key=repr)
+        tids = {p: str(i) for i, p in enumerate(pairs)}
+        cuts = rank_cutoffs(self.keyed, self.hist, ["_g"], [(tids[p], *p) for p in pairs], "_id") if pairs else {}
+        self.hist.unpersist()
+        ranges = [(b[0], *cuts[tids[(b[0], int(b[1]))]], b[2], b[3]) for b in bounds]
+        make = self._inlined if len(ranges) + len(classes) <= INLINE_CUTS else self._joined
+        return make(classes, ranges, out, default, missing)
+
+    def _inlined(self, classes, ranges, out, default, missing) -> DataFrame:
+        """One literal map from class to cut point per boundary, so that class and key appear once in each test."""
+        kind, g = self.df.schema[self.row_id].dataType, F.col(f"`{self.group}`")
+        gtype = self.df.schema[self.group].dataType
+        mine = F.struct(F.col(HASH).alias("key"), F.col(self.row_id).alias("tie"))
+
+        def looked_up(of: dict) -> Column:
+            return F.element_at(F.create_map(*[x for c, v in of.items() for x in (F.lit(c).cast(gtype), v)]), g)
+
         label = F.lit(default)
-    return base.withColumn(out, label).drop(HASH)
+        for place, value in sorted({(r[3], r[4]) for r in ranges}, reverse=True, key=lambda v: v[0]):
+            cut = {r[0]: F.struct(F.lit(r[1]).alias("key"), F.lit(r[2]).cast(kind).alias("tie"))
+                   for r in ranges if r[3] == place}
+            label = F.when(mine <= looked_up(cut), F.lit(value)).otherwise(label)
+        if classes:
+            label = F.when(looked_up({c: F.lit(True) for c in classes}), label).otherwise(F.lit(missing))
+        return self.base.withColumn(out, label if classes else F.lit(missing)).drop(HASH)
+
+    def _joined(self, classes, ranges, out, default, missing) -> DataFrame:
+        """With many classes: their cut points as a table, one row a class, joined to the rows."""
+        spark, kind = self.df.sparkSession, self.df.schema[self.row_id].dataType.simpleString()
+        h, rid = F.col(HASH), F.col(self.row_id)
+        values = [value for *_, value in ranges] + [default]
+        vtype = "boolean" if isinstance(values[0], bool) else "long" if isinstance(values[0], int) else "string"
+        gtype = self.df.schema[self.group].dataType.simpleString()
+        by: dict = {c: [] for c in classes}
+        for c, key, tie, _, value in ranges:
+            by[c].append((key, tie, value))
+        table = spark.createDataFrame([(c, cs) for c, cs in by.items()],
+                                      f"_g {gtype}, _cuts array<struct<key:long,tie:{kind},value:{vtype}>>")
+        hit = F.get(F.filter("_cuts", lambda s: (h < s["key"]) | ((h == s["key"]) & (rid <= s["tie"]))), 0)["value"]
+        label = F.when(F.col("_g").isNull(), F.lit(missing)).otherwise(F.coalesce(hit, F.lit(default)))
+        return (self.base.join(table, F.col(f"`{self.group}`") == F.col("_g"), "left").withColumn(out, label)
+                .drop(HASH, "_g", "_cuts"))
+

@@ -169,37 +169,26 @@ def leaf_values_sql(tree: RuleTree, name: str) -> str:
 
 # -- rendering -----------------------------------------------------------------
 
-def to_text(tree: RuleTree, decimals: int = 2, max_depth: int = 10) -> str:
-    """IF/THEN text: ``|--- f <= t`` for the left branch, ``|--- f >  t``
-    for the right one, ``class: c`` at leaves; deeper branches are cut."""
+def to_text(tree: RuleTree, decimals: int = 2) -> str:
+    """IF/THEN text of the whole tree: a line ``f <= t`` before the lower
+    branch, ``f >  t`` before the upper one, ``class: c`` for a leaf, each with
+    one bar per level."""
     nodes = tree.by_id
-    lines: list[str] = []
-
-    def sub_depth(i):
-        n = nodes[i]
-        return 1 if tree.is_leaf(n) else 1 + max(sub_depth(n["left"]), sub_depth(n["right"]))
-
-    def walk(i: int, depth: int):
-        n = nodes[i]
-        indent = ("|" + " " * 3) * depth
-        indent = indent[:-3] + "-" * 3
-        if depth <= max_depth + 1:
-            if not tree.is_leaf(n):
-                thr = f"{n['threshold']:.{decimals}f}"
-                lines.append(f"{indent} {n['feature']} <= {thr}")
-                walk(n["left"], depth + 1)
-                lines.append(f"{indent} {n['feature']} >  {thr}")
-                walk(n["right"], depth + 1)
-            else:
-                lines.append(f"{indent} class: {tree.leaf_label(n)}")
-        else:
-            d = sub_depth(i)
-            if d == 1:
-                lines.append(f"{indent} class: {tree.leaf_label(n)}")
-            else:
-                lines.append(f"{indent} truncated branch of depth {d}")
-    walk(tree.root, 1)
-    return "\n".join(lines) + "\n"
+    items: list[tuple[int, str]] = []
+    waiting: list = [(0, tree.root)]
+    while waiting:
+        depth, item = waiting.pop()
+        if isinstance(item, str):
+            items.append((depth, item))
+            continue
+        node = nodes[item]
+        if tree.is_leaf(node):
+            items.append((depth, f"class: {tree.leaf_label(node)}"))
+            continue
+        at = f"{node['threshold']:.{decimals}f}"
+        waiting += [(depth + 1, node["right"]), (depth, f"{node['feature']} >  {at}"),
+                    (depth + 1, node["left"]), (depth, f"{node['feature']} <= {at}")]
+    return "".join("|   " * depth + f"|--- {text}\n" for depth, text in items)
 
 
 def node_rows(tree: RuleTree) -> list[tuple]:

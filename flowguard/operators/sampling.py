@@ -11,27 +11,25 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
 from flowguard.operators.distribution import class_counts
 from flowguard.operators.joins import anti_join, bounded_broadcast, semi_join  # noqa: F401
-from flowguard.operators.ranking import assign_by_rank
+from flowguard.operators.ranking import ClassRanks
 
 PART = "part"
+IN_HOLDOUT = "in_holdout"
 
 
-MAX_CLASSES = 100_000   # class-count tables are collected; beyond this we refuse
+def collect_counts(df: DataFrame, label: str) -> dict:
+    """``{class: n}`` (nulls excluded): one row per class."""
+    return {r[0]: int(r[1]) for r in class_counts(df, label).collect()}
 
 
-def collect_counts(df: DataFrame, label: str) -> dict:
-    """``{class: n}`` (nulls excluded) -- a per-class aggregate, size-checked."""
-    rows = class_counts(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
-    return {r[0]: int(r[1]) for r in rows}
+def known(df: DataFrame, label: str) -> DataFrame:
+    return df.where(F.col(f"`{label}`").isNotNull())
 
 
 def split_allocation(counts: dict, test) -> dict:
@@ -72,11 +70,10 @@ def check_split(counts: dict, train: dict, what: str) -> None:
 def stratified_split(df: DataFrame, label: str, test=S.TEST_FRACTION, seed: int = S.SEED,
                      row_id: str = S.ROW_ID, out: str = PART) -> DataFrame:
     """Add ``out`` = 'train' / 'test' (exact stratified two-way split)."""
-    counts = collect_counts(df, label)
-    train = split_allocation(counts, test)
-    check_split(counts, train, "stratified_split")
-    bounds = [(c, k, 0, "train") for c, k in train.items()]
-    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out, "test", row_id)
+    ranks = ClassRanks(known(df, label), label, seed, row_id)
+    train = split_allocation(ranks.counts(), test)
+    check_split(ranks.counts(), train, "stratified_split")
+    return ranks.assign([(c, k, 0, "train") for c, k in train.items()], out, "test")
 
 
 def three_way_split(df: DataFrame, label: str, val: float = S.VAL_FRACTION,
@@ -89,13 +86,13 @@ def three_way_split(df: DataFrame, label: str, val: float = S.VAL_FRACTION,
     train classes 55/14.  One hash ranking serves both splits: the first
     ranks of a class are train, the next validation, the rest test.
     """
-    counts = collect_counts(df, label)
-    a1 = split_allocation(counts, test)
-    check_split(counts, a1, "three_way_split (test)")
+    ranks = ClassRanks(known(df, label), label, seed, row_id)
+    a1 = split_allocation(ranks.counts(), test)
+    check_split(ranks.counts(), a1, "three_way_split (test)")
     a2 = split_allocation(a1, val / (1.0 - test))
     check_split(a1, a2, "three_way_split (validation)")
     bounds = [(c, k, 0, "train") for c, k in a2.items()] + [(c, k, 1, "val") for c, k in a1.items()]
-    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out, "test", row_id)
+    return ranks.assign(bounds, out, "test")
 
 
 def stratified_sample(df: DataFrame, label: str, size=S.SAMPLE_SIZE, seed: int = S.SEED,
@@ -120,33 +117,50 @@ def rare_classes(df: DataFrame, label: str, min_samples: int) -> DataFrame:
 
 
 def drop_rare_classes(df: DataFrame, label: str, min_samples: int = S.MIN_CLASS_SIZE) -> DataFrame:
-    """Remove the rows of classes with fewer than ``min_samples`` rows
-    (the rare-class list is a small aggregate, applied as an IN filter)."""
+    """Remove the rows of classes with fewer than ``min_samples`` rows, and
+    rows without label (the rare-class list is a small aggregate, applied as
+    an IN filter)."""
     rare = [c for c, n in collect_counts(df, label).items() if n < min_samples]
-    return df.where(~F.col(f"`{label}`").isin(rare)) if rare else df
+    left = known(df, label)
+    return left.where(~F.col(f"`{label}`").isin(rare)) if rare else left
 
 
-def canonical_holdout(df: DataFrame, label: str = S.TARGET_FAMILY, test: float = S.HOLDOUT_FRACTION,
-                      seed: int = S.SEED, row_id: str = S.ROW_ID) -> DataFrame:
-    """Keys ``(row_id)`` of the shared holdout: classes with < 2 rows removed,
-    then the test side of a stratified split."""
-    all_counts = collect_counts(df, label)
-    counts = {c: n for c, n in all_counts.items() if n >= S.MIN_STRATIFY_SIZE}
-    valid = df.where(F.col(f"`{label}`").isin(list(counts))) if len(counts) < len(all_counts) else df
+def with_holdout(df: DataFrame, label: str = S.TARGET_FAMILY, test: float = S.HOLDOUT_FRACTION,
+                 seed: int = S.SEED, row_id: str = S.ROW_ID) -> DataFrame:
+    """``df`` with ``in_holdout``: whether a row belongs to the shared holdout,
+    the test side of a stratified split.  Rows of classes with < 2 rows, and
+    rows without label, do not.  No join: the side is a column of the row."""
+    ranks = ClassRanks(df, label, seed, row_id)
+    counts = {c: n for c, n in ranks.counts().items() if n >= S.MIN_STRATIFY_SIZE}
     train = split_allocation(counts, test)
     check_split(counts, train, "canonical_holdout")
-    bounds = [(c, k, 0, "train") for c, k in train.items()]
-    split = assign_by_rank(valid, label, bounds, seed, "_side", "test", row_id)
-    return split.where(F.col("_side") == "test").select(row_id)
+    return ranks.assign([(c, k, 0, False) for c, k in train.items()], IN_HOLDOUT, True, missing=False)
+
+
+def canonical_holdout(df: DataFrame, label: str = S.TARGET_FAMILY, test: float = S.HOLDOUT_FRACTION,
+                      seed: int = S.SEED, row_id: str = S.ROW_ID) -> DataFrame:
+    """Keys ``(row_id)`` of the shared holdout (see ``with_holdout``), to be
+    persisted for jobs that read the table later."""
+    return with_holdout(df, label, test, seed, row_id).where(IN_HOLDOUT).select(row_id)
+
+
+def outside_holdout(df: DataFrame, **options) -> DataFrame:
+    """Training data in one pass: the rows that ``with_holdout`` leaves."""
+    return with_holdout(df, **options).where(~F.col(IN_HOLDOUT)).drop(IN_HOLDOUT)
+
+
+def inside_holdout(df: DataFrame, **options) -> DataFrame:
+    """Evaluation data in one pass: the rows that ``with_holdout`` holds back."""
+    return with_holdout(df, **options).where(IN_HOLDOUT).drop(IN_HOLDOUT)
 
 
 def exclude_holdout(df: DataFrame, holdout: DataFrame, row_id: str = S.ROW_ID) -> DataFrame:
-    """Training data: every row not in the holdout."""
+    """Training data: every row not in a persisted holdout."""
     return anti_join(df, holdout, row_id)
 
 
 def holdout_rows(df: DataFrame, holdout: DataFrame, row_id: str = S.ROW_ID) -> DataFrame:
-    """Evaluation data: the rows in the holdout."""
+    """Evaluation data: the rows in a persisted holdout."""
     return semi_join(df, holdout, row_id)
 
 
@@ -170,7 +184,8 @@ def fold_allocation(counts: dict, n_folds: int = S.CV_FOLDS) -> dict:
 def stratified_folds(df: DataFrame, label: str, n_folds: int = S.CV_FOLDS, seed: int = S.SEED,
                      row_id: str = S.ROW_ID, out: str = "fold") -> DataFrame:
     """Add ``out`` (0..n_folds-1): stratified k-fold assignment by hash rank."""
-    counts = collect_counts(df, label)
+    ranks = ClassRanks(known(df, label), label, seed, row_id)
+    counts = ranks.counts()
     if not counts or max(counts.values()) < n_folds:
         raise ValueError(f"n_splits={n_folds} cannot be greater than the number of members in each class")
     bounds = []
@@ -179,8 +194,7 @@ def stratified_folds(df: DataFrame, label: str, n_folds: int = S.CV_FOLDS, seed:
         for i, m in enumerate(sizes):
             k += m
             bounds.append((c, k, i, i))
-    return assign_by_rank(df.where(F.col(f"`{label}`").isNotNull()), label, bounds, seed, out,
-                          n_folds - 1, row_id)
+    return ranks.assign(bounds, out, n_folds - 1)
 
 
 def sample_audit(full: DataFrame, sample: DataFrame, label: str,
@@ -201,6 +215,3 @@ def sample_audit(full: DataFrame, sample: DataFrame, label: str,
     return (t.withColumn("status", F.when(ok, "OK").otherwise("ERRO (>2%)"))
             .withColumn("validated", F.bool_and(ok).over(every)))
 
-
-def persist_small(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

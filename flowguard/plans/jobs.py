@@ -9,20 +9,28 @@ from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.tuning import CrossValidator
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
+from flowguard.operators import balance as B
+from flowguard.operators import cascade as C
 from flowguard.operators import learn as L
 from flowguard.operators import metrics as M
+from flowguard.operators import profile as P
 from flowguard.operators import sampling as SM
+from flowguard.operators.clean import clean_flows, strip_column_names
 from flowguard.operators.distribution import class_counts
-from flowguard.operators.features import conform_strict, split_features
-from flowguard.operators.targets import attacks_only
+from flowguard.operators.features import conform_lenient, conform_strict, split_features
+from flowguard.operators.rules import RuleTree
+from flowguard.operators.targets import add_targets, attacks_only
+from flowguard.session import cut
+from flowguard.sources.files import FILE, load_flows, load_flows_reported, read_flows
 
 
 @dataclass
@@ -56,22 +64,38 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
                   c.get("scaler"), c.get("info", {}))
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark can open a table there; errors other than a missing path are raised."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def save_holdout(holdout: DataFrame, path: str) -> None:
     holdout.write.mode("overwrite").parquet(path)
 
 
 def load_holdout(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001  (AnalysisException: path does not exist)
-        raise FileNotFoundError(f"holdout keys not found at {path}; build the holdout first") from e
+    if not table_exists(spark, path):
+        raise FileNotFoundError(f"holdout keys not found at {path}; build the holdout first")
+    return spark.read.parquet(path)
 
 
 def load_sample(spark: SparkSession, path: str) -> DataFrame:
-    try:
+    if not table_exists(spark, path):
+        raise FileNotFoundError(f"sample not found at {path}; build it with build_sample()")
+    return spark.read.parquet(path)
+
+
+def load_base(spark: SparkSession, path: str, flow_paths: list[str]) -> DataFrame:
+    """The persisted sample if there is one, else all flows, cleaned and with targets."""
+    if table_exists(spark, path):
         return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        raise FileNotFoundError(f"sample not found at {path}; build it with build_sample()") from e
+    return add_targets(clean_flows(load_flows(spark, flow_paths)))
 
 
 def build_sample(df_clean: DataFrame, path: str, size: int = S.SAMPLE_SIZE, seed: int = S.SEED):
@@ -83,38 +107,88 @@ def build_sample(df_clean: DataFrame, path: str, size: int = S.SAMPLE_SIZE, seed
     return SM.sample_audit(df_clean, written, S.TARGET_FAMILY)
 
 
+def profile_files(spark: SparkSession, paths: list[str], path: str | None = None) -> DataFrame:
+    """Profile report of flow files; an unreadable one is a row of the report
+    and the job goes on.  ``path`` also writes it as JSON lines."""
+    df, errors = load_flows_reported(spark, paths, with_file=True)
+    if df is None:
+        report = spark.createDataFrame([("errors", f, "error", e) for f, e in errors],
+                                       "section string, column string, metric string, value string")
+    else:
+        report = P.profile_report(df, errors, FILE)
+    if path:
+        P.write_report(report, path)
+    return report
+
+
+def score_flows(spark: SparkSession, path: str, stage1: RuleTree, threshold: float, stage2: RuleTree) -> DataFrame:
+    """Scoring job for an uploaded table (CSV or parquet): names stripped,
+    features conformed leniently, cascade in dashboard mode, context columns
+    first.  An input without rows gives an empty result of the same columns."""
+    raw = strip_column_names(read_flows(spark, path))
+    columns = list(dict.fromkeys([*stage1.features, *stage2.features]))
+    keep = [c for c in [S.ROW_ID, *S.CONTEXT_COLUMNS] if c in raw.columns]
+    scored = C.score_rules(conform_lenient(raw, columns, keep=keep), stage1, threshold, stage2, C.DASHBOARD)
+    table = C.result_table(scored, keep=[c for c in (S.ROW_ID,) if c in raw.columns])
+    return table.limit(0) if raw.isEmpty() else table
+
+
 # --- training -------------------------------------------------------------------
 
-def _cross_validate(df: DataFrame, cands, evaluator, folds: int, parallelism: int, seed: int):
-    best = None
-    table = []
-    for name, stages, maps in cands:
-        cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps,
-                            evaluator=evaluator, numFolds=folds, foldCol="fold",
-                            parallelism=parallelism, seed=seed)
-        m = cv.fit(df)
-        for pm, score in zip(maps, m.avgMetrics):
-            table.append((name, json.dumps({p.name: v for p, v in pm.items()}), float(score)))
-        i = max(range(len(maps)), key=lambda j: m.avgMetrics[j])
-        if best is None or m.avgMetrics[i] > best[1]:
-            best = (name, m.avgMetrics[i], maps[i], m.bestModel)
-    return best, table
-
-
-def train_stage1(df: DataFrame, family: str = "all", grid: str = "small", seed: int = S.SEED,
-                 folds: int = S.CV_FOLDS, parallelism: int = 2,
+def _fitted_front(stages: list, df: DataFrame) -> PipelineModel:
+    return Pipeline(stages=stages[:-1]).fit(df)
+
+
+def _with_point(wrap: L.Rebalanced, point: dict) -> L.Rebalanced:
+    """The last stage with the parameters of a grid point, its own and its learner's."""
+    return wrap.copy(point)
+
+
+def _cross_validate(df: DataFrame, cands, evaluator, folds: int, parallelism: int):
+    """Score every point of every candidate's grid on every fold.
+
+    A fold's features are fitted and its rows resampled once, for all points
+    of the grid; points are fitted side by side (``parallelism``).  The best
+    point (the first of equals) is fitted again on all rows.
+    """
+    table, best = [], None
+    for name, stages, points in cands:
+        scores = [[] for _ in points]
+        for fold in range(folds):
+            train, test = df.where(F.col("fold") != fold), df.where(F.col("fold") == fold)
+            front = _fitted_front(stages, train)
+            rows, held = stages[-1].prepared(front.transform(train)), cut(front.transform(test))
+
+            def score(point, rows=rows, held=held, wrap=stages[-1]):
+                return evaluator.evaluate(_with_point(wrap, point).fit_prepared(rows).transform(held))
+
+            with ThreadPoolExecutor(parallelism) as pool:
+                for s, value in zip(scores, pool.map(score, points)):
+                    s.append(value)
+        means = [sum(s) / len(s) for s in scores]
+        table += [(name, json.dumps({p.name: v for p, v in point.items()}), float(m)) for point, m in zip(points, means)]
+        i = max(range(len(points)), key=lambda j: means[j])
+        if best is None or means[i] > best[1]:
+            best = (name, means[i], points[i], stages)
+    name, mean, point, stages = best
+    front = _fitted_front(stages, df)
+    last = _with_point(stages[-1], point)
+    model = PipelineModel([*front.stages, last.fit_prepared(last.prepared(front.transform(df)))])
+    return (name, mean, point, model), table
+
+
+def train_stage1(df: DataFrame, family: str = "all", seed: int = S.SEED,
+                 folds: int = S.CV_FOLDS, parallelism: int = 4,
                  recall_target: float = S.RECALL_TARGET) -> tuple[Bundle, dict]:
     """Binary detector on rows outside the holdout: 70/15/15 split, CV over
     the model families (undersampling inside each fold), threshold for the
     recall target on validation, report on test."""
     features = split_features(df)
-    parts = SM.three_way_split(df, S.TARGET_BIN, seed=seed).withColumn(
-        L.LABEL, F.col(S.TARGET_BIN).cast("double")).checkpoint(eager=True)
-    train = SM.stratified_folds(parts.where(F.col(SM.PART) == "train"), S.TARGET_BIN, folds, seed)
-    train = train.checkpoint(eager=True)
-    cands = L.candidates(features, 1, family, grid, seed)
-    (name, score, pm, model), table = _cross_validate(train, cands, L.BinaryF1Evaluator(), folds,
-                                                      parallelism, seed)
+    parts = cut(SM.three_way_split(df, S.TARGET_BIN, seed=seed).withColumn(
+        L.LABEL, F.col(S.TARGET_BIN).cast("double")))
+    train = cut(SM.stratified_folds(parts.where(F.col(SM.PART) == "train"), S.TARGET_BIN, folds, seed))
+    cands = L.candidates(features, 1, family, seed)
+    (name, score, pm, model), table = _cross_validate(train, cands, L.BinaryF1Evaluator(), folds, parallelism)
     val = model.transform(parts.where(F.col(SM.PART) == "val"))
     val = val.withColumn(L.P_ATTACK, L.attack_probability(val))
     sweep = M.threshold_sweep(val, L.LABEL, L.P_ATTACK)
@@ -126,9 +200,9 @@ def train_stage1(df: DataFrame, family: str = "all", grid: str = "small", seed:
     return bundle, report
 
 
-def train_stage2(df: DataFrame, family: str = "all", grid: str = "small", seed: int = S.SEED,
-                 folds: int = S.CV_FOLDS, parallelism: int = 2,
-                 min_class: int = S.MIN_CLASS_SIZE, k: int = S.SMOTE_K) -> tuple[Bundle, dict]:
+def train_stage2(df: DataFrame, family: str = "all", seed: int = S.SEED,
+                 folds: int = S.CV_FOLDS, parallelism: int = 4,
+                 min_class: int = S.MIN_CLASS_SIZE, k: int | None = None) -> tuple[Bundle, dict]:
     """Attack-family classifier on attack rows outside the holdout: rare
     classes removed, 85/15 split, CV with SMOTE inside each fold."""
     attacks = SM.drop_rare_classes(attacks_only(df), S.TARGET_FAMILY, min_class)
@@ -136,14 +210,16 @@ def train_stage2(df: DataFrame, family: str = "all", grid: str = "small", seed:
     index = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
     features = split_features(df)
     parts = (SM.stratified_split(attacks, S.TARGET_FAMILY, S.STAGE2_TEST_FRACTION, seed)
-             .withColumn(L.LABEL, F.element_at(index, F.col(S.TARGET_FAMILY))).checkpoint(eager=True))
-    train = SM.stratified_folds(parts.where(F.col(SM.PART) == "train"), S.TARGET_FAMILY, folds, seed)
-    train = train.checkpoint(eager=True)
-    cands = L.candidates(features, 2, family, grid, seed)
+             .withColumn(L.LABEL, F.element_at(index, F.col(S.TARGET_FAMILY))))
+    parts = cut(parts)
+    train = cut(SM.stratified_folds(parts.where(F.col(SM.PART) == "train"), S.TARGET_FAMILY, folds, seed))
+    cands = L.candidates(features, 2, family, seed)
+    # neighbours of SMOTE: fixed for the forests and trees, from the smallest class for the others
+    if k is None and family in ("lr", "interpretable"):
+        k = B.smote_k(SM.collect_counts(train, S.TARGET_FAMILY), floor_one=family == "lr")
     for _, stages, _ in cands:
-        stages[-1]._set(k=k)
-    (name, score, pm, model), table = _cross_validate(train, cands, L.MacroF1Evaluator(), folds,
-                                                      parallelism, seed)
+        stages[-1]._set(k=S.SMOTE_K if k is None else k)
+    (name, score, pm, model), table = _cross_validate(train, cands, L.MacroF1Evaluator(), folds, parallelism)
     bundle = Bundle(model, features, classes, S.DEFAULT_THRESHOLD, name, 2,
                     info={"cv_macro_f1": score, "params": {p.name: v for p, v in pm.items()}, "grid": table})
     test = stage2_predict(bundle, parts.where(F.col(SM.PART) == "test"))

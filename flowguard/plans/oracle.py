@@ -1,7 +1,8 @@
-"""Independent DuckDB SQL for the registered queries (the correctness oracle).
+"""DuckDB SQL for the registered queries (the correctness oracle).
 
-Written by hand against the same parquet views; it shares no code path with
-the Spark implementation.  Names with blanks or '/' are double-quoted.
+Written by hand against the same parquet views, without code of the Spark
+implementation: of the exported rule trees it reads the stored nodes and
+walks them in SQL.  Names with blanks or '/' are double-quoted.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ flows_raw AS (
          '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.1' AS "Source IP",
          CASE WHEN event_id % 4999 = 0 THEN 'Infiltration'
               WHEN event_id % 53 = 0 THEN 'BENIGN'
-              WHEN event_id % 59 = 0 THEN 'DDoS'
+              WHEN event_id % 599 = 0 THEN 'DDoS'
               WHEN value <= 100 THEN CASE WHEN event_id % 2 = 0 THEN 'BENIGN' ELSE ' Benign ' END
               WHEN k < 25 THEN 'DDoS'
               WHEN k < 45 THEN 'DoS Hulk'
@@ -82,7 +83,7 @@ flows AS (
 
 
 def with_flows(body: str) -> str:
-    return "WITH " + FLOWS_CLEAN + body
+    return "WITH RECURSIVE " + FLOWS_CLEAN + body
 
 
 ORACLE: dict[str, str] = {}
@@ -228,16 +229,51 @@ SELECT target_tipo, n FROM ac WHERE n >= 10
 
 # --- rule trees, cascade, reports -------------------------------------------------
 
+import json as _json  # noqa: E402
 import os as _os  # noqa: E402
 
-from flowguard.operators import rules as _R  # noqa: E402
-
 _RES = _os.path.join(_os.path.dirname(_os.path.dirname(_os.path.abspath(__file__))), "resources")
-T1 = _R.RuleTree.load(_os.path.join(_RES, "rules_stage1.json"))
-T2 = _R.RuleTree.load(_os.path.join(_RES, "rules_stage2.json"))
+
+
+def _tree(name: str) -> dict:
+    with open(_os.path.join(_RES, name), encoding="utf-8") as f:
+        return _json.load(f)
+
+
+T1, T2 = _tree("rules_stage1.json"), _tree("rules_stage2.json")
 with open(_os.path.join(_RES, "rules_stage1.threshold")) as _f:
     THR = _f.read().strip()
 
+
+def nodes_sql(name: str, tree: dict) -> str:
+    """CTE ``name(id, feature, threshold, lft, rgt, value, conf)``: the exported nodes as they are."""
+    rows = []
+    for n in tree["nodes"]:
+        probs = n.get("probs") or []
+        rows.append("({}, {}, {}, {}, {}, {}, {})".format(
+            n["id"], "NULL" if n["feature"] is None else f"'{n['feature']}'",
+            "NULL" if n["threshold"] is None else f"CAST('{n['threshold']!r}' AS DOUBLE)", n["left"], n["right"],
+            f"CAST('{n['value']!r}' AS DOUBLE)", f"CAST('{max(probs) if probs else 1.0!r}' AS DOUBLE)"))
+    return f"{name}(id, feature, threshold, lft, rgt, value, conf) AS (VALUES {', '.join(rows)})"
+
+
+def walk_sql(name: str, tree: dict, nodes: str, src: str) -> str:
+    """CTE ``name(row_id, leaf, value, conf)``: every row goes down the node table, step by step."""
+    value = "CASE n.feature " + " ".join(f"""WHEN '{c}' THEN s."{c}" """ for c in tree["features"]) + "END"
+    root = next(n["id"] for n in tree["nodes"] if all(n["id"] not in (m["left"], m["right"]) for m in tree["nodes"]))
+    return f"""
+{name}_w AS (
+  SELECT row_id, {root} AS at FROM {src}
+  UNION ALL
+  SELECT w.row_id, CASE WHEN {value} <= n.threshold THEN n.lft ELSE n.rgt END
+  FROM {name}_w w JOIN {nodes} n ON n.id = w.at AND n.lft >= 0 JOIN {src} s ON s.row_id = w.row_id
+),
+{name} AS (SELECT w.row_id, n.id AS leaf, n.value, n.conf FROM {name}_w w JOIN {nodes} n ON n.id = w.at AND n.lft < 0)"""
+
+
+T2_CLASSES = "[" + ", ".join(f"'{c}'" for c in T2["classes"]) + "]"
+
+
 _r100 = "CAST(100 AS DOUBLE)"
 
 
@@ -250,17 +286,17 @@ def cascade_sql(src: str, mode: str) -> str:
     """CTE ``casc``: cascade columns over ``src`` (must hold the tree features)."""
     default = "'Benign'" if mode == "evaluation" else "'N/A'"
     return f""",
-{_R.leaf_values_sql(T1, "lv1")},
-{_R.leaf_values_sql(T2, "lv2")},
-leafs AS (SELECT s.*, {_R.to_sql_case(T1)} AS leaf1, {_R.to_sql_case(T2)} AS leaf2 FROM {src} s),
+{nodes_sql("nd1", T1)},
+{nodes_sql("nd2", T2)},{walk_sql("lf1", T1, "nd1", src)},{walk_sql("lf2", T2, "nd2", src)},
 casc AS (
-  SELECT l.*, lv1.p AS p_attack,
-         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN 'Ataque' ELSE 'Normal' END AS alert,
-         {_r2(f"(CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN lv1.p ELSE CAST(1 AS DOUBLE) - lv1.p END) * {_r100}")}
+  SELECT s.*, lf1.value AS p_attack,
+         CASE WHEN lf1.value >= CAST('{THR}' AS DOUBLE) THEN 'Ataque' ELSE 'Normal' END AS alert,
+         {_r2(f"(CASE WHEN lf1.value >= CAST('{THR}' AS DOUBLE) THEN lf1.value ELSE CAST(1 AS DOUBLE) - lf1.value END) * {_r100}")}
            AS result_confidence,
-         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN lv2.label ELSE {default} END AS attack_type,
-         CASE WHEN lv1.p >= CAST('{THR}' AS DOUBLE) THEN {_r2(f"lv2.confidence * {_r100}")} END AS type_confidence
-  FROM leafs l JOIN lv1 ON lv1.leaf = l.leaf1 JOIN lv2 ON lv2.leaf = l.leaf2
+         CASE WHEN lf1.value >= CAST('{THR}' AS DOUBLE) THEN {T2_CLASSES}[CAST(lf2.value AS INT) + 1] ELSE {default} END
+           AS attack_type,
+         CASE WHEN lf1.value >= CAST('{THR}' AS DOUBLE) THEN {_r2(f"lf2.conf * {_r100}")} END AS type_confidence
+  FROM {src} s JOIN lf1 ON lf1.row_id = s.row_id JOIN lf2 ON lf2.row_id = s.row_id
 )"""
 
 
@@ -270,9 +306,8 @@ hevc AS (SELECT target_tipo, count(*) AS n FROM hev0 GROUP BY 1),
 hev AS (SELECT hev0.* FROM hev0 JOIN hevc USING (target_tipo) WHERE hevc.n >= 2)""" + cascade_sql("hev", "evaluation")
 
 ORACLE["rule_tree_score"] = with_flows(f""",
-{_R.leaf_values_sql(T1, "lv1")}
-SELECT row_id, leaf1 AS leaf, lv1.p AS p_attack
-FROM (SELECT row_id, {_R.to_sql_case(T1)} AS leaf1 FROM flows) x JOIN lv1 ON lv1.leaf = x.leaf1
+{nodes_sql("nd1", T1)},{walk_sql("lf1", T1, "nd1", "flows")}
+SELECT row_id, leaf, value AS p_attack FROM lf1
 """)
 
 ORACLE["cascade_score"] = with_flows(EVAL_SQL + """
@@ -357,7 +392,7 @@ def conform_sql(cols: list[str]) -> str:
     return ", ".join((_num0(c) if c in have else "CAST(0 AS DOUBLE)") + f' AS "{c}"' for c in cols)
 
 
-MODEL_COLS = list(T1.features) + [c for c in T2.features if c not in T1.features]
+MODEL_COLS = list(T1["features"]) + [c for c in T2["features"] if c not in T1["features"]]
 
 PROTO_SQL = f"""(CASE WHEN regexp_matches("Protocol", '{NUMERIC_RE}')
                    AND NOT isnan(TRY_CAST(trim("Protocol") AS DOUBLE)) AND NOT isinf(TRY_CAST(trim("Protocol") AS DOUBLE))
@@ -374,7 +409,7 @@ _PJOIN = """LEFT JOIN pn ON pn.code = (CASE WHEN regexp_matches("Protocol", '"""
                    AND abs(TRY_CAST(trim("Protocol") AS DOUBLE)) < 2147483648
               THEN CAST(trunc(TRY_CAST(trim("Protocol") AS DOUBLE)) AS INTEGER) END)"""
 
-CSV_SCORED = "WITH " + FLOWS_CSV + "," + PROTO_VALUES + f""",
+CSV_SCORED = "WITH RECURSIVE " + FLOWS_CSV + "," + PROTO_VALUES + f""",
 conf AS (SELECT row_id, "Source IP", "Protocol", {conform_sql(MODEL_COLS)} FROM flows_csv)""" + cascade_sql(
     "conf", "dashboard") + f""",
 rt AS (SELECT row_id, "Source IP", {PROTO_SQL} AS "Protocolo", alert, result_confidence, attack_type, type_confidence
@@ -563,8 +598,29 @@ tr AS (SELECT * FROM sparts WHERE part = 'train')
     f"""SELECT '{c}' AS "column" FROM tr HAVING count("{c}") >= 2 AND min("{c}") = max("{c}")"""
     for c in S2_FEATS))
 
-ORACLE["scaler_stats"] = with_flows(UNDER_SQL + """,
-ku AS (SELECT f.* FROM flows f JOIN kept USING (row_id))
+ORACLE["scaler_stats"] = with_flows(stage1_parts_sql() + """,
+tr AS (SELECT * FROM bparts WHERE part = 'train')
 """ + "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS feature, round(avg("{c}"), 6) AS mean, round(stddev_pop("{c}"), 6) AS std FROM ku"""
+    f"""SELECT '{c}' AS feature, round(avg("{c}"), 6) AS mean, round(stddev_pop("{c}"), 6) AS std FROM tr
+HAVING min("{c}") <> max("{c}")"""
     for c in S2_FEATS))
+
+ORACLE["smote_rows"] = with_flows(S2_TRAIN_SQL + f""",
+pairs AS (SELECT a.target_tipo, a.row_id AS pid, b.row_id AS nn_pid, sqrt(0.0::DOUBLE + {_D2}) AS dist
+          FROM s2tr a JOIN s2tr b ON a.target_tipo = b.target_tipo AND a.row_id <> b.row_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY dist, nn_pid) AS nn_rank FROM pairs),
+cc AS (SELECT target_tipo, count(*) AS n FROM s2tr GROUP BY 1),
+nd AS (SELECT target_tipo, n, max(n) OVER () - n AS need FROM cc),
+bs AS (SELECT s.*, row_number() OVER (PARTITION BY s.target_tipo ORDER BY """ + HASH_ORDER.replace("row_id", "s.row_id") + f""") AS pos,
+              nd.n AS n_c, nd.need FROM s2tr s JOIN nd ON nd.target_tipo = s.target_tipo WHERE nd.need > 0),
+rp AS (SELECT *, need // n_c + CASE WHEN pos <= need % n_c THEN 1 ELSE 0 END AS reps FROM bs),
+dr AS (SELECT rp.*, unnest(range(1, CAST(reps AS BIGINT) + 1)) AS draw FROM rp WHERE reps > 0),
+ch AS (SELECT *, CAST(floor(('0x' || substr(md5('42:nn:' || row_id || ':' || draw), 1, 13))::BIGINT::DOUBLE
+              / 4503599627370496.0::DOUBLE * 5) AS INT) + 1 AS nn_rank,
+              ('0x' || substr(md5('42:gap:' || row_id || ':' || draw), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS g
+       FROM dr)
+SELECT ch.target_tipo, ch.row_id AS base_id, CAST(ch.draw AS INT) AS draw, rk.nn_pid,
+       round(ch."Flow Duration" + ch.g * (b."Flow Duration" - ch."Flow Duration"), 6) AS flow_duration,
+       round(ch."Unit Score" + ch.g * (b."Unit Score" - ch."Unit Score"), 6) AS unit_score
+FROM ch JOIN rk ON rk.pid = ch.row_id AND rk.nn_rank = ch.nn_rank JOIN s2tr b ON b.row_id = rk.nn_pid
+""")

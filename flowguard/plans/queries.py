@@ -14,6 +14,7 @@ from flowguard import schema as S
 from flowguard.operators.clean import clean_flows
 from flowguard.operators.distribution import class_distribution
 from flowguard.operators.targets import add_targets, unmapped_labels
+from flowguard.session import cut
 from flowguard.sources.adapters import flows_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,9 +56,7 @@ def holdout_keys(spark, sf_dir):
 
 def stage1_parts(spark, sf_dir):
     """Rows outside the holdout, split 70/15/15 by the binary target."""
-    df = flows_clean(spark, sf_dir)
-    rest = SM.exclude_holdout(df, SM.canonical_holdout(df))
-    return SM.three_way_split(rest, S.TARGET_BIN)
+    return SM.three_way_split(SM.outside_holdout(flows_clean(spark, sf_dir)), S.TARGET_BIN)
 
 
 @register("stratified_split_rows")
@@ -86,15 +85,15 @@ def q_holdout_rows(spark, sf_dir):
 
 @register("train_without_holdout")
 def q_train_without_holdout(spark, sf_dir):
-    df = flows_clean(spark, sf_dir)
-    return SM.exclude_holdout(df, SM.canonical_holdout(df)).select(S.ROW_ID, S.TARGET_FAMILY)
+    return SM.outside_holdout(flows_clean(spark, sf_dir)).select(S.ROW_ID, S.TARGET_FAMILY)
 
 
 @register("holdout_class_counts")
 def q_holdout_class_counts(spark, sf_dir):
+    """The holdout as its keys, persisted, joined back to the table that another job reads."""
     df = flows_clean(spark, sf_dir)
-    ev = SM.holdout_rows(df, SM.canonical_holdout(df))
-    return ev.groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
+    keys = cut(SM.canonical_holdout(df))
+    return SM.holdout_rows(df, keys).groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("stratified_folds")
@@ -107,8 +106,7 @@ def q_folds(spark, sf_dir):
 @register("rare_class_filter")
 def q_rare_class_filter(spark, sf_dir):
     """Attack rows outside the holdout whose family has >= 10 rows."""
-    df = flows_clean(spark, sf_dir)
-    attacks = SM.exclude_holdout(df, SM.canonical_holdout(df)).where(F.col(S.TARGET_BIN) == 1)
+    attacks = SM.outside_holdout(flows_clean(spark, sf_dir)).where(F.col(S.TARGET_BIN) == 1)
     return SM.drop_rare_classes(attacks, S.TARGET_FAMILY, S.MIN_CLASS_SIZE).groupBy(
         S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"))
 
@@ -143,8 +141,7 @@ def model_columns(t1: R.RuleTree, t2: R.RuleTree) -> list[str]:
 
 def holdout_eval(spark, sf_dir):
     """Holdout rows of the cleaned flows, singleton classes removed."""
-    df = flows_clean(spark, sf_dir)
-    return C.drop_singleton_classes(SM.holdout_rows(df, SM.canonical_holdout(df)))
+    return C.drop_singleton_classes(SM.inside_holdout(flows_clean(spark, sf_dir)))
 
 
 def cascade_eval(spark, sf_dir):
@@ -275,9 +272,8 @@ def q_profile_summary(spark, sf_dir):
 def q_label_counts_by_source(spark, sf_dir):
     """Label counts per source (nulls kept) with a per-source and grand total (rollup)."""
     raw = flows_from_events(spark, sf_dir, with_source=True)
-    per = raw.groupBy("source", "Label").agg(F.count(F.lit(1)).alias("n"))
-    tot = raw.rollup("source").agg(F.count(F.lit(1)).alias("n")).withColumn("Label", F.lit("*"))
-    return per.unionByName(tot)
+    return (raw.rollup("source", "Label").agg(F.count(F.lit(1)).alias("n"), F.grouping("Label").alias("_total"))
+            .select("source", F.when(F.col("_total") == 1, F.lit("*")).otherwise(F.col("Label")).alias("Label"), "n"))
 
 
 def stage1_train(spark, sf_dir):
@@ -301,8 +297,7 @@ def q_class_weights(spark, sf_dir):
 
 
 def stage2_train(spark, sf_dir):
-    df = flows_clean(spark, sf_dir)
-    att = SM.exclude_holdout(df, SM.canonical_holdout(df)).where(F.col(S.TARGET_BIN) == 1)
+    att = SM.outside_holdout(flows_clean(spark, sf_dir)).where(F.col(S.TARGET_BIN) == 1)
     att = SM.drop_rare_classes(att, S.TARGET_FAMILY, S.MIN_CLASS_SIZE)
     return SM.stratified_split(att, S.TARGET_FAMILY, S.STAGE2_TEST_FRACTION).where(F.col(SM.PART) == "train")
 
@@ -317,48 +312,88 @@ def q_smote_neighbours(spark, sf_dir):
     return B.knn_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K).select(S.TARGET_FAMILY, "pid", "nn_rank", "nn_pid")
 
 
-@register("smote_class_counts")
-def q_smote_class_counts(spark, sf_dir):
+def smoted(spark, sf_dir):
+    """Stage-2 training rows raised to the majority by SMOTE, and their feature names."""
     from pyspark.ml.feature import VectorAssembler
     tr = stage2_train(spark, sf_dir)
     feats = split_features(tr, extra_exclude=[SM.PART])
     vec = VectorAssembler(inputCols=feats, outputCol="features").transform(tr)
-    out = B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K)
-    return out.groupBy(S.TARGET_FAMILY).agg(F.count(F.lit(1)).alias("n"),
-                                            F.sum(F.col("synthetic").cast("long")).alias("synthetic"))
+    return B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K), feats
+
+
+@register("smote_class_counts")
+def q_smote_class_counts(spark, sf_dir):
+    return smoted(spark, sf_dir)[0].groupBy(S.TARGET_FAMILY).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("synthetic").cast("long")).alias("synthetic"))
+
+
+@register("smote_rows")
+def q_smote_rows(spark, sf_dir):
+    """Every synthetic row: its base row, the neighbour drawn, and two of its interpolated features."""
+    from pyspark.ml.functions import vector_to_array
+    out, feats = smoted(spark, sf_dir)
+    x = vector_to_array(F.col("features"))
+    return out.where("synthetic").select(
+        S.TARGET_FAMILY, "base_id", "draw", "nn_pid",
+        F.round(x[feats.index("Flow Duration")], 6).alias("flow_duration"),
+        F.round(x[feats.index("Unit Score")], 6).alias("unit_score"))
 
 
 # --- learners (rows-only checks: model quality, not SQL) ---------------------------
 
+# Bundles of one application, by input, stage and family: the reports of a family share its training.
 _BUNDLES: dict = {}
 
 
-def trained(spark, sf_dir, stage: int, family: str, grid: str = "small"):
-    """Train (once per session and input) a stage on the flows outside the holdout."""
+def trained(spark, sf_dir, stage: int, family: str):
+    """A stage trained, over its whole grid, on the flows outside the holdout."""
     from flowguard.plans import jobs as J
-    key = (id(spark), sf_dir, stage, family, grid)
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _BUNDLES if k[0] != app]:
+        del _BUNDLES[key]
+    key = (app, sf_dir, stage, family)
     if key not in _BUNDLES:
-        df = flows_clean(spark, sf_dir)
-        rest = SM.exclude_holdout(df, SM.canonical_holdout(df)).checkpoint(eager=True)
+        rest = cut(SM.outside_holdout(flows_clean(spark, sf_dir)))
         fn = J.train_stage1 if stage == 1 else J.train_stage2
-        _BUNDLES[key] = fn(rest, family=family, grid=grid)
+        _BUNDLES[key] = fn(rest, family=family)
     return _BUNDLES[key]
 
 
 def _stage_report(spark, sf_dir, stage, family):
     bundle, rep = trained(spark, sf_dir, stage, family)
     table = rep["test"] if stage == 1 else rep["test_report"]
-    return table.withColumns({"family": F.lit(bundle.family), "threshold": F.lit(float(bundle.threshold))})
+    grid = spark.createDataFrame([(f"cv {params}", score) for _, params, score in rep["cv"]], "label string, f1 double")
+    rows = table.unionByName(grid, allowMissingColumns=True)
+    return rows.withColumns({"family": F.lit(bundle.family), "threshold": F.lit(float(bundle.threshold))})
 
 
 for _stage in (1, 2):
     for _fam in ("rf", "dt", "lr"):
         def _q(spark, sf_dir, _s=_stage, _f=_fam):
             return _stage_report(spark, sf_dir, _s, _f)
-        _q.__doc__ = f"Stage {_stage} {_fam}: CV on the training part, report on the test part."
+        _q.__doc__ = (f"Stage {_stage} {_fam}: report on the test part, and a row with the cross-validated F1 of every "
+                      "point of the grid.")
         register(f"stage{_stage}_{_fam}")(_q)
 
 
+def _cascade(spark, sf_dir, family):
+    """Both trained stages over the holdout: report rows of the cascade, then its missed attacks."""
+    b1, b2 = trained(spark, sf_dir, 1, family)[0], trained(spark, sf_dir, 2, family)[0]
+    scored = cut(C.score_models(holdout_eval(spark, sf_dir), b1, b2, C.EVALUATION).select(S.TARGET_FAMILY, C.ATTACK_TYPE))
+    report = M.classification_report(M.confusion_matrix(scored, S.TARGET_FAMILY, C.ATTACK_TYPE))
+    missed = C.missed_attacks(scored).select(
+        F.concat(F.lit("missed "), "family").alias("label"), F.col("missed").alias("support"), (
+            F.lit(1.0) - F.col("pct") / 100).alias("recall"))
+    return report.unionByName(missed, allowMissingColumns=True).withColumn("threshold", F.lit(float(b1.threshold)))
+
+
+for _fam in ("rf", "dt", "lr"):
+    def _q(spark, sf_dir, _f=_fam):
+        return _cascade(spark, sf_dir, _f)
+    _q.__doc__ = f"The trained {_fam} cascade on the holdout: classification report and missed attacks."
+    register(f"cascade_{_fam}")(_q)
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     from flowguard.plans import jobs as J
@@ -404,11 +439,19 @@ def q_constant_columns_train(spark, sf_dir):
 
 @register("scaler_stats")
 def q_scaler_stats(spark, sf_dir):
-    """Mean and population standard deviation per feature on the undersampled
-    stage-1 training part (what the standardising step of the logistic model uses)."""
-    tr = B.undersample(stage1_train(spark, sf_dir), S.TARGET_BIN)
+    """Mean and population standard deviation of every feature that varies, on the stage-1 training part: what the
+    logistic model's rows are standardised by, ahead of its undersampling."""
+    tr = stage1_train(spark, sf_dir)
     feats = split_features(tr, [SM.PART])
+    v = F.col("s.v")
     return tr.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("v")) for c in feats])).alias("s")) \
         .groupBy(F.col("s.feature").alias("feature")).agg(
-            F.round(F.avg("s.v"), 6).alias("mean"), F.round(F.stddev_pop("s.v"), 6).alias("std"))
+            F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_pop(v), 6).alias("std"),
+            (F.min(v) != F.max(v)).alias("_varies")).where("_varies").drop("_varies")
+
+
+@register("profile")
+def q_profile(spark, sf_dir):
+    """The profile job's report in long form."""
+    return P.profile_report(flows_from_events(spark, sf_dir, with_source=True).drop(S.ROW_ID), [], "source")

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every flowguard job relies on.  AQE re-plans joins and coalesces
 # shuffle partitions at runtime; skew-join splitting protects the class-keyed
@@ -43,28 +42,28 @@ def build_session(master: str | None = None, app_name: str = "flowguard",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and persisted tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session.  Only when it is unset *and* ``allow_local`` is given (tests,
-    local benches) do we create a private temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; Spark reads that when the
+    context starts.  Only where it is unset, on a single machine (tests, local
+    benches), a private temporary folder takes its place; on a cluster that is
+    an error, as executors could not read it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        local_master = spark.sparkContext.master.startswith("local")
-        if not (allow_local or local_master):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder "
-                "(e.g. an object-store prefix) visible to every executor")
-        path = tempfile.mkdtemp(prefix="flowguard-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
+                                   "(e.g. an object-store prefix) visible to every executor")
+            path = tempfile.mkdtemp(prefix="flowguard-ckpt-")
+        context.setCheckpointDir(path)
+    return context.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str, allow_local: bool = False) -> str:
-    """A table location under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark, allow_local=allow_local), "tables", name)
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there: later jobs
+    neither repeat its work nor depend on executors that may be lost."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

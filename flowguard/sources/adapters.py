@@ -32,7 +32,7 @@ def flows_from_events(spark: SparkSession, sf_dir: str, with_source: bool = Fals
     one = F.lit(1.0)
     label = (F.when(eid % 4999 == 0, "Infiltration")
              .when(eid % 53 == 0, "BENIGN")
-             .when(eid % 59 == 0, "DDoS")
+             .when(eid % 599 == 0, "DDoS")
              .when(v <= 100, F.when(eid % 2 == 0, "BENIGN").otherwise(" Benign "))
              .when(k < 25, "DDoS")
              .when(k < 45, "DoS Hulk")

@@ -18,7 +18,7 @@ from flowguard.operators import rules as R  # noqa: E402
 from flowguard.operators import sampling as SM  # noqa: E402
 from flowguard.plans import jobs as J  # noqa: E402
 from flowguard.plans.queries import flows_clean  # noqa: E402
-from flowguard.session import build_session  # noqa: E402
+from flowguard.session import build_session, cut  # noqa: E402
 
 
 def main():
@@ -28,10 +28,10 @@ def main():
     spark = build_session("local[8]", shuffle_partitions=8,
                           conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="fg-export-")})
     df = flows_clean(spark, sf)
-    rest = SM.exclude_holdout(df, SM.canonical_holdout(df)).checkpoint(eager=True)
-    b1, _ = J.train_stage1(rest, family="interpretable", grid="small")
+    rest = cut(SM.outside_holdout(df))
+    b1, _ = J.train_stage1(rest, family="interpretable")
     t1 = R.tree_from_model(spark, b1.model.stages[-1], J.kept_features(b1), R.PROBABILITY)
-    b2, _ = J.train_stage2(rest, family="interpretable", grid="small")
+    b2, _ = J.train_stage2(rest, family="interpretable")
     t2 = R.tree_from_model(spark, b2.model.stages[-1], J.kept_features(b2), R.CLASS, b2.classes)
     for name, t, thr in (("rules_stage1", t1, b1.threshold), ("rules_stage2", t2, 0.5)):
         t.save(os.path.join(out, name + ".json"))

@@ -78,3 +78,51 @@ def test_smote_refuses_small_class(spark):
     df = pts.select("y", F.col("pid").alias("row_id"), array_to_vector("x").alias("features"))
     with pytest.raises(ValueError):
         B.smote(df, "y", k=5)
+
+
+def _brute(rows, k):
+    want = {}
+    for y, pid, x in rows:
+        near = sorted((math.dist(x, x2), p2) for y2, p2, x2 in rows if y2 == y and p2 != pid)
+        want[pid] = [p for _, p in near[:k]]
+    return want
+
+
+def _found(df, k):
+    got = {}
+    for r in B.knn_within_class(df, "y", k).collect():
+        got.setdefault(r.pid, []).append((r.nn_rank, r.nn_pid))
+    return {p: [n for _, n in sorted(v)] for p, v in got.items()}
+
+
+def test_knn_over_many_blocks_and_dimensions(spark, monkeypatch):
+    from flowguard.operators import neighbours as N
+    monkeypatch.setattr(N, "BLOCK", 32)
+    for dim, n in ((3, (400, 90)), (77, (150, 40))):
+        rows, df = _points(spark, n, dim)
+        assert _found(df, 5) == _brute(rows, 5)
+
+
+def test_knn_with_equal_rows_and_small_classes(spark, monkeypatch):
+    from flowguard.operators import neighbours as N
+    monkeypatch.setattr(N, "BLOCK", 8)
+    rnd = random.Random(2)
+    rows = [("a", i, [float(rnd.randint(0, 3)), float(rnd.randint(0, 3))]) for i in range(120)]
+    rows += [("b", 200 + i, [float(i), 0.0]) for i in range(4)] + [("c", 300, [1.0, 1.0])]
+    got = _found(spark.createDataFrame(rows, "y string, pid long, x array<double>"), 5)
+    want = {p: n for p, n in _brute(rows, 5).items() if n}
+    assert got == want and len(got[200]) == 3 and 300 not in got
+
+
+def test_knn_of_very_many_equal_rows(spark):
+    df = spark.range(100_000).selectExpr("'a' AS y", "id AS pid", "array(CAST(IF(id < 99990, 0, id) AS DOUBLE)) AS x")
+    near = B.knn_within_class(df, "y", 5)
+    assert near.count() == 500_000
+    got = {r.pid: sorted(n.nn_pid for n in near.where(F.col("pid") == r.pid).collect()) for r in
+           spark.createDataFrame([(2,), (50_000,)], "pid long").collect()}
+    assert got == {2: [0, 1, 3, 4, 5], 50_000: [0, 1, 2, 3, 4]}
+
+
+def test_smote_k_follows_the_smallest_class():
+    assert B.smote_k({"a": 90, "b": 4}) == 3 and B.smote_k({"a": 90, "b": 1}) == 1
+    assert B.smote_k({"a": 90, "b": 1}, floor_one=False) == 0 and B.smote_k({"a": 90, "b": 50}) == 5

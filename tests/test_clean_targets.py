@@ -64,7 +64,7 @@ def test_split_features(spark):
 
 def test_fixture_counts(spark):
     from tests.conftest import SF001, SF01
-    for sf, total, benign in [(SF001, 967, 822), (SF01, 9655, 8279)]:
+    for sf, total, benign in [(SF001, 967, 836), (SF01, 9655, 8406)]:
         df = flows_clean(spark, sf)
         assert df.count() == total
         assert df.where(F.col("target_tipo") == "Benign").count() == benign

@@ -79,3 +79,25 @@ def test_holdout_anti_semi(spark):
     assert hold.count() == 15
     assert SM.exclude_holdout(df, hold).count() == 85
     assert SM.holdout_rows(df, hold).count() == 15
+
+
+def test_many_classes_are_joined_and_agree(spark, monkeypatch):
+    from flowguard.operators import ranking as R
+    df = _ab(spark, 300, 100)
+    base = {(r.row_id, r.part) for r in SM.three_way_split(df, "y").collect()}
+    folds = {(r.row_id, r.fold) for r in SM.stratified_folds(df, "y").collect()}
+    monkeypatch.setattr(R, "INLINE_CUTS", 0)
+    assert {(r.row_id, r.part) for r in SM.three_way_split(df, "y").collect()} == base
+    assert {(r.row_id, r.fold) for r in SM.stratified_folds(df, "y").collect()} == folds
+
+
+def test_rows_without_label_are_never_held_out(spark):
+    rows = [(i, "A" if i < 60 else "B") for i in range(100)] + [(100 + i, None) for i in range(50)]
+    for extra in ([], [(999, "C")]):
+        df = spark.createDataFrame(rows + extra, f"row_id long, {'target_tipo'} string")
+        held = SM.with_holdout(df)
+        assert held.where("in_holdout").count() == 15
+        assert held.where("in_holdout AND (target_tipo IS NULL OR target_tipo = 'C')").count() == 0
+        assert SM.outside_holdout(df).count() == 150 + len(extra) - 15
+        assert SM.drop_rare_classes(df, "target_tipo", 2).count() == 100
+        assert SM.exclude_holdout(df, SM.canonical_holdout(df)).count() == SM.outside_holdout(df).count()
