@@ -6,6 +6,7 @@ rules that keep a weight are compiled into one column expression.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -99,8 +100,9 @@ def paths(node, held: tuple = ()) -> list[tuple]:
 def fit(labelled: DataFrame, label: str = "quality") -> Ensemble:
     """An ensemble from rows of ``_s`` and ``label`` (0 or 1).
 
-    Without rows of both labels there is nothing to learn: the ensemble has no rules and scores all texts alike, as 1
-    if every label is 1 or there is none, as 0 if every label is 0.
+    Without rows of both labels there is nothing to learn: the ensemble has no rules and scores all texts alike, near 1
+    if every label is 1 or there is none, near 0 if every label is 0. If no statistic parts the labels, all texts score
+    the share of label 1.
     """
     rows = cut(labelled.where(F.col(label).isin(0, 1)).select("_s.*", F.col(label).cast("double").alias("_y")))
     seen = {r["_y"] for r in rows.select("_y").distinct().collect()}
@@ -110,6 +112,9 @@ def fit(labelled: DataFrame, label: str = "quality") -> Ensemble:
     forest = RandomForestClassifier(labelCol="_y", featuresCol="_x", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
                                     featureSubsetStrategy="onethird", minInstancesPerNode=5).fit(features)
     rules = sorted({Rule(p) for tree in forest.trees for p in paths(tree._call_java("rootNode"))}, key=str)
+    if not rules:
+        ones = rows.agg(F.avg("_y")).first()[0]
+        return Ensemble(math.log(ones / (1 - ones)), ())
     held = rows.select("_y", F.struct(*[F.col(k) for k in STATISTICS]).alias("_s")).select(
         "_y", *[r.column().cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
     matrix = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="_x").transform(held)

@@ -95,7 +95,7 @@ def test_edge_rows(edge, empty):
     by = collections.defaultdict(set)
     for r in rows:
         by[r["doc_id"]].add((r["n_shingles"], r["component_id"], r["kept"]))
-    assert by[1] == {(5, 1, True)} and by[6] == {(5, 1, False)}
+    assert by[1] == {(6, 1, True)} and by[6] == {(6, 1, False)}
     assert by[2] == {(0, 2, True)} and by[3] == {(0, 3, True)} and by[4] == {(0, 4, True)}
     assert by[7] == {(1, 7, True)} and by[5] == {(4001, 5, True)}
     assert by[None] == {(1, 7, True), (0, None, True)}

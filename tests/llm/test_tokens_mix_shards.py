@@ -145,6 +145,12 @@ def test_a_group_larger_than_a_shard_is_split(spark):
     assert len(where["same text"]) > 1 and max(size.values()) < 1.05 * mean and min(size.values()) > 0.95 * mean
 
 
+def test_all_splitters_within_one_group(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "IF(id < 2900, 'same text', concat('t', id)) AS text")
+    size, _ = shards_of(sharding.shard_documents(df, 2).collect(), 2)
+    assert max(size.values()) < 1.05 * min(size.values())
+
+
 def test_shards_of_edge_rows(edge, empty):
     rows = sharding.shard_documents(edge, 3).collect()
     assert len(rows) == edge.count()
