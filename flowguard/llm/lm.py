@@ -164,45 +164,49 @@ class LogBilinear:
         rng = np.random.default_rng(seed)
         n = len(shares)
         self.noise = shares
-        self.one, self.two, self.out = (rng.normal(0, 0.1, (n, DIM)) for _ in range(3))
-        self.bias = np.log(shares)
+        self.one, self.two, self.out = (rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for _ in range(3))
+        self.bias = np.log(shares).astype(np.float32)
 
     def parameters(self) -> np.ndarray:
-        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES])
+        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES]).astype(np.float64)
 
     def load(self, flat: np.ndarray) -> LogBilinear:
         for k in self.NAMES:
             x = getattr(self, k)
-            setattr(self, k, flat[:x.size].reshape(x.shape).copy())
+            setattr(self, k, flat[:x.size].reshape(x.shape).astype(np.float32))
             flat = flat[x.size:]
         return self
 
     def train(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, rng, seen: dict) -> None:
         """Noise-contrastive steps with AdaGrad: each true word against NOISE words drawn from the noise shares, which
-        the tokens of a step have in common. ``seen``: sums of squared gradients, kept by the caller."""
-        offset = np.log(NOISE * self.noise)
+        the tokens of a step have in common. ``seen``: sums of squared gradients, kept by the caller. Single precision."""
+        offset = np.log(NOISE * self.noise).astype(np.float32)
         drawn = np.cumsum(self.noise)
         for at in range(0, len(w), STEP):
             a, b, c = u[at:at + STEP], v[at:at + STEP], w[at:at + STEP]
             noise = np.minimum(np.searchsorted(drawn, rng.random(NOISE)), len(drawn) - 1)
             r = self.one[a] + self.two[b]
             q, qn = self.out[c], self.out[noise]
-            true = 1 - sigmoid((r * q).sum(1) + self.bias[c] - offset[c])
-            false = -sigmoid(r @ qn.T + self.bias[noise] - offset[noise])
+            true = sigmoid(offset[c] - self.bias[c] - np.einsum("ij,ij->i", r, q))
+            false = sigmoid(r @ qn.T + (self.bias[noise] - offset[noise]))
+            np.negative(false, out=false)
             dr = true[:, None] * q + false @ qn
             grads = {"one": summed(a, dr, self.one.shape), "two": summed(b, dr, self.two.shape)}
             do = summed(c, true[:, None] * r, self.out.shape)
             np.add.at(do, noise, false.T @ r)
-            db = np.bincount(c, weights=true, minlength=len(self.bias))
+            db = np.bincount(c, weights=true, minlength=len(self.bias)).astype(np.float32)
             np.add.at(db, noise, false.sum(0))
             for k, g in (*grads.items(), ("out", do), ("bias", db)):
                 g /= len(c)
-                seen[k] = seen.get(k, 1e-8) + g * g
-                setattr(self, k, getattr(self, k) + RATE * g / np.sqrt(seen[k]))
+                total = seen.setdefault(k, np.full(g.shape, 1e-8, np.float32))
+                total += g * g
+                x = getattr(self, k)
+                x += np.float32(RATE) * g / np.sqrt(total)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probabilities from batched matrix products: part[0][u, w] + part[1][v, w] - norm[u, v]."""
-        first, second = self.one @ self.out.T + self.bias, self.two @ self.out.T
+        one, two, out, bias = (getattr(self, k).astype(np.float64) for k in self.NAMES)
+        first, second = one @ out.T + bias, two @ out.T
         norm = np.empty((len(first), len(first)))
         for u in range(len(first)):
             z = first[u] + second
@@ -212,7 +216,12 @@ class LogBilinear:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+    """Logistic function, in place of ``x``."""
+    np.clip(x, -60, 60, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def summed(at: np.ndarray, rows: np.ndarray, shape: tuple) -> np.ndarray:
@@ -220,7 +229,7 @@ def summed(at: np.ndarray, rows: np.ndarray, shape: tuple) -> np.ndarray:
     order = np.argsort(at, kind="stable")
     place = at[order]
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    out = np.zeros(shape)
+    out = np.zeros(shape, rows.dtype)
     out[place[first]] = np.add.reduceat(rows[order], first, axis=0)
     return out
 
