@@ -75,8 +75,8 @@ def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple[int,
     probes = [Probe(share * j) for j in range(1, shards)]
     for level in range(2 * DIGITS):
         open_ = [p for p in probes if p.found is None and p.level == level]
-        if not open_:
-            break
+        if not open_:  # none here; others may wait at a deeper level, within a large group
+            continue
         low = DIGIT * max(0, level - DIGITS)
         names = {(p.prefix >> low, p.prefix & ((1 << low) - 1)) for p in open_}
         cell = cell_of(level)
