@@ -1,14 +1,17 @@
-"""Licence scan of file trees: sparse TF-IDF cosine of headers and licence files to templates, then inheritance from the
-nearest ancestor directory that has a licence. DataFrame functions only.
+"""Licence scan of file trees: SPDX tags, sparse TF-IDF cosine of notices, headers and licence files to short notices and
+to the full texts, standard headers and titles in ``resources/licences``, then inheritance from the nearest ancestor
+directory that has a licence. DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowguard.llm.common import cut
 from flowguard.llm.stand_ins import FILES_SQL, files
 
 #: SPDX names and the short notices by which texts refer to a licence.
@@ -34,57 +37,117 @@ LICENCE_FILES = ("LICENSE", "LICENCE", "COPYING", "UNLICENSE")
 NOTICE = r"(?i)licen[cs]e|copyright|spdx|public domain|redistribution|cc0"
 #: A term, and the least cosine at which a notice counts as a template's.
 TERM, LEAST = r"[a-z0-9]+(?:[.-][a-z0-9]+)*", 0.6
+#: Files <licence>.<full, header or title>.txt, and the least cosine by kind. A title names little else than the licence:
+#: one without its version or number of clauses must not count as any.
+TEXTS = Path(__file__).resolve().parent.parent / "resources" / "licences"
+LEAST_OF = {"full": LEAST, "header": LEAST, "title": 0.85}
+#: Paragraphs that a header or a licence text inside a file may go on for.
+WINDOW = 6
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+():/ \t-]+)"
+#: How a line of a comment starts, and how a block of comment ends.
+MARK, CLOSE = r"(?://|#|/\*|\*|--|;|%)", r"(\*/|-->|\"\"\"|''')[ \t]*\n"
 
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def template_terms(spark: SparkSession) -> tuple[DataFrame, float]:
-    """(licence, term, idf, weight): unit vectors of the templates; and the idf of terms that no template has. Its size
-    is that of TEMPLATES."""
-    rows = spark.createDataFrame(list(TEMPLATES), "licence string, notice string")
-    tf = rows.select("licence", F.explode(terms(F.col("notice"))).alias("term")).groupBy("licence", "term").agg(
-        F.count("*").alias("tf"))
-    n = len(TEMPLATES)
-    idf = tf.groupBy("term").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
-    vectors = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = vectors.groupBy("licence").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return vectors.join(norms, "licence").select("licence", "term", "idf", (F.col("w") / F.col("norm")).alias(
-        "weight")), math.log(1.0 + n) + 1.0
+def licence_texts() -> list[tuple[str, str, str]]:
+    """(licence, kind, text) of the files of TEXTS."""
+    return [(*f.name.removesuffix(".txt").rsplit(".", 1), f.read_text("utf-8")) for f in sorted(TEXTS.glob("*.txt"))]
+
+
+def template_terms(spark: SparkSession) -> tuple[DataFrame, Column]:
+    """(corpus, template, licence, least, term, idf, weight): unit vectors of the templates, of the short notices (corpus
+    0) and of the texts (corpus 1), each with its own idf; and the idf of terms that no template of a corpus has. Its size
+    is that of the templates."""
+    rows = [(0, n, t, LEAST) for n, t in TEMPLATES] + [(1, n, t, LEAST_OF[k]) for n, k, t in licence_texts()]
+    n = [sum(r[0] == c for r in rows) for c in (0, 1)]
+    tf = (spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                "template int, corpus int, licence string, notice string, least double")
+          .select("corpus", "template", "licence", "least", F.explode(terms(F.col("notice"))).alias("term"))
+          .groupBy("corpus", "template", "licence", "least", "term").agg(F.count("*").alias("tf")))
+    of_corpus = lambda x: F.when(F.col("corpus") == 0, F.lit(x[0])).otherwise(F.lit(x[1]))
+    idf = tf.groupBy("corpus", "term").agg(F.count("*").alias("df")).select(
+        "corpus", "term", (F.log(of_corpus([1.0 + k for k in n]) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    vectors = tf.join(idf, ["corpus", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
+    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return vectors.join(norms, "template").select("corpus", "template", "licence", "least", "term", "idf", (
+        F.col("w") / F.col("norm")).alias("weight")), of_corpus([math.log(1.0 + k) + 1.0 for k in n])
+
+
+def paragraphs(text: Column) -> Column:
+    """Blocks of lines with a letter or digit; a block also ends where a comment or its marks end or begin."""
+    out = F.regexp_replace(F.translate(text, "\r", ""), CLOSE, "$1\n\n")
+    out = F.regexp_replace(out, rf"(?m)^([ \t]*+{MARK}[^\n]*)\n(?=[ \t]*+(?!{MARK})\S)", "$1\n\n")
+    out = F.regexp_replace(out, rf"(?m)^([ \t]*+(?!{MARK})\S[^\n]*)\n(?=[ \t]*+{MARK})", "$1\n\n")
+    return F.split(F.regexp_replace(out, r"(?m)^[^\p{L}\p{N}\n]+$", ""), "\n{2,}")
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """(path, file_id, at, passage): every line that may be a notice; of a licence file, its whole text as well (at
-    -1)."""
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("at"), x.alias("passage"))),
-                     lambda e: e["passage"].rlike(NOTICE))
-    whole = F.when(F.col("is_licence"), F.array(F.struct(F.lit(-1).alias("at"), F.col("text").alias("passage")))).otherwise(
-        F.array().cast("array<struct<at:int,passage:string>>"))
-    return rows.select("path", "file_id", F.explode(F.concat(whole, lines)).alias("p")).select(
-        "path", "file_id", "p.at", "p.passage")
+    """(path, file_id, at, corpus, passage): every line that may be a notice, each such sentence of it and each short
+    notice in the middle of it; every paragraph that may be one, alone and with up to WINDOW - 1 of those that follow;
+    of a licence file its whole text as well."""
+    some = rows.where(F.col("is_licence") | F.col("text").rlike(NOTICE))
+    may = lambda x: x.rlike(NOTICE)
+    plain = lambda x: F.concat(F.lit(" "), F.array_join(terms(x), " "), F.lit(" "))
+    notices = F.array(*[F.struct(F.lit(t).alias("t"), plain(F.lit(t)).alias("p")) for _, t in TEMPLATES])
+    lines = some.select("path", "file_id", F.explode(F.filter(F.split("text", "\n"), may)).alias("line"))
+    sentences = F.filter(F.split("line", r"(?<=[.!?])\s+"), may)
+    within = F.transform(F.filter(notices, lambda n: F.contains(F.col("_plain"), n["p"])), lambda n: n["t"])
+    of_lines = (lines.withColumn("_plain", plain(F.col("line")))
+                .select("path", "file_id", F.explode(F.array_distinct(F.concat(F.array("line"), sentences, within))).alias("passage"))
+                .withColumn("corpora", F.array(F.lit(0), F.lit(1))))
+    parts = (some.select("path", "file_id", paragraphs(F.col("text")).alias("all"))
+             .select("path", "file_id", "all", F.posexplode("all").alias("i", "one")).where(may(F.col("one"))))
+    windows = F.transform(F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size("all") - F.col("i"))),
+                          lambda k: F.array_join(F.slice("all", F.col("i") + 1, k), "\n"))
+    of_parts = parts.select("path", "file_id", F.explode(windows).alias("passage")).withColumn("corpora", F.array(F.lit(1)))
+    whole = some.where("is_licence").select("path", "file_id", F.col("text").alias("passage"),
+                                            F.array(F.lit(0), F.lit(1)).alias("corpora"))
+    return (of_lines.unionByName(of_parts).unionByName(whole)
+            .select("path", "file_id", F.xxhash64("passage").alias("at"), F.explode("corpora").alias("corpus"), "passage")
+            .dropDuplicates(["path", "file_id", "at", "corpus"]))
+
+
+def tagged(rows: DataFrame) -> DataFrame:
+    """(path, file_id, licence): the SPDX expression of a file's tags, all that differ joined by AND. The names of
+    TEMPLATES stand for their -only and -or-later forms as well; other names are given as they are."""
+    tags = F.transform(F.regexp_extract_all("text", F.lit(SPDX), F.lit(1)),
+                       lambda t: F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(t, r"[\s-]+$", "")),
+                                                                   r"(?i)-(?:only|or-later)\b|\+", ""), r"\s+", " "))
+    names = F.array_sort(F.array_distinct(F.filter(tags, lambda t: t.rlike("[A-Za-z0-9]"))))
+    known = F.create_map(*[F.lit(x) for n in sorted({n for n, *_ in [*TEMPLATES, *licence_texts()]}) for x in (n.lower(), n)])
+    named = F.transform(names, lambda t: F.coalesce(known[F.lower(t)], F.when(
+        (F.size(names) > 1) & t.contains(" "), F.concat(F.lit("("), t, F.lit(")"))).otherwise(t)))
+    return (rows.where(F.col("text").rlike("(?i)SPDX-License-Identifier:"))
+            .select("path", "file_id", F.array_join(F.array_sort(F.array_distinct(named)), " AND ").alias("licence"))
+            .where("licence <> ''"))
 
 
 def own_licences(rows: DataFrame) -> DataFrame:
-    """(path, file_id, own, score): the template nearest to any passage of a file, if LEAST or more; ties go to the
-    first name.
+    """(path, file_id, own, score): the licence of a file's SPDX tags (score 1), else the template nearest to any passage
+    of the file, if its least cosine or more; ties go to the first name.
 
     Cosines come from sums over shared terms: passages' terms are counted before they meet the templates, whose terms
-    (a few hundred rows) are broadcast.
+    (about ten thousand rows) are broadcast.
     """
     template, unknown = template_terms(rows.sparkSession)
-    found = passages(rows)
-    tf = (found.select("path", "file_id", "at", F.explode(terms(F.col("passage"))).alias("term"))
-          .groupBy("path", "file_id", "at", "term").agg(F.count("*").alias("tf")))
-    idf = template.select("term", "idf").distinct()
-    known = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = known.groupBy("path", "file_id", "at").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = (known.join(F.broadcast(template.select("term", "licence", "weight")), "term")
-            .groupBy("path", "file_id", "at", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
+    found = cut(passages(rows))  # read several times below; the texts are read for it once
+    key = ["path", "file_id", "at", "corpus"]
+    tf = found.select(*key, F.explode(terms(F.col("passage"))).alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
+    idf = template.select("corpus", "term", "idf").distinct()
+    known = tf.join(F.broadcast(idf), ["corpus", "term"], "left").withColumn("w", F.col("tf") * F.coalesce("idf", unknown))
+    norms = known.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = (known.join(F.broadcast(template.drop("idf")), ["corpus", "term"])
+            .groupBy(*key, "template", "licence", "least").agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
     # equal cosines may differ in their last digits: they are compared and given to nine places
     cosine = F.round(F.col("dot") / F.col("norm"), 9)
-    return (dots.join(norms, ["path", "file_id", "at"]).withColumn("score", cosine).where(F.col("score") >= LEAST)
-            .groupBy("path", "file_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"))
+    near = (dots.join(norms, key).withColumn("score", cosine).where(F.col("score") >= F.col("least"))
+            .select("path", "file_id", "licence", "score", F.lit(1).alias("rank")))
+    tags = tagged(rows).select("path", "file_id", "licence", F.lit(1.0).alias("score"), F.lit(0).alias("rank"))
+    return (near.unionByName(tags).groupBy("path", "file_id")
+            .agg(F.min(F.struct("rank", (-F.col("score")).alias("s"), "licence")).alias("best"))
             .select("path", "file_id", F.col("best.licence").alias("own"), (-F.col("best.s")).alias("score")))
 
 
@@ -95,7 +158,7 @@ def folder_of(path: Column) -> Column:
 def scan(df: DataFrame, file_id: str = "file_id", path: str = "path", text: str = "text") -> DataFrame:
     """(file_id, path, own, score, licence, origin, licence_folder) for every row of ``df``.
 
-    own is the licence of the file's notices (score: cosine). licence is own (origin 'own'), else that of the licence
+    own is the licence of the file's SPDX tags (score 1), else of its notices, headers or text (score: cosine). licence is own (origin 'own'), else that of the licence
     file in the nearest folder on the way up to the root '' (origin 'inherited', licence_folder), else null. Several
     licence files of a folder: the best score counts, then the first licence by name. Null and empty texts have no
     notice; a null path inherits nothing. Texts are read whole. Repeated rows (same id and path) each get their row; an
@@ -105,7 +168,7 @@ def scan(df: DataFrame, file_id: str = "file_id", path: str = "path", text: str
     rows = df.select(F.col(file_id).alias("file_id"), F.col(path).alias("path"), F.coalesce(text, F.lit("")).alias("text"),
                      F.coalesce(name.isin(*LICENCE_FILES), F.lit(False)).alias("is_licence"),
                      folder_of(F.col(path)).alias("folder"))
-    own = own_licences(rows.select("file_id", "path", "is_licence", "text").where("path IS NOT NULL"))
+    own = cut(own_licences(rows.select("file_id", "path", "is_licence", "text").where("path IS NOT NULL")))
     marked = own.withColumn("_name", F.upper(F.regexp_replace(F.regexp_replace("path", "^.*/", ""), "[.][^.]*$", "")))
     of_folder = (marked.where(F.col("_name").isin(*LICENCE_FILES)).withColumn("folder", folder_of(F.col("path")))
                  .groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("s"), "own")).alias("b"))

@@ -68,6 +68,67 @@ def test_every_template_is_its_own_nearest(spark):
     assert all(r["path"] == f"{r['own']}.py" and r["score"] == pytest.approx(1) for r in licences.scan(df).collect())
 
 
+APACHE_HEADER = """/*
+ * Copyright 2019 The Example Authors. All rights reserved.
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     https://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+package org.example;
+"""
+GPL_HEADER = """# Example - a tool
+# Copyright (C) 2011  A. Author
+#
+# This program is free software; you can redistribute it and/or
+# modify it under the terms of the GNU General Public License
+# as published by the Free Software Foundation; either version {v}
+# of the License, or (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+import sys
+"""
+MPL_HEADER = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */
+int main() { return 0; }
+"""
+
+
+def test_licences_of_headers_tags_and_full_texts(spark):
+    prose = "one two three four five six seven eight nine ten eleven twelve " * 20
+    text = {(n, k): t for n, k, t in licences.licence_texts()}
+    mit = text["MIT", "full"].split("\n", 2)[2]
+    bsd = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + text["BSD-3-Clause", "full"]
+    cases = [
+        ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"), ("# SPDX-License-Identifier: MIT", "MIT"),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"), ("<!-- SPDX-License-Identifier: mit -->", "MIT"),
+        ("// SPDX-License-Identifier: Zlib\n", "Zlib"), ("# SPDX-License-Identifier: MIT OR Apache-2.0\n", "MIT OR Apache-2.0"),
+        (APACHE_HEADER, "Apache-2.0"), (GPL_HEADER.format(v=3), "GPL-3.0"), (GPL_HEADER.format(v=2), "GPL-2.0"),
+        (MPL_HEADER, "MPL-2.0"), (prose + "Released under the MIT License. " + prose, "MIT"),
+        (prose + "is Released under the MIT License and more " + prose, "MIT"), ("Copyright (c) 2015 A Person\n\n" + mit, "MIT"),
+        (bsd, "BSD-3-Clause"), ("x = 1\n\n" + "".join(f"# {x}\n" for x in bsd.split("\n")) + "\nimport os\n" + prose, "BSD-3-Clause"),
+        (prose + "the licence of this is unknown", None), ("GNU GENERAL PUBLIC LICENSE", None), ("BSD License", None)]
+    rows = [(i, f"d{i}/f.c", t, w) for i, (t, w) in enumerate(cases)]
+    rows += [(1000 + i, f"l{i}/COPYING", t, n) for i, ((n, k), t) in enumerate(sorted(text.items())) if k == "full"]
+    rows += [(2000 + i, f"h{i}/x.py", "".join(f"# {x}\n" for x in t.split("\n")) + "import os\n", n)
+             for i, ((n, k), t) in enumerate(sorted(text.items())) if k == "header"]
+    df = spark.createDataFrame(rows, "file_id long, path string, text string, want string")
+    got = {r["file_id"]: r["own"] for r in licences.scan(df).collect()}
+    assert [(r[1], r[3], got[r[0]]) for r in rows if got[r[0]] != r[3]] == []
+
+
 SF = "/root/testdata/sf0.001"
 
 
