@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import WordKeys, cut, mixed, read_table, words_of
+from flowguard.llm.common import WordKeys, cut, mixed, n_words, read_table, words_of
 
 #: Words of a shortest match, and the percentage of an item's words that tiles must cover.
 LEAST, PERCENT = 5, 80
@@ -177,11 +177,16 @@ def overlaps(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
 def decontaminate(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``df``, all its columns, whose text covers no item; null texts stay."""
-    bad = overlaps(df, items, doc_id, text, item_id, item_text).select("text_hash", F.col("doc_id").alias("_id")).distinct()
-    mark = df.withColumn("_hash", F.xxhash64(text))
-    return mark.join(bad, (F.col("_hash") == F.col("text_hash")) & F.col(doc_id).eqNullSafe(F.col("_id")),
-                     "left_anti").drop("_hash")
+    """The rows of ``df``, all its columns, whose text covers no item; null texts stay. An item of fewer than LEAST words
+    (an answer such as 'yes') takes out only texts that have its words and no others: ``overlaps`` reports it wherever it
+    occurs, but a word in common is no leak."""
+    bad = overlaps(df, items, doc_id, text, item_id, item_text).select(
+        "text_hash", F.col("doc_id").alias("_id"),
+        F.when(F.col("item_words") < LEAST, F.col("item_words")).alias("_only")).distinct()
+    mark = df.withColumns({"_hash": F.xxhash64(text), "_words": n_words(text)})
+    hit = F.col("_only").isNull() | (F.col("_words") == F.col("_only"))
+    return mark.join(bad, (F.col("_hash") == F.col("text_hash")) & F.col(doc_id).eqNullSafe(F.col("_id")) & hit,
+                     "left_anti").drop("_hash", "_words")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,3 +173,13 @@ def test_decontamination_of_edge_rows(spark, edge, empty):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 2, 3, 4, 5, 8]
     assert decontaminate.overlaps(empty, bench).count() == 0
     assert decontaminate.decontaminate(edge, bench.limit(0)).count() == edge.count()
+
+
+def test_short_items_take_out_only_texts_equal_to_them(spark):
+    bench = spark.createDataFrame([(1, "yes"), (2, "forty two"), (3, "the cat sat on the mat")], "item_id long, text string")
+    docs = [(1, "he said yes to that"), (2, "YES"), (3, "forty two sheep"), (4, " forty\ntwo "), (5, "no"),
+            (6, "so the cat sat on the mat yes")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(df, bench).collect()) == [1, 3, 5]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(df, bench).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (4, 2), (6, 1), (6, 3)}
