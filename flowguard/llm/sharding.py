@@ -125,7 +125,8 @@ def shard_documents(df: DataFrame, shards: int = 24, doc_id: str = "doc_id", tex
 
     size is the text's UTF-8 bytes plus 8. Rows are ordered by the hash of their text, then of their id; shards are
     ranges of that order, and slot numbers a shard's rows from 0 without gaps. Equal texts (null counts as empty) share
-    a shard unless together they exceed one. Repeated rows count one by one. An empty table gives no rows. Columns of
+    a shard unless together they exceed one: each of a shard's two boundaries may be off by half of the group that it
+    crosses, where that is more than the tolerance. Repeated rows count one by one. An empty table gives no rows. Columns of
     these names in ``df`` are replaced. Nothing depends on partitions or task order, so retried tasks agree.
     """
     keyed = with_keys(df, doc_id, text)
