@@ -25,6 +25,7 @@ from flowguard.llm.common import WordKeys, cut, mixed, read_table, shingle_keys,
 UNIVERSE, BANDS, ROWS = 1 << 22, 40, 6
 #: The last bit of each coordinate goes to a sketch of WORDS numbers of 64 bits. A pair is spared its test if its
 #: sketches differ by SIGMAS standard deviations more than those of a pair at the limit would on average.
+#: A pair at the limit is dropped so with a chance of 3.4e-8 (0.85) or 3.0e-8 (0.8).
 WORDS, SIGMAS = 4, 6
 #: Shingles that are looked up at once.
 STEP = 4096
@@ -182,7 +183,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     A-Z count as a-z. A text of fewer words is one shingle; one without words, or null, has an empty set, links with
     nothing and is its own component. component_id is the least doc_id reachable by links. Repeated rows each get
     their row. A null id has a null component unless its copies have ids. An empty table gives no rows. Other columns
-    of ``df`` are not used. Chance enters once: a link that shares no band is missed (see BANDS).
+    of ``df`` are not used. Chance enters twice: a link that shares no band is missed (see BANDS),
+    and one not joined through a bucket's lead whose sketches differ too much (see SIGMAS).
     """
     rows = cut(signatures(df, doc_id, text, size))
     heads = cut(rows.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(
