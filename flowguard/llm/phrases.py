@@ -2,11 +2,12 @@
 
 Words and runs of words are hashed without being cut out of the text: prefix polynomials (one over the bytes of many
 texts, one over the hashes of their words) give the fingerprint of any span as a difference of two prefixes. The shuffle
-adds up fingerprints, each with a pointer to one occurrence; only phrases that turn out frequent are read from the text
-at their pointer, where their fingerprints are computed again and compared.
+first adds up short fingerprints, which leaves out most rare runs; then whole fingerprints, each with a pointer to one
+occurrence. Only phrases that turn out frequent are read from the text at their pointer, where their fingerprints are
+computed again and compared.
 
-A fingerprint is a 64-bit polynomial with 32 further bits from a second, independent polynomial. Both are the key of the
-sum, so phrases that collide in the first are told apart by the second and stay apart in the text.
+A whole fingerprint is a 64-bit polynomial with 32 further bits from a second, independent polynomial. Both are the key
+of the sum, so phrases that collide in the first are told apart by the second and stay apart in the text.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BLOCK = 4 << 20
 #: Bits of the map of frequent shorter runs that spares most rare runs the shuffle. Its size is fixed (8 MB): with more
 #: runs it lets more through, and the sums decide.
 MAP_BITS = 26
+#: Bits of a short fingerprint. Runs that share one only make the sum larger, so no frequent run is lost.
+SHORT = 48
 #: Rows of a language that one task ranks.
 RANKED = 50_000
 
@@ -55,30 +58,41 @@ class Spans:
         self.start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
         self.end = np.flatnonzero(~gap & np.r_[gap[1:], True]) + 1
         self.text = np.searchsorted(ends, self.start, side="right")
-        self.text_start = ends - np.array([len(t) + 1 for t in texts], np.int64)
         self.piece = np.cumsum(kinds == 2)[self.start] if len(self.start) else self.start
-        salt = salts[self.text] if len(self.start) else np.zeros(0, np.uint64)
-        # word hashes: (P[end] - P[start]) * base ** -start, with P a prefix sum of letter * base ** place
-        self.runs = []
-        for letter, base in zip(letters, (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), strict=True):
-            inverse = np.uint64(pow(base, -1, 1 << 64))
+        self.salt = salts[self.text] if len(self.start) else np.zeros(0, np.uint64)
+        self.letters = letters, data
+        self.made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _prefix(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        """Prefixes over the words' hashes, and the powers that bring a run to its own start, of one polynomial.
+
+        A word's hash is (P[end] - P[start]) * base ** -start, P being the prefix sums of letter * base ** place.
+        """
+        if which not in self.made:
+            (letters, data), base = self.letters, (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)[which]
+            inverse = pow(base, -1, 1 << 64)
             prefix = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(letter[data] * _powers(base, len(data)), out=prefix[1:])
-            word = (prefix[self.end] - prefix[self.start]) * _powers(int(inverse), len(data))[self.start]
-            word = mixed(word ^ mixed((self.end - self.start).astype(np.uint64))) + salt
+            np.cumsum(letters[which][data] * _powers(base, len(data)), out=prefix[1:])
+            word = (prefix[self.end] - prefix[self.start]) * _powers(inverse, len(data))[self.start]
+            word = mixed(word ^ mixed((self.end - self.start).astype(np.uint64))) + self.salt
             prefix = np.zeros(len(word) + 1, np.uint64)
             np.cumsum(mixed(word) * _powers(base, len(word)), out=prefix[1:])
-            self.runs.append((prefix, _powers(int(inverse), len(word))))
+            self.made[which] = prefix, _powers(inverse, len(word))
+        return self.made[which]
+
+    def places(self, size: int) -> np.ndarray:
+        """First words of the runs of ``size`` words that lie in one piece."""
+        n = max(len(self.start) - size + 1, 0)
+        return np.flatnonzero(self.piece[:n] == self.piece[size - 1:])
+
+    def keys(self, at: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+        prefix, inverse = self._prefix(which)
+        return mixed((prefix[at + size] - prefix[at]) * inverse[at] + np.uint64(size))
 
     def of(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first word, key, check) of the runs of ``size`` words that lie in one piece."""
-        n = len(self.start) - size + 1
-        if n <= 0:
-            none = np.zeros(0, np.int64)
-            return none, none.astype(np.uint64), none.astype(np.uint64)
-        at = np.flatnonzero(self.piece[:n] == self.piece[size - 1:])
-        keys = [mixed((prefix[at + size] - prefix[at]) * inverse[at] + np.uint64(size)) for prefix, inverse in self.runs]
-        return at, *keys
+        at = self.places(size)
+        return at, self.keys(at, size), self.keys(at, size, 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -89,13 +103,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _map_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << MAP_BITS) - 1)
-    return (keys & mask).astype(np.int64), ((keys >> np.uint64(32)) & mask).astype(np.int64)
-
-
 def _listed(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    a, b = _map_places(keys)
+    """Whether the map has both places of a key's upper SHORT bits."""
+    short, mask = keys >> np.uint64(64 - SHORT), np.uint64((1 << MAP_BITS) - 1)
+    a, b = (short & mask).astype(np.int64), (short >> np.uint64(SHORT - MAP_BITS)).astype(np.int64)
     return ((bits[a >> 3] >> (a & 7).astype(np.uint8)) & (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
 
 
@@ -114,54 +125,70 @@ def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
         yield rows, texts
 
 
-def run_counts(docs: DataFrame, size: int, frequent: bytes | None, least: int) -> DataFrame:
-    """(key, check, n, doc, at, size) of the runs of ``size`` words that occur ``least`` times: their number and one
-    occurrence (the document's key and the run's first word there).
+def counted(docs: DataFrame, whole: int | None, rough: int | None, shorter: bytes | None, least: int) -> DataFrame:
+    """One pass over the texts: (key, check, size, n, doc, at) of the runs of ``whole`` words that occur ``least`` times,
+    with their number and one occurrence (the document's key and the run's first word there), and, with size
+    ``-rough``, (key, n) of the short fingerprints of runs of ``rough`` words that sum up to ``least``.
 
-    A run is counted only if its two shorter runs are on the map of frequent ones (all are for one word). Size 1 also
-    gives, with size 0, the number of words of each language.
+    ``shorter`` is the map of frequent runs of ``whole`` words (of ``rough - 1`` where only rough sums are wanted). Runs
+    that it lacks, or whose two shorter runs it lacks, are rare and stay where they are. Size 1 also gives, with size 0,
+    the number of words of each language.
     """
+    def rows_of(key, check, n, doc, at, size) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(key.view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+            pa.array(n.astype(np.int64)), pa.array(doc), pa.array(at.astype(np.int64)),
+            pa.array(np.full(len(key), size, np.int32))], ["key", "check", "n", "doc", "at", "size"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(frequent, np.uint8) if frequent is not None else None
+        bits = np.frombuffer(shorter, np.uint8) if shorter is not None else None
         for batch in batches:
             docs_of = batch.column("doc").to_numpy()
             salts_of = batch.column("salt").to_numpy().view(np.uint64)
             for rows, texts in blocks(batch):
                 docs, salts = docs_of[rows], salts_of[rows]
                 spans = Spans(texts, salts)
-                at, key, check = spans.of(size)
-                if bits is not None and len(at):
-                    shorter_at, shorter, _ = spans.of(size - 1)
+                if not len(spans.start):
+                    continue
+                first_word = np.searchsorted(spans.text, np.arange(len(texts)))
+                if whole:
+                    at = spans.places(whole)
+                    key = spans.keys(at, whole)
+                    if bits is not None:
+                        on = _listed(key, bits)
+                        at, key = at[on], key[on]
+                    check = spans.keys(at, whole, 1)
+                    _, first, n = np.unique(key ^ mixed(check), return_index=True, return_counts=True)
+                    at, text = at[first], spans.text[at[first]]
+                    yield rows_of(key[first], check[first], n, docs[text], at - first_word[text], whole)
+                if whole == 1:
+                    salt, first, n = np.unique(spans.salt, return_index=True, return_counts=True)
+                    text = spans.text[first]
+                    yield rows_of(salt, salt, n, docs[text], first - first_word[text], 0)
+                if rough:
+                    at = spans.places(rough - 1)
                     known = np.zeros(len(spans.start) + 1, bool)
-                    known[shorter_at] = _listed(shorter, bits)
-                    on = known[at] & known[at + 1]
-                    at, key, check = at[on], key[on], check[on]
-                key, first, n = np.unique(key ^ mixed(check), return_index=True, return_counts=True)
-                key = (key ^ mixed(check[first])) if len(first) else key
-                out = [(key, check[first], n, at[first], size)]
-                if size == 1 and len(at):
-                    salt, first0, words = np.unique(salts[spans.text], return_index=True, return_counts=True)
-                    out.append((salt, salt, words, first0, 0))
-                for key, check, n, at, k in out:
-                    text = spans.text[at]
-                    first_word = np.searchsorted(spans.text, np.arange(len(texts)))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(key.view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(n.astype(np.int64)), pa.array(docs[text] if len(text) else np.zeros(0, np.int64)),
-                        pa.array((at - first_word[text]).astype(np.int64)),
-                        pa.array(np.full(len(key), k, np.int32))], ["key", "check", "n", "doc", "at", "size"])
-
-    rows = docs.mapInArrow(run, SPANS)
-    return (rows.groupBy("key", "check", "size").agg(F.sum("n").alias("n"), F.first("doc").alias("doc"),
-                                                     F.first("at").alias("at"))
-            .where((F.col("n") >= least) | (F.col("size") == 0)))
-
-
-def map_of(runs: DataFrame) -> bytes:
-    """The map of fixed size of the runs' keys; its 64-bit words are made on the executors and come to the driver."""
-    mask = F.lit((1 << MAP_BITS) - 1)
-    places = runs.select(F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 32).bitwiseAND(mask)))
-                         .alias("b"))
+                    known[at] = _listed(spans.keys(at, rough - 1), bits)
+                    at = spans.places(rough)
+                    at = at[known[at] & known[at + 1]]
+                    key, n = np.unique(spans.keys(at, rough) >> np.uint64(64 - SHORT), return_counts=True)
+                    none = np.zeros(len(key), np.int64)
+                    yield rows_of(key, none.view(np.uint64), n, none, none, -rough)
+
+    out = docs.mapInArrow(run, SPANS)
+    if whole:
+        out = out.groupBy("key", "check", "size").agg(F.sum("n").alias("n"), F.first("doc").alias("doc"),
+                                                      F.first("at").alias("at"))
+    else:
+        out = out.groupBy("key").agg(F.sum("n").alias("n"))
+    return out.where(F.col("n") >= F.when(F.col("size") == 0, 0).otherwise(least) if whole else F.col("n") >= least)
+
+
+def map_of(short: DataFrame) -> bytes:
+    """The map of fixed size of short fingerprints (key); its 64-bit words are made on the executors and come to the
+    driver."""
+    places = short.select(F.explode(F.array(F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1)),
+                                            F.shiftrightunsigned("key", SHORT - MAP_BITS))).alias("b"))
     words = (places.groupBy(F.shiftright("b", 6).alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, CAST(b % 64 AS INT)))").alias("v")).toArrow())
     bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
@@ -215,14 +242,17 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, least: int = LEAST, lo
     docs = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
     docs = docs.select("lang", "text", F.xxhash64("lang", "text").alias("doc"),
                        F.xxhash64(F.lit(7), "lang").alias("salt"))
-    levels, bits = [], None
-    for size in range(1, longest + 1):
-        levels.append(cut(run_counts(docs.select("text", "doc", "salt"), size, bits, least)))
-        if size < longest:
-            bits = map_of(levels[-1].where(F.col("size") == size))
-    runs = levels[0]
-    for level in levels[1:]:
-        runs = runs.unionByName(level)
+    texts = docs.select("text", "doc", "salt")
+    runs = cut(counted(texts, 1, None, None, least))
+    bits = map_of(runs.where("size = 1").select(F.shiftrightunsigned("key", 64 - SHORT).alias("key")))
+    for size in range(2, longest + 1):
+        if size == 2:
+            bits = map_of(counted(texts, None, 2, bits, least))
+        more = size + 1 if size < longest else None
+        level = cut(counted(texts, size, more, bits, least))
+        runs = runs.unionByName(level.where("size > 0"))
+        if more:
+            bits = map_of(level.where("size < 0"))
     return materialised(docs, runs)
 
 

@@ -268,14 +268,16 @@ def fit(df: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "doc_
 
     held = sample.select("id", "y", "share", apart.alias("apart"), "text").mapInPandas(
         run, "id string, y int, share double, apart boolean, terms array<long>, counts array<double>").toPandas()
-    held = held.assign(key=[(i, t.tobytes()) for i, t in zip(held["id"], held["terms"])]).sort_values(
-        "key", ignore_index=True) if len(held) else held
+    held["terms"] = [np.array(t, np.int64) for t in held["terms"]]
+    held["counts"] = [np.array(c, np.float64) for c in held["counts"]]
+    held["key"] = [(i, t.tobytes()) for i, t in zip(held["id"], held["terms"], strict=True)]
+    held = held.sort_values("key", ignore_index=True)
     own, other = held[~held["apart"].astype(bool)], held[held["apart"].astype(bool)]
-    vectors = [(t.astype(np.int64), weighed(t.astype(np.int64), c, idf)) for t, c in zip(own["terms"], own["counts"])]
+    vectors = [(t, weighed(t, c, idf)) for t, c in zip(own["terms"], own["counts"], strict=True)]
     model = Neighbours(terms, idf, BlockMaxIndex(vectors, len(terms)), own["id"].tolist(),
                        own["y"].to_numpy(np.float64), base)
     if len(other) and len(set(held["y"])) == 2:
-        votes = np.array([model.found((t.astype(np.int64), c))[0] for t, c in zip(other["terms"], other["counts"])])
+        votes = np.array([model.found(v)[0] for v in zip(other["terms"], other["counts"], strict=True)])
         model.knots = isotonic(votes, other["y"].to_numpy(np.float64), 1.0 / other["share"].to_numpy(np.float64))
     return model
 
