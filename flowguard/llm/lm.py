@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import WORD_CACHE, crc_of_id, cut, read_table, words_of
+from flowguard.llm.common import WORD_CACHE, crc_of_id, cut, packed, read_table, unpacked, words_of
 
 #: Words with a class of their own; dimensions; noise words and tokens of a step; rounds over all training texts.
 OWN, DIM, NOISE, STEP, ROUNDS, RATE = 504, 24, 64, 2048, 2, 0.1
@@ -60,16 +60,6 @@ def tokens_of(texts, keys_of: ShapedKeys) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.zeros(0, np.uint64), start
 
 
-def packed(counts: np.ndarray) -> bytes:
-    """Counts in the narrowest type that holds them, which the first byte names."""
-    kind = next(k for k in ("u1", "u2", "u4", "u8") if len(counts) == 0 or counts.max() <= np.iinfo(k).max)
-    return kind[1].encode() + counts.astype("<" + kind).tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data[1:], f"<u{chr(data[0])}").astype(np.int64)
-
-
 def block_words(blocks: DataFrame, bits: int) -> DataFrame:
     """(bucket, block, keys, counts): each block's distinct words, parted by the high bits of their keys, with their
     number in its training texts."""

@@ -12,14 +12,17 @@ of the sum, so phrases that collide in the first are told apart by the second an
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import cut, mixed, read_table
+from flowguard.llm.common import cut, mixed, packed, read_table, unpacked
 from flowguard.operators.joins import bounded_broadcast
 
 #: Bytes that end a piece, and blanks between words.
@@ -28,15 +31,17 @@ WORD_ENDS = b"\x20\x09"
 LEAST, LONGEST, TOP = 10, 3, 2000
 #: Bytes of text hashed at once (a longer text is hashed whole, alone).
 BLOCK = 4 << 20
-#: Bits of the map of frequent shorter runs that spares most rare runs the shuffle. Its size is fixed (8 MB): with more
-#: runs it lets more through, and the sums decide.
-MAP_BITS = 26
-#: Bits of a short fingerprint. Runs that share one only make the sum larger, so no frequent run is lost.
+#: Bits of a short fingerprint. Runs that share one only make a sum larger, so no frequent run is lost.
 SHORT = 48
+#: Bits of the map of frequent runs' short fingerprints (their first bits) that spares most rare runs the shuffle, and of
+#: the number of its slices. Its size is fixed (16 MB): with more runs it lets more through, and the sums decide.
+MAP_BITS, SLICE_BITS = 27, 6
+#: Sums that a task holds before it sends them; bytes of text for each bucket of sums, about.
+HELD, BUCKET_BYTES = 2_000_000, 16 << 20
 #: Rows of a language that one task ranks.
-RANKED = 50_000
+RANKED = 10_000
 
-SPANS = "key long, check int, n long, doc long, at long, size int"
+SPANS = "key long, check int, size int, n long, doc long, at long"
 
 
 class Spans:
@@ -46,11 +51,7 @@ class Spans:
     """
 
     def __init__(self, texts: list[bytes], salts: np.ndarray):
-        table = np.random.default_rng(20_240_601)
-        letters = table.integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) | np.uint64(1)
-        letters[:, 65:91] = letters[:, 97:123]
-        kind = np.zeros(256, np.uint8)
-        kind[list(WORD_ENDS)], kind[list(PIECE_ENDS)] = 1, 2
+        letters, kind = _tables()
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         ends = np.cumsum([len(t) + 1 for t in texts])
         kinds = kind[data]
@@ -95,19 +96,41 @@ class Spans:
         return at, self.keys(at, size), self.keys(at, size, 1)
 
 
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for the bytes, A-Z as a-z, for either polynomial; and the kinds of bytes: 1 blank, 2 end of a piece."""
+    letters = np.random.default_rng(20_240_601).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) | np.uint64(1)
+    letters[:, 65:91] = letters[:, 97:123]
+    kind = np.zeros(256, np.uint8)
+    kind[list(WORD_ENDS)], kind[list(PIECE_ENDS)] = 1, 2
+    return letters, kind
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    out = np.full(n, np.uint64(base))
-    if n:
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(max(n, 1 << 16), np.uint64(base))
         out[0] = 1
-    return np.multiply.accumulate(out)
+        _POWERS[base] = np.multiply.accumulate(out)
+    return _POWERS[base][:n]
 
 
 def _listed(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Whether the map has both places of a key's upper SHORT bits."""
-    short, mask = keys >> np.uint64(64 - SHORT), np.uint64((1 << MAP_BITS) - 1)
-    a, b = (short & mask).astype(np.int64), (short >> np.uint64(SHORT - MAP_BITS)).astype(np.int64)
-    return ((bits[a >> 3] >> (a & 7).astype(np.uint8)) & (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+    at = (keys >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _summed(parts: list[tuple]) -> tuple:
+    """Sums by key of parts (key, n, and columns of which any row's value does)."""
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    order = np.argsort(columns[0], kind="stable")
+    key = columns[0][order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
+    n = np.add.reduceat(columns[1][order], first) if len(key) else columns[1]
+    return key[first], n, *(c[order[first]] for c in columns[2:])
 
 
 def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -125,75 +148,110 @@ def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
         yield rows, texts
 
 
-def counted(docs: DataFrame, whole: int | None, rough: int | None, shorter: bytes | None, least: int) -> DataFrame:
-    """One pass over the texts: (key, check, size, n, doc, at) of the runs of ``whole`` words that occur ``least`` times,
-    with their number and one occurrence (the document's key and the run's first word there), and, with size
-    ``-rough``, (key, n) of the short fingerprints of runs of ``rough`` words that sum up to ``least``.
+def frequent_map(docs: DataFrame, size: int, shorter: bytes | None, least: int, buckets: int) -> bytes:
+    """The map of runs of ``size`` words whose short fingerprints sum up to ``least``; runs of which ``shorter``, the map of
+    the runs that are a word shorter, lacks either are left out.
 
-    ``shorter`` is the map of frequent runs of ``whole`` words (of ``rough - 1`` where only rough sums are wanted). Runs
-    that it lacks, or whose two shorter runs it lacks, are rare and stay where they are. Size 1 also gives, with size 0,
-    the number of words of each language.
+    Tasks send their sums packed, parted by the fingerprints' first bits into ``2 ** buckets`` buckets, whose number grows
+    with the texts so that a bucket's size does not. The map comes to the driver in slices of fixed size.
     """
-    def rows_of(key, check, n, doc, at, size) -> pa.RecordBatch:
+    low = np.uint64(SHORT - buckets)
+
+    def sent(parts: list[tuple]) -> pa.RecordBatch:
+        key, n = _summed(parts)
+        bucket = (key >> low).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        wide = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT // 8]
+        ends = np.r_[first[1:], len(key)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[first]), pa.array([wide[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary()),
+            pa.array([packed(n[x:y]) for x, y in zip(first, ends, strict=True)], pa.binary())], ["bucket", "keys", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, parts, held = np.frombuffer(shorter or b"", np.uint8), [], 0
+        for batch in batches:
+            salts_of = batch.column("salt").to_numpy().view(np.uint64)
+            for rows, texts in blocks(batch):
+                spans = Spans(texts, salts_of[rows])
+                at = spans.places(size)
+                if shorter is not None and len(at):
+                    known = np.zeros(len(spans.start) + 1, bool)
+                    short = spans.places(size - 1)
+                    known[short] = _listed(spans.keys(short, size - 1), bits)
+                    at = at[known[at] & known[at + 1]]
+                if len(at):
+                    parts.append(np.unique(spans.keys(at, size) >> np.uint64(64 - SHORT), return_counts=True))
+                    held += len(parts[-1][0])
+                if held > HELD:
+                    yield sent(parts)
+                    parts, held = [], 0
+        if parts:
+            yield sent(parts)
+
+    def frequent(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for keys, counts in zip(pdf["keys"], pdf["counts"], strict=True):
+            wide = np.zeros((len(keys) // (SHORT // 8), 8), np.uint8)
+            wide[:, :SHORT // 8] = np.frombuffer(keys, np.uint8).reshape(-1, SHORT // 8)
+            parts.append((wide.view("<u8").ravel().astype(np.uint64), unpacked(counts)))
+        key, n = _summed(parts)
+        places = np.unique(key[n >= least] >> np.uint64(SHORT - MAP_BITS)).astype("<u4")
+        return pd.DataFrame({"slice": [int(pdf["bucket"].iloc[0]) >> (buckets - SLICE_BITS)], "data": [places.tobytes()]})
+
+    def drawn(pdf: pd.DataFrame) -> pd.DataFrame:
+        places = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["data"]]).astype(np.int64)
+        bits = np.zeros(1 << (MAP_BITS - SLICE_BITS), np.uint8)
+        bits[places & (len(bits) - 1)] = 1
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "data": [np.packbits(bits).tobytes()]})
+
+    slices = (docs.select("text", "salt").mapInArrow(run, "bucket long, keys binary, counts binary").groupBy("bucket")
+              .applyInPandas(frequent, "slice long, data binary").groupBy("slice")
+              .applyInPandas(drawn, "slice long, data binary").collect())
+    out = {r["slice"]: bytes(r["data"]) for r in slices}
+    return b"".join(out.get(i, bytes(1 << (MAP_BITS - SLICE_BITS - 3))) for i in range(1 << SLICE_BITS))
+
+
+def counted(docs: DataFrame, maps: dict[int, bytes], least: int) -> DataFrame:
+    """(key, check, size, n, doc, at) of the runs that occur ``least`` times: their whole fingerprint, their number and one
+    occurrence (the document's key and the run's first word there). ``maps``, by size, keep most rare runs where they are.
+    Size 0 gives the number of words of each language."""
+    def sent(parts: list[tuple]) -> pa.RecordBatch:
+        _, n, key, check, size, doc, at = _summed(parts)
         return pa.RecordBatch.from_arrays([
             pa.array(key.view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-            pa.array(n.astype(np.int64)), pa.array(doc), pa.array(at.astype(np.int64)),
-            pa.array(np.full(len(key), size, np.int32))], ["key", "check", "n", "doc", "at", "size"])
+            pa.array(size), pa.array(n), pa.array(doc), pa.array(at)], ["key", "check", "size", "n", "doc", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shorter, np.uint8) if shorter is not None else None
+        bits, parts, held = {k: np.frombuffer(x, np.uint8) for k, x in maps.items()}, [], 0
         for batch in batches:
             docs_of = batch.column("doc").to_numpy()
             salts_of = batch.column("salt").to_numpy().view(np.uint64)
             for rows, texts in blocks(batch):
-                docs, salts = docs_of[rows], salts_of[rows]
-                spans = Spans(texts, salts)
+                docs, spans = docs_of[rows], Spans(texts, salts_of[rows])
                 if not len(spans.start):
                     continue
                 first_word = np.searchsorted(spans.text, np.arange(len(texts)))
-                if whole:
-                    at = spans.places(whole)
-                    key = spans.keys(at, whole)
-                    if bits is not None:
-                        on = _listed(key, bits)
-                        at, key = at[on], key[on]
-                    check = spans.keys(at, whole, 1)
-                    _, first, n = np.unique(key ^ mixed(check), return_index=True, return_counts=True)
+                found = [(0, np.arange(len(spans.start)), spans.salt, spans.salt)]
+                for size in bits:
+                    at = spans.places(size)
+                    key = spans.keys(at, size)
+                    on = _listed(key, bits[size])
+                    found.append((size, at[on], key[on], spans.keys(at[on], size, 1)))
+                for size, at, key, check in found:
+                    both, first, n = np.unique(key ^ mixed(check + np.uint64(size)), return_index=True, return_counts=True)
                     at, text = at[first], spans.text[at[first]]
-                    yield rows_of(key[first], check[first], n, docs[text], at - first_word[text], whole)
-                if whole == 1:
-                    salt, first, n = np.unique(spans.salt, return_index=True, return_counts=True)
-                    text = spans.text[first]
-                    yield rows_of(salt, salt, n, docs[text], first - first_word[text], 0)
-                if rough:
-                    at = spans.places(rough - 1)
-                    known = np.zeros(len(spans.start) + 1, bool)
-                    known[at] = _listed(spans.keys(at, rough - 1), bits)
-                    at = spans.places(rough)
-                    at = at[known[at] & known[at + 1]]
-                    key, n = np.unique(spans.keys(at, rough) >> np.uint64(64 - SHORT), return_counts=True)
-                    none = np.zeros(len(key), np.int64)
-                    yield rows_of(key, none.view(np.uint64), n, none, none, -rough)
-
-    out = docs.mapInArrow(run, SPANS)
-    if whole:
-        out = out.groupBy("key", "check", "size").agg(F.sum("n").alias("n"), F.first("doc").alias("doc"),
-                                                      F.first("at").alias("at"))
-    else:
-        out = out.groupBy("key").agg(F.sum("n").alias("n"))
-    return out.where(F.col("n") >= F.when(F.col("size") == 0, 0).otherwise(least) if whole else F.col("n") >= least)
-
-
-def map_of(short: DataFrame) -> bytes:
-    """The map of fixed size of short fingerprints (key); its 64-bit words are made on the executors and come to the
-    driver."""
-    places = short.select(F.explode(F.array(F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1)),
-                                            F.shiftrightunsigned("key", SHORT - MAP_BITS))).alias("b"))
-    words = (places.groupBy(F.shiftright("b", 6).alias("w"))
-             .agg(F.expr("bit_or(shiftleft(1L, CAST(b % 64 AS INT)))").alias("v")).toArrow())
-    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    bits[words.column("w").to_numpy()] = words.column("v").to_numpy()
-    return bits.astype("<i8").tobytes()
+                    parts.append((both, n.astype(np.int64), key[first], check[first], np.full(len(both), size, np.int32),
+                                  docs[text], at - first_word[text]))
+                    held += len(both)
+                if held > HELD:
+                    yield sent(parts)
+                    parts, held = [], 0
+        if parts:
+            yield sent(parts)
+
+    rows = docs.select("text", "doc", "salt").mapInArrow(run, SPANS).groupBy("key", "check", "size").agg(
+        F.sum("n").alias("n"), F.first("doc").alias("doc"), F.first("at").alias("at"))
+    return rows.where((F.col("size") == 0) | (F.col("n") >= least))
 
 
 def materialised(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -208,29 +266,29 @@ def materialised(docs: DataFrame, runs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            salts, wanted = batch.column("salt").to_numpy().view(np.uint64), batch.column("runs")
+            salts_of, wanted = batch.column("salt").to_numpy().view(np.uint64), batch.column("runs")
             langs = batch.column("lang")
-            for i in range(batch.num_rows):
-                text = batch.column("text")[i].as_py().encode("utf-8", "surrogatepass")
-                spans, runs = Spans([text], salts[i:i + 1]), wanted[i].as_py()
-                found = {0: ([], [], [])} | {k: spans.of(k) for k in {r["size"] for r in runs} - {0}}
-                phrases = []
-                for r in runs:
-                    first, size = r["at"], r["size"]
-                    words = [text[a:b].lower() for a, b in zip(spans.start[first:first + size],
-                                                              spans.end[first:first + size], strict=True)]
-                    if size:
-                        places, keys, checks = found[size]
-                        j = int(np.searchsorted(places, first))
-                        same = (int(keys[j:j + 1].view(np.int64)[0]) == r["key"]
-                                and int((checks[j:j + 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)[0]) == r["check"])
-                        if places[j] != first or not same:
-                            raise ValueError("the text at a pointer is not the phrase that was counted")
-                    phrases.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+            for rows, texts in blocks(batch):
+                spans = Spans(texts, salts_of[rows])
+                first_word = np.searchsorted(spans.text, np.arange(len(texts)))
+                runs = wanted.take(pa.array(rows))
+                of = np.repeat(np.arange(len(rows)), np.diff(runs.offsets.to_numpy()))
+                at, size, key, check, n = (runs.flatten().field(i).to_numpy() for i in range(5))
+                at = at + first_word[of]
+                for k in np.unique(size[size > 0]):
+                    one = np.flatnonzero(size == k)
+                    same = ((spans.keys(at[one], k).view(np.int64) == key[one])
+                            & ((spans.keys(at[one], k, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32) == check[one])
+                            & (spans.piece[at[one]] == spans.piece[at[one] + k - 1]))
+                    if not same.all():
+                        raise ValueError("the text at a pointer is not the phrase that was counted")
+                data = spans.letters[1]
+                starts, ends = spans.start, spans.end
+                phrases = [b" ".join(data[starts[a]:ends[a + k - 1]].tobytes().lower().split()) if k else b""
+                           for a, k in zip(at.tolist(), size.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([langs[i].as_py()] * len(runs), pa.string()), pa.array(phrases, pa.string()),
-                    pa.array([r["size"] for r in runs], pa.int32()), pa.array([r["n"] for r in runs], pa.int64())],
-                    ["lang", "phrase", "size", "n"])
+                    langs.take(pa.array(np.array(rows)[of])), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(size),
+                    pa.array(n)], ["lang", "phrase", "size", "n"])
 
     return (texts.join(at, "doc").select("lang", "text", "salt", "runs")
             .mapInArrow(run, "lang string, phrase string, size int, n long"))
@@ -242,18 +300,12 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, least: int = LEAST, lo
     docs = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
     docs = docs.select("lang", "text", F.xxhash64("lang", "text").alias("doc"),
                        F.xxhash64(F.lit(7), "lang").alias("salt"))
-    texts = docs.select("text", "doc", "salt")
-    runs = cut(counted(texts, 1, None, None, least))
-    bits = map_of(runs.where("size = 1").select(F.shiftrightunsigned("key", 64 - SHORT).alias("key")))
-    for size in range(2, longest + 1):
-        if size == 2:
-            bits = map_of(counted(texts, None, 2, bits, least))
-        more = size + 1 if size < longest else None
-        level = cut(counted(texts, size, more, bits, least))
-        runs = runs.unionByName(level.where("size > 0"))
-        if more:
-            bits = map_of(level.where("size < 0"))
-    return materialised(docs, runs)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(SLICE_BITS, math.ceil(math.log2(max(size / BUCKET_BYTES, 1))))
+    maps: dict[int, bytes] = {}
+    for k in range(1, longest + 1):
+        maps[k] = frequent_map(docs, k, maps.get(k - 1), least, buckets)
+    return materialised(docs, cut(counted(docs, maps, least)))
 
 
 def _joined(words: str, first: str, last: str) -> Column:

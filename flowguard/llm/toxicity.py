@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import WORD_CACHE, WordKeys, crc_of_id, cut, read_table, shingle_keys, words_of
+from flowguard.operators.joins import bounded_broadcast
 
-#: Bounds of the fit: labelled rows of each class drawn by a hash of their id and text (about; all where there are
+#: Bounds of the fit: labelled ids of each class drawn by a hash (about; all where there are
 #: fewer), of which a quarter calibrates the votes and the others are the index; terms of the vectors.
 TOXIC_ROWS, CLEAN_ROWS, TERMS = 3000, 6000, 2048
 #: A term marks a class if its log-likelihood ratio has a chance of about 1e-7 under independence.
@@ -167,13 +168,15 @@ class Neighbours:
         return float(np.interp(vote, *self.knots))
 
 
-def _sample(df: DataFrame, seed: str) -> DataFrame:
-    """About TOXIC_ROWS and CLEAN_ROWS labelled rows, with the share of its class that a row stands for."""
-    n = {r["y"]: r["n"] for r in df.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    at = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "id", "text")), 1, 8), 16, 10).cast("double") / 2 ** 32
+def _sample(ids: DataFrame, seed: str) -> tuple[DataFrame, float]:
+    """About TOXIC_ROWS and CLEAN_ROWS of the labelled ids (id, y), with the share of its class that each stands for; and
+    the share of toxic ones among all."""
+    n = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    at = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string"))), 1, 8), 16, 10).cast("double")
     share = F.when(F.col("y") == 1, F.lit(TOXIC_ROWS / max(n.get(1, 0), 1))).otherwise(
         F.lit(CLEAN_ROWS / max(n.get(0, 0), 1)))
-    return df.withColumns({"at": at, "share": F.least(share, F.lit(1.0))}).where("at < share")
+    some = ids.withColumns({"at": at / 2 ** 32, "share": F.least(share, F.lit(1.0))}).where("at < share").drop("at")
+    return cut(some), n.get(1, 0) / max(sum(n.values()), 1)
 
 
 def _without_copies(sample: DataFrame) -> DataFrame:
@@ -250,10 +253,12 @@ def fit(df: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "doc_
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("y"))
     rows = df.where(may_learn).select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.join(known, "id").select(F.col("id").cast("string").alias("id"), "text", F.col("y").cast("int").alias("y"))
-    totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    base = totals.get(1, 0) / max(sum(totals.values()), 1)
-    sample = cut(_without_copies(_sample(rows, seed)))
+    ids = rows.select("id").distinct().join(known, "id").select("id", F.col("y").cast("int").alias("y"))
+    drawn, base = _sample(ids, seed)
+    # only the sampled rows' texts are moved; of rows with equal ids, the least text
+    sample = (rows.join(bounded_broadcast(drawn), "id").groupBy("id", "y", "share").agg(F.min("text").alias("text"))
+              .withColumn("id", F.col("id").cast("string")))
+    sample = cut(_without_copies(sample))
     apart = F.pmod(F.xxhash64("text"), F.lit(4)) == 0
     terms = _marking_terms(sample.where(~apart))
     n, having = _document_frequencies(df.select(F.col(text).alias("text")), terms)
