@@ -3,19 +3,19 @@
 Stage 1 gives P(attack); rows at or above the threshold raise an alert and
 only those get a stage-2 family.  With rule trees both stages are one
 codegen'd expression and stage 2 is short-circuited by ``when(alert, ...)``.
-With Spark ML bundles stage 1 is persisted, the alerts branch through the
+With Spark ML bundles the stage-1 scores are cut, the alerts branch through the
 stage-2 model and the two branches are re-joined with ``unionByName``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard import schema as S
 from flowguard.functions.expressions import protocol_label, round_half_even
 from flowguard.operators.rules import RuleTree, score_columns
+from flowguard.session import cut
 
 EVALUATION = "evaluation"   # non-alerts are 'Benign'
 DASHBOARD = "dashboard"     # non-alerts are 'N/A' with a null type confidence
@@ -58,7 +58,7 @@ def score_rules(df: DataFrame, stage1: RuleTree, threshold: float, stage2: RuleT
 def score_models(df: DataFrame, bundle1, bundle2, mode: str = EVALUATION) -> DataFrame:
     """Cascade with trained bundles: stage 2 runs on the alerted rows only."""
     from flowguard.plans.jobs import stage1_probability, stage2_predict
-    s1 = stage1_probability(bundle1, df).persist(StorageLevel.MEMORY_AND_DISK)
+    s1 = cut(stage1_probability(bundle1, df))
     hit = F.col(P_ATTACK) >= F.lit(float(bundle1.threshold))
     alerts = stage2_predict(bundle2, s1.where(hit))
     alerts = alerts.withColumns(_overlay(F.col(P_ATTACK), bundle1.threshold, F.col("predicted_tipo"),

@@ -21,7 +21,7 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from flowguard import schema as S
 from flowguard.operators import balance as B
 from flowguard.operators.metrics import binary_f1, macro_f1
+from flowguard.operators.prepare import PopulationScaler
 from flowguard.session import cut
 
 FEATURES = "features"
@@ -111,12 +112,23 @@ class Rebalanced(Estimator):
         return that
 
 
-def attack_probability(df: DataFrame) -> Column:
-    """P(attack) from a stage-1 model output: probability[1] of classifiers,
-    the regression output (leaf attack rate) of regressor trees."""
+def class_index(classes: list | None, wanted, width: int, fallback: int = 1) -> int:
+    """Place of a class among a model's probabilities: as it is named or as text, else ``fallback``, else the last."""
+    names = list(classes or [])
+    for name in (wanted, str(wanted)):
+        if name in names:
+            return names.index(name)
+    return fallback if fallback < width else width - 1
+
+
+def attack_probability(df: DataFrame, classes: list | None = None, width: int = 2) -> Column:
+    """P(attack) from a stage-1 model output: of classifiers the probability of class 1, wherever ``classes`` has it; of
+    regressor trees the prediction, the mean label (the place of a row's class) of a leaf."""
+    at = class_index(classes, 1, width)
     if "probability" in df.columns:
-        return vector_to_array(F.col("probability"))[1]
-    return F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
+        return vector_to_array(F.col("probability"))[at]
+    mean = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
+    return mean if at == 1 else F.lit(1.0) - mean
 
 
 class BinaryF1Evaluator(Evaluator):
@@ -146,7 +158,7 @@ def _front(features: list[str], scale: bool) -> list:
     stages = [VectorAssembler(inputCols=features, outputCol="raw_features", handleInvalid="error"),
               ConstantFeatureFilter("raw_features", FEATURES if not scale else "kept_features")]
     if scale:
-        stages.append(StandardScaler(inputCol="kept_features", outputCol=FEATURES, withMean=True, withStd=True))
+        stages.append(PopulationScaler(inputCol="kept_features", outputCol=FEATURES))
     return stages
 
 
@@ -156,14 +168,16 @@ def candidates(features: list[str], stage: int, family: str = "all", seed: int =
     stage 1: undersampling to 0.333; RF / DT as regressors, LR binomial.
     stage 2: SMOTE; RF / DT / LR multinomial classifiers.
     Every family comes with its whole published grid; ``'interpretable'`` gives
-    the shallow-tree grids.
+    the shallow-tree grids. Families that are prepared alike share their front
+    stages (the same objects), by which a search prepares a fold once for them.
     """
     strat = "under" if stage == 1 else "smote"
     out = []
+    fronts = {scale: _front(features, scale) for scale in (False, True)}
 
     def add(name, inner, scale, maps):
         wrap = Rebalanced(inner, strategy=strat, seed=seed)
-        stages = _front(features, scale) + [wrap]
+        stages = fronts[scale] + [wrap]
         pm = [{(wrap if p == "C" else inner).getParam("inverseReg" if p == "C" else p): v
                for p, v in m.items()} for m in maps]
         out.append((name, stages, pm))

@@ -6,15 +6,18 @@ one pass counts rows per class and hash prefix.  Class sizes and the prefix
 that holds any k-th key follow from that small histogram, and only the rows of
 those prefixes are ranked (counted again by a longer prefix while they are
 many).  Rows are then labelled by comparing their key with the cut points of
-their class: the big table is scanned, but never shuffled or copied.
+their class: the big table is scanned twice, but never shuffled or copied.  All
+counts and ranks come from one narrow table (class, key, id) written once.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowguard.operators.joins import bounded_broadcast
+from flowguard.session import cut
+
 HASH = "_h"
 HASH_BITS, STEP_BITS = 60, 16   # key width; bits that one histogram adds to the known prefix
 EXACT_RANK_LIMIT = 2_000_000    # rows a prefix may hold before it is counted by a longer one
@@ -53,7 +56,7 @@ def rank_cutoffs(keyed: DataFrame, hist: DataFrame, groups: list[str], targets:
     rows = [(r["_tid"], *[r[c] for c in groups], r["_b"], r["_r"]) for r in bnd]
     held = spark.createDataFrame(rows, ", ".join(["_tid string", *head, "_b long", "_r long"]))
     inside = keyed.withColumn("_b", _prefix(bits)).join(
-        F.broadcast(held.select(*groups, "_b").distinct()), on=[*groups, "_b"], how="left_semi")
+        bounded_broadcast(held.select(*groups, "_b").distinct()), on=[*groups, "_b"], how="left_semi")
     if max(r["_n"] for r in bnd) > EXACT_RANK_LIMIT and bits < HASH_BITS:
         name = f"_p{bits}"
         sub = inside.withColumnRenamed("_b", name)
@@ -76,16 +79,15 @@ class ClassRanks:
     def __init__(self, df: DataFrame, group: str, seed: int, row_id: str = "row_id"):
         self.df, self.group, self.row_id = df, group, row_id
         self.base = df.withColumn(HASH, hash_key(seed, row_id))
-        self.keyed = self.base.select(F.col(f"`{group}`").alias("_g"), HASH, F.col(row_id).alias("_id")).where(
-            "_g IS NOT NULL")
-        self.hist = self.keyed.groupBy("_g", _prefix(STEP_BITS).alias("_b")).agg(
-            F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+        self.keyed = cut(self.base.select(F.col(f"`{group}`").alias("_g"), HASH, F.col(row_id).alias("_id")).where(
+            "_g IS NOT NULL"))
+        self.hist = self.keyed.groupBy("_g", _prefix(STEP_BITS).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
         self._counts: dict | None = None
 
     def counts(self) -> dict:
         """``{class: rows}``."""
         if self._counts is None:
-            self._counts = {r[0]: int(r[1]) for r in self.hist.groupBy("_g").agg(F.sum("_n")).collect()}
+            self._counts = {r[0]: int(r[1]) for r in self.keyed.groupBy("_g").agg(F.count(F.lit(1))).collect()}
         return self._counts
 
     def assign(self, boundaries: list[tuple], out: str, default, missing=None) -> DataFrame:
@@ -101,28 +103,35 @@ class ClassRanks:
         pairs = sorted({(b[0], int(b[1])) for b in bounds}, key=repr)
         tids = {p: str(i) for i, p in enumerate(pairs)}
         cuts = rank_cutoffs(self.keyed, self.hist, ["_g"], [(tids[p], *p) for p in pairs], "_id") if pairs else {}
-        self.hist.unpersist()
         ranges = [(b[0], *cuts[tids[(b[0], int(b[1]))]], b[2], b[3]) for b in bounds]
         make = self._inlined if len(ranges) + len(classes) <= INLINE_CUTS else self._joined
         return make(classes, ranges, out, default, missing)
 
     def _inlined(self, classes, ranges, out, default, missing) -> DataFrame:
-        """One literal map from class to cut point per boundary, so that class and key appear once in each test."""
-        kind, g = self.df.schema[self.row_id].dataType, F.col(f"`{self.group}`")
+        """One literal map from class to its cut points. Class, key and id are bound once (``s``), however many cut points
+        they are compared with, so that the expressions behind them are not repeated."""
+        kind = self.df.schema[self.row_id].dataType
         gtype = self.df.schema[self.group].dataType
-        mine = F.struct(F.col(HASH).alias("key"), F.col(self.row_id).alias("tie"))
-
-        def looked_up(of: dict) -> Column:
-            return F.element_at(F.create_map(*[x for c, v in of.items() for x in (F.lit(c).cast(gtype), v)]), g)
-
-        label = F.lit(default)
-        for place, value in sorted({(r[3], r[4]) for r in ranges}, reverse=True, key=lambda v: v[0]):
-            cut = {r[0]: F.struct(F.lit(r[1]).alias("key"), F.lit(r[2]).cast(kind).alias("tie"))
-                   for r in ranges if r[3] == place}
-            label = F.when(mine <= looked_up(cut), F.lit(value)).otherwise(label)
-        if classes:
-            label = F.when(looked_up({c: F.lit(True) for c in classes}), label).otherwise(F.lit(missing))
-        return self.base.withColumn(out, label if classes else F.lit(missing)).drop(HASH)
+        if not classes:
+            return self.base.withColumn(out, F.lit(missing)).drop(HASH)
+        places = sorted({(r[3], r[4]) for r in ranges}, key=lambda v: v[0])
+        low = F.struct(F.lit(-1).cast("long").alias("key"), F.lit(None).cast(kind).alias("tie"))  # below any key
+
+        def cuts_of(c) -> Column:
+            mine = {r[3]: F.struct(F.lit(r[1]).alias("key"), F.lit(r[2]).cast(kind).alias("tie")) for r in ranges if r[0] == c}
+            return F.array(*[mine.get(place, low) for place, _ in places]) if places else F.array(low)
+
+        of_class = F.create_map(*[x for c in classes for x in (F.lit(c).cast(gtype), cuts_of(c))])
+        bound = F.struct(F.element_at(of_class, F.col(f"`{self.group}`")).alias("cuts"),
+                         F.struct(F.col(HASH).alias("key"), F.col(self.row_id).alias("tie")).alias("mine"))
+
+        def label(s: Column) -> Column:
+            got = F.lit(default)
+            for i, (_, value) in reversed(list(enumerate(places))):
+                got = F.when(s["mine"] <= s["cuts"][i], F.lit(value)).otherwise(got)
+            return F.when(s["cuts"].isNull(), F.lit(missing)).otherwise(got)
+
+        return self.base.withColumn(out, F.get(F.transform(F.array(bound), label), F.lit(0))).drop(HASH)
 
     def _joined(self, classes, ranges, out, default, missing) -> DataFrame:
         """With many classes: their cut points as a table, one row a class, joined to the rows."""

@@ -15,7 +15,7 @@ import os
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowguard.session import checkpoint_dir
@@ -236,4 +236,71 @@ def write_rules_text(spark: SparkSession, tree: RuleTree, path: str) -> None:
 
 
 def read_rules_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    """(file, line, value): the lines of rule files, numbered as they stand."""
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).where("value <> ''")
+
+
+# -- rule text as input ------------------------------------------------------------
+
+#: A line of rule text: bars for the levels above, then a condition of a branch or the class of a leaf.
+RULE_LINE = r"^((?:\|   )*)\|--- (?:class: (.*)|(.*\S) (<=|> ) (\S+))$"
+
+
+def parse_rules(lines: DataFrame) -> DataFrame:
+    """Nodes (file, id, depth, parent, side, feature, threshold, is_leaf, label) of rule texts (file, line, value).
+
+    A line's depth is its number of bars. A node starts at its ``<=`` line or its class; its parent is the node whose
+    branch line stands last above it, one level up, and tells the side. Nodes are numbered from 0 in the order of the
+    lines. Each file is a window of its own. A line of another form gives a node without feature and class, which
+    ``tree_from_nodes`` refuses.
+    """
+    part = lambda i: F.regexp_extract("value", RULE_LINE, i)
+    rows = lines.select("file", "line", (F.length(part(1)) / 4).cast("int").alias("depth"), part(2).alias("label"),
+                        part(3).alias("feature"), F.trim(part(4)).alias("sign"),
+                        F.expr("try_cast(" + f"regexp_extract(value, r'{RULE_LINE}', 5)" + " AS DOUBLE)").alias("threshold"))
+    deepest = rows.agg(F.max("depth")).first()[0] or 0
+    above = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = F.col("sign") != ">"
+    rows = rows.withColumn("id", (F.count(F.when(starts, 1)).over(upto) - 1).cast("int"))
+
+    def last_above(of, kind):
+        """By level: the last value of ``of`` on an earlier line of that level and kind."""
+        found = [F.last(F.when((F.col("depth") == k) & kind, of), ignorenulls=True).over(above) for k in range(deepest + 1)]
+        return F.get(F.array(*found), F.col("depth") - 1)
+
+    parent = last_above(F.col("id"), F.col("sign") == "<=")
+    side = last_above(F.when(F.col("sign") == "<=", "left").otherwise("right"), F.col("sign") != "")
+    leaf = (F.col("sign") == "") & (F.col("label") != "")
+    return rows.withColumns({"parent": parent, "side": side}).where(starts).select(
+        "file", "id", "depth", "parent", "side", F.when(F.col("sign") == "<=", F.col("feature")).alias("feature"),
+        F.when(F.col("sign") == "<=", F.col("threshold")).alias("threshold"), leaf.alias("is_leaf"),
+        F.when(leaf, F.col("label")).alias("label"))
+
+
+def tree_from_nodes(nodes: DataFrame, kind: str = CLASS) -> RuleTree:
+    """The tree of one file's nodes (a model: the driver holds it). Leaves have no probabilities: of a class tree their
+    confidence is 1, of a probability tree (classes 0 and 1) they are 0 or 1."""
+    rows = sorted(nodes.collect(), key=lambda r: r["id"])
+    child = {(r["parent"], r["side"]): r["id"] for r in rows if r["parent"] is not None}
+    classes = sorted({r["label"] for r in rows if r["is_leaf"]})
+    out = []
+    for r in rows:
+        left, right = child.get((r["id"], "left"), -1), child.get((r["id"], "right"), -1)
+        whole = r["is_leaf"] and left < 0 and right < 0 or (
+            not r["is_leaf"] and r["feature"] and r["threshold"] is not None and left >= 0 and right >= 0)
+        if not whole or (r["parent"] is None) != (r["id"] == 0):
+            raise ValueError(f"node {r['id']} of the rule text is neither a leaf nor a condition with two branches")
+        value = (float(r["label"]) if kind == PROBABILITY else float(classes.index(r["label"]))) if r["is_leaf"] else 0.0
+        out.append({"id": r["id"], "left": left, "right": right, "feature": r["feature"], "threshold": r["threshold"],
+                    "value": value, "probs": [], "count": 0})
+    if not out:
+        raise ValueError("the rule text has no line")
+    features = list(dict.fromkeys(n["feature"] for n in out if n["feature"]))
+    return RuleTree(kind, features, [] if kind == PROBABILITY else classes, out)
+
+
+def tree_from_text(spark: SparkSession, path: str, kind: str = CLASS) -> RuleTree:
+    """The tree of a rule file. Its thresholds are those of the text, which has two decimals."""
+    return tree_from_nodes(parse_rules(read_rules_text(spark, path)), kind)

@@ -27,6 +27,7 @@ from flowguard.operators import sampling as SM
 from flowguard.operators.clean import clean_flows, strip_column_names
 from flowguard.operators.distribution import class_counts
 from flowguard.operators.features import conform_lenient, conform_strict, split_features
+from flowguard.operators.prepare import ConstantColumnModel, ConstantColumnRemover
 from flowguard.operators.rules import RuleTree
 from flowguard.operators.targets import add_targets, attacks_only
 from flowguard.session import cut
@@ -44,6 +45,7 @@ class Bundle:
     stage: int = 1
     scaler: str | None = None          # always folded into the pipeline
     info: dict = field(default_factory=dict)
+    remover: ConstantColumnModel | None = None   # of columns that were constant on the training part
 
     def contract(self) -> dict:
         return {"columns": self.columns, "classes": self.classes, "threshold": self.threshold,
@@ -53,15 +55,30 @@ class Bundle:
 def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
     """Pipeline under ``path/model``; the contract as a one-row JSON table."""
     bundle.model.write().overwrite().save(os.path.join(path, "model"))
-    spark.createDataFrame([(json.dumps(bundle.contract()),)], "contract string").coalesce(1) \
+    if bundle.remover is not None:
+        bundle.remover.write().overwrite().save(os.path.join(path, "remover"))
+    spark.createDataFrame([(json.dumps({**bundle.contract(), "remover": bundle.remover is not None}),)],
+                          "contract string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "contract"))
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     c = json.loads(spark.read.text(os.path.join(path, "contract")).first()[0])
     model = PipelineModel.load(os.path.join(path, "model"))
+    remover = ConstantColumnModel.load(os.path.join(path, "remover")) if c.get("remover") else None
     return Bundle(model, c["columns"], c["classes"], c["threshold"], c["family"], c["stage"],
-                  c.get("scaler"), c.get("info", {}))
+                  c.get("scaler"), c.get("info", {}), remover)
+
+
+def bundle_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a bundle's contract is there; errors other than a missing path are raised."""
+    try:
+        spark.read.text(os.path.join(path, "contract"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -144,48 +161,63 @@ def _with_point(wrap: L.Rebalanced, point: dict) -> L.Rebalanced:
     return wrap.copy(point)
 
 
+def _preparation(stages: list) -> tuple:
+    """What a fold's prepared rows depend on: the front stages (shared objects) and the resampling."""
+    wrap = stages[-1]
+    return (*map(id, stages[:-1]), *(wrap.getOrDefault(p) for p in (wrap.strategy, wrap.ratio, wrap.k)), wrap.seed)
+
+
 def _cross_validate(df: DataFrame, cands, evaluator, folds: int, parallelism: int):
-    """Score every point of every candidate's grid on every fold.
+    """One search over all points of all candidates.
 
-    A fold's features are fitted and its rows resampled once, for all points
-    of the grid; points are fitted side by side (``parallelism``).  The best
-    point (the first of equals) is fitted again on all rows.
+    On a fold, features are fitted and rows resampled once for all candidates that are prepared alike, whatever their
+    learners; all points are fitted side by side (``parallelism``). The best point of all (the first of equals) is fitted
+    again on all rows.
     """
-    table, best = [], None
-    for name, stages, points in cands:
-        scores = [[] for _ in points]
-        for fold in range(folds):
-            train, test = df.where(F.col("fold") != fold), df.where(F.col("fold") == fold)
-            front = _fitted_front(stages, train)
-            rows, held = stages[-1].prepared(front.transform(train)), cut(front.transform(test))
-
-            def score(point, rows=rows, held=held, wrap=stages[-1]):
-                return evaluator.evaluate(_with_point(wrap, point).fit_prepared(rows).transform(held))
-
-            with ThreadPoolExecutor(parallelism) as pool:
-                for s, value in zip(scores, pool.map(score, points)):
-                    s.append(value)
-        means = [sum(s) / len(s) for s in scores]
-        table += [(name, json.dumps({p.name: v for p, v in point.items()}), float(m)) for point, m in zip(points, means)]
-        i = max(range(len(points)), key=lambda j: means[j])
-        if best is None or means[i] > best[1]:
-            best = (name, means[i], points[i], stages)
-    name, mean, point, stages = best
+    points = [(name, stages, point) for name, stages, grid in cands for point in grid]
+    scores: list[list[float]] = [[] for _ in points]
+    for fold in range(folds):
+        train, test = df.where(F.col("fold") != fold), df.where(F.col("fold") == fold)
+        prepared = {}
+        for _, stages, _ in points:
+            if _preparation(stages) not in prepared:
+                front = _fitted_front(stages, train)
+                prepared[_preparation(stages)] = stages[-1].prepared(front.transform(train)), cut(front.transform(test))
+
+        def score(candidate, prepared=prepared):
+            _, stages, point = candidate
+            rows, held = prepared[_preparation(stages)]
+            return evaluator.evaluate(_with_point(stages[-1], point).fit_prepared(rows).transform(held))
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            for s, value in zip(scores, pool.map(score, points)):
+                s.append(value)
+    means = [sum(s) / len(s) for s in scores]
+    table = [(name, json.dumps({p.name: v for p, v in point.items()}), float(m))
+             for (name, _, point), m in zip(points, means)]
+    best = max(range(len(points)), key=lambda i: means[i])
+    name, stages, point = points[best]
     front = _fitted_front(stages, df)
     last = _with_point(stages[-1], point)
     model = PipelineModel([*front.stages, last.fit_prepared(last.prepared(front.transform(df)))])
-    return (name, mean, point, model), table
+    return (name, means[best], point, model), table
 
 
 def train_stage1(df: DataFrame, family: str = "all", seed: int = S.SEED,
                  folds: int = S.CV_FOLDS, parallelism: int = 4,
-                 recall_target: float = S.RECALL_TARGET) -> tuple[Bundle, dict]:
+                 recall_target: float = S.RECALL_TARGET, drop_constant: bool = False) -> tuple[Bundle, dict]:
     """Binary detector on rows outside the holdout: 70/15/15 split, CV over
     the model families (undersampling inside each fold), threshold for the
-    recall target on validation, report on test."""
+    recall target on validation, report on test. With ``drop_constant`` the
+    columns that are constant on the training part leave all parts, and the
+    bundle's remover takes them out of later inputs."""
     features = split_features(df)
     parts = cut(SM.three_way_split(df, S.TARGET_BIN, seed=seed).withColumn(
         L.LABEL, F.col(S.TARGET_BIN).cast("double")))
+    remover = None
+    if drop_constant:
+        remover = ConstantColumnRemover(inputCols=features).fit(parts.where(F.col(SM.PART) == "train"))
+        parts, features = remover.transform(parts), remover.kept()
     train = cut(SM.stratified_folds(parts.where(F.col(SM.PART) == "train"), S.TARGET_BIN, folds, seed))
     cands = L.candidates(features, 1, family, seed)
     (name, score, pm, model), table = _cross_validate(train, cands, L.BinaryF1Evaluator(), folds, parallelism)
@@ -194,7 +226,7 @@ def train_stage1(df: DataFrame, family: str = "all", seed: int = S.SEED,
     sweep = M.threshold_sweep(val, L.LABEL, L.P_ATTACK)
     thr = M.best_threshold_value(sweep, recall_target)
     bundle = Bundle(model, features, [0, 1], thr, name, 1,
-                    info={"cv_f1": score, "params": {p.name: v for p, v in pm.items()}, "grid": table})
+                    info={"cv_f1": score, "params": {p.name: v for p, v in pm.items()}, "grid": table}, remover=remover)
     test = score_stage1(bundle, parts.where(F.col(SM.PART) == "test"))
     report = {"test": test, "sweep": sweep, "cv": table}
     return bundle, report
@@ -231,10 +263,12 @@ def train_stage2(df: DataFrame, family: str = "all", seed: int = S.SEED,
 
 def stage1_probability(bundle: Bundle, df: DataFrame, strict: bool = True) -> DataFrame:
     """Adds ``p_attack`` (model output columns are dropped again)."""
+    df = bundle.remover.transform(df) if bundle.remover else df
     x = conform_strict(df, bundle.columns, keep=[c for c in df.columns if c not in bundle.columns]) \
         if strict else df
     out = bundle.model.transform(x)
-    out = out.withColumn(L.P_ATTACK, L.attack_probability(out))
+    width = getattr(bundle.model.stages[-1], "numClasses", 2)
+    out = out.withColumn(L.P_ATTACK, L.attack_probability(out, bundle.classes, width))
     return out.drop("raw_features", "kept_features", L.FEATURES, "prediction", "probability", "rawPrediction")
 
 
@@ -247,14 +281,16 @@ def score_stage1(bundle: Bundle, df: DataFrame) -> DataFrame:
 
 
 def stage2_predict(bundle: Bundle, df: DataFrame) -> DataFrame:
-    """Adds ``predicted_tipo`` (class name) and ``type_confidence`` (max probability)."""
+    """Adds ``predicted_tipo`` (class name; the prediction itself in a contract without names) and ``type_confidence``
+    (the largest probability, 1 of a model without)."""
+    df = bundle.remover.transform(df) if bundle.remover else df
     out = bundle.model.transform(conform_strict(
         df, bundle.columns, keep=[c for c in df.columns if c not in bundle.columns]))
-    names = F.array(*[F.lit(c) for c in bundle.classes])
+    place = F.col("prediction").cast("int")
+    name = F.get(F.array(*[F.lit(str(c)) for c in bundle.classes]), place) if bundle.classes else place.cast("string")
     conf = (F.array_max(L.vector_to_array(F.col("probability"))) if "probability" in out.columns
             else F.lit(1.0))
-    out = out.withColumn("predicted_tipo", F.element_at(names, F.col("prediction").cast("int") + 1)) \
-             .withColumn("type_confidence", conf)
+    out = out.withColumn("predicted_tipo", name).withColumn("type_confidence", conf)
     return out.drop("raw_features", "kept_features", L.FEATURES, "prediction", "probability", "rawPrediction")
 
 

@@ -624,3 +624,52 @@ SELECT ch.target_tipo, ch.row_id AS base_id, CAST(ch.draw AS INT) AS draw, rk.nn
        round(ch."Unit Score" + ch.g * (b."Unit Score" - ch."Unit Score"), 6) AS unit_score
 FROM ch JOIN rk ON rk.pid = ch.row_id AND rk.nn_rank = ch.nn_rank JOIN s2tr b ON b.row_id = rk.nn_pid
 """)
+
+# --- saved bundles, rule text, fitted preparation -----------------------------------
+
+ORACLE["bundle_row_check"] = "SELECT count(*) AS n, count(DISTINCT event_id) AS ids, CAST(0 AS BIGINT) AS broken FROM events"
+
+ORACLE["compiled_tree_check"] = with_flows(EVAL_SQL + """
+SELECT stage, count(*) AS n, CAST(0 AS BIGINT) AS differing FROM hev, (VALUES (1), (2)) t(stage) GROUP BY stage
+""")
+
+
+def paths_sql(name: str, tree: dict, nodes: str) -> str:
+    """CTE ``name(id, depth, rule)``: the conditions on the way down to every node."""
+    root = next(n["id"] for n in tree["nodes"] if all(n["id"] not in (m["left"], m["right"]) for m in tree["nodes"]))
+    return f"""
+{name} AS (
+  SELECT {root} AS id, 0 AS depth, CAST('' AS VARCHAR) AS rule
+  UNION ALL
+  SELECT CASE side WHEN 'l' THEN n.lft ELSE n.rgt END, p.depth + 1,
+         p.rule || CASE WHEN p.rule = '' THEN '' ELSE ' AND ' END || n.feature
+         || CASE side WHEN 'l' THEN ' <= ' ELSE ' > ' END || printf('%.2f', n.threshold)
+  FROM {name} p JOIN {nodes} n ON n.id = p.id AND n.lft >= 0, (VALUES ('l'), ('r')) t(side)
+)"""
+
+
+ORACLE["rule_leaf_support"] = with_flows(EVAL_SQL + f""",{paths_sql("pt1", T1, "nd1")},{paths_sql("pt2", T2, "nd2")}
+SELECT 1 AS stage, p.id AS leaf, depth, CASE WHEN rule = '' THEN 'TRUE' ELSE rule END AS rule,
+       CASE WHEN n.value > 0.5 THEN '1' ELSE '0' END AS label, n.value AS confidence,
+       (SELECT count(*) FROM lf1 WHERE lf1.leaf = p.id) AS n
+FROM pt1 p JOIN nd1 n ON n.id = p.id AND n.lft < 0
+UNION ALL
+SELECT 2, p.id, depth, CASE WHEN rule = '' THEN 'TRUE' ELSE rule END, {T2_CLASSES}[CAST(n.value AS INT) + 1], n.conf,
+       (SELECT count(*) FROM lf2 WHERE lf2.leaf = p.id)
+FROM pt2 p JOIN nd2 n ON n.id = p.id AND n.lft < 0
+""")
+
+# thresholds as the text has them
+_T2_TEXT = {**T2, "nodes": [{**n, "threshold": None if n["threshold"] is None else float(f"{n['threshold']:.2f}")}
+                            for n in T2["nodes"]]}
+ORACLE["rule_text_score"] = with_flows(f""",
+{nodes_sql("nd2", _T2_TEXT)},{walk_sql("lf2", _T2_TEXT, "nd2", "flows")}
+SELECT row_id, {T2_CLASSES}[CAST(value AS INT) + 1] AS label FROM lf2
+""")
+
+ORACLE["parts_without_constants"] = with_flows(three_way_sql("flows", "target_tipo", "s") + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT part, '{c}' AS "column", count("{c}") AS n FROM sparts
+WHERE (SELECT count("{c}") < 2 OR min("{c}") <> max("{c}") FROM sparts WHERE part = 'train') GROUP BY part"""
+    for c in S2_FEATS))
+
+ORACLE["population_scaler"] = ORACLE["scaler_stats"]

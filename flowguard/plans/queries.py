@@ -362,16 +362,17 @@ def trained(spark, sf_dir, stage: int, family: str):
 def _stage_report(spark, sf_dir, stage, family):
     bundle, rep = trained(spark, sf_dir, stage, family)
     table = rep["test"] if stage == 1 else rep["test_report"]
-    grid = spark.createDataFrame([(f"cv {params}", score) for _, params, score in rep["cv"]], "label string, f1 double")
+    grid = spark.createDataFrame([(f"cv {name} {params}" if family == "all" else f"cv {params}", score)
+                                  for name, params, score in rep["cv"]], "label string, f1 double")
     rows = table.unionByName(grid, allowMissingColumns=True)
     return rows.withColumns({"family": F.lit(bundle.family), "threshold": F.lit(float(bundle.threshold))})
 
 
 for _stage in (1, 2):
-    for _fam in ("rf", "dt", "lr"):
+    for _fam in ("rf", "dt", "lr", "all"):
         def _q(spark, sf_dir, _s=_stage, _f=_fam):
             return _stage_report(spark, sf_dir, _s, _f)
-        _q.__doc__ = (f"Stage {_stage} {_fam}: report on the test part, and a row with the cross-validated F1 of every "
+        _q.__doc__ = (f"Stage {_stage} {_fam} (all: the best of one search over all three): report on the test part, and a row with the cross-validated F1 of every "
                       "point of the grid.")
         register(f"stage{_stage}_{_fam}")(_q)
 
@@ -387,7 +388,7 @@ def _cascade(spark, sf_dir, family):
     return report.unionByName(missed, allowMissingColumns=True).withColumn("threshold", F.lit(float(b1.threshold)))
 
 
-for _fam in ("rf", "dt", "lr"):
+for _fam in ("rf", "dt", "lr", "interpretable"):
     def _q(spark, sf_dir, _f=_fam):
         return _cascade(spark, sf_dir, _f)
     _q.__doc__ = f"The trained {_fam} cascade on the holdout: classification report and missed attacks."
@@ -455,3 +456,118 @@ def q_scaler_stats(spark, sf_dir):
 def q_profile(spark, sf_dir):
     """The profile job's report in long form."""
     return P.profile_report(flows_from_events(spark, sf_dir, with_source=True).drop(S.ROW_ID), [], "source")
+
+
+# --- saved bundles, rule text, fitted preparation ----------------------------------
+
+import uuid  # noqa: E402
+
+from flowguard.session import checkpoint_dir  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), name, uuid.uuid4().hex)
+
+
+def bundle_scored(spark, sf_dir, family: str = "dt"):
+    """The upload scored by both stages of a family, saved and loaded again."""
+    from flowguard.plans import jobs as J
+    from flowguard.plans import scoring as SC
+    folder = _scratch(spark, "bundles")
+    for stage in (1, 2):
+        J.save_bundle(spark, trained(spark, sf_dir, stage, family)[0], f"{folder}/{family}_stage{stage}")
+    one, two = (SC.first_bundle(spark, folder, [f"{family}_stage{stage}", f"stage{stage}"]) for stage in (1, 2))
+    return SC.score_upload(flows_csv_from_events(spark, sf_dir), one, two, keep=[S.ROW_ID])
+
+
+@register("bundle_alerts")
+def q_bundle_alerts(spark, sf_dir):
+    """The uploaded table scored by the saved and reloaded decision-tree bundles."""
+    return bundle_scored(spark, sf_dir)
+
+
+@register("bundle_row_check")
+def q_bundle_row_check(spark, sf_dir):
+    """Of the upload scored by saved bundles: its rows, and those whose results break the rules of a report."""
+    hit = F.col(C.ALERT) == S.ALERT_ATTACK
+    broken = (F.when(hit, F.col(C.TYPE_CONFIDENCE).isNull() | (F.col(C.ATTACK_TYPE) == S.TYPE_NOT_APPLICABLE))
+              .otherwise(F.col(C.TYPE_CONFIDENCE).isNotNull() | (F.col(C.ATTACK_TYPE) != S.TYPE_NOT_APPLICABLE)))
+    return bundle_scored(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(S.ROW_ID).alias("ids"),
+                                            F.sum(broken.cast("long")).alias("broken"))
+
+
+@register("compiled_tree_check")
+def q_compiled_tree_check(spark, sf_dir):
+    """Both interpretable stages on the holdout, as models and compiled to columns: rows, and rows that differ."""
+    from flowguard.plans import jobs as J
+    rows = holdout_eval(spark, sf_dir)
+    out = None
+    for stage in (1, 2):
+        bundle, tree = trained(spark, sf_dir, stage, "interpretable")[0], _interpretable_tree(spark, sf_dir, stage)
+        if stage == 1:
+            both = J.stage1_probability(bundle, rows)
+            differs = F.abs(R.score_columns(tree)["p"] - F.col(C.P_ATTACK)) > 1e-12
+        else:
+            both = J.stage2_predict(bundle, rows)
+            own = R.score_columns(tree)
+            differs = (own["label"] != F.col("predicted_tipo")) | (
+                F.abs(own["confidence"] - F.col("type_confidence")) > 1e-12)
+        one = both.agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("n"), F.sum(differs.cast("long")).alias("differing"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("rule_leaf_support")
+def q_rule_leaf_support(spark, sf_dir):
+    """Every leaf of the exported trees as a rule, with the rows of the holdout that reach it."""
+    t1, _, t2 = rule_trees()
+    rows = cut(holdout_eval(spark, sf_dir).select(R.leaf_expr(t1).alias("s1"), R.leaf_expr(t2).alias("s2")))
+    out = None
+    for stage, tree in ((1, t1), (2, t2)):
+        n = rows.groupBy(F.col(f"s{stage}").alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
+        one = R.rules_table(spark, tree).join(n, "leaf", "left").select(
+            F.lit(stage).alias("stage"), "leaf", "depth", "rule", "label", "confidence", F.coalesce("n", F.lit(0)).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("rule_text_score")
+def q_rule_text_score(spark, sf_dir):
+    """The exported stage-2 tree written as text (two decimals), read and parsed again, over all clean flows."""
+    path = _scratch(spark, "rules")
+    R.write_rules_text(spark, rule_trees()[2], path)
+    tree = R.tree_from_text(spark, path)
+    return flows_clean(spark, sf_dir).select(S.ROW_ID, R.score_columns(tree)["label"].alias("label"))
+
+
+@register("parts_without_constants")
+def q_parts_without_constants(spark, sf_dir):
+    """The feature columns that each part keeps once those constant on the training part are removed from all, and how
+    many values they have there."""
+    from flowguard.operators.prepare import ConstantColumnRemover
+    parts = SM.three_way_split(flows_clean(spark, sf_dir), S.TARGET_FAMILY)
+    feats = split_features(parts, [SM.PART])
+    parts = cut(parts.select(SM.PART, *[F.col(f"`{c}`") for c in feats]))
+    kept = ConstantColumnRemover(inputCols=feats).fit(parts.where(F.col(SM.PART) == "train"))
+    rest = kept.transform(parts)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("v")) for c in kept.kept()]))
+    return rest.select(SM.PART, cells.alias("c")).groupBy(SM.PART, F.col("c.column").alias("column")).agg(
+        F.count("c.v").alias("n"))
+
+
+@register("population_scaler")
+def q_population_scaler(spark, sf_dir):
+    """Means and population deviations of the scaler fitted on the stage-1 training part, saved and loaded again."""
+    from pyspark.ml.feature import VectorAssembler
+    from flowguard.operators.prepare import ConstantColumnRemover, PopulationScaler, PopulationScalerModel
+    train = stage1_train(spark, sf_dir)
+    feats = split_features(train, [SM.PART])
+    train = cut(train.select(*[F.col(f"`{c}`") for c in feats]))
+    feats = ConstantColumnRemover(inputCols=feats).fit(train).kept()
+    rows = VectorAssembler(inputCols=feats, outputCol="raw").transform(train)
+    path = _scratch(spark, "scalers")
+    PopulationScaler(inputCol="raw", outputCol="scaled").fit(rows).write().save(path)
+    scaler = PopulationScalerModel.load(path)
+    found = zip(feats, scaler.getOrDefault(scaler.mean), scaler.getOrDefault(scaler.std), strict=True)
+    return spark.createDataFrame(list(found), "feature string, mean double, std double").select(
+        "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))

@@ -30,17 +30,16 @@ def flows_from_events(spark: SparkSession, sf_dir: str, with_source: bool = Fals
     ev = read_table(spark, sf_dir, "events")
     eid, v, k = F.col("event_id"), F.col("value"), _k()
     one = F.lit(1.0)
+
+    def attack(k: F.Column) -> F.Column:
+        return (F.when(k < 25, "DDoS").when(k < 45, "DoS Hulk").when(k < 55, "DoS slowloris").when(k < 75, "PortScan")
+                .when(k < 85, "FTP-Patator").when(k < 92, "Bot").otherwise("Web Attack � XSS"))
+
     label = (F.when(eid % 4999 == 0, "Infiltration")
              .when(eid % 53 == 0, "BENIGN")
              .when(eid % 599 == 0, "DDoS")
              .when(v <= 100, F.when(eid % 2 == 0, "BENIGN").otherwise(" Benign "))
-             .when(k < 25, "DDoS")
-             .when(k < 45, "DoS Hulk")
-             .when(k < 55, "DoS slowloris")
-             .when(k < 75, "PortScan")
-             .when(k < 85, "FTP-Patator")
-             .when(k < 92, "Bot")
-             .otherwise("Web Attack � XSS"))
+             .otherwise(F.get(F.transform(F.array(k), attack), F.lit(0))))  # k is read from the JSON once
     return ev.select(
         eid.alias("row_id"),
         (v * F.lit(1000.0)).alias(" Flow Duration"),
