@@ -85,9 +85,10 @@ def paragraphs(text: Column) -> Column:
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """(path, file_id, at, corpus, passage): every line that may be a notice, each such sentence of it and each short
+    """(path, file_id, at, short, passage): every line that may be a notice, each such sentence of it and each short
     notice in the middle of it; every paragraph that may be one, alone and with up to WINDOW - 1 of those that follow;
-    of a licence file its whole text as well."""
+    of a licence file its whole text as well. Passages that are only paragraphs are not compared with the short notices
+    (short is false)."""
     some = rows.where(F.col("is_licence") | F.col("text").rlike(NOTICE))
     may = lambda x: x.rlike(NOTICE)
     plain = lambda x: F.concat(F.lit(" "), F.array_join(terms(x), " "), F.lit(" "))
@@ -97,17 +98,16 @@ def passages(rows: DataFrame) -> DataFrame:
     within = F.transform(F.filter(notices, lambda n: F.contains(F.col("_plain"), n["p"])), lambda n: n["t"])
     of_lines = (lines.withColumn("_plain", plain(F.col("line")))
                 .select("path", "file_id", F.explode(F.array_distinct(F.concat(F.array("line"), sentences, within))).alias("passage"))
-                .withColumn("corpora", F.array(F.lit(0), F.lit(1))))
+                .withColumn("short", F.lit(True)))
     parts = (some.select("path", "file_id", paragraphs(F.col("text")).alias("all"))
              .select("path", "file_id", "all", F.posexplode("all").alias("i", "one")).where(may(F.col("one"))))
     windows = F.transform(F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size("all") - F.col("i"))),
                           lambda k: F.array_join(F.slice("all", F.col("i") + 1, k), "\n"))
-    of_parts = parts.select("path", "file_id", F.explode(windows).alias("passage")).withColumn("corpora", F.array(F.lit(1)))
-    whole = some.where("is_licence").select("path", "file_id", F.col("text").alias("passage"),
-                                            F.array(F.lit(0), F.lit(1)).alias("corpora"))
+    of_parts = parts.select("path", "file_id", F.explode(windows).alias("passage")).withColumn("short", F.lit(False))
+    whole = some.where("is_licence").select("path", "file_id", F.col("text").alias("passage"), F.lit(True).alias("short"))
     return (of_lines.unionByName(of_parts).unionByName(whole)
-            .select("path", "file_id", F.xxhash64("passage").alias("at"), F.explode("corpora").alias("corpus"), "passage")
-            .dropDuplicates(["path", "file_id", "at", "corpus"]))
+            .groupBy("path", "file_id", F.xxhash64("passage").alias("at"))
+            .agg(F.max("short").alias("short"), F.first("passage").alias("passage")))
 
 
 def tagged(rows: DataFrame) -> DataFrame:
@@ -130,20 +130,30 @@ def own_licences(rows: DataFrame) -> DataFrame:
     of the file, if its least cosine or more; ties go to the first name.
 
     Cosines come from sums over shared terms: passages' terms are counted before they meet the templates, whose terms
-    (about ten thousand rows) are broadcast.
+    (about ten thousand rows) are broadcast. Passages are exchanged once, when repeated ones are dropped; all sums of a
+    passage (its norm under template -1, its dots) are made where it lies.
     """
     template, unknown = template_terms(rows.sparkSession)
-    found = cut(passages(rows))  # read several times below; the texts are read for it once
     key = ["path", "file_id", "at", "corpus"]
+    corpora = F.when(F.col("short"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    found = passages(rows).select("path", "file_id", "at", F.explode(corpora).alias("corpus"), "passage")
     tf = found.select(*key, F.explode(terms(F.col("passage"))).alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
-    idf = template.select("corpus", "term", "idf").distinct()
-    known = tf.join(F.broadcast(idf), ["corpus", "term"], "left").withColumn("w", F.col("tf") * F.coalesce("idf", unknown))
-    norms = known.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = (known.join(F.broadcast(template.drop("idf")), ["corpus", "term"])
-            .groupBy(*key, "template", "licence", "least").agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
+    about = template.groupBy("corpus", "term").agg(
+        F.first("idf").alias("idf"), F.collect_list(F.struct("template", "weight")).alias("in"))
+    known = tf.join(F.broadcast(about), ["corpus", "term"], "left").withColumn("w", F.col("tf") * F.coalesce("idf", unknown))
+    square = F.struct(F.lit(-1).alias("template"), (F.col("w") * F.col("w")).alias("x"))
+    dots = F.transform(F.coalesce("in", F.array().cast("array<struct<template:int,weight:double>>")),
+                       lambda t: F.struct(t["template"].alias("template"), (F.col("w") * t["weight"]).alias("x")))
+    sums = (known.select(*key, F.explode(F.concat(F.array(square), dots)).alias("s"))
+            .groupBy(*key, F.col("s.template").alias("template")).agg(F.sum("s.x").alias("x")))
+    norm = F.sqrt(F.max(F.when(F.col("template") == -1, F.col("x"))))
+    near = sums.groupBy(*key).agg(norm.alias("norm"), F.collect_list(F.when(
+        F.col("template") >= 0, F.struct("template", F.col("x").alias("dot")))).alias("dots"))  # at most one a template
+    names = template.select("template", "licence", "least").distinct()
     # equal cosines may differ in their last digits: they are compared and given to nine places
-    cosine = F.round(F.col("dot") / F.col("norm"), 9)
-    near = (dots.join(norms, key).withColumn("score", cosine).where(F.col("score") >= F.col("least"))
+    near = (near.select("path", "file_id", "norm", F.explode("dots").alias("d"))
+            .select("path", "file_id", "d.template", F.round(F.col("d.dot") / F.col("norm"), 9).alias("score"))
+            .join(F.broadcast(names), "template").where(F.col("score") >= F.col("least"))
             .select("path", "file_id", "licence", "score", F.lit(1).alias("rank")))
     tags = tagged(rows).select("path", "file_id", "licence", F.lit(1.0).alias("score"), F.lit(0).alias("rank"))
     return (near.unionByName(tags).groupBy("path", "file_id")

@@ -134,11 +134,7 @@ class Vocabulary:
         return len(self.keys) + SHAPES
 
     def class_of(self, keys: np.ndarray) -> np.ndarray:
-        out = len(self.keys) + (keys & np.uint64(SHAPES - 1)).astype(np.int64)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            out = np.where(self.keys[at] == keys, at, out)
-        return out
+        return class_of(self.keys, keys, len(self.keys))
 
     def shares(self) -> np.ndarray:
         """Unigram shares of the classes, add-one smoothed: the model's start and the noise of its training."""
@@ -146,6 +142,15 @@ class Vocabulary:
         return n / n.sum()
 
 
+def class_of(known: np.ndarray, keys: np.ndarray, n_own: int) -> np.ndarray:
+    """Classes of words: their place among the known ones, else ``n_own`` and their shape."""
+    out = n_own + (keys & np.uint64(SHAPES - 1)).astype(np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        out = np.where(known[at] == keys, at, out)
+    return out
+
+
 class LogBilinear:
     """score(w | u, v) = (one[u] + two[v]) . out[w] + bias[w], u being the word before w and v the one before u."""
     NAMES = ("one", "two", "out", "bias")
@@ -234,22 +239,34 @@ def contexts(classes: np.ndarray, start: np.ndarray, end: int) -> tuple[np.ndarr
     return u, v
 
 
-def one_round(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, number: int) -> np.ndarray | None:
+def class_table(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(classes, starts): the classes of all training tokens, some hundred texts a row, packed; each round reads them."""
+    known, n_own = vocabulary.keys, len(vocabulary.keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of = ShapedKeys()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                keys, first = tokens_of(batch.column(0).slice(at, 500).to_pylist(), keys_of)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([packed(class_of(known, keys, n_own))], pa.binary()), pa.array([packed(first)], pa.binary())],
+                    ["classes", "starts"])
+
+    return cut(docs.where("NOT held_out").select("text").mapInArrow(run, "classes binary, starts binary"))
+
+
+def one_round(tokens: DataFrame, shares: np.ndarray, end: int, start: np.ndarray, number: int) -> np.ndarray | None:
     """Every task trains on all its training texts from the same parameters; the results are averaged by tokens, in
     groups of FAN_IN, until one is left."""
-    shares = vocabulary.shares()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        keys_of, model = ShapedKeys(), LogBilinear(shares).load(start)
+        model = LogBilinear(shares).load(start)
         rng, seen, n = np.random.default_rng((number, part)), {}, 0
-        end = int(vocabulary.class_of(np.array([END]))[0])
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                keys, first = tokens_of(batch.column(0).slice(at, 500).to_pylist(), keys_of)
-                w = vocabulary.class_of(keys)
+            for classes, starts in zip(batch.column(0), batch.column(1), strict=True):
+                w, first = unpacked(classes.as_py()), unpacked(starts.as_py())
                 model.train(*contexts(w, first, end), w, rng, seen)
                 n += len(w)
         if n:
@@ -262,7 +279,7 @@ def one_round(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, number
                              "sums": [sums.tobytes()]})
 
     schema = "part long, n double, sums binary"
-    models = cut(docs.where("NOT held_out").select("text").mapInArrow(run, schema))
+    models = cut(tokens.mapInArrow(run, schema))
     left = models.agg(F.max("part")).first()[0]
     if left is None:
         return None
@@ -290,31 +307,35 @@ def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "
     counts = cut(added_up(block_words(blocks, bits), OWN))
     vocabulary = Vocabulary.of(counts, OWN)
     model = LogBilinear(vocabulary.shares())
+    end = int(vocabulary.class_of(np.array([END]))[0])
+    tokens = class_table(docs, vocabulary)
     for number in range(ROUNDS):
-        learned = one_round(docs, vocabulary, model.parameters(), number)
+        learned = one_round(tokens, vocabulary.shares(), end, model.parameters(), number)
         if learned is not None:
             model.load(learned)
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, *model.tables()))  # bounded by OWN, about 6 MB
+    # plain arrays, bounded by OWN, about 6 MB: workers need no copy of this package to read them
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary.keys, vocabulary.rare, *model.tables()))
+    train_tokens, train_distinct = vocabulary.tokens, vocabulary.distinct
 
     def run(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        known, parts, norm = held.value
+        known, rare_counts, parts, norm = held.value
         keys, start = tokens_of(pdf["text"].tolist(), ShapedKeys())
         own, at = np.unique(keys, return_inverse=True)
         of_own = np.concatenate([unpacked(x) for x in found.sort_values("n")["counts"]])
         if len(of_own) != len(own):
             raise ValueError(f"a block has {len(own)} distinct words, but {len(of_own)} counts")
-        class_own = known.class_of(own)
-        rare = class_own >= len(known.keys)
+        class_own = class_of(known, own, len(known))
+        rare = class_own >= len(known)
         plus = np.log10(of_own + 1.0)
-        within = np.where(rare, plus - np.log10(known.rare[np.where(rare, class_own - len(known.keys), 0)]), 0.0)
+        within = np.where(rare, plus - np.log10(rare_counts[np.where(rare, class_own - len(known), 0)]), 0.0)
         w = class_own[at]
-        u, v = contexts(w, start, int(known.class_of(np.array([END]))[0]))
+        u, v = contexts(w, start, end)
         logs = (parts[0][u, w] + parts[1][v, w] - norm[u, v]) / math.log(10) + within[at]
         n = np.diff(np.r_[start, len(keys)])
         return pd.DataFrame({
             "doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n,
-            "n_known": np.add.reduceat((of_own > 0)[at].astype(np.int64), start), "train_tokens": known.tokens,
-            "base_score": np.add.reduceat(plus[at], start) - n * math.log10(known.tokens + known.distinct + 1),
+            "n_known": np.add.reduceat((of_own > 0)[at].astype(np.int64), start), "train_tokens": train_tokens,
+            "base_score": np.add.reduceat(plus[at], start) - n * math.log10(train_tokens + train_distinct + 1),
             "score": np.add.reduceat(logs, start)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -164,14 +164,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(h, cls, lead): members of the band buckets of two classes or more. lead is the member that meets most others
-    in all its buckets together: among near copies of one text, most often that text."""
+    """(h, cls, lead, degree): members of the band buckets of two classes or more. lead is the member that meets most
+    others in all its buckets together (degree): among near copies of one text, most often that text."""
     rows = classes.select("cls", F.explode("bands").alias("h"))
     many = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     members = cut(rows.join(many, "h"))
     degree = members.groupBy("cls").agg(F.sum("n").alias("degree"))
     ranked = members.join(degree, "cls").select("h", "cls", F.struct("degree", "cls").alias("rank"))
-    leads = ranked.groupBy("h").agg(F.max("rank").alias("best")).select("h", F.col("best.cls").alias("lead"))
+    leads = ranked.groupBy("h").agg(F.max("rank").alias("best")).select(
+        "h", F.col("best.cls").alias("lead"), F.col("best.degree").alias("degree"))
     return members.select("h", "cls").join(leads, "h")
 
 
@@ -187,26 +188,37 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     and one not joined through a bucket's lead whose sketches differ too much (see SIGMAS).
     """
     rows = cut(signatures(df, doc_id, text, size))
+    # classes go by a number from here on
     heads = cut(rows.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("h")).select(
-        "cls", F.col("h.doc_id").alias("rep"), F.col("h.text_hash").alias("rep_hash")))
-    head_of = [F.col("cls") == F.col("_c"), F.col("doc_id") == F.col("rep"), F.col("text_hash") == F.col("rep_hash")]
-    classes = rows.join(heads.withColumnRenamed("cls", "_c"), head_of).select("cls", "bands")
-    members = cut(buckets(classes))
-    about = cut(rows.join(heads.withColumnRenamed("cls", "_c"), head_of).join(
-        members.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("n_shingles").alias("n"), "sketch"))
-    texts = cut(texts_of(df, members.select("cls").distinct().join(heads, "cls"), doc_id, text))
+        F.col("cls").alias("digest"), F.col("h.doc_id").alias("rep"), F.col("h.text_hash").alias("rep_hash"))
+        .withColumn("cls", F.monotonically_increasing_id()))
+    of_heads = rows.withColumnRenamed("cls", "digest").join(heads.withColumnRenamed("digest", "_d"), [
+        F.col("digest") == F.col("_d"), F.col("doc_id") == F.col("rep"), F.col("text_hash") == F.col("rep_hash")])
+    members = cut(buckets(of_heads.select("cls", "bands")))
+    mine = members.select("cls").distinct()
+    about = cut(of_heads.select("cls", F.col("n_shingles").alias("n"), "sketch").join(mine, "cls", "left_semi"))
+    texts = cut(texts_of(df, heads.join(mine, "cls", "left_semi"), doc_id, text))
     linked = F.expr(f"100 * both >= {percent} * either")
-    star = members.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-    stars = cut(tested(star, texts, size))
+    # each class against the best lead that it meets, then all leads of the buckets that this leaves open
+    star = members.where("cls != lead")
+    best = star.groupBy("cls").agg(F.max(F.struct("degree", "lead")).alias("b")).select(F.col("b.lead").alias("a"), F.col("cls").alias("b"))
+    stars = cut(tested(best, texts, size))
     roots = components(stars.where(linked))
+    stray = in_components(members, roots).where("root != lead_root").select("h").distinct()
+    rest = (star.join(stray, "h", "left_semi").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
+            .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    later = cut(tested(rest, texts, size))
+    if not later.where(linked).isEmpty():
+        roots = components(edges_of(roots).unionByName(later.where(linked).select("a", "b")))
+    stars = stars.unionByName(later)
     more = cut(tested(open_pairs(members, about, stars, roots, percent), texts, size).where(linked))
     if not more.isEmpty():
-        roots = components(stars.where(linked).unionByName(more))
+        roots = components(edges_of(roots).unionByName(more.select("a", "b")))
     named = heads.join(roots, "cls")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
     found = heads.join(named.select("cls", "root").join(least, "root").select("cls", "least"), "cls", "left").select(
-        "cls", F.coalesce("least", "rep").alias("_component"))
+        F.col("digest").alias("cls"), F.coalesce("least", "rep").alias("_component"))
     return rows.drop("bands", "sketch").join(found, "cls", "left").select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -235,29 +247,42 @@ def not_excluded(percent: int) -> Column:
     return 100 * most >= percent * (F.col("na") + F.col("nb") - most)
 
 
-def open_pairs(members: DataFrame, about: DataFrame, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component yet. One of them is outside its lead's component; both meet by
-    bucket and size class, as sizes of linked sets differ by the limit at most."""
+def edges_of(roots: DataFrame) -> DataFrame:
+    return roots.where("cls != root").select(F.col("cls").alias("a"), F.col("root").alias("b"))
+
+
+def in_components(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the roots of class and lead (themselves, if nothing links them)."""
     of_lead = roots.select(F.col("cls").alias("lead"), F.col("root").alias("lead_root"))
-    known = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), "both", "has")
-    buckets_of = members.groupBy("cls").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # BANDS at most
-    all_ = (members.join(known, ["lead", "cls"]).join(roots, "cls", "left").join(of_lead, "lead", "left")
-            .join(about.join(buckets_of, "cls"), "cls").withColumn("size", F.floor(F.log("n") / -math.log(percent / 100) + F.lit(1e-9)))
-            .select("h", "hs", "cls", "n", "sketch", "has", (F.col("n") - F.col("both")).alias("others"), "size",
-                    F.coalesce("root", "cls").alias("root"), F.coalesce("lead_root", "lead").alias("lead_root")))
-
-    def side(rows: DataFrame, x: str) -> DataFrame:
-        return rows.select("h", "size", F.col("cls").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x),
-                           F.col("has").alias("h" + x), F.col("others").alias("o" + x), F.col("root").alias("r" + x),
-                           F.col("hs").alias("hs" + x), "lead_root")
+    return (members.join(roots, "cls", "left").join(of_lead, "lead", "left")
+            .withColumns({"root": F.coalesce("root", "cls"), "lead_root": F.coalesce("lead_root", "lead")}))
 
+
+def open_pairs(members: DataFrame, about: DataFrame, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a bucket but no component yet. One of them is outside its lead's component; both meet by
+    bucket and size class, as sizes of linked sets differ by the limit at most. Only numbers meet there; sketches and
+    what the lead's tests told are looked up for the pairs that are left, each once."""
+    size = F.floor(F.log("n") / -math.log(percent / 100) + F.lit(1e-9)).cast("int")
+    all_ = in_components(members, roots).select("h", "cls", "lead", "root", "lead_root")
     stray = all_.where("root != lead_root")
-    other = all_.join(stray.select("h").distinct(), "h", "left_semi").withColumn(
-        "size", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1)))
-    # a pair of several buckets is named in the first of them
-    first = F.get(F.array_intersect("hsa", "hsb"), 0) == F.col("h")
-    may = F.expr("ra != rb AND (rb = lead_root OR a < b)") & plausible(percent) & not_excluded(percent) & first
-    return side(stray, "a").drop("lead_root").join(side(other, "b"), ["h", "size"]).where(may).select("a", "b").distinct()
+    near = all_.join(stray.select("h").distinct(), "h", "left_semi").join(about.select("cls", "n"), "cls").withColumn("size", size)
+    # small rows, read by both sides of the join
+    near = cut(near.select("h", "size", "cls", "n", "root", "lead", "lead_root"))
+    one = near.where("root != lead_root").select(
+        "h", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1)).alias("size"), F.col("cls").alias("a"),
+        F.col("n").alias("na"), F.col("root").alias("ra"))
+    two = near.select("h", "size", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "lead", "lead_root")
+    may = F.expr(f"ra != rb AND (rb = lead_root OR a < b) AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    pairs = one.join(two, ["h", "size"]).where(may).groupBy("a", "b").agg(F.min("lead").alias("lead"))
+    for x in ("a", "b"):
+        pairs = pairs.join(about.select(F.col("cls").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x)), x)
+    pairs = pairs.where(plausible(percent))
+    for x in ("a", "b"):
+        told = stars.select(F.col("a").alias("lead"), F.col("b").alias(x), F.col("both").alias("l" + x), F.col("has").alias("h" + x))
+        pairs = pairs.join(told, ["lead", x], "left")
+    known = F.col("la").isNotNull() & F.col("lb").isNotNull()
+    pairs = pairs.withColumns({"oa": F.col("na") - F.col("la"), "ob": F.col("nb") - F.col("lb")})
+    return pairs.where(~known | not_excluded(percent)).select("a", "b")
 
 
 def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80,
@@ -266,9 +291,10 @@ def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     text one stays; rows without id all stay."""
     kept = near_duplicates(df, doc_id, text, percent, size).where("kept AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    mine = df.withColumn("_hash", F.xxhash64(text)).withColumn("_id", F.col(doc_id))
+    mine = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.xxhash64(text).alias("_hash"),
+                     F.col(doc_id).alias("_id"))
     return (mine.where("_id IS NOT NULL").join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-            .unionByName(mine.where("_id IS NULL")).drop("_id", "_hash"))
+            .unionByName(mine.where("_id IS NULL")).select("_row.*"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
