@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import WORD, cut, n_words, read_table
+from flowguard.llm.common import cut, n_words, read_table
 
 #: Golden-ratio points as integers: slot i lies at i * STEP mod PERIOD, STEP / PERIOD being 0.618034.
 PERIOD, STEP = 1 << 31, 1327217885
@@ -139,29 +139,33 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
 
 def mixed_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                     **options) -> DataFrame:
-    """``df``'s rows as often as the mix takes them, all columns. A document of whose words only the first are taken (one
-    of each source and pass at most) has these words for its text, parted by single blanks; one of no words is left out
-    as soon as the mix takes none of it."""
+    """``df``'s rows as often as the mix takes them, all columns, texts whole: a source ends at the boundary of documents
+    nearest to its target, so of the document that the target falls into all is taken or, if less than half of its words
+    lie before the target, nothing.
+
+    Null and empty texts have no words and are left out, as are rows of which the mix takes none; a null id or source is
+    as good as any; repeated rows each have their share. An empty table gives no rows.
+    """
     drawn = (mix(df, doc_id, text, source, **options).groupBy("_src", "_row", "doc_id", "text_hash", "pass", "size")
-             .agg(F.sum("n_words").alias("_taken")).where("_taken > 0"))
+             .agg(F.sum("n_words").alias("_taken")).where("_taken > 0 AND 2 * _taken >= size"))
     one = ["doc_id", "text_hash"]
     # rows equal in id and text are numbered on both sides, so that each meets its own share
-    copies = (drawn.groupBy("_src", "_row", *one, "size").agg(F.collect_list("_taken").alias("_takes"))
+    copies = (drawn.groupBy("_src", "_row", *one).agg(F.count("*").alias("_times"))
               .withColumn("_n", F.row_number().over(Window.partitionBy(*one).orderBy("_row"))))
-    mine = df.withColumn("_id", F.col(doc_id)).withColumn("_hash", F.xxhash64(text)).withColumn(
+    mine = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_all"), F.col(doc_id).alias("_id"),
+                     F.xxhash64(text).alias("_hash")).withColumn(
         "_m", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0))))
-    met = mine.join(copies.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), "_n", "size", "_takes"
-                                  ).withColumnRenamed("size", "_size"), F.col("_id").eqNullSafe(F.col("_i")) & (
-        F.col("_hash") == F.col("_h")) & (F.col("_m") == F.col("_n"))).withColumn("_taken", F.explode("_takes"))
-    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_taken").cast("int")), " ")
-    return met.withColumn(text, F.when(F.col("_taken") < F.col("_size"), first).otherwise(F.col(text))).select(*df.columns)
+    met = mine.join(copies, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")) & (
+        F.col("_m") == F.col("_n")))
+    return met.select("_all", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_all.*")
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mix(read_table(spark, sf_dir, "documents"))
             .groupBy("_src", "_row", "doc_id", "size", "source_size", "target")
-            .agg(F.sum("n_words").cast("long").alias("taken"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .agg(F.sum("n_words").cast("long").alias("taken"), F.min("slot").alias("first_slot"),
+                 F.count("slot").alias("n_slots"))
+            .select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots"))
 
 
 OP2_SQL = r"""
@@ -176,12 +180,29 @@ l AS (SELECT a.source, a.k, a.cap, a.w, a.source_size,
       / (SELECT sum(w) FROM r b WHERE b.k >= a.k) AS level FROM r a),
 t AS (SELECT source, source_size,
       least(cap, w * (SELECT level FROM l x WHERE x.cap / x.w > x.level ORDER BY k LIMIT 1)) AS target FROM l),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
-      least(ceil(t.target - 0.001)::BIGINT, 2 * t.source_size) AS lim,
+u AS (SELECT *, least(ceil(target - 0.001)::BIGINT, 2 * source_size)::BIGINT AS lim,
+      CASE WHEN source IS NULL THEN '-' ELSE 's' || source END AS src FROM t),
+h AS (SELECT src, ceil(lim / 256.0)::BIGINT AS needed, row_number() OVER (ORDER BY src) AS rk,
+      floor(sum(lim) OVER (ORDER BY src)::DOUBLE / (SELECT sum(lim) FROM u)::DOUBLE * 2147483648)::BIGINT AS hi,
+      floor((sum(lim) OVER (ORDER BY src) - lim)::DOUBLE / (SELECT sum(lim) FROM u)::DOUBLE * 2147483648)::BIGINT AS lo
+      FROM u WHERE lim > 0),
+n AS (SELECT ceil(sum(lim) / 256.0)::BIGINT AS n FROM u),
+g AS (SELECT i AS slot, (i % 2147483648) * 1327217885 % 2147483648 AS spot FROM (SELECT unnest(range(n)) AS i FROM n)),
+k AS (SELECT slot, src, needed, row_number() OVER (PARTITION BY src ORDER BY slot) - 1 AS block
+      FROM g JOIN h ON spot >= lo AND spot < hi),
+c AS (SELECT src, rk, needed, (SELECT count(*) FROM k WHERE k.src = h.src) AS got FROM h),
+e AS (SELECT slot, src, block FROM k WHERE block < needed
+      UNION ALL SELECT (SELECT n FROM n) + (block - got) * 1048576 + rk, src, block
+      FROM (SELECT *, unnest(range(got, needed)) AS block FROM c WHERE got < needed)),
+p AS (SELECT row_number() OVER () AS i, d.doc_id, d.size, t.source_size, t.target, t.src, lim,
       sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || d.doc_id::VARCHAR), d.doc_id
                         ROWS UNBOUNDED PRECEDING) - d.size AS a
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+      FROM d JOIN u t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT i, src, a + z * source_size AS x, least(a + z * source_size + size, lim) AS y FROM p, range(2) r(z)),
+v AS (SELECT i, src, unnest(range((x // 256)::BIGINT, ((y - 1) // 256 + 1)::BIGINT)) AS block FROM q WHERE y > x),
+o AS (SELECT i, min(slot) AS first_slot, count(*) AS n_slots FROM v JOIN e USING (src, block) GROUP BY i)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(lim, a + size) - a)
-        + greatest(0, least(lim, a + source_size + size) - a - source_size))::BIGINT AS taken FROM p
+        + greatest(0, least(lim, a + source_size + size) - a - source_size))::BIGINT AS taken,
+       first_slot, coalesce(n_slots, 0) AS n_slots FROM p LEFT JOIN o USING (i)
 """

@@ -129,7 +129,10 @@ def shard_documents(df: DataFrame, shards: int = 24, doc_id: str = "doc_id", tex
     crosses, where that is more than the tolerance. Repeated rows count one by one. An empty table gives no rows. Columns of
     these names in ``df`` are replaced. Nothing depends on partitions or task order, so retried tasks agree.
     """
-    keyed = with_keys(df, doc_id, text)
+    given = {"size", "text_crc32", "law", "shard", "slot"}
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))  # keeps helper names apart
+    doc_id = f"_row.`{doc_id}`"
+    keyed = with_keys(row, doc_id, f"_row.`{text}`")
     keys = cut(keyed.select("size", "_k1", "_k2"))
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -146,7 +149,7 @@ def shard_documents(df: DataFrame, shards: int = 24, doc_id: str = "doc_id", tex
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy("_k1", "_k2", doc_id))
     return (placed(keyed).join(counts, cell)
             .withColumns({"slot": (F.col("_before") + rank - 1).cast("long"), "law": F.lit("bytes")})
-            .drop("_k1", "_k2", "_c1", "_c2", "_before"))
+            .select(*[F.col(f"_row.`{c}`") for c in df.columns if c not in given], "size", "text_crc32", "law", "shard", "slot"))
 
 
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

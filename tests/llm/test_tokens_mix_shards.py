@@ -106,11 +106,22 @@ def test_mix_of_edge_rows(edge, empty):
     assert mixing.mixed_documents(edge).where("doc_id = 7").count() <= 4
 
 
-def test_mixed_documents_have_the_words_taken(spark):
+def test_mixed_documents_end_at_the_boundary_nearest_to_the_target(spark):
     df = corpus(spark)
-    words = lambda d: d.select(n_words("text").alias("n"), "source").groupBy("source").sum("n").collect()
-    taken = {r["source"]: r["n"] for r in mixing.mix(df).groupBy("source").agg({"n_words": "sum"}).withColumnRenamed("sum(n_words)", "n").collect()}
-    assert {r["source"]: r["sum(n)"] for r in words(mixing.mixed_documents(df))} == {s: n for s, n in taken.items() if n}
+    whole = {(r["doc_id"], r["text"]) for r in df.collect()}
+    got = mixing.mixed_documents(df).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} <= whole
+    pieces = mixing.mix(df).groupBy("_src", "_row", "source", "pass", "size").agg({"n_words": "sum"}).withColumnRenamed("sum(n_words)", "n")
+    want, words = collections.Counter(), collections.Counter()
+    for r in pieces.where("n > 0").collect():
+        want[r["source"]] += r["size"] * (2 * r["n"] >= r["size"])
+    for r in got:
+        words[r["source"]] += len((r["text"] or "").split())
+    assert words == want
+    targets = {r["source"]: (r["target"], r["most"]) for r in mixing.mix(df).groupBy("source").agg(
+        {"target": "max", "size": "max"}).toDF("source", "a", "b").selectExpr("source", "greatest(a, b) AS x", "least(a, b) AS y")
+        .selectExpr("source", "x AS target", "y AS most").collect()}
+    assert all(abs(words[s] - t) <= m for s, (t, m) in targets.items() if t)
 
 
 def shards_of(rows, shards):
