@@ -163,7 +163,7 @@ def mixed_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mix(read_table(spark, sf_dir, "documents"))
             .groupBy("_src", "_row", "doc_id", "size", "source_size", "target")
-            .agg(F.sum("n_words").cast("long").alias("taken"), F.min("slot").alias("first_slot"),
+            .agg(F.sum("n_words").cast("long").alias("taken"), F.coalesce(F.min("slot"), F.lit(-1)).alias("first_slot"),
                  F.count("slot").alias("n_slots"))
             .select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots"))
 
@@ -204,5 +204,5 @@ o AS (SELECT i, min(slot) AS first_slot, count(*) AS n_slots FROM v JOIN e USING
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(lim, a + size) - a)
         + greatest(0, least(lim, a + source_size + size) - a - source_size))::BIGINT AS taken,
-       first_slot, coalesce(n_slots, 0) AS n_slots FROM p LEFT JOIN o USING (i)
+       coalesce(first_slot, -1) AS first_slot, coalesce(n_slots, 0) AS n_slots FROM p LEFT JOIN o USING (i)
 """

@@ -260,29 +260,24 @@ def in_components(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 def open_pairs(members: DataFrame, about: DataFrame, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a bucket but no component yet. One of them is outside its lead's component; both meet by
-    bucket and size class, as sizes of linked sets differ by the limit at most. Only numbers meet there; sketches and
-    what the lead's tests told are looked up for the pairs that are left, each once."""
+    bucket and size class, as sizes of linked sets differ by the limit at most. In the buckets that have such classes all
+    members were tested against the lead, which with sketches and sizes rules most pairs out as they meet."""
     size = F.floor(F.log("n") / -math.log(percent / 100) + F.lit(1e-9)).cast("int")
     all_ = in_components(members, roots).select("h", "cls", "lead", "root", "lead_root")
-    stray = all_.where("root != lead_root")
-    near = all_.join(stray.select("h").distinct(), "h", "left_semi").join(about.select("cls", "n"), "cls").withColumn("size", size)
-    # small rows, read by both sides of the join
-    near = cut(near.select("h", "size", "cls", "n", "root", "lead", "lead_root"))
-    one = near.where("root != lead_root").select(
-        "h", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1)).alias("size"), F.col("cls").alias("a"),
-        F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = near.select("h", "size", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "lead", "lead_root")
-    may = F.expr(f"ra != rb AND (rb = lead_root OR a < b) AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    pairs = one.join(two, ["h", "size"]).where(may).groupBy("a", "b").agg(F.min("lead").alias("lead"))
-    for x in ("a", "b"):
-        pairs = pairs.join(about.select(F.col("cls").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x)), x)
-    pairs = pairs.where(plausible(percent))
-    for x in ("a", "b"):
-        told = stars.select(F.col("a").alias("lead"), F.col("b").alias(x), F.col("both").alias("l" + x), F.col("has").alias("h" + x))
-        pairs = pairs.join(told, ["lead", x], "left")
-    known = F.col("la").isNotNull() & F.col("lb").isNotNull()
-    pairs = pairs.withColumns({"oa": F.col("na") - F.col("la"), "ob": F.col("nb") - F.col("lb")})
-    return pairs.where(~known | not_excluded(percent)).select("a", "b")
+    stray = all_.where("root != lead_root").select("h").distinct()
+    told = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), "both", "has")
+    near = (all_.join(stray, "h", "left_semi").join(told, ["lead", "cls"]).join(about, "cls")
+            .withColumns({"size": size, "others": F.col("n") - F.col("both")}))
+    near = cut(near.select("h", "size", "cls", "n", "root", "lead_root", "others", "sketch", "has"))
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("h", "size", "lead_root", *[F.col(c).alias(n + x) for c, n in (
+            ("cls", ""), ("n", "n"), ("root", "r"), ("others", "o"), ("sketch", "s"), ("has", "h"))])
+
+    one = side(near.where("root != lead_root").withColumn(
+        "size", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1))), "a").drop("lead_root")
+    may = F.expr("ra != rb AND (rb = lead_root OR a < b)") & plausible(percent) & not_excluded(percent)
+    return one.join(side(near, "b"), ["h", "size"]).where(may).select("a", "b").distinct()
 
 
 def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80,

@@ -30,14 +30,14 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 WORD_ENDS = b"\x20\x09"
 LEAST, LONGEST, TOP = 10, 3, 2000
 #: Bytes of text hashed at once (a longer text is hashed whole, alone).
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Bits of a short fingerprint. Runs that share one only make a sum larger, so no frequent run is lost.
 SHORT = 48
 #: Bits of the map of frequent runs' short fingerprints (their first bits) that spares most rare runs the shuffle, and of
 #: the number of its slices. Its size is fixed (16 MB): with more runs it lets more through, and the sums decide.
 MAP_BITS, SLICE_BITS = 27, 6
 #: Sums that a task holds before it sends them; bytes of text for each bucket of sums, about.
-HELD, BUCKET_BYTES = 2_000_000, 16 << 20
+HELD, BUCKET_BYTES = 500_000, 16 << 20
 #: Rows of a language that one task ranks.
 RANKED = 10_000
 
