@@ -1,9 +1,14 @@
 """Language-model scores: a log-bilinear neural model, trained in numpy by noise-contrastive estimation.
 
-The model predicts a word's class from the two words before it. Classes are the most frequent training words, one each,
-and a few classes of other words by their shape; within those a word has its add-one share. Counts of every training
-word come from an exact join: blocks of documents send their distinct words to buckets, which add up and send back the
-counts.
+The model has two levels. The first predicts a word's class from the classes of the two words before it: the most frequent
+training words are classes of their own, the other frequent ones share classes, all the rest fall into a few classes by
+their shape. The second predicts, from the class of the word before, which word of a shared class it is; every word of
+such a class has a vector of its own. How many words are frequent grows with the corpus, as the square root of its size,
+and so do the shared classes. Rare words have their add-one share of their shape.
+
+Texts are cut into words once: blocks of documents keep their distinct words and the tokens as places among these.
+Counts of every training word come from an exact join: blocks send their distinct words to buckets, which add up and
+send back the counts.
 """
 
 from __future__ import annotations
@@ -20,14 +25,20 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.common import WORD_CACHE, crc_of_id, cut, packed, read_table, unpacked, words_of
 
-#: Words with a class of their own; dimensions; noise words and tokens of a step; rounds over all training texts.
-OWN, DIM, NOISE, STEP, ROUNDS, RATE = 504, 24, 64, 2048, 2, 0.1
+#: Most words that are a class of their own; dimensions; noise classes and tokens of a step; rounds over all training
+#: texts. (More frequent words than HEAD share classes and are told apart at the second level.)
+HEAD, DIM, NOISE, STEP, ROUNDS, RATE = 504, 24, 64, 2048, 2, 0.1
+#: Noise words of a token at the second level.
+FAR_NOISE = 5
+#: A word is frequent if training texts hold it this often: the square root of the corpus's bytes by RARER, but LEAST at
+#: the least. So 16 times the text gives about four times the words, at most RARER * sqrt(bytes).
+LEAST, RARER = 4, 40
 #: Shapes of words (the low bits of their keys): four kinds of last character, with or without other than ASCII.
 SHAPES = 8
 #: Text bytes of a block of documents, about.
 BLOCK_BYTES = 8_000_000
-#: Partial models that are averaged in one group.
-FAN_IN = 16
+#: Partial models that are averaged in one group; parameters of a row.
+FAN_IN, PIECE = 16, 1 << 20
 END = np.uint64(SHAPES - 1)
 COUNT_SCHEMA = ("kind int, block long, counts binary, n long, v long, shape_n array<long>, shape_v array<long>, "
                 "top array<struct<key:long,n:long>>")
@@ -60,26 +71,77 @@ def tokens_of(texts, keys_of: ShapedKeys) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.zeros(0, np.uint64), start
 
 
+def tokenised(docs: DataFrame) -> DataFrame:
+    """(block, ids, held, keys, at, starts): documents in blocks of about BLOCK_BYTES, cut where they are read, so that no
+    id and no source makes a block larger. ``keys``: the block's distinct words, sorted; ``at``: each token's place among
+    them; ``starts``: the first token of each document."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first, number, keys_of = TaskContext.get().partitionId() << 32, 0, ShapedKeys()
+        ids, held, texts, size = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            keys, starts = tokens_of(texts, keys_of)
+            own, at = np.unique(keys, return_inverse=True)
+            values = pa.concat_arrays(ids)
+            return pa.RecordBatch.from_arrays([
+                pa.array([first + number], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values),
+                pa.array([np.concatenate(held).tobytes()], pa.binary()), pa.array([own.astype("<u8").tobytes()], pa.binary()),
+                pa.array([packed(at)], pa.binary()), pa.array([packed(starts)], pa.binary())],
+                ["block", "ids", "held", "keys", "at", "starts"])
+
+        for batch in batches:
+            begin, flags = 0, batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for i, text in enumerate(batch.column(2)):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= BLOCK_BYTES or i + 1 == batch.num_rows:
+                    ids.append(batch.column(0).slice(begin, i + 1 - begin))
+                    held.append(flags[begin:i + 1])
+                    begin = i + 1
+                if size >= BLOCK_BYTES:
+                    yield block()
+                    ids, held, texts, size, number = [], [], [], 0, number + 1
+        if texts:
+            yield block()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(
+        run, f"block long, ids array<{kind}>, held binary, keys binary, at binary, starts binary")
+
+
+def decoded(held: bytes, keys: bytes, at: bytes, starts: bytes) -> tuple:
+    """(distinct keys, tokens, document starts, held-out documents, training tokens as a mask) of a block."""
+    at, starts, held = unpacked(at), unpacked(starts), np.frombuffer(held, bool)
+    return np.frombuffer(keys, "<u8"), at, starts, held, np.repeat(~held, np.diff(np.r_[starts, len(at)]))
+
+
 def block_words(blocks: DataFrame, bits: int) -> DataFrame:
     """(bucket, block, keys, counts): each block's distinct words, parted by the high bits of their keys, with their
     number in its training texts."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, start = tokens_of(pdf["text"].tolist(), ShapedKeys())
-        train = np.repeat(~pdf["held_out"].to_numpy(bool), np.diff(np.r_[start, len(keys)]))
-        own, at = np.unique(keys, return_inverse=True)
-        counts = np.bincount(at, weights=train, minlength=len(own)).astype(np.int64)
-        edges = np.searchsorted(own >> np.uint64(64 - bits) if bits else np.zeros(len(own), np.uint64),
-                                np.arange((1 << bits) + 1, dtype=np.uint64))
-        rows = [(b, int(pdf["block"].iloc[0]), own[x:y].astype("<u8").tobytes(), packed(counts[x:y]))
-                for b, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
-        return pd.DataFrame(rows, columns=["bucket", "block", "keys", "counts"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *data in zip(*batch.columns, strict=True):
+                own, at, _, _, train = decoded(*(x.as_py() for x in data))
+                counts = np.bincount(at, weights=train, minlength=len(own)).astype(np.int64)
+                edges = np.searchsorted(own >> np.uint64(64 - bits) if bits else np.zeros(len(own), np.uint64),
+                                        np.arange((1 << bits) + 1, dtype=np.uint64))
+                parts = [(b, x, y) for b, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([b for b, _, _ in parts], pa.int64()), pa.array([block.as_py()] * len(parts), pa.int64()),
+                    pa.array([own[x:y].tobytes() for _, x, y in parts], pa.binary()),
+                    pa.array([packed(counts[x:y]) for _, x, y in parts], pa.binary())], ["bucket", "block", "keys", "counts"])
 
-    return blocks.groupBy("block").applyInPandas(run, "bucket long, block long, keys binary, counts binary")
+    return blocks.select("block", "held", "keys", "at", "starts").mapInArrow(
+        run, "bucket long, block long, keys binary, counts binary")
 
 
-def added_up(words: DataFrame, own: int) -> DataFrame:
+def added_up(words: DataFrame, least: int) -> DataFrame:
     """Per bucket: for each block the corpus counts of its words (kind 0), and a summary (kind 1): tokens, distinct
-    words, both by shape, and the bucket's most frequent words."""
+    words, both by shape, and the bucket's words that occur ``least`` times."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, "<u8") for x in pdf["keys"]]
         each, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -90,12 +152,11 @@ def added_up(words: DataFrame, own: int) -> DataFrame:
         rows = [(0, int(b), packed(counts[at[x:y]]), bucket, 0, None, None, None)
                 for b, x, y in zip(pdf["block"], place[:-1], place[1:], strict=True)]
         shape, known = (each & np.uint64(SHAPES - 1)).astype(np.int64), counts > 0
-        first = np.lexsort((each, -counts))[:own]
-        first = first[counts[first] > 0]
+        often = np.flatnonzero(counts >= least)
         rows.append((1, -1, None, int(counts.sum()), int(known.sum()),
                      np.bincount(shape, weights=counts, minlength=SHAPES).astype(np.int64).tolist(),
                      np.bincount(shape[known], minlength=SHAPES).tolist(),
-                     [{"key": int(k), "n": int(n)} for k, n in zip(each.view(np.int64)[first], counts[first],
+                     [{"key": int(k), "n": int(n)} for k, n in zip(each.view(np.int64)[often], counts[often],
                                                                    strict=True)]))
         return pd.DataFrame(rows, columns=["kind", "block", "counts", "n", "v", "shape_n", "shape_v", "top"])
 
@@ -104,47 +165,52 @@ def added_up(words: DataFrame, own: int) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What the model and the base score know of the training corpus; its size is bounded by OWN."""
+    """What the model and the base score know of the training corpus. It holds the frequent words: at most the corpus's
+    bytes by their least count, that is RARER times the square root of the bytes."""
     tokens: int
     distinct: int
-    keys: np.ndarray      # of the words with a class of their own, sorted
-    counts: np.ndarray    # of these words
-    rare: np.ndarray      # per shape: tokens + distinct + 1 of the other words
-    rare_tokens: np.ndarray
+    keys: np.ndarray      # of the frequent words, sorted
+    classes: np.ndarray   # of each of these words, then of the shapes
+    places: np.ndarray    # likewise: place among the words of shared classes, which lie class by class; -1: none
+    shares: np.ndarray    # unigram shares of the classes, add-one smoothed: the model's start and the noise of its training
+    edges: np.ndarray     # of the shared classes among their words
+    far: np.ndarray       # shares of those words in their class
+    rare: np.ndarray      # per shape: tokens + distinct + 1 of the rare words
 
     @staticmethod
-    def of(counts: DataFrame, own: int) -> Vocabulary:
+    def of(counts: DataFrame) -> Vocabulary:
         heads = counts.where("kind = 1")
         row = heads.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), *[
             F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("shape_n", "shape_v") for i in range(SHAPES)]).first()
-        top = heads.select(F.explode("top").alias("t")).select("t.key", "t.n").orderBy(
-            F.desc("n"), "key").limit(own).collect()
+        top = heads.select(F.explode("top").alias("t")).select("t.key", "t.n").collect()
         keys = np.array([r["key"] for r in top], np.int64).view(np.uint64)
         n = np.array([r["n"] for r in top], np.int64)
-        order = np.argsort(keys)
+        order = np.lexsort((keys, -n))
         keys, n = keys[order], n[order]
         shape = (keys & np.uint64(SHAPES - 1)).astype(np.int64)
         rest = np.array([row[f"shape_n{i}"] or 0 for i in range(SHAPES)]) - np.bincount(
             shape, weights=n, minlength=SHAPES).astype(np.int64)
         kinds = np.array([row[f"shape_v{i}"] or 0 for i in range(SHAPES)]) - np.bincount(shape, minlength=SHAPES)
-        return Vocabulary(int(row["n"] or 0), int(row["v"] or 0), keys, n, rest + kinds + 1, rest)
-
-    @property
-    def classes(self) -> int:
-        return len(self.keys) + SHAPES
-
-    def class_of(self, keys: np.ndarray) -> np.ndarray:
-        return class_of(self.keys, keys, len(self.keys))
-
-    def shares(self) -> np.ndarray:
-        """Unigram shares of the classes, add-one smoothed: the model's start and the noise of its training."""
-        n = np.r_[self.counts, self.rare_tokens] + 1.0
-        return n / n.sum()
-
-
-def class_of(known: np.ndarray, keys: np.ndarray, n_own: int) -> np.ndarray:
-    """Classes of words: their place among the known ones, else ``n_own`` and their shape."""
-    out = n_own + (keys & np.uint64(SHAPES - 1)).astype(np.int64)
+        # shared classes: words of like shape and frequency
+        head = min(HEAD, len(keys))
+        far = np.argsort(shape[head:], kind="stable") + head
+        shared = math.ceil(math.sqrt(len(far)) / 2)
+        edges = np.linspace(0, len(far), shared + 1).astype(np.int64)
+        sizes = np.diff(edges)
+        classes, places = np.arange(len(keys)), np.full(len(keys), -1)
+        classes[far], places[far] = head + np.repeat(np.arange(shared), sizes), np.arange(len(far))
+        in_class = np.r_[np.bincount(classes, weights=n, minlength=head + shared), rest] + 1.0
+        in_far = n[far] / np.repeat(np.add.reduceat(n[far], edges[:-1]), sizes) if shared else np.zeros(0)
+        by_key = np.argsort(keys)
+        return Vocabulary(int(row["n"] or 0), int(row["v"] or 0), keys[by_key],
+                          np.r_[classes[by_key], head + shared + np.arange(SHAPES)],
+                          np.r_[places[by_key], np.full(SHAPES, -1)], in_class / in_class.sum(), edges, in_far,
+                          rest + kinds + 1)
+
+
+def word_ids(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of words among the frequent ones, sorted by key; of others, their shape after these."""
+    out = len(known) + (keys & np.uint64(SHAPES - 1)).astype(np.int64)
     if len(known):
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         out = np.where(known[at] == keys, at, out)
@@ -152,18 +218,25 @@ def class_of(known: np.ndarray, keys: np.ndarray, n_own: int) -> np.ndarray:
 
 
 class LogBilinear:
-    """score(w | u, v) = (one[u] + two[v]) . out[w] + bias[w], u being the word before w and v the one before u."""
-    NAMES = ("one", "two", "out", "bias")
+    """First level: score(c | u, v) = (one[u] + two[v]) . out[c] + bias[c], u being the class of the word before and v
+    that of the one before u. Second level, for the words x of a shared class: near[u] . far[x] + far_bias[x].
+
+    ``shares``: of the classes; ``edges``: of the shared classes among their words; ``far``: shares of those words.
+    """
+    NAMES = ("one", "two", "out", "bias", "near", "far", "far_bias")
 
-    def __init__(self, shares: np.ndarray, seed: int = 3):
+    def __init__(self, shares: np.ndarray, edges: np.ndarray | None = None, far: np.ndarray | None = None, seed: int = 3):
         rng = np.random.default_rng(seed)
         n = len(shares)
         self.noise = shares
+        self.edges, self.far_noise = (np.zeros(1, np.int64), np.zeros(0)) if edges is None else (edges, far)
         self.one, self.two, self.out = (rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for _ in range(3))
         self.bias = np.log(shares).astype(np.float32)
+        self.near, self.far = (rng.normal(0, 0.1, (k, DIM)).astype(np.float32) for k in (n, len(self.far_noise)))
+        self.far_bias = np.log(self.far_noise).astype(np.float32)
 
     def parameters(self) -> np.ndarray:
-        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES]).astype(np.float64)
+        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES])
 
     def load(self, flat: np.ndarray) -> LogBilinear:
         for k in self.NAMES:
@@ -198,16 +271,47 @@ class LogBilinear:
                 x = getattr(self, k)
                 x += np.float32(RATE) * g / np.sqrt(total)
 
+    def train_far(self, u: np.ndarray, x: np.ndarray, rng, seen: dict) -> None:
+        """The like for the second level: each word against FAR_NOISE words drawn from its class. Only the vectors of the
+        words met are touched."""
+        ends = np.r_[0.0, np.cumsum(self.far_noise)]
+        offset = np.log(FAR_NOISE * self.far_noise).astype(np.float32)
+        for at in range(0, len(x), STEP):
+            a, true = u[at:at + STEP], x[at:at + STEP]
+            c = np.searchsorted(self.edges, true, side="right") - 1
+            low, high = self.edges[c][:, None], self.edges[c + 1][:, None]
+            drawn = ends[low] + rng.random((len(a), FAR_NOISE)) * (ends[high] - ends[low])
+            words = np.c_[true, np.clip(np.searchsorted(ends, drawn, side="right") - 1, low, high - 1)]
+            r, q = self.near[a], self.far[words]
+            step = sigmoid(np.einsum("nd,nkd->nk", r, q) + self.far_bias[words] - offset[words])
+            np.negative(step, out=step)
+            step[:, 0] += 1
+            flat = words.ravel()
+            for k, place, g in (("near", a, np.einsum("nk,nkd->nd", step, q)),
+                                ("far", flat, (step[:, :, None] * r[:, None, :]).reshape(-1, DIM)),
+                                ("far_bias", flat, step.ravel())):
+                rows, g = sums_of(place, g)
+                total = seen.setdefault(k, np.full(getattr(self, k).shape, 1e-8, np.float32))
+                total[rows] += g * g
+                getattr(self, k)[rows] += np.float32(RATE) * g / np.sqrt(total[rows])
+
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Natural log-probabilities from batched matrix products: part[0][u, w] + part[1][v, w] - norm[u, v]."""
-        one, two, out, bias = (getattr(self, k).astype(np.float64) for k in self.NAMES)
+        """Natural log-probabilities of classes: part[0][u, c] + part[1][v, c] - norm[u, v]; all sums of exponentials are
+        one matrix product."""
+        one, two, out, bias = (getattr(self, k).astype(np.float64) for k in ("one", "two", "out", "bias"))
         first, second = one @ out.T + bias, two @ out.T
-        norm = np.empty((len(first), len(first)))
-        for u in range(len(first)):
-            z = first[u] + second
-            top = z.max(axis=1)
-            norm[u] = top + np.log(np.exp(z - top[:, None]).sum(axis=1))
-        return np.stack([first, second]), norm
+        top, top2 = first.max(axis=1, keepdims=True), second.max(axis=1, keepdims=True)
+        return np.stack([first, second]), np.log(np.exp(first - top) @ np.exp(second - top2).T) + top + top2.T
+
+    def far_norms(self) -> np.ndarray:
+        """Per class of the word before and shared class: the log of the sum of the words' exponentials, a matrix product
+        for each shared class."""
+        out = np.zeros((len(self.near), len(self.edges) - 1))
+        for c, (x, y) in enumerate(zip(self.edges[:-1], self.edges[1:], strict=True)):
+            z = self.near @ self.far[x:y].T + self.far_bias[x:y]
+            top = z.max(axis=1, keepdims=True)
+            out[:, c] = (top + np.log(np.exp(z - top).sum(axis=1, keepdims=True, dtype=np.float64)))[:, 0]
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -219,13 +323,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def summed(at: np.ndarray, rows: np.ndarray, shape: tuple) -> np.ndarray:
-    """Rows added up by their place in an array of the given shape."""
+def sums_of(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows added up by their place: the places, ascending, and their sums."""
     order = np.argsort(at, kind="stable")
     place = at[order]
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    return place[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def summed(at: np.ndarray, rows: np.ndarray, shape: tuple) -> np.ndarray:
+    """Rows added up by their place in an array of the given shape."""
     out = np.zeros(shape, rows.dtype)
-    out[place[first]] = np.add.reduceat(rows[order], first, axis=0)
+    place, sums = sums_of(at, rows)
+    out[place] = sums
     return out
 
 
@@ -239,109 +349,117 @@ def contexts(classes: np.ndarray, start: np.ndarray, end: int) -> tuple[np.ndarr
     return u, v
 
 
-def class_table(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(classes, starts): the classes of all training tokens, some hundred texts a row, packed; each round reads them."""
-    known, n_own = vocabulary.keys, len(vocabulary.keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of = ShapedKeys()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                keys, first = tokens_of(batch.column(0).slice(at, 500).to_pylist(), keys_of)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([packed(class_of(known, keys, n_own))], pa.binary()), pa.array([packed(first)], pa.binary())],
-                    ["classes", "starts"])
-
-    return cut(docs.where("NOT held_out").select("text").mapInArrow(run, "classes binary, starts binary"))
-
+def one_round(blocks: DataFrame, vocabulary: Vocabulary, start: np.ndarray, number: int) -> np.ndarray | None:
+    """Every task trains on all its training texts from the same parameters; the results are averaged by tokens, PIECE
+    parameters a row, in groups of FAN_IN, until one is left."""
+    sent = blocks.sparkSession.sparkContext.broadcast((
+        vocabulary.keys, vocabulary.classes, vocabulary.places, vocabulary.shares, vocabulary.edges, vocabulary.far, start))
 
-def one_round(tokens: DataFrame, shares: np.ndarray, end: int, start: np.ndarray, number: int) -> np.ndarray | None:
-    """Every task trains on all its training texts from the same parameters; the results are averaged by tokens, in
-    groups of FAN_IN, until one is left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        model = LogBilinear(shares).load(start)
+        known, classes, places, shares, edges, far, start = sent.value
+        model = LogBilinear(shares, edges, far).load(start)
+        end = int(classes[word_ids(known, np.array([END]))[0]])
         rng, seen, n = np.random.default_rng((number, part)), {}, 0
         for batch in batches:
-            for classes, starts in zip(batch.column(0), batch.column(1), strict=True):
-                w, first = unpacked(classes.as_py()), unpacked(starts.as_py())
-                model.train(*contexts(w, first, end), w, rng, seen)
-                n += len(w)
+            for data in zip(*batch.columns, strict=True):
+                own, at, starts, _, train = decoded(*(x.as_py() for x in data))
+                ids = word_ids(known, own)
+                w = classes[ids][at]
+                u, v = (x[train] for x in contexts(w, starts, end))
+                x = places[ids][at][train]
+                model.train(u, v, w[train], rng, seen)
+                model.train_far(u[x >= 0], x[x >= 0], rng, seen)
+                n += len(u)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([float(n)]),
-                                              pa.array([(model.parameters() * n).tobytes()])], ["part", "n", "sums"])
+            flat = model.parameters().astype(np.float64) * n
+            pieces = range(0, len(flat), PIECE)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part] * len(pieces), pa.int64()), pa.array(range(len(pieces)), pa.int64()),
+                pa.array([float(n)] * len(pieces)), pa.array([flat[i:i + PIECE].tobytes() for i in pieces], pa.binary())],
+                ["part", "piece", "n", "sums"])
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         sums = sum(np.frombuffer(x) for x in pdf["sums"])
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN_IN], "n": [pdf["n"].sum()],
-                             "sums": [sums.tobytes()]})
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN_IN], "piece": pdf["piece"].iloc[:1],
+                             "n": [pdf["n"].sum()], "sums": [sums.tobytes()]})
 
-    schema = "part long, n double, sums binary"
-    models = cut(tokens.mapInArrow(run, schema))
+    schema = "part long, piece long, n double, sums binary"
+    models = cut(blocks.select("held", "keys", "at", "starts").mapInArrow(run, schema))
     left = models.agg(F.max("part")).first()[0]
     if left is None:
         return None
     while left > 0:
-        models = models.groupBy(F.floor(F.col("part") / FAN_IN).alias("g")).applyInPandas(merged, schema)
+        models = models.groupBy(F.floor(F.col("part") / FAN_IN).alias("g"), "piece").applyInPandas(merged, schema)
         left //= FAN_IN
-    row = models.first()
-    return np.frombuffer(row["sums"]) / row["n"]
+    rows = sorted(models.select("piece", "n", "sums").collect(), key=lambda r: r["piece"])
+    return np.concatenate([np.frombuffer(r["sums"]) / r["n"] for r in rows])
 
 
 def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``df``.
 
-    The model learns from rows where ``held_out`` is false. Null texts are empty: one END token. Repeated rows count
-    each. Texts are read whole. Without training rows all counts are 0 and the model keeps its uniform start. An empty
-    table gives no rows. base_score and score are log10 of probabilities, base by add-one counts, score by the model;
-    both give all unseen words together (in score: of one shape) one share. Distinct words of a corpus are told apart
-    by 61-bit hashes.
+    The model learns from rows where ``held_out`` is not true. Null texts are empty: one END token. Repeated rows and ids
+    count each. Texts are read whole. Without training rows all counts are 0 and the model keeps its uniform start. An
+    empty table gives no rows. base_score and score are log10 of probabilities, base by add-one counts, score by the
+    model; both give all unseen words together (in score: of one shape) one share. Distinct words of a corpus are told
+    apart by 61-bit hashes.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.coalesce(text, F.lit("")).alias("text"))
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                     F.coalesce(text, F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    bits = (n_blocks - 1).bit_length()
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(n_blocks)))
-    counts = cut(added_up(block_words(blocks, bits), OWN))
-    vocabulary = Vocabulary.of(counts, OWN)
-    model = LogBilinear(vocabulary.shares())
-    end = int(vocabulary.class_of(np.array([END]))[0])
-    tokens = class_table(docs, vocabulary)
+    # a bucket gets the words of a fixed number of blocks
+    bits = max(0, (math.ceil(size / BLOCK_BYTES / 4) - 1).bit_length()) if size else 0
+    blocks = cut(tokenised(docs))
+    counts = cut(added_up(block_words(blocks, bits), max(LEAST, math.isqrt(size) // RARER)))
+    vocabulary = Vocabulary.of(counts)
+    model = LogBilinear(vocabulary.shares, vocabulary.edges, vocabulary.far)
     for number in range(ROUNDS):
-        learned = one_round(tokens, vocabulary.shares(), end, model.parameters(), number)
+        learned = one_round(blocks, vocabulary, model.parameters(), number)
         if learned is not None:
             model.load(learned)
-    # plain arrays, bounded by OWN, about 6 MB: workers need no copy of this package to read them
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary.keys, vocabulary.rare, *model.tables()))
+    # plain arrays: workers need no copy of this package to read them
+    held = docs.sparkSession.sparkContext.broadcast((
+        vocabulary.keys, vocabulary.classes, vocabulary.places, vocabulary.edges, vocabulary.rare, model.near, model.far,
+        model.far_bias, model.far_norms(), *model.tables()))
     train_tokens, train_distinct = vocabulary.tokens, vocabulary.distinct
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        known, rare_counts, parts, norm = held.value
-        keys, start = tokens_of(pdf["text"].tolist(), ShapedKeys())
-        own, at = np.unique(keys, return_inverse=True)
-        of_own = np.concatenate([unpacked(x) for x in found.sort_values("n")["counts"]])
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        known, classes, places, edges, rare_counts, near, far, far_bias, far_norm, parts, norm = held.value
+        own, at, start, held_out, _ = decoded(*(block[c][0].as_py() for c in ("held", "keys", "at", "starts")))
+        order = np.argsort(found["n"].to_numpy())
+        of_own = np.concatenate([unpacked(found["counts"][int(i)].as_py()) for i in order])
         if len(of_own) != len(own):
             raise ValueError(f"a block has {len(own)} distinct words, but {len(of_own)} counts")
-        class_own = class_of(known, own, len(known))
-        rare = class_own >= len(known)
+        ids = word_ids(known, own)
+        rare = ids >= len(known)
         plus = np.log10(of_own + 1.0)
-        within = np.where(rare, plus - np.log10(rare_counts[np.where(rare, class_own - len(known), 0)]), 0.0)
-        w = class_own[at]
-        u, v = contexts(w, start, end)
-        logs = (parts[0][u, w] + parts[1][v, w] - norm[u, v]) / math.log(10) + within[at]
-        n = np.diff(np.r_[start, len(keys)])
-        return pd.DataFrame({
-            "doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n,
-            "n_known": np.add.reduceat((of_own > 0)[at].astype(np.int64), start), "train_tokens": train_tokens,
-            "base_score": np.add.reduceat(plus[at], start) - n * math.log10(train_tokens + train_distinct + 1),
-            "score": np.add.reduceat(logs, start)})
+        within = np.where(rare, plus - np.log10(rare_counts[np.where(rare, ids - len(known), 0)]), 0.0)
+        w, place = classes[ids][at], places[ids][at]
+        u, v = contexts(w, start, int(classes[word_ids(known, np.array([END]))[0]]))
+        logs = parts[0][u, w] + parts[1][v, w] - norm[u, v]
+        one = np.flatnonzero(place >= 0)
+        for some in np.array_split(one, len(one) // 100_000 + 1):
+            x, before = place[some], u[some]
+            logs[some] += (np.einsum("nd,nd->n", near[before], far[x]) + far_bias[x]
+                           - far_norm[before, np.searchsorted(edges, x, side="right") - 1])
+        logs = logs / math.log(10) + within[at]
+        n = np.diff(np.r_[start, len(at)])
+        values = block["ids"].combine_chunks()
+        values = values.chunk(0).flatten() if isinstance(values, pa.ChunkedArray) else values.flatten()
+        return pa.Table.from_arrays([
+            values, pa.array(held_out), pa.array(n), pa.array(np.add.reduceat((of_own > 0)[at].astype(np.int64), start)),
+            pa.array(np.full(len(n), train_tokens, np.int64)),
+            pa.array(np.add.reduceat(plus[at], start) - n * math.log10(train_tokens + train_distinct + 1)),
+            pa.array(np.add.reduceat(logs, start))], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (blocks.groupBy("block").cogroup(counts.where("kind = 0").select("block", "counts", "n").groupBy("block"))
-            .applyInPandas(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                "base_score double, score double"))
+            .applyInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                               "base_score double, score double"))
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,7 +91,7 @@ def base_of(docs, held):
 
 def test_base_scores_equal_brute_force_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
-    monkeypatch.setattr(lm, "OWN", 20)
+    monkeypatch.setattr(lm, "HEAD", 20)
     rng = random.Random(3)
     docs = [(i, " ".join(f"W{int(rng.expovariate(0.05))}" + rng.choice(["", ".", ",", "é"]) for _ in range(rng.randint(0, 80))))
             for i in range(150)]
