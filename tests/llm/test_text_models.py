@@ -126,6 +126,90 @@ def test_the_model_beats_the_base_on_held_out_text(spark):
     assert row[0] > 0.98 * row[1] and row[0] > row[1]
 
 
+def test_the_second_level_is_normalised_and_learns_context():
+    rng = np.random.default_rng(0)
+    edges, far = np.array([0, 5, 11]), np.r_[np.full(5, 0.2), np.full(6, 1 / 6)]
+    model = lm.LogBilinear(np.full(4, 0.25), edges, far)
+    u = rng.integers(0, 4, 20_000)
+    x = np.where(u < 2, u, 5 + u)
+    seen = {}
+    for _ in range(3):
+        model.train_far(u, x, rng, seen)
+    logs = model.near @ model.far.T + model.far_bias
+    norm = model.far_norms()
+    for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        assert np.allclose(np.exp(logs[:, a:b] - norm[:, [c]]).sum(axis=1), 1, atol=1e-5)
+    cluster = np.searchsorted(edges, x, side="right") - 1
+    assert (logs[u, x] - norm[u, cluster]).mean() > -0.3 > np.log(1 / 5)
+
+
+def zipf_texts(n, seed=5):
+    rng = random.Random(seed)
+    return [(i, " ".join(f"w{int(3 * rng.paretovariate(0.9))}" + rng.choice(["", "", ".", "é"]) for _ in range(rng.randint(0, 60))))
+            for i in range(n)]
+
+
+def test_model_scores_equal_brute_force_from_its_parameters(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lm, "HEAD", 12)
+    made = {}
+    of, norms = lm.Vocabulary.of, lm.LogBilinear.far_norms
+    monkeypatch.setattr(lm.Vocabulary, "of", staticmethod(lambda c: made.setdefault("vocabulary", of(c))))
+    monkeypatch.setattr(lm.LogBilinear, "far_norms", lambda self: (made.update(model=self), norms(self))[1])
+    docs = zipf_texts(120)
+    rows = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") % 7 == 2).collect()
+    voc, model = made["vocabulary"], made["model"]
+    assert len(voc.edges) > 2 and len(voc.keys) > 12
+    keys_of = lm.ShapedKeys()
+    tokens = {d: [keys_of[w] for w in lm.words_of(t)] + [int(lm.END)] for d, t in docs}
+    count = {}
+    for d, ws in tokens.items():
+        for k in ws if d % 7 != 2 else ():
+            count[k] = count.get(k, 0) + 1
+    known = voc.keys.tolist()
+    place = {k: i for i, k in enumerate(known)}
+    rare = [k for k in count if k not in place]
+
+    def p(k, u, v):
+        z = [math.exp((model.one[u] + model.two[v]) @ model.out[c] + model.bias[c]) for c in range(len(model.bias))]
+        i = place.get(k, len(known) + k % 8)
+        c, x = int(voc.classes[i]), int(voc.places[i])
+        out = z[c] / sum(z)
+        if x >= 0:
+            a = next(a for a in range(len(voc.edges) - 1) if voc.edges[a] <= x < voc.edges[a + 1])
+            y = [math.exp(model.near[u] @ model.far[j] + model.far_bias[j]) for j in range(voc.edges[a], voc.edges[a + 1])]
+            out *= y[x - voc.edges[a]] / sum(y)
+        elif k not in place:
+            out *= (count.get(k, 0) + 1) / (sum(count[r] + 1 for r in rare if r % 8 == k % 8) + 1)
+        return c, out
+
+    end = p(int(lm.END), 0, 0)[0]
+    for r in rows[::4]:
+        u, v, total = end, end, 0.0
+        for k in tokens[r["doc_id"]]:
+            c, one = p(k, u, v)
+            u, v, total = c, u, total + math.log10(one)
+        assert r["score"] == pytest.approx(total, rel=1e-4)
+
+
+def test_the_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    sizes = []
+    of = lm.Vocabulary.of
+    monkeypatch.setattr(lm.Vocabulary, "of", staticmethod(lambda c: (sizes.append(of(c)), sizes[-1])[1]))
+    for n in (60, 600, 6000):
+        lm.score(spark.createDataFrame(zipf_texts(n), "doc_id long, text string"), F.lit(False))
+    words = [len(v.keys) for v in sizes]
+    assert words[0] < words[1] < words[2]
+
+
+def test_equal_and_null_ids_are_scored_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 500)
+    df = spark.createDataFrame([(None if i % 2 else 7, f"one two three {i % 3}.") for i in range(300)], "doc_id long, text string")
+    rows = lm.score(df, F.col("doc_id").isNull() & F.lit(None)).collect()
+    assert len(rows) == 300 and {r["doc_id"] for r in rows} == {None, 7} and not any(r["held_out"] for r in rows)
+    assert len({r["score"] for r in rows}) <= 3
+
+
 def test_lm_of_edge_rows(edge, empty):
     rows = lm.score(edge, F.lit(False)).collect()
     assert len(rows) == edge.count()
