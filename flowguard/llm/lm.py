@@ -25,11 +25,9 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.common import WORD_CACHE, crc_of_id, cut, packed, read_table, unpacked, words_of
 
-#: Most words that are a class of their own; dimensions; noise classes and tokens of a step; rounds over all training
+#: Most words that are a class of their own; dimensions; noise words and tokens of a step; rounds over all training
 #: texts. (More frequent words than HEAD share classes and are told apart at the second level.)
 HEAD, DIM, NOISE, STEP, ROUNDS, RATE = 504, 24, 64, 2048, 2, 0.1
-#: Noise words of a token at the second level.
-FAR_NOISE = 5
 #: A word is frequent if training texts hold it this often: the square root of the corpus's bytes by RARER, but LEAST at
 #: the least. So 16 times the text gives about four times the words, at most RARER * sqrt(bytes).
 LEAST, RARER = 4, 40
@@ -246,54 +244,35 @@ class LogBilinear:
         return self
 
     def train(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, rng, seen: dict) -> None:
-        """Noise-contrastive steps with AdaGrad: each true word against NOISE words drawn from the noise shares, which
-        the tokens of a step have in common. ``seen``: sums of squared gradients, kept by the caller. Single precision."""
-        offset = np.log(NOISE * self.noise).astype(np.float32)
-        drawn = np.cumsum(self.noise)
+        """Noise-contrastive steps with AdaGrad for the first level. ``seen``: sums of squared gradients, kept by the
+        caller. Single precision."""
+        contrast = Contrast(self.noise)
         for at in range(0, len(w), STEP):
             a, b, c = u[at:at + STEP], v[at:at + STEP], w[at:at + STEP]
-            noise = np.minimum(np.searchsorted(drawn, rng.random(NOISE)), len(drawn) - 1)
-            r = self.one[a] + self.two[b]
-            q, qn = self.out[c], self.out[noise]
-            true = sigmoid(offset[c] - self.bias[c] - np.einsum("ij,ij->i", r, q))
-            false = sigmoid(r @ qn.T + (self.bias[noise] - offset[noise]))
-            np.negative(false, out=false)
-            dr = true[:, None] * q + false @ qn
-            grads = {"one": summed(a, dr, self.one.shape), "two": summed(b, dr, self.two.shape)}
-            do = summed(c, true[:, None] * r, self.out.shape)
-            np.add.at(do, noise, false.T @ r)
-            db = np.bincount(c, weights=true, minlength=len(self.bias)).astype(np.float32)
-            np.add.at(db, noise, false.sum(0))
-            for k, g in (*grads.items(), ("out", do), ("bias", db)):
-                g /= len(c)
-                total = seen.setdefault(k, np.full(g.shape, 1e-8, np.float32))
-                total += g * g
+            dr, do, db = contrast.step(self.one[a] + self.two[b], c, self.out, self.bias, rng)
+            for k, g in (("one", summed(a, dr, self.one.shape)), ("two", summed(b, dr, self.two.shape)), ("out", do),
+                         ("bias", db)):
                 x = getattr(self, k)
-                x += np.float32(RATE) * g / np.sqrt(total)
+                moved(x, seen.setdefault(k, np.full(x.shape, 1e-8, np.float32)), g / np.float32(len(c)))
 
     def train_far(self, u: np.ndarray, x: np.ndarray, rng, seen: dict) -> None:
-        """The like for the second level: each word against FAR_NOISE words drawn from its class. Only the vectors of the
-        words met are touched."""
-        ends = np.r_[0.0, np.cumsum(self.far_noise)]
-        offset = np.log(FAR_NOISE * self.far_noise).astype(np.float32)
-        for at in range(0, len(x), STEP):
-            a, true = u[at:at + STEP], x[at:at + STEP]
-            c = np.searchsorted(self.edges, true, side="right") - 1
-            low, high = self.edges[c][:, None], self.edges[c + 1][:, None]
-            drawn = ends[low] + rng.random((len(a), FAR_NOISE)) * (ends[high] - ends[low])
-            words = np.c_[true, np.clip(np.searchsorted(ends, drawn, side="right") - 1, low, high - 1)]
-            r, q = self.near[a], self.far[words]
-            step = sigmoid(np.einsum("nd,nkd->nk", r, q) + self.far_bias[words] - offset[words])
-            np.negative(step, out=step)
-            step[:, 0] += 1
-            flat = words.ravel()
-            for k, place, g in (("near", a, np.einsum("nk,nkd->nd", step, q)),
-                                ("far", flat, (step[:, :, None] * r[:, None, :]).reshape(-1, DIM)),
-                                ("far_bias", flat, step.ravel())):
-                rows, g = sums_of(place, g)
-                total = seen.setdefault(k, np.full(getattr(self, k).shape, 1e-8, np.float32))
-                total[rows] += g * g
-                getattr(self, k)[rows] += np.float32(RATE) * g / np.sqrt(total[rows])
+        """The like for the second level: a step takes words of one shared class, and the classes take turns."""
+        shared = np.searchsorted(self.edges, x, side="right") - 1
+        order = np.argsort(shared, kind="stable")
+        u, x = u[order], x[order]
+        begin = np.searchsorted(shared[order], np.arange(len(self.edges)))
+        of_class = {}
+        for i, k in sorted((i, k) for k in range(len(begin) - 1) for i in range(0, begin[k + 1] - begin[k], STEP)):
+            mine = slice(begin[k] + i, min(begin[k] + i + STEP, begin[k + 1]))
+            words = slice(self.edges[k], self.edges[k + 1])
+            if k not in of_class:
+                of_class[k] = Contrast(self.far_noise[words])
+            a = u[mine]
+            dr, do, db = of_class[k].step(self.near[a], x[mine] - words.start, self.far[words], self.far_bias[words], rng)
+            for name, part, g in (("near", slice(None), summed(a, dr, self.near.shape)), ("far", words, do),
+                                  ("far_bias", words, db)):
+                y = getattr(self, name)
+                moved(y[part], seen.setdefault(name, np.full(y.shape, 1e-8, np.float32))[part], g / np.float32(len(a)))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probabilities of classes: part[0][u, c] + part[1][v, c] - norm[u, v]; all sums of exponentials are
@@ -314,28 +293,51 @@ class LogBilinear:
         return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    """Logistic function, in place of ``x``."""
-    np.clip(x, -60, 60, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+class Contrast:
+    """Noise-contrastive steps: each true word of a step against NOISE words drawn from the noise shares, which the words of
+    the step have in common."""
 
+    def __init__(self, shares: np.ndarray):
+        self.offset = np.log(NOISE * shares).astype(np.float32)
+        self.drawn = np.cumsum(shares)
 
-def sums_of(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows added up by their place: the places, ascending, and their sums."""
-    order = np.argsort(at, kind="stable")
-    place = at[order]
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return place[first], np.add.reduceat(rows[order], first, axis=0)
+    def step(self, r: np.ndarray, c: np.ndarray, out: np.ndarray, bias: np.ndarray, rng) -> tuple:
+        """Gradients of the contexts ``r``, of ``out`` and of ``bias``, for the true words ``c``."""
+        noise = np.minimum(np.searchsorted(self.drawn, rng.random(NOISE)), len(self.drawn) - 1)
+        q, qn = out[c], out[noise]
+        true = sigmoid((self.offset - bias)[c] - np.einsum("ij,ij->i", r, q))
+        false = sigmoid(r @ qn.T + (bias[noise] - self.offset[noise]))
+        np.negative(false, out=false)
+        dr = true[:, None] * q + false @ qn
+        do = summed(c, true[:, None] * r, out.shape)
+        np.add.at(do, noise, false.T @ r)
+        db = np.bincount(c, weights=true, minlength=len(bias)).astype(np.float32)
+        np.add.at(db, noise, false.sum(0))
+        return dr, do, db
+
+
+def moved(x: np.ndarray, total: np.ndarray, g: np.ndarray) -> None:
+    """An AdaGrad step of ``x``, in place."""
+    total += g * g
+    x += np.float32(RATE) * g / np.sqrt(total)
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    """Logistic function, in place of ``x``."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x *= np.float32(0.5)
+    x += np.float32(0.5)
+    return x
 
 
 def summed(at: np.ndarray, rows: np.ndarray, shape: tuple) -> np.ndarray:
     """Rows added up by their place in an array of the given shape."""
+    order = np.argsort(at.astype(np.uint16) if shape[0] <= 1 << 16 else at, kind="stable")
+    place = at[order]
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     out = np.zeros(shape, rows.dtype)
-    place, sums = sums_of(at, rows)
-    out[place] = sums
+    out[place[first]] = np.add.reduceat(rows[order], first, axis=0)
     return out
 
 
