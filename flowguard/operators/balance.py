@@ -74,17 +74,36 @@ def _u(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
 
 
+def draws_with_replacement(ranks: ClassRanks, wanted: dict, seed: int = S.SEED) -> DataFrame:
+    """``(label, pid, draw)``: for each class of ``wanted`` that many draws of its rows, with replacement.
+
+    Draw number d (from 1) of a class takes the row of rank floor(u * n) + 1 by hash, u from the seed, the class and d.
+    """
+    counts, spark, kind = ranks.counts(), ranks.df.sparkSession, ranks.keyed.schema["_g"].dataType.simpleString()
+    plan = spark.createDataFrame([(c, int(m), counts[c]) for c, m in wanted.items() if m > 0],
+                                 f"_g {kind}, _m long, _size long")
+    # blocks of draw numbers first, so that the draws of one class are dealt out before they are listed
+    block = 10_000
+    drawn = (plan.withColumn("_i", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / block))))
+             .repartition("_g", "_i")
+             .withColumn("draw", F.explode(F.sequence(F.col("_i") * block + 1, F.least("_m", (F.col("_i") + 1) * block))))
+             .withColumn("_rank", F.floor(_u(seed, F.lit("base"), F.col("_g"), F.col("draw")) * F.col("_size")) + 1))
+    return (drawn.join(ranks.ranked(), ["_g", "_rank"])
+            .select(F.col("_g").alias(ranks.group), F.col("_id").alias("pid"), F.col("draw").cast("int").alias("draw")))
+
+
 # --- SMOTE ----------------------------------------------------------------------
 
 def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOTE_K,
-          seed: int = S.SEED, row_id: str = S.ROW_ID) -> DataFrame:
+          seed: int = S.SEED, row_id: str = S.ROW_ID, replacement: bool = False) -> DataFrame:
     """Raise every class to the majority size with synthetic rows
     x + u * (neighbour - x), neighbour uniform among the k nearest rows of
     the same class, u uniform in [0, 1).
 
     Base rows are used evenly: class c needs ``need = n_max - n_c`` rows; each
     base row yields ``need div n_c`` rows and the first ``need mod n_c`` rows
-    (by hash rank) one more.  Output: ``label``, ``features``, ``synthetic``,
+    (by hash rank) one more.  With ``replacement`` the base rows are drawn with
+    replacement instead, and ``draw`` numbers the draws of a class.  Output: ``label``, ``features``, ``synthetic``,
     ``base_id``, ``draw`` (0 for originals, which pass through) and ``nn_pid``.
     """
     ranks = ClassRanks(df.select(label, row_id, features), label, seed, row_id)
@@ -109,8 +128,11 @@ def smote(df: DataFrame, label: str, features: str = "features", k: int = S.SMOT
                        (reps + F.col("_extra")).alias("_reps")))
     near = knn_within_class(base.select(label, "pid", "x"), label, k)
     pick = (F.floor(_u(seed, F.lit("nn"), F.col("pid"), F.col("draw")) * F.lit(k)) + 1).cast("int")
-    made = (base.where("_reps > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
-            .withColumn("nn_rank", pick)
+    if replacement:
+        drawn = draws_with_replacement(ranks, need, seed).join(base.drop("_reps"), on=[label, "pid"])
+    else:
+        drawn = base.where("_reps > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
+    made = (drawn.withColumn("nn_rank", pick)
             .join(near.select(label, "pid", "nn_rank", "nn_pid"), on=[label, "pid", "nn_rank"])
             .join(base.select(label, F.col("pid").alias("nn_pid"), F.col("x").alias("_nx")), on=[label, "nn_pid"])
             .withColumn("_g", _u(seed, F.lit("gap"), F.col("pid"), F.col("draw")))

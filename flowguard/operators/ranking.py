@@ -90,6 +90,25 @@ class ClassRanks:
             self._counts = {r[0]: int(r[1]) for r in self.keyed.groupBy("_g").agg(F.count(F.lit(1))).collect()}
         return self._counts
 
+    def ranked(self) -> DataFrame:
+        """(_g, _id, _rank): the rank of every row in its class, from 1. The histogram says how many rows lie below a hash
+        prefix, so that only the rows of a prefix are put in order together; a prefix of many rows goes by longer ones."""
+        rows, hist, groups, bits = self.keyed, self.hist, ["_g"], STEP_BITS
+        below = F.lit(0).cast("long")
+        while True:
+            w = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            name = f"_p{bits}"
+            hist = cut(hist.withColumn("_below", F.sum("_n").over(w) - F.col("_n")))
+            rows = rows.withColumn("_b", _prefix(bits)).join(hist, [*groups, "_b"]).withColumn(
+                "_base", below + F.col("_below")).drop("_below", "_n").withColumnRenamed("_b", name)
+            groups, below = [*groups, name], F.col("_base")
+            if bits >= HASH_BITS or (hist.agg(F.max("_n")).first()[0] or 0) <= EXACT_RANK_LIMIT:
+                break
+            bits = min(HASH_BITS, bits + STEP_BITS)
+            hist = rows.groupBy(*groups, _prefix(bits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        place = F.row_number().over(Window.partitionBy(*groups).orderBy(HASH, "_id"))
+        return rows.select("_g", "_id", (F.col("_base") + place).alias("_rank"))
+
     def assign(self, boundaries: list[tuple], out: str, default, missing=None) -> DataFrame:
         """Label each row by the rank range its key falls in.
 

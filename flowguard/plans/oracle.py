@@ -625,6 +625,28 @@ SELECT ch.target_tipo, ch.row_id AS base_id, CAST(ch.draw AS INT) AS draw, rk.nn
 FROM ch JOIN rk ON rk.pid = ch.row_id AND rk.nn_rank = ch.nn_rank JOIN s2tr b ON b.row_id = rk.nn_pid
 """)
 
+ORACLE["smote_drawn_rows"] = with_flows(S2_TRAIN_SQL + f""",
+pairs AS (SELECT a.target_tipo, a.row_id AS pid, b.row_id AS nn_pid, sqrt(0.0::DOUBLE + {_D2}) AS dist
+          FROM s2tr a JOIN s2tr b ON a.target_tipo = b.target_tipo AND a.row_id <> b.row_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY dist, nn_pid) AS nn_rank FROM pairs),
+cc AS (SELECT target_tipo, count(*) AS n FROM s2tr GROUP BY 1),
+nd AS (SELECT target_tipo, n, max(n) OVER () - n AS need FROM cc),
+bs AS (SELECT s.*, row_number() OVER (PARTITION BY s.target_tipo ORDER BY """ + HASH_ORDER.replace("row_id", "s.row_id") + f""") AS pos
+       FROM s2tr s),
+dn AS (SELECT target_tipo, n, unnest(range(1, need + 1)) AS draw FROM nd WHERE need > 0),
+dr AS (SELECT bs.*, dn.draw FROM dn JOIN bs ON bs.target_tipo = dn.target_tipo
+       AND bs.pos = CAST(floor(('0x' || substr(md5('42:base:' || dn.target_tipo || ':' || dn.draw), 1, 13))::BIGINT::DOUBLE
+                               / 4503599627370496.0::DOUBLE * dn.n) AS BIGINT) + 1),
+ch AS (SELECT *, CAST(floor(('0x' || substr(md5('42:nn:' || row_id || ':' || draw), 1, 13))::BIGINT::DOUBLE
+              / 4503599627370496.0::DOUBLE * 5) AS INT) + 1 AS nn_rank,
+              ('0x' || substr(md5('42:gap:' || row_id || ':' || draw), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS g
+       FROM dr)
+SELECT ch.target_tipo, ch.row_id AS base_id, CAST(ch.draw AS INT) AS draw, rk.nn_pid,
+       round(ch."Flow Duration" + ch.g * (b."Flow Duration" - ch."Flow Duration"), 6) AS flow_duration,
+       round(ch."Unit Score" + ch.g * (b."Unit Score" - ch."Unit Score"), 6) AS unit_score
+FROM ch JOIN rk ON rk.pid = ch.row_id AND rk.nn_rank = ch.nn_rank JOIN s2tr b ON b.row_id = rk.nn_pid
+""")
+
 # --- saved bundles, rule text, fitted preparation -----------------------------------
 
 ORACLE["bundle_row_check"] = "SELECT count(*) AS n, count(DISTINCT event_id) AS ids, CAST(0 AS BIGINT) AS broken FROM events"

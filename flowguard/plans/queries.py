@@ -312,13 +312,14 @@ def q_smote_neighbours(spark, sf_dir):
     return B.knn_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K).select(S.TARGET_FAMILY, "pid", "nn_rank", "nn_pid")
 
 
-def smoted(spark, sf_dir):
+def smoted(spark, sf_dir, replacement=False):
     """Stage-2 training rows raised to the majority by SMOTE, and their feature names."""
     from pyspark.ml.feature import VectorAssembler
     tr = stage2_train(spark, sf_dir)
     feats = split_features(tr, extra_exclude=[SM.PART])
     vec = VectorAssembler(inputCols=feats, outputCol="features").transform(tr)
-    return B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K), feats
+    return B.smote(vec.select(S.TARGET_FAMILY, S.ROW_ID, "features"), S.TARGET_FAMILY, "features", S.SMOTE_K,
+                   replacement=replacement), feats
 
 
 @register("smote_class_counts")
@@ -330,8 +331,17 @@ def q_smote_class_counts(spark, sf_dir):
 @register("smote_rows")
 def q_smote_rows(spark, sf_dir):
     """Every synthetic row: its base row, the neighbour drawn, and two of its interpolated features."""
+    return synthetic_rows(*smoted(spark, sf_dir))
+
+
+@register("smote_drawn_rows")
+def q_smote_drawn_rows(spark, sf_dir):
+    """The same with base rows drawn with replacement."""
+    return synthetic_rows(*smoted(spark, sf_dir, replacement=True))
+
+
+def synthetic_rows(out, feats):
     from pyspark.ml.functions import vector_to_array
-    out, feats = smoted(spark, sf_dir)
     x = vector_to_array(F.col("features"))
     return out.where("synthetic").select(
         S.TARGET_FAMILY, "base_id", "draw", "nn_pid",

@@ -126,3 +126,36 @@ def test_knn_of_very_many_equal_rows(spark):
 def test_smote_k_follows_the_smallest_class():
     assert B.smote_k({"a": 90, "b": 4}) == 3 and B.smote_k({"a": 90, "b": 1}) == 1
     assert B.smote_k({"a": 90, "b": 1}, floor_one=False) == 0 and B.smote_k({"a": 90, "b": 50}) == 5
+
+
+def test_ranks_by_prefixes_equal_a_plain_window(spark, monkeypatch):
+    from flowguard.operators import ranking as R
+    monkeypatch.setattr(R, "EXACT_RANK_LIMIT", 3)
+    monkeypatch.setattr(R, "STEP_BITS", 4)
+    df = spark.range(500).selectExpr("id AS row_id", "IF(id % 5 = 0, 'a', IF(id = 7, NULL, 'b')) AS y")
+    got = {(r["_g"], r["_id"]): r["_rank"] for r in R.ClassRanks(df, "y", 42).ranked().collect()}
+    keys = {r["row_id"]: (r["y"], r["h"]) for r in df.withColumn("h", R.hash_key(42)).collect()}
+    for y in "ab":
+        mine = sorted((h, i) for i, (c, h) in keys.items() if c == y)
+        assert [got[y, i] for _, i in mine] == list(range(1, len(mine) + 1))
+    assert len(got) == 499
+
+
+def test_draws_with_replacement(spark):
+    from flowguard.operators.ranking import ClassRanks
+    df = spark.range(120).selectExpr("id AS row_id", "IF(id < 100, 'a', 'b') AS y")
+    rows = B.draws_with_replacement(ClassRanks(df, "y", 42), {"b": 25_000, "a": 0}).collect()
+    assert sorted(r.draw for r in rows) == list(range(1, 25_001))
+    drawn = [r.pid for r in rows]
+    assert set(drawn) == set(range(100, 120))
+    assert all(25_000 / 20 * 0.85 < drawn.count(i) < 25_000 / 20 * 1.15 for i in set(drawn))
+
+
+def test_smote_with_replacement_keeps_class_totals(spark):
+    from pyspark.ml.functions import array_to_vector
+    _, pts = _points(spark, (60, 13, 9))
+    df = pts.select("y", F.col("pid").alias("row_id"), array_to_vector("x").alias("features"))
+    out = B.smote(df, "y", k=5, replacement=True)
+    assert {r.y: r.n for r in class_counts(out, "y").collect()} == {"c0": 60, "c1": 60, "c2": 60}
+    made = out.where("synthetic AND y = 'c2'").groupBy("base_id").count().collect()
+    assert sum(r["count"] for r in made) == 51 and len({r["count"] for r in made}) > 2

@@ -46,6 +46,36 @@ def test_unreadable_files_are_reported(spark, paths):
         load_flows(spark, [paths[3]])
 
 
+def test_many_files_of_few_schemas_are_few_scans(spark, tmp_path):
+    import pandas as pd
+    names = []
+    for i in range(300):
+        pdf = pd.DataFrame({"Label": [f"l{i}"], " Flow Duration": [float(i)]} if i % 2 else {"Label": [f"l{i}", "x"]})
+        names.append(str(tmp_path / f"part {i}+a%20b.parquet"))
+        pdf.to_parquet(names[-1])
+    (tmp_path / "broken.parquet").write_bytes(b"no parquet")
+    bad = [str(tmp_path / "broken.parquet"), str(tmp_path / "none.csv")]
+    df, errors = load_flows_reported(spark, [*names, *bad], with_file=True)
+    assert [p for p, _ in errors] == bad
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 4    # two scans, two tables of names
+    got = {(r["file"], r["Label"], r[" Flow Duration"]) for r in df.collect()}
+    assert got == ({(n, f"l{i}", float(i) if i % 2 else None) for i, n in enumerate(names)}
+                   | {(n, "x", None) for n in names[::2]})
+    few, _ = load_flows_reported(spark, names, ["Flow Duration"])
+    assert few.columns == ["Flow Duration"] and few.count() == 450
+    assert few.agg(F.sum("Flow Duration")).first()[0] == sum(range(1, 300, 2))
+    twice = load_flows(spark, [names[1], names[1], names[3]], with_file=True)
+    assert sorted(r["file"] for r in twice.collect()) == sorted([names[1], names[1], names[3]])
+
+
+def test_csv_files_of_one_header_are_one_scan(spark, tmp_path):
+    names = [str(tmp_path / f"{i}.csv") for i in range(3)]
+    for i, n in enumerate(names):
+        open(n, "w").write(f"Label, a\nl{i},{i}\n")
+    df = load_flows(spark, names, ["Label", "a"], with_file=True)
+    assert sorted(map(tuple, df.collect())) == [(f"l{i}", str(i), n) for i, n in enumerate(names)]
+
+
 def test_csv_columns_are_text(spark, paths):
     assert {t for _, t in read_csv(spark, paths[2]).dtypes} == {"string"}
 
