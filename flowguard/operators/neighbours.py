@@ -1,15 +1,23 @@
-"""Exact k nearest neighbours within a class, block against block.
+"""k nearest neighbours within a class, block against block.
 
 Equal vectors are one point with its least row ids, so n identical rows are
-never paired.  Points of a class are cut into leaves of a k-d tree, whose
-cut values come from a sample, and leaves into blocks of bounded size.  A
-point's k-th distance within its own block bounds the search: two blocks meet
-only if their bounding boxes are nearer than that.  Distances are computed in
-numpy, block by block; Spark deals the blocks and gathers the nearest.
+never paired.  Points of a class are cut into the leaves of a k-d tree, which
+grows in rounds: each round samples the leaves that are still too large, finds
+their cut values in a task a leaf, and deals their points to the new leaves.
+A point's k-th distance within its own leaf bounds the search.  Leaves that may
+hold something nearer are found by descending the tree in pairs: a pair of
+parents is opened only if their bounding boxes are near enough.  Distances are
+computed in numpy, block by block; Spark deals the blocks and gathers the
+nearest.
+
+``knn_within_class`` is exact.  ``lsh_within_class`` looks only into the leaves
+of several trees over Gaussian (2-stable) projections, for vectors of so many
+dimensions that boxes overlap.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,30 +25,64 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowguard.operators.joins import bounded_broadcast
 from flowguard.session import cut
 
 BLOCK = 2048            # points of a block, at most about; its distances to another are one array
-CUT_SAMPLE = 20_000     # points from which the driver takes the cut values of all classes together
+FAN, CUT_SAMPLE = 256, 16_384   # parts of a leaf in one round, and points of it that their cut values come from
+TREES_SENT = 10_000     # cut tables (about 4 KB each) that are broadcast; more are joined
+STEP = 3                # levels of the tree that a pair of boxes descends at once
+PROJECTIONS = 8         # of a tree of lsh_within_class
 
 
-def _splits(points: np.ndarray, leaves: int) -> list | None:
-    """Cut values of a k-d tree: (dimension, value, lower part, upper part), None for a leaf."""
+def _splits(points: np.ndarray, leaves: int, at: int, dims: np.ndarray, cuts: np.ndarray) -> None:
+    """Cut dimensions and values of a k-d tree, at the heap places of its inner nodes (1: the root)."""
     if leaves < 2 or len(points) < 2:
-        return None
+        return
     spread = points.max(axis=0) - points.min(axis=0)
     dim = int(spread.argmax())
-    value = float(np.median(points[:, dim]))
-    low = points[:, dim] <= value
-    if spread[dim] == 0 or low.all():
-        return None
-    return [dim, value, _splits(points[low], leaves // 2), _splits(points[~low], leaves - leaves // 2)]
+    if not spread[dim] > 0:
+        return
+    x = points[:, dim]
+    value = np.median(x)
+    if value == x.max():
+        value = x[x < value].max()
+    dims[at], cuts[at] = dim, value
+    low = x <= value
+    _splits(points[low], leaves - leaves // 2, 2 * at, dims, cuts)
+    _splits(points[~low], leaves // 2, 2 * at + 1, dims, cuts)
+
+
+def leaves_of(points: DataFrame, by: str = "x") -> DataFrame:
+    """``points`` (label, gid, ...) with ``leaf``: the path (a text of 0 and 1) to their leaf of the class's k-d tree over
+    the array column ``by``. Leaves hold about BLOCK points at most, unless all their points are equal in ``by``."""
+    kind = points.schema["label"].dataType.simpleString()
+    levels = math.ceil(math.log2(FAN))
 
+    def tree(pdf: pd.DataFrame) -> pd.DataFrame:
+        dims, cuts = np.full(1 << levels, -1, np.int32), np.zeros(1 << levels)
+        parts = min(FAN, -(-2 * int(pdf["n"].iloc[0]) // BLOCK))
+        _splits(np.array(pdf[by].tolist(), np.float64), parts, 1, dims, cuts)
+        return pd.DataFrame({"label": pdf["label"].iloc[:1], "leaf": pdf["leaf"].iloc[:1],
+                             "dims": [dims], "cuts": [cuts]})[:1 if dims[1] >= 0 else 0]
 
-def _leaf_of(tree: list | None, vec: Column, name: int = 1) -> Column:
-    if tree is None:
-        return F.lit(name)
-    dim, value, low, high = tree
-    return F.when(F.get(vec, dim) <= value, _leaf_of(low, vec, 2 * name)).otherwise(_leaf_of(high, vec, 2 * name + 1))
+    # a place is doubled, and one is added above the cut, until there is no cut
+    down = F.expr(f"""aggregate(sequence(1, {levels}), 1, (i, _) -> CASE
+        WHEN i >= {1 << levels} OR get(dims, i) < 0 THEN i WHEN get({by}, get(dims, i)) <= get(cuts, i) THEN 2 * i
+        ELSE 2 * i + 1 END)""")
+    placed, turn = points.withColumn("leaf", F.lit("")), 0
+    while True:
+        big = placed.groupBy("label", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+        drawn = placed.select("label", "leaf", "gid", by).join(bounded_broadcast(cut(big)), ["label", "leaf"]).where(
+            F.pmod(F.xxhash64("gid", F.lit(turn)), F.lit(1 << 30)) * F.col("n") < F.lit(CUT_SAMPLE << 30))
+        trees = cut(drawn.groupBy("label", "leaf").applyInPandas(
+            tree, f"label {kind}, leaf string, dims array<int>, cuts array<double>"))
+        if trees.isEmpty():
+            return placed
+        placed = cut(placed.join(bounded_broadcast(trees, TREES_SENT), ["label", "leaf"], "left").withColumn(
+            "leaf", F.when(F.col("dims").isNull(), F.col("leaf")).otherwise(
+                F.concat("leaf", F.substring(F.bin(down), 2, 64)))).select(*points.columns, "leaf"))
+        turn += 1
 
 
 def distinct_points(points: DataFrame, label: str, pid: str, vec: str, k: int) -> DataFrame:
@@ -56,32 +98,24 @@ def distinct_points(points: DataFrame, label: str, pid: str, vec: str, k: int) -
     return rows.groupBy("label", "x").agg(F.array_sort(F.collect_list("pid")).alias("ids")).withColumn("gid", F.col("ids")[0])
 
 
-def blocks_of(points: DataFrame) -> DataFrame:
-    """(label, block, ids, n, xs, low, high): blocks of points with their bounding boxes; ids and xs are packed."""
-    sizes = {r["label"]: r["n"] for r in points.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    share = min(1.0, CUT_SAMPLE / max(total, 1))
-    drawn = points.where(F.pmod(F.xxhash64("gid"), F.lit(1_000_000)) < int(share * 1e6) + 1).select("label", "x").toPandas()
-    leaf = F.lit(1)
-    for c, n in sizes.items():
-        mine = drawn.loc[drawn["label"] == c, "x"]
-        tree = _splits(np.array(mine.tolist(), np.float64), -(-2 * n // BLOCK)) if len(mine) and n > BLOCK else None
-        leaf = F.when(F.col("label") == F.lit(c), _leaf_of(tree, F.col("x"))).otherwise(leaf)
-    placed = points.select("label", "gid", "x", leaf.alias("leaf"))
-    per = placed.groupBy("label", "leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("parts"))
+def blocks_of(points: DataFrame, by: str = "x") -> DataFrame:
+    """(label, leaf, block, ids, n, xs, low, high): blocks of points with their bounding boxes; ids and xs are packed."""
+    placed = leaves_of(points, by)
+    per = placed.groupBy("label", "leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * BLOCK)).alias("parts"))
     placed = placed.join(per, ["label", "leaf"]).withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gid")
         x = np.array(pdf["x"].tolist(), np.float64)
         first = pdf.iloc[0]
-        return pd.DataFrame({"label": [first["label"]], "block": [f"{first['leaf']}.{first['part']}"], "n": [len(pdf)],
+        return pd.DataFrame({"label": [first["label"]], "leaf": [first["leaf"]],
+                             "block": [f"{first['leaf']}.{first['part']}"], "n": [len(pdf)],
                              "ids": [pdf["gid"].to_numpy(np.int64).tobytes()], "xs": [x.tobytes()],
                              "low": [x.min(axis=0)], "high": [x.max(axis=0)]})
 
     kind = points.schema["label"].dataType.simpleString()
     return placed.groupBy("label", "leaf", "part").applyInPandas(
-        pack, f"label {kind}, block string, n long, ids binary, xs binary, low array<double>, high array<double>")
+        pack, f"label {kind}, leaf string, block string, n long, ids binary, xs binary, low array<double>, high array<double>")
 
 
 def _nearest(ids: np.ndarray, x: np.ndarray, other: np.ndarray, y: np.ndarray, k: int, limit: np.ndarray | None):
@@ -104,11 +138,9 @@ def _arrays(ids: bytes, xs: bytes) -> tuple[np.ndarray, np.ndarray]:
     return i, np.frombuffer(xs, np.float64).reshape(len(i), -1)
 
 
-def nearest_points(points: DataFrame, k: int) -> DataFrame:
-    """(label, gid, near): the k nearest other distinct points of a class, as structs (dist, gid); fewer in a class of
-    fewer points."""
-    kind = points.schema["label"].dataType.simpleString()
-    blocks = cut(blocks_of(points))
+def _within(blocks: DataFrame, k: int) -> DataFrame:
+    """(label, block, gid, near, dist): up to k nearest points of every point in its own block."""
+    kind = blocks.schema["label"].dataType.simpleString()
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -117,7 +149,59 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
                 row, near, dist = _nearest(i, x, i, x, k, None)
                 yield pd.DataFrame({"label": r.label, "block": r.block, "gid": i[row], "near": near, "dist": dist})
 
-    inner = cut(blocks.mapInPandas(own, f"label {kind}, block string, gid long, near long, dist double"))
+    return blocks.select("label", "block", "ids", "xs").mapInPandas(
+        own, f"label {kind}, block string, gid long, near long, dist double")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """(label, gid, near) of (label, gid, near, dist): the k nearest, equal distances by id."""
+    w = Window.partitionBy("label", "gid").orderBy("dist", "near")
+    return (found.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).groupBy("label", "gid")
+            .agg(F.array_sort(F.collect_list(F.struct("dist", F.col("near").alias("gid")))).alias("near")))
+
+
+def meetings(boxes: DataFrame) -> DataFrame:
+    """(label, block, other) of blocks of a class whose boxes are no further apart than the reach ``r`` of the first.
+
+    ``boxes`` is (label, leaf, block, low, high, r). Both sides descend the tree of leaves STEP levels at once from the
+    whole class; only pairs of nodes that are near enough, by the largest reach below the first, are opened.
+    """
+    about = boxes.agg(F.max(F.length("leaf")), F.max(F.size("low"))).first()
+    if about[0] is None:
+        return boxes.select("label", "block", F.col("block").alias("other"))
+    depth, size = about
+    gap = F.sqrt(F.aggregate(F.zip_with(
+        F.zip_with("low", "ohigh", lambda a, b: F.greatest(a - b, F.lit(0.0))),
+        F.zip_with("olow", "high", lambda a, b: F.greatest(a - b, F.lit(0.0))),
+        lambda a, b: F.greatest(a, b)), F.lit(0.0), lambda s, g: s + g * g))
+    # nodes by level, the blocks last; a leaf above a level stands for itself there
+    at = {depth + 1: boxes.select("label", "leaf", F.col("block").alias("node"), "low", "high", "r")}
+    tops = list(range(STEP, depth, STEP))
+    for level in reversed(tops):
+        below = at[min(x for x in at)]
+        at[level] = cut(below.groupBy("label", F.substring("leaf", 1, level).alias("leaf")).agg(
+            F.array(*[F.min(F.col("low")[j]) for j in range(size)]).alias("low"),
+            F.array(*[F.max(F.col("high")[j]) for j in range(size)]).alias("high"), F.max("r").alias("r")
+        ).withColumn("node", F.col("leaf")))
+    pairs = boxes.select("label").distinct().select("label", F.lit("").alias("up"), F.lit("").alias("oup"))
+    above = 0
+    for level in sorted(at):
+        nodes = at[level].withColumn("up", F.substring("leaf", 1, above))
+        others = nodes.select("label", F.col("up").alias("oup"), F.col("node").alias("other"), F.col("leaf").alias("oleaf"),
+                              F.col("low").alias("olow"), F.col("high").alias("ohigh"))
+        near = pairs.join(nodes, ["label", "up"]).join(others, ["label", "oup"]).where(gap * F.lit(1 - 1e-12) <= F.col("r"))
+        pairs = near.select("label", F.col("node").alias("up"), F.col("other").alias("oup"))
+        above = level
+    return pairs.select("label", F.col("up").alias("block"), F.col("oup").alias("other")).where("block != other")
+
+
+def nearest_points(points: DataFrame, k: int) -> DataFrame:
+    """(label, gid, near): the k nearest other distinct points of a class, as structs (dist, gid); fewer in a class of
+    fewer points."""
+    kind = points.schema["label"].dataType.simpleString()
+    blocks = cut(blocks_of(points))
+
+    inner = cut(_within(blocks, k))
     # the k-th distance of each point so far; without k points yet it is unbounded
     bound = inner.groupBy("label", "block", "gid").agg(F.max("dist").alias("d"), F.count(F.lit(1)).alias("m")).select(
         "label", "block", "gid", F.when(F.col("m") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("d"))
@@ -126,15 +210,8 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
             F.struct("gid", "d")).alias("bounds")), ["label", "block"], "left")
         .withColumn("r", F.when(F.col("seen") < F.col("n"), F.lit(float("inf"))).otherwise(
             F.coalesce("r", F.lit(float("inf"))))))
-    boxes = blocks.select("label", "block", "low", "high")
-    gap = F.sqrt(F.aggregate(F.zip_with(
-        F.zip_with("low", "ohigh", lambda a, b: F.greatest(a - b, F.lit(0.0))),
-        F.zip_with("olow", "high", lambda a, b: F.greatest(a - b, F.lit(0.0))),
-        lambda a, b: F.greatest(a, b)), F.lit(0.0), lambda s, g: s + g * g))
-    # boxes of a class meet each other: one small row a block
-    met = (boxes.join(reach.select("label", "block", "r"), ["label", "block"])
-           .join(boxes.select("label", F.col("block").alias("other"), F.col("low").alias("olow"), F.col("high").alias("ohigh")),
-                 "label").where("block != other").where(gap * F.lit(1 - 1e-12) <= F.col("r")).select("label", "block", "other"))
+    met = meetings(cut(blocks.select("label", "leaf", "block", "low", "high").join(
+        reach.select("label", "block", "r"), ["label", "block"])))
     work = (met.join(blocks.select("label", F.col("block").alias("other"), F.col("ids").alias("oids"), F.col("xs").alias("oxs")),
                      ["label", "other"])
             .join(blocks.select("label", "block", "ids", "xs").join(reach.select("label", "block", "bounds"),
@@ -153,9 +230,23 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
 
     outer = work.mapInPandas(across, f"label {kind}, gid long, near long, dist double")
     both = inner.select("label", "gid", "near", "dist").unionByName(outer.where("dist < double('infinity')"))
-    w = Window.partitionBy("label", "gid").orderBy("dist", "near")
-    return (both.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).groupBy("label", "gid")
-            .agg(F.array_sort(F.collect_list(F.struct("dist", F.col("near").alias("gid")))).alias("near")))
+    return _best(both, k)
+
+
+def projected_points(points: DataFrame, k: int, trees: int, seed: int = 42) -> DataFrame:
+    """(label, gid, near) as nearest_points gives them, among the points that share a leaf of one of ``trees`` k-d trees, each
+    over PROJECTIONS Gaussian projections of its own of the vectors."""
+    first = points.select(F.size("x").alias("d")).first()
+    size, parts = 0 if first is None else first["d"], []
+    for turn in range(trees):
+        drawn = np.random.default_rng([seed, turn]).standard_normal((PROJECTIONS, size))
+        lines = F.array(*[F.array(*[F.lit(float(v)) for v in line]) for line in drawn])
+        z = F.transform(lines, lambda line: F.aggregate(F.zip_with("x", line, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+        parts.append(cut(_within(blocks_of(points.withColumn("z", z), "z"), k).select("label", "gid", "near", "dist")))
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return _best(found.distinct(), k)
 
 
 def knn_within_class(points: DataFrame, label: str, k: int, pid: str = "pid", vec: str = "x") -> DataFrame:
@@ -165,7 +256,33 @@ def knn_within_class(points: DataFrame, label: str, k: int, pid: str = "pid", ve
     ``(label, pid, nn_rank, nn_pid, dist)``; a class of m <= k rows gives each its m - 1 others.
     """
     groups = cut(distinct_points(points, label, pid, vec, k))
-    near = nearest_points(groups.select("label", "gid", "x"), k)
+    return _rows_of(points, groups, nearest_points(groups.select("label", "gid", "x"), k), label, k, pid, vec)
+
+
+def lsh_within_class(points: DataFrame, label: str, k: int, pid: str = "pid", vec: str = "x", trees: int = 8,
+                     seed: int = 42) -> DataFrame:
+    """As knn_within_class, from candidates only: rows that fall into one bucket of at least one of ``trees`` sets of
+    random projections. A class of up to BLOCK distinct vectors is one bucket, hence exact. The work grows with the
+    rows, not with the dimensions; more trees find more of the true neighbours (measure with neighbour_recall)."""
+    groups = cut(distinct_points(points, label, pid, vec, k))
+    near = projected_points(groups.select("label", "gid", "x"), k, trees, seed)
+    return _rows_of(points, groups, near, label, k, pid, vec)
+
+
+def neighbour_recall(found: DataFrame, exact: DataFrame, label: str, pid: str = "pid") -> DataFrame:
+    """(label, n, hit, recall): neighbours of ``exact`` for each class and how many of them are as near in ``found``: those
+    no further than the last true one count, so that ties do."""
+    keys = [label, pid, "nn_rank"]
+    both = exact.select(*keys, F.col("dist").alias("_true")).join(found.select(*keys, "dist"), keys, "left")
+    last = both.groupBy(label, pid).agg(F.array_sort(F.collect_list("_true")).alias("t"),
+                                        F.collect_list("dist").alias("f"))
+    hit = F.size(F.filter("f", lambda d: d <= F.element_at("t", -1)))
+    return last.groupBy(label).agg(F.sum(F.size("t")).alias("n"), F.sum(hit).cast("long").alias("hit")).withColumn(
+        "n", F.col("n").cast("long")).withColumn("recall", F.col("hit") / F.col("n"))
+
+
+def _rows_of(points: DataFrame, groups: DataFrame, near: DataFrame, label: str, k: int, pid: str, vec: str) -> DataFrame:
+    """Neighbours of rows from those of distinct points."""
     # candidates of a point: its own rows, and those of its k nearest points
     other = (near.select("label", "gid", F.explode("near").alias("e"))
              .select("label", F.col("gid").alias("of"), F.col("e.dist").alias("dist"), F.col("e.gid").alias("gid"))

@@ -159,3 +159,57 @@ def test_smote_with_replacement_keeps_class_totals(spark):
     assert {r.y: r.n for r in class_counts(out, "y").collect()} == {"c0": 60, "c1": 60, "c2": 60}
     made = out.where("synthetic AND y = 'c2'").groupBy("base_id").count().collect()
     assert sum(r["count"] for r in made) == 51 and len({r["count"] for r in made}) > 2
+
+
+def _boxes(spark, n, block):
+    rnd = random.Random(n)
+    rows = [("a", i, [rnd.random(), rnd.random()]) for i in range(n)]
+    return spark.createDataFrame(rows, "label string, gid long, x array<double>")
+
+
+def test_blocks_meet_by_descending_the_tree(spark, monkeypatch):
+    from flowguard.operators import neighbours as N
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "FAN", 8)     # several rounds of cuts
+    met = {}
+    for n in (300, 1200, 4800):
+        blocks = N.blocks_of(_boxes(spark, n, 16)).withColumn("r", F.lit(0.5 / n ** 0.5)).cache()
+        rows = blocks.collect()
+        assert sum(r.n for r in rows) == n and max(r.n for r in rows) <= 2 * 16
+        want = {(a.block, b.block) for a in rows for b in rows if a.block != b.block and sum(
+            max(x - v, y - u, 0.0) ** 2 for x, u, y, v in zip(a.low, a.high, b.low, b.high, strict=True)) ** 0.5 <= a.r}
+        got = [(r.block, r.other) for r in N.meetings(blocks.select("label", "leaf", "block", "low", "high", "r")).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        met[n] = len(got)
+    # sixteen times as many pairs of blocks a step, but hardly more than four times as many that meet
+    assert met[1200] < 7 * met[300] and met[4800] < 6 * met[1200]
+
+
+def test_meetings_of_no_blocks(spark):
+    from flowguard.operators import neighbours as N
+    none = spark.createDataFrame([], "label string, leaf string, block string, low array<double>, high array<double>, r double")
+    assert N.meetings(none).count() == 0
+
+
+def test_leaves_of_points_that_are_equal_where_they_are_cut(spark, monkeypatch):
+    from flowguard.operators import neighbours as N
+    monkeypatch.setattr(N, "BLOCK", 8)
+    df = spark.range(100).selectExpr("'a' AS label", "id AS gid", "array(0.0D, 1.0D) AS z", "array(CAST(id AS DOUBLE)) AS x")
+    assert N.leaves_of(df, "z").select("leaf").distinct().count() == 1
+    blocks = N.blocks_of(df, "z").collect()
+    assert sum(b.n for b in blocks) == 100 and len(blocks) > 3
+
+
+def test_lsh_neighbours_reach_their_recall(spark, monkeypatch):
+    from flowguard.operators import neighbours as N
+    monkeypatch.setattr(N, "BLOCK", 64)
+    rnd = random.Random(5)
+    centres = [[rnd.gauss(0, 8) for _ in range(12)] for _ in range(20)]
+    rows = [(c, 10_000 * j + i, [m + rnd.gauss(0, 1) for m in rnd.choice(centres)])
+            for j, (c, n) in enumerate((("a", 1500), ("b", 40))) for i in range(n)]
+    df = spark.createDataFrame(rows, "y string, pid long, x array<double>")
+    exact, found = B.knn_within_class(df, "y", 5), N.lsh_within_class(df, "y", 5, trees=12)
+    recall = {r.y: r for r in N.neighbour_recall(found, exact, "y").collect()}
+    assert recall["a"].n == 7500 and recall["a"].recall >= 0.9
+    assert recall["b"].hit == recall["b"].n == 200          # one bucket: exact
+    assert N.lsh_within_class(df.limit(0), "y", 5).count() == 0
