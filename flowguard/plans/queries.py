@@ -253,6 +253,7 @@ def q_threshold_report(spark, sf_dir):
 # --- profile, balancing -------------------------------------------------------------
 
 from flowguard.operators import balance as B  # noqa: E402
+from flowguard.operators import neighbours as N  # noqa: E402
 from flowguard.operators import profile as P  # noqa: E402
 from flowguard.operators.features import split_features  # noqa: E402
 
@@ -305,11 +306,23 @@ def stage2_train(spark, sf_dir):
 @register("smote_neighbours")
 def q_smote_neighbours(spark, sf_dir):
     """Exact 5 nearest same-family neighbours of every stage-2 training row."""
+    return B.knn_within_class(stage2_points(spark, sf_dir), S.TARGET_FAMILY, S.SMOTE_K).select(
+        S.TARGET_FAMILY, "pid", "nn_rank", "nn_pid")
+
+
+@register("lsh_neighbour_recall")
+def q_lsh_neighbour_recall(spark, sf_dir):
+    """How many of the exact neighbours of stage-2 training rows the random projections find, by family."""
+    pts = cut(stage2_points(spark, sf_dir))
+    found = N.lsh_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K)
+    return N.neighbour_recall(found, B.knn_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K), S.TARGET_FAMILY)
+
+
+def stage2_points(spark, sf_dir):
     tr = stage2_train(spark, sf_dir)
     feats = split_features(tr, extra_exclude=[SM.PART])
-    pts = tr.select(S.TARGET_FAMILY, F.col(S.ROW_ID).alias("pid"),
-                    F.array(*[F.col(f"`{c}`") for c in feats]).alias("x"))
-    return B.knn_within_class(pts, S.TARGET_FAMILY, S.SMOTE_K).select(S.TARGET_FAMILY, "pid", "nn_rank", "nn_pid")
+    return tr.select(S.TARGET_FAMILY, F.col(S.ROW_ID).alias("pid"),
+                     F.array(*[F.col(f"`{c}`") for c in feats]).alias("x"))
 
 
 def smoted(spark, sf_dir, replacement=False):
