@@ -695,3 +695,7 @@ WHERE (SELECT count("{c}") < 2 OR min("{c}") <> max("{c}") FROM sparts WHERE par
     for c in S2_FEATS))
 
 ORACLE["population_scaler"] = ORACLE["scaler_stats"]
+
+ORACLE["stacked_file_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS file, count(*) AS read_rows, count(*) AS written_rows, true AS matches FROM {t}"
+    for t in ("events", "orders", "lineitem", "customer"))

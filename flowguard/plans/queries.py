@@ -6,6 +6,7 @@ operators over the whole input.  Column names match ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from flowguard import schema as S
 from flowguard.operators.clean import clean_flows
 from flowguard.operators.distribution import class_distribution
 from flowguard.operators.targets import add_targets, unmapped_labels
-from flowguard.session import cut
+from flowguard.session import checkpoint_dir, cut
 from flowguard.sources.adapters import flows_from_events
+from flowguard.sources.stacking import stack_files
 
+STACKED = ("events", "orders", "lineitem", "customer")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -594,3 +597,11 @@ def q_population_scaler(spark, sf_dir):
     found = zip(feats, scaler.getOrDefault(scaler.mean), scaler.getOrDefault(scaler.std), strict=True)
     return spark.createDataFrame(list(found), "feature string, mean double, std double").select(
         "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@register("stacked_file_counts")
+def q_stacked_file_counts(spark, sf_dir):
+    """Tables stacked as files: rows read while stacking and rows that the stack holds, file by file."""
+    out = f"{checkpoint_dir(spark)}/stack-{uuid.uuid4().hex}"
+    report = stack_files(spark, [f"{sf_dir}/{t}.parquet" for t in STACKED], out, ["event_id", "o_orderkey", "l_orderkey"])
+    return report.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), "read_rows", "written_rows", "matches")

@@ -58,7 +58,14 @@ def _opened(spark: SparkSession, path: str) -> Opened | tuple[str, str]:
         return path, damaged[1]
 
 
-def _scans(opened: list[Opened]) -> list[list[Opened]]:
+def opened_files(spark: SparkSession, paths: list[str]) -> tuple[list[Opened], list[tuple[str, str]]]:
+    """The readable files, and ``(file, error)`` of the others."""
+    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+        found = list(pool.map(lambda path: _opened(spark, path), paths))
+    return [f for f in found if isinstance(f, Opened)], [f for f in found if not isinstance(f, Opened)]
+
+
+def scans_of(opened: list[Opened]) -> list[list[Opened]]:
     """Files that one scan reads: of equal format and schema. A file named twice is read by another scan, and a table
     parted by directories by one of its own."""
     groups: dict[tuple, list[Opened]] = {}
@@ -73,7 +80,7 @@ def _scans(opened: list[Opened]) -> list[list[Opened]]:
     return list(groups.values())
 
 
-def _scan(spark: SparkSession, files: list[Opened], columns: list[str] | None, with_file: bool) -> DataFrame:
+def scan_files(spark: SparkSession, files: list[Opened], columns: list[str] | None, with_file: bool) -> DataFrame:
     paths = [f.path for f in files]
     if len(files) == 1:
         df = _projected(read_flows(spark, paths[0]), columns)
@@ -104,10 +111,8 @@ def load_flows_reported(spark: SparkSession, paths: list[str], columns: list[str
     """The readable files stacked by column name, and ``(file, error)`` of the
     others.  Columns that a file lacks are null; ``columns`` prunes the scans;
     ``with_file`` adds the path each row came from."""
-    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
-        found = list(pool.map(lambda path: _opened(spark, path), paths))
-    errors = [f for f in found if not isinstance(f, Opened)]
-    frames = [_scan(spark, files, columns, with_file) for files in _scans([f for f in found if isinstance(f, Opened)])]
+    opened, errors = opened_files(spark, paths)
+    frames = [scan_files(spark, files, columns, with_file) for files in scans_of(opened)]
     return (reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None), errors
 
 

@@ -177,3 +177,33 @@ def test_sweep_levels_are_exact_at_the_thresholds(spark):
     values = [v for t in grid for v in (t, math.nextafter(t, 0), math.nextafter(t, 1))] + [0.0, 1.0, -1.0, 2.0]
     df = spark.createDataFrame([(v,) for v in values], "s double").withColumn("n", M.cleared(F.col("s"), None))
     assert all(r["n"] == sum(t <= r["s"] for t in grid) for r in df.collect())
+
+
+def test_stacked_files_are_reconciled(spark, tmp_path, monkeypatch):
+    from flowguard.sources import stacking
+    monkeypatch.setattr(stacking, "COUNTED_AT_ONCE", 2)
+    paths = []
+    for i, n in enumerate((3, 5, 0, 7)):
+        paths.append(str(tmp_path / f"p{i}.parquet"))
+        spark.range(n).selectExpr("id AS a").coalesce(1).write.parquet(paths[-1])
+    paths.append(str(tmp_path / "c.csv"))
+    (tmp_path / "c.csv").write_text("a,b\n1,x\n2,y\n")
+    gone, out = str(tmp_path / "gone.parquet"), str(tmp_path / "out")
+    report = {r.file: r for r in stacking.stack_files(spark, [*paths, gone, paths[0]], out).collect()}
+    assert [(report[p].read_rows, report[p].written_rows, report[p].matches) for p in paths] == [
+        (n, n, True) for n in (3, 5, 0, 7, 2)]
+    assert report[gone].matches is None and report[gone].error == "PATH_NOT_FOUND" and len(report) == 6
+    # a stack that lost rows of one file and has some of a file that was never read
+    written = spark.read.parquet(out).where(f"NOT (file = '{paths[3]}' AND a = '4')").unionByName(
+        spark.sql("SELECT 'other' AS file"), allowMissingColumns=True)
+    read = {p: report[p].read_rows for p in paths}
+    again = {r.file: r for r in stacking.reconciled(spark, read, written).collect()}
+    assert {p for p, r in again.items() if not r.matches} == {paths[3], "other"}
+    assert again[paths[3]].written_rows == 6 and again["other"].read_rows == 0
+
+
+def test_no_readable_file_is_a_report_without_a_stack(spark, tmp_path):
+    from flowguard.sources.stacking import stack_files
+    report = stack_files(spark, [str(tmp_path / "no.parquet")], str(tmp_path / "out")).collect()
+    assert [(r.read_rows, r.written_rows, r.matches, r.error) for r in report] == [(None, None, None, "PATH_NOT_FOUND")]
+    assert not (tmp_path / "out").exists()
