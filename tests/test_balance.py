@@ -213,3 +213,24 @@ def test_lsh_neighbours_reach_their_recall(spark, monkeypatch):
     assert recall["a"].n == 7500 and recall["a"].recall >= 0.9
     assert recall["b"].hit == recall["b"].n == 200          # one bucket: exact
     assert N.lsh_within_class(df.limit(0), "y", 5).count() == 0
+
+
+def test_a_meeting_of_blocks_holds_few_of_their_distances():
+    """Neighbours of one block in another as by sorting all distances (ties by id), in a few MB."""
+    import tracemalloc
+
+    import numpy as np
+    from flowguard.operators import neighbours as N
+    rng = np.random.default_rng(3)
+    x, y = (np.round(rng.normal(size=(n, 3)), 1) for n in (1500, 2000))
+    ids, other, limit = np.arange(1500) * 2, np.arange(2000) * 2 + 1, rng.uniform(0, 1, 1500)
+    dist = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+    for bound in (limit, None):
+        tracemalloc.start()
+        row, near, d = N._nearest(ids, x, other, y, 4, bound)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        want = [(i, other[j]) for i in range(1500) for j in np.argsort(dist[i], kind="stable")[:4]
+                if bound is None or dist[i, j] <= bound[i]]
+        assert list(zip(row, near)) == want and np.allclose(d, dist[row, near // 2])
+        assert peak < 32e6, peak
