@@ -191,3 +191,35 @@ def test_probability_rules(spark, tmp_path):
 def test_compiled_trees_equal_their_models(spark):
     out = {r["stage"]: r for r in Q.q_compiled_tree_check(spark, SF01).collect()}
     assert set(out) == {1, 2} and all(r["differing"] == 0 and r["n"] > 0 for r in out.values())
+
+
+# --- searches at scale ----------------------------------------------------------------
+
+def test_folds_of_a_search_are_prepared_side_by_side(spark, monkeypatch):
+    """Every fold's preparation, and that of all rows, waits here until the others have begun."""
+    import threading
+    rest = SM.outside_holdout(Q.flows_clean(spark, SF001)).checkpoint()
+    df = SM.stratified_folds(rest.withColumn(L.LABEL, F.col(S.TARGET_BIN).cast("double")), S.TARGET_BIN, 2).checkpoint()
+    all_here, prepared = threading.Barrier(3), L.Rebalanced.prepared
+
+    def waiting(self, rows):
+        all_here.wait(60)
+        return prepared(self, rows)
+
+    monkeypatch.setattr(L.Rebalanced, "prepared", waiting)
+    cands = [(n, st, pts[:1]) for n, st, pts in L.candidates(J.split_features(rest), 1, "dt")]
+    (_, score, _, model), table = J._cross_validate(df, cands, L.BinaryF1Evaluator(), 2, 2)
+    assert len(table) == 1 and score == table[0][2] and "prediction" in model.transform(df).columns
+
+
+def test_forests_keep_the_nodes_of_their_rows_and_grow_the_same_trees(spark):
+    rows = [(float(i % 3 == 0), 1.0, i) for i in range(300)]
+    df = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(
+        spark.createDataFrame(rows, "label double, weight double, i int").selectExpr(
+            "*", "i % 7 a", "i % 11 b", "i % 13 c", "(i * 37) % 101 d")).checkpoint()
+    for stage in (1, 2):
+        (_, stages, _), = L.candidates(["a"], stage, "rf")
+        forest = stages[-1].inner.copy({stages[-1].inner.numTrees: 4, stages[-1].inner.maxDepth: 6})
+        assert forest.getCacheNodeIds()
+        plain = forest.copy({forest.cacheNodeIds: False})
+        assert forest.fit(df).toDebugString.split("\n", 1)[1] == plain.fit(df).toDebugString.split("\n", 1)[1]
