@@ -4,7 +4,7 @@ Two permutations, the second read from circularly shifted places, give all coord
 one class from the start. Classes that share a band are tested against the best-connected class of their bucket, and
 then every further pair of a bucket that could still join two components. Tests are exact, on full sets of shingles.
 Pairs are spared them if their sizes or signatures rule a link out, or what the first tests told: which shingles of the
-bucket's lead either class has, and how many others.
+bucket's lead either class has, how many others, and into which places of a map these fall.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ UNIVERSE, BANDS, ROWS = 1 << 22, 40, 6
 WORDS, SIGMAS = 4, 6
 #: Shingles that are looked up at once.
 STEP = 4096
+#: Places of the map of a text's shingles that another lacks, for each shingle of the other.
+PLACES = 4
 SCHEMA = "text_hash long, n_shingles long, cls binary, bands array<long>, sketch array<long>"
 
 
@@ -96,9 +98,10 @@ def signatures(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 
 def jaccard_of(size: int):
-    """A pandas UDF for two texts: shared shingles, shingles in either, and a bit for each shingle of the first (in
-    rising order of keys): whether the second has it."""
-    @F.pandas_udf("both long, either long, has array<long>")
+    """A pandas UDF for two texts: shared shingles, shingles in either, a bit for each shingle of the first (in rising
+    order of keys): whether the second has it, and a map of the second's other shingles: the places, of as many for each
+    first text, that their keys fall into."""
+    @F.pandas_udf("both long, either long, has array<long>, others array<long>")
     def count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         keys_of, last = WordKeys(), {}
 
@@ -110,29 +113,33 @@ def jaccard_of(size: int):
             return last[text]
 
         for a, b in batches:
-            both, either, has = [], [], []
+            both, either, has, others = [], [], [], []
             for x, y in zip(a, b, strict=True):
                 s, t = of(x), shingle_set(y, keys_of, size)
-                hit = t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s
+                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+                hit = t[at] == s
                 n = int(hit.sum())
                 both.append(n)
                 either.append(len(s) + len(t) - n)
                 bits = np.zeros(-(-len(s) // 64) * 64, np.uint8)
                 bits[:len(s)] = hit
                 has.append(np.packbits(bits).view(np.int64))
-            yield pd.DataFrame({"both": both, "either": either, "has": has})
+                places = np.zeros(PLACES * len(bits), np.uint8)
+                places[(np.delete(t, at[hit]) % np.uint64(len(places))).astype(np.int64)] = 1
+                others.append(np.packbits(places).view(np.int64))
+            yield pd.DataFrame({"both": both, "either": either, "has": has, "others": others})
 
     return count
 
 
 def tested(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """``pairs`` (a, b) with both, either and has. a may be the same class in very many pairs: it is joined last, where
+    """``pairs`` (a, b) with both, either, has and others. a may be the same class in very many pairs: it is joined last, where
     AQE can split it; each text is sent once a pair."""
     one = texts.select(F.col("cls").alias("b"), F.col("text").alias("_tb"))
     two = texts.select(F.col("cls").alias("a"), F.col("text").alias("_ta"))
     count = jaccard_of(size)(F.col("_ta"), F.col("_tb"))
     return (pairs.join(one, "b").join(two, "a").select("a", "b", count.alias("_n"))
-            .select("a", "b", "_n.both", "_n.either", "_n.has"))
+            .select("a", "b", "_n.both", "_n.either", "_n.has", "_n.others"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -241,9 +248,16 @@ def plausible(percent: int) -> Column:
 
 def not_excluded(percent: int) -> Column:
     """Whether a pair may still be similar enough, by its bucket's lead: the two share at most the lead's shingles that
-    both have (ha, hb), and of others no more than the one that has fewer of them (oa, ob)."""
-    common = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, x: n + x)
-    most = common + F.least("oa", "ob")
+    both have (ha, hb), and of either's others (oa, ob) no more than there are, less the places of its map (ma, mb) that
+    the other's lacks: one shingle at least fell into each, which the other cannot have."""
+    def bits(of) -> Column:
+        return F.aggregate(of, F.lit(0), lambda n, x: n + F.bit_count(x))
+
+    def alone(x: str, y: str) -> Column:
+        return bits(F.zip_with(x, y, lambda p, q: p.bitwiseAND(F.bitwise_not(q))))
+
+    most = bits(F.zip_with("ha", "hb", lambda p, q: p.bitwiseAND(q))) + F.least(
+        F.col("oa") - alone("ma", "mb"), F.col("ob") - alone("mb", "ma"))
     return 100 * most >= percent * (F.col("na") + F.col("nb") - most)
 
 
@@ -265,14 +279,14 @@ def open_pairs(members: DataFrame, about: DataFrame, stars: DataFrame, roots: Da
     size = F.floor(F.log("n") / -math.log(percent / 100) + F.lit(1e-9)).cast("int")
     all_ = in_components(members, roots).select("h", "cls", "lead", "root", "lead_root")
     stray = all_.where("root != lead_root").select("h").distinct()
-    told = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), "both", "has")
+    told = stars.select(F.col("a").alias("lead"), F.col("b").alias("cls"), "both", "has", F.col("others").alias("map"))
     near = (all_.join(stray, "h", "left_semi").join(told, ["lead", "cls"]).join(about, "cls")
             .withColumns({"size": size, "others": F.col("n") - F.col("both")}))
-    near = cut(near.select("h", "size", "cls", "n", "root", "lead_root", "others", "sketch", "has"))
+    near = cut(near.select("h", "size", "cls", "n", "root", "lead_root", "others", "sketch", "has", "map"))
 
     def side(rows: DataFrame, x: str) -> DataFrame:
         return rows.select("h", "size", "lead_root", *[F.col(c).alias(n + x) for c, n in (
-            ("cls", ""), ("n", "n"), ("root", "r"), ("others", "o"), ("sketch", "s"), ("has", "h"))])
+            ("cls", ""), ("n", "n"), ("root", "r"), ("others", "o"), ("sketch", "s"), ("has", "h"), ("map", "m"))])
 
     one = side(near.where("root != lead_root").withColumn(
         "size", F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1))), "a").drop("lead_root")

@@ -80,6 +80,30 @@ def test_one_large_group_of_near_copies(spark):
     assert got == {d: c for d, (_, c) in brute(docs, 85).items()}
 
 
+def test_pairs_of_near_copies_below_the_limit_are_told_apart_by_their_lead(spark, monkeypatch):
+    # copies that link with the text they come from but not, or hardly, with each other; the text itself is not there
+    rng, opened, open_pairs = random.Random(6), [], near_dup.open_pairs
+    base = [f"u{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        edit = list(base)
+        for at in rng.sample(range(150), 2):
+            edit[at] = f"x{i}"
+        docs.append((i, " ".join(edit)))
+
+    def counted(*args):
+        pairs = near_dup.cut(open_pairs(*args))
+        opened.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dup, "open_pairs", counted)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = {d: c for d, (_, c) in brute(docs, 85).items()}
+    assert got == want and len(set(want.values())) > 60
+    assert opened[0] < 120
+
+
 def test_estimate_of_circulant_signatures():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
