@@ -29,15 +29,16 @@ from flowguard.operators.joins import bounded_broadcast
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 WORD_ENDS = b"\x20\x09"
 LEAST, LONGEST, TOP = 10, 3, 2000
-#: Bytes of text hashed at once (a longer text is hashed whole, alone).
-BLOCK = 1 << 20
+#: Bytes of text hashed at once (a longer text is hashed whole, alone). A task holds about 100 times as many.
+BLOCK = 1 << 18
 #: Bits of a short fingerprint. Runs that share one only make a sum larger, so no frequent run is lost.
 SHORT = 48
 #: Bits of the map of frequent runs' short fingerprints (their first bits) that spares most rare runs the shuffle, and of
 #: the number of its slices. Its size is fixed (16 MB): with more runs it lets more through, and the sums decide.
 MAP_BITS, SLICE_BITS = 27, 6
-#: Sums that a task holds before it sends them; bytes of text for each bucket of sums, about.
-HELD, BUCKET_BYTES = 500_000, 16 << 20
+#: Sums that a task holds before it adds them up, and sends them if half as many are left; sums it sends at once; bytes of
+#: text for each bucket of sums, about.
+HELD, SENT, BUCKET_BYTES = 500_000, 50_000, 16 << 20
 #: Rows of a language that one task ranks.
 RANKED = 10_000
 
@@ -124,13 +125,23 @@ def _listed(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _summed(parts: list[tuple]) -> tuple:
-    """Sums by key of parts (key, n, and columns of which any row's value does)."""
-    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    order = np.argsort(columns[0], kind="stable")
-    key = columns[0][order]
+    """Sums by key of parts (key, n, and columns of which any row's value does). The parts are taken out of their list, a
+    column at a time, so that they are not held twice."""
+    columns = [list(c) for c in zip(*parts, strict=True)]
+    parts.clear()
+
+    def whole(i: int) -> np.ndarray:
+        column = np.concatenate(columns[i])
+        columns[i] = []
+        return column
+
+    key = whole(0)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
-    n = np.add.reduceat(columns[1][order], first) if len(key) else columns[1]
-    return key[first], n, *(c[order[first]] for c in columns[2:])
+    n = np.add.reduceat(whole(1)[order], first) if len(key) else whole(1)
+    key, order = key[first], order[first]
+    return key, n, *(whole(i)[order] for i in range(2, len(columns)))
 
 
 def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -183,8 +194,11 @@ def frequent_map(docs: DataFrame, size: int, shorter: bytes | None, least: int,
                     parts.append(np.unique(spans.keys(at, size) >> np.uint64(64 - SHORT), return_counts=True))
                     held += len(parts[-1][0])
                 if held > HELD:
-                    yield sent(parts)
-                    parts, held = [], 0
+                    parts = [_summed(parts)]
+                    held = len(parts[0][0])
+                    if held > HELD // 2:
+                        held = 0
+                        yield sent(parts)
         if parts:
             yield sent(parts)
 
@@ -215,11 +229,14 @@ def counted(docs: DataFrame, maps: dict[int, bytes], least: int) -> DataFrame:
     """(key, check, size, n, doc, at) of the runs that occur ``least`` times: their whole fingerprint, their number and one
     occurrence (the document's key and the run's first word there). ``maps``, by size, keep most rare runs where they are.
     Size 0 gives the number of words of each language."""
-    def sent(parts: list[tuple]) -> pa.RecordBatch:
+    def sent(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         _, n, key, check, size, doc, at = _summed(parts)
-        return pa.RecordBatch.from_arrays([
-            pa.array(key.view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-            pa.array(size), pa.array(n), pa.array(doc), pa.array(at)], ["key", "check", "size", "n", "doc", "at"])
+        for i in range(0, len(n), SENT):
+            part = slice(i, i + SENT)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key[part].view(np.int64)), pa.array((check[part] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                pa.array(size[part]), pa.array(n[part]), pa.array(doc[part]), pa.array(at[part])],
+                ["key", "check", "size", "n", "doc", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, parts, held = {k: np.frombuffer(x, np.uint8) for k, x in maps.items()}, [], 0
@@ -244,10 +261,13 @@ def counted(docs: DataFrame, maps: dict[int, bytes], least: int) -> DataFrame:
                                   docs[text], at - first_word[text]))
                     held += len(both)
                 if held > HELD:
-                    yield sent(parts)
-                    parts, held = [], 0
+                    parts = [_summed(parts)]
+                    held = len(parts[0][0])
+                    if held > HELD // 2:
+                        held = 0
+                        yield from sent(parts)
         if parts:
-            yield sent(parts)
+            yield from sent(parts)
 
     rows = docs.select("text", "doc", "salt").mapInArrow(run, SPANS).groupBy("key", "check", "size").agg(
         F.sum("n").alias("n"), F.first("doc").alias("doc"), F.first("at").alias("at"))

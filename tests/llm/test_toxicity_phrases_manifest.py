@@ -147,6 +147,47 @@ def test_phrases_ranked_in_several_tasks(spark, monkeypatch):
     assert mined(df, least=2, top=10) == brute_phrases(rows, 2, 3, 10)
 
 
+def test_sums_of_phrases_do_not_hold_their_parts_twice():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    want = {}
+    tracemalloc.start()
+    try:
+        parts = [(rng.integers(0, 1 << 62, 20_000, dtype=np.uint64) >> np.uint64(42), np.ones(20_000, np.int64),
+                  *(np.full(20_000, i) for _ in range(5))) for i in range(20)]
+        for key, n, *_ in parts:
+            for k in key.tolist()[:100]:
+                want[k] = 0
+        for key, n, *_ in parts:
+            found, times = np.unique(key, return_counts=True)
+            for k, m in zip(found.tolist(), times.tolist()):
+                if k in want:
+                    want[k] += m
+        held = sum(c.nbytes for part in parts for c in part)
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        key, n, *more = phrases._summed(parts)
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert (np.diff(key.astype(np.int64)) > 0).all() and n.sum() == 400_000 and len(more) == 5
+    got = dict(zip(key.tolist(), n.tolist()))
+    assert all(got[k] == m for k, m in want.items())
+    assert peak < held
+
+
+def test_phrases_sent_in_several_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = [(i, rng.choice(["en", "de", None]), " ".join(rng.choices("abcdef", k=rng.randint(0, 60)))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    want = sorted(phrases.mine_phrases(df).collect())
+    assert len(want) > 100
+    for name, value in (("BLOCK", 1000), ("HELD", 150), ("SENT", 40)):
+        monkeypatch.setattr(phrases, name, value)
+    assert sorted(phrases.mine_phrases(df).collect()) == want
+
+
 def test_phrases_that_collide_stay_apart(spark, monkeypatch):
     """With the first fingerprint cut to four bits nearly all runs collide; the second still tells them apart."""
     rows = [("en", "a b c. " * 3 + "d e f. " * 4 + "g h. " * 5)]
