@@ -2,18 +2,20 @@
 
 Words and runs of words are hashed without being cut out of the text: prefix polynomials (one over the bytes of many
 texts, one over the hashes of their words) give the fingerprint of any span as a difference of two prefixes. The shuffle
-first adds up short fingerprints, which leaves out most rare runs; then whole fingerprints, each with a pointer to one
-occurrence. Only phrases that turn out frequent are read from the text at their pointer, where their fingerprints are
-computed again and compared.
+adds up the fingerprints of each size, packed; runs that hold a rare shorter run stay where they are. Only phrases that
+turn out frequent are then read from the texts: first from a few rows, which hold most of the very frequent ones, then
+what is open from more, and what is still open from every row.
 
-A whole fingerprint is a 64-bit polynomial with 32 further bits from a second, independent polynomial. Both are the key
-of the sum, so phrases that collide in the first are told apart by the second and stay apart in the text.
+A fingerprint is a 64-bit polynomial with 32 further bits from a second, independent polynomial. Both are the key of the
+sum, so phrases that collide in the first are told apart by the second and stay apart in the text.
 """
 
 from __future__ import annotations
 
 import functools
 import math
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,18 +33,25 @@ WORD_ENDS = b"\x20\x09"
 LEAST, LONGEST, TOP = 10, 3, 2000
 #: Bytes of text hashed at once (a longer text is hashed whole, alone).
 BLOCK = 1 << 18
-#: Bits of a short fingerprint. Runs that share one only make a sum larger, so no frequent run is lost.
-SHORT = 48
-#: Bits of the map of frequent runs' short fingerprints (their first bits) that spares most rare runs the shuffle, and of
-#: the number of its slices. Its size is fixed (16 MB): with more runs it lets more through, and the sums decide.
+#: Bits of the map of frequent runs (by their fingerprints' first bits) that spares most rare runs the shuffle, and of the
+#: number of its slices. Its size is fixed (16 MB): with more runs it lets more through, and the sums decide.
 MAP_BITS, SLICE_BITS = 27, 6
-#: Sums that a task holds before it adds them up, and sends them if half as many are left; sums it sends at once; bytes of
-#: text for each bucket of sums, about.
+#: Sums that a task holds before it adds them up, and sends them if half as many are left; phrases it sends at once; bytes
+#: of text for each bucket of sums, about.
 HELD, SENT, BUCKET_BYTES = 500_000, 50_000, 16 << 20
+#: Bits of the number of buckets at least (a byte of the fingerprint is not sent), and by which buckets of phrases are fewer.
+BUCKET_BITS, COARSE = 8, 2
+#: Shares of the rows (one in ...) that frequent phrases are read from in turn; the last is every row.
+SHARES = 64, 8, 1
+#: Bits of the number of phrases that a task remembers, so as not to send them again.
+SEEN_BITS = 17
 #: Rows of a language that one task ranks.
 RANKED = 10_000
 
-SPANS = "key long, check int, size int, n long, doc long, at long"
+#: Rows that hold many runs each: fingerprints and counts, or phrases of one language and their counts or fingerprints.
+RUNS = {"size": pa.int32(), "bucket": pa.int64(), "lang": pa.string(), "keys": pa.binary(), "checks": pa.binary(),
+        "counts": pa.binary(), "phrases": pa.binary()}
+RUNS_DDL = "size int, bucket long, lang string, keys binary, checks binary, counts binary, phrases binary"
 
 
 class Spans:
@@ -119,14 +128,23 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
+def _bits(slices: dict[int, bytes]) -> np.ndarray:
+    """A map from its slices (deflated, as the plans of jobs hold them; empty ones are left out)."""
+    out = np.zeros((1 << SLICE_BITS, 1 << (MAP_BITS - SLICE_BITS - 3)), np.uint8)
+    for i, data in slices.items():
+        out[i] = np.frombuffer(zlib.decompress(data), np.uint8)
+    return out.ravel()
+
+
 def _listed(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which keys a map holds."""
     at = (keys >> np.uint64(64 - MAP_BITS)).astype(np.int64)
     return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _summed(parts: list[tuple]) -> tuple:
+def _summed(parts: list[tuple], check: int | None = None) -> tuple:
     """Sums by key of parts (key, n, and columns of which any row's value does). The parts are taken out of their list, a
-    column at a time, so that they are not held twice."""
+    column at a time, so that they are not held twice. ``check``: a column that belongs to the key, too."""
     columns = [list(c) for c in zip(*parts, strict=True)]
     parts.clear()
 
@@ -137,13 +155,41 @@ def _summed(parts: list[tuple]) -> tuple:
 
     key = whole(0)
     order = np.argsort(key, kind="stable")
+    new = key[order][1:] != key[order][:-1]
+    if check is not None:
+        checks = np.concatenate(columns[check])
+        if (~new & (checks[order][1:] != checks[order][:-1])).any():
+            order = np.lexsort((checks, key))
+            new = key[order][1:] != key[order][:-1]
+            new |= checks[order][1:] != checks[order][:-1]
     key = key[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
+    first = np.flatnonzero(np.r_[True, new]) if len(key) else order
     n = np.add.reduceat(whole(1)[order], first) if len(key) else whole(1)
     key, order = key[first], order[first]
     return key, n, *(whole(i)[order] for i in range(2, len(columns)))
 
 
+def _batch(**columns) -> pa.RecordBatch:
+    n = len(columns["bucket"])
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in RUNS.items()],
+                                      list(RUNS))
+
+
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=list(RUNS), dtype=object)
+
+
+def _parts(*columns: np.ndarray) -> list[slice]:
+    """Slices of equal neighbours."""
+    change = functools.reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(np.r_[True, change])
+    return [slice(x, y) for x, y in zip(first.tolist(), [*first[1:].tolist(), len(columns[0])], strict=True)]
+
+
+def _check(spans: Spans, at: np.ndarray, size: int) -> np.ndarray:
+    return (spans.keys(at, size, 1) >> np.uint64(32)).astype("<u4")
+
+
 def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
     """Rows and texts of a batch, some megabytes at a time."""
     rows, texts, held = [], [], 0
@@ -159,173 +205,210 @@ def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
         yield rows, texts
 
 
-def frequent_map(docs: DataFrame, size: int, shorter: bytes | None, least: int, buckets: int) -> bytes:
-    """The map of runs of ``size`` words whose short fingerprints sum up to ``least``; runs of which ``shorter``, the map of
-    the runs that are a word shorter, lacks either are left out.
+def counted(docs: DataFrame, size: int, shorter: dict[int, bytes] | None, least: int, buckets: int) -> DataFrame:
+    """Fingerprints of the runs of ``size`` words that occur ``least`` times, and their number; runs of which ``shorter``,
+    the map of the runs that are a word shorter, lacks either are left out. Without ``shorter``, the words of each language
+    as well (size 0).
 
     Tasks send their sums packed, parted by the fingerprints' first bits into ``2 ** buckets`` buckets, whose number grows
-    with the texts so that a bucket's size does not. The map comes to the driver in slices of fixed size.
+    with the texts so that a bucket's size does not.
     """
-    low = np.uint64(SHORT - buckets)
-
     def sent(parts: list[tuple]) -> pa.RecordBatch:
-        key, n = _summed(parts)
-        bucket = (key >> low).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        wide = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT // 8]
-        ends = np.r_[first[1:], len(key)]
-        return pa.RecordBatch.from_arrays([
-            pa.array(bucket[first]), pa.array([wide[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary()),
-            pa.array([packed(n[x:y]) for x, y in zip(first, ends, strict=True)], pa.binary())], ["bucket", "keys", "counts"])
+        key, n, check = _summed(parts, 2)
+        bucket = (key >> np.uint64(64 - buckets)).astype(np.int64)
+        low = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+        of = _parts(bucket)
+        return _batch(size=np.full(len(of), size, np.int32), bucket=bucket[[p.start for p in of]],
+                      keys=[low[p].tobytes() for p in of], checks=[check[p].tobytes() for p in of],
+                      counts=[packed(n[p]) for p in of])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, parts, held = np.frombuffer(shorter or b"", np.uint8), [], 0
+        bits, parts, held, words = _bits(shorter or {}), [], 0, Counter()
         for batch in batches:
             salts_of = batch.column("salt").to_numpy().view(np.uint64)
+            langs = batch.column("lang").to_pylist()
             for rows, texts in blocks(batch):
                 spans = Spans(texts, salts_of[rows])
                 at = spans.places(size)
-                if shorter is not None and len(at):
+                if shorter is None:
+                    for i, n in zip(rows, np.bincount(spans.text, minlength=len(rows)).tolist(), strict=True):
+                        words[langs[i], int(salts_of[i]) >> (64 - buckets)] += n
+                elif len(at):
                     known = np.zeros(len(spans.start) + 1, bool)
                     short = spans.places(size - 1)
                     known[short] = _listed(spans.keys(short, size - 1), bits)
                     at = at[known[at] & known[at + 1]]
                 if len(at):
-                    parts.append(np.unique(spans.keys(at, size) >> np.uint64(64 - SHORT), return_counts=True))
+                    parts.append(_summed([(spans.keys(at, size), np.ones(len(at), np.int64), _check(spans, at, size))], 2))
                     held += len(parts[-1][0])
                 if held > HELD:
-                    parts = [_summed(parts)]
+                    parts = [_summed(parts, 2)]
                     held = len(parts[0][0])
                     if held > HELD // 2:
                         held = 0
                         yield sent(parts)
         if parts:
             yield sent(parts)
+        if words:
+            yield _batch(size=np.zeros(len(words), np.int32), bucket=[b for _, b in words], lang=[x for x, _ in words],
+                         counts=[packed(np.array([n])) for n in words.values()])
 
     def frequent(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["bucket"].iloc[0])
+        if pdf["size"].iloc[0] == 0:
+            words = Counter()
+            for lang, counts in zip(pdf["lang"], pdf["counts"], strict=True):
+                words[lang] += int(unpacked(counts)[0])
+            return _frame([{"size": 0, "bucket": bucket >> COARSE, "lang": x, "counts": packed(np.array([n])), "phrases": b""}
+                           for x, n in words.items()])
         parts = []
-        for keys, counts in zip(pdf["keys"], pdf["counts"], strict=True):
-            wide = np.zeros((len(keys) // (SHORT // 8), 8), np.uint8)
-            wide[:, :SHORT // 8] = np.frombuffer(keys, np.uint8).reshape(-1, SHORT // 8)
-            parts.append((wide.view("<u8").ravel().astype(np.uint64), unpacked(counts)))
-        key, n = _summed(parts)
-        places = np.unique(key[n >= least] >> np.uint64(SHORT - MAP_BITS)).astype("<u4")
-        return pd.DataFrame({"slice": [int(pdf["bucket"].iloc[0]) >> (buckets - SLICE_BITS)], "data": [places.tobytes()]})
+        for keys, checks, counts in zip(pdf["keys"], pdf["checks"], pdf["counts"], strict=True):
+            wide = np.full((len(keys) // 7, 8), bucket >> (buckets - 8), np.uint8)
+            wide[:, :7] = np.frombuffer(keys, np.uint8).reshape(-1, 7)
+            parts.append((wide.view("<u8").ravel(), unpacked(counts), np.frombuffer(checks, "<u4")))
+        key, n, check = _summed(parts, 2)
+        on = n >= least
+        return _frame([{"size": size, "bucket": bucket >> COARSE, "keys": key[on].tobytes(), "checks": check[on].tobytes(),
+                        "counts": packed(n[on])}] if on.any() else [])
+
+    return (docs.select("text", "lang", "salt").mapInArrow(run, RUNS_DDL).groupBy("size", "bucket")
+            .applyInPandas(frequent, RUNS_DDL))
 
+
+def frequent_map(runs: DataFrame, size: int, buckets: int) -> dict[int, bytes]:
+    """The map of counted runs of ``size`` words. It comes to the driver in slices of bounded size."""
     def drawn(pdf: pd.DataFrame) -> pd.DataFrame:
-        places = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["data"]]).astype(np.int64)
         bits = np.zeros(1 << (MAP_BITS - SLICE_BITS), np.uint8)
-        bits[places & (len(bits) - 1)] = 1
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "data": [np.packbits(bits).tobytes()]})
+        for keys in pdf["keys"]:
+            places = (np.frombuffer(keys, "<u8") >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            bits[places & (len(bits) - 1)] = 1
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "data": [zlib.compress(np.packbits(bits), 1)]})
 
-    slices = (docs.select("text", "salt").mapInArrow(run, "bucket long, keys binary, counts binary").groupBy("bucket")
-              .applyInPandas(frequent, "slice long, data binary").groupBy("slice")
+    part = F.shiftright("bucket", buckets - COARSE - SLICE_BITS).alias("slice")
+    slices = (runs.where(F.col("size") == size).select(part, "keys").groupBy("slice")
               .applyInPandas(drawn, "slice long, data binary").collect())
-    out = {r["slice"]: bytes(r["data"]) for r in slices}
-    return b"".join(out.get(i, bytes(1 << (MAP_BITS - SLICE_BITS - 3))) for i in range(1 << SLICE_BITS))
-
-
-def counted(docs: DataFrame, maps: dict[int, bytes], least: int) -> DataFrame:
-    """(key, check, size, n, doc, at) of the runs that occur ``least`` times: their whole fingerprint, their number and one
-    occurrence (the document's key and the run's first word there). ``maps``, by size, keep most rare runs where they are.
-    Size 0 gives the number of words of each language."""
-    def sent(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        _, n, key, check, size, doc, at = _summed(parts)
-        for i in range(0, len(n), SENT):
-            part = slice(i, i + SENT)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(key[part].view(np.int64)), pa.array((check[part] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                pa.array(size[part]), pa.array(n[part]), pa.array(doc[part]), pa.array(at[part])],
-                ["key", "check", "size", "n", "doc", "at"])
+    return {r["slice"]: bytes(r["data"]) for r in slices}
+
+
+def read_phrases(docs: DataFrame, maps: dict[int, dict[int, bytes]], buckets: int) -> DataFrame:
+    """Phrases of the runs in ``maps``, by size, with their fingerprints: once a task, or more often if it forgets some."""
+    def sent(parts: list[tuple], langs: list[str]) -> pa.RecordBatch:
+        key, check, lang = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        phrases = [x for p in parts for x in p[3]]
+        bucket = (key >> np.uint64(64 - buckets + COARSE)).astype(np.int64)
+        order = np.lexsort((bucket, lang))
+        key, check, lang, bucket = key[order], check[order], lang[order], bucket[order]
+        phrases = [phrases[i] for i in order.tolist()]
+        of = _parts(bucket, lang)
+        return _batch(bucket=bucket[[p.start for p in of]], lang=[langs[lang[p.start]] for p in of],
+                      keys=[key[p].tobytes() for p in of], checks=[check[p].tobytes() for p in of],
+                      phrases=[b"\n".join(phrases[p]) for p in of])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, parts, held = {k: np.frombuffer(x, np.uint8) for k, x in maps.items()}, [], 0
+        bits, parts, held = {k: _bits(x) for k, x in maps.items()}, [], 0
+        codes: dict[str, int] = {}
+        seen_keys, seen_checks = np.zeros(1 << SEEN_BITS, np.uint64), np.full(1 << SEEN_BITS, -1, np.int64)
         for batch in batches:
-            docs_of = batch.column("doc").to_numpy()
             salts_of = batch.column("salt").to_numpy().view(np.uint64)
+            langs = batch.column("lang").to_pylist()
             for rows, texts in blocks(batch):
-                docs, spans = docs_of[rows], Spans(texts, salts_of[rows])
-                if not len(spans.start):
-                    continue
-                first_word = np.searchsorted(spans.text, np.arange(len(texts)))
-                found = [(0, np.arange(len(spans.start)), spans.salt, spans.salt)]
+                spans = Spans(texts, salts_of[rows])
+                lang = np.array([codes.setdefault(langs[i], len(codes)) for i in rows])
+                data = spans.letters[1]
                 for size in bits:
                     at = spans.places(size)
                     key = spans.keys(at, size)
                     on = _listed(key, bits[size])
-                    found.append((size, at[on], key[on], spans.keys(at[on], size, 1)))
-                for size, at, key, check in found:
-                    both, first, n = np.unique(key ^ mixed(check + np.uint64(size)), return_index=True, return_counts=True)
-                    at, text = at[first], spans.text[at[first]]
-                    parts.append((both, n.astype(np.int64), key[first], check[first], np.full(len(both), size, np.int32),
-                                  docs[text], at - first_word[text]))
-                    held += len(both)
-                if held > HELD:
-                    parts = [_summed(parts)]
-                    held = len(parts[0][0])
-                    if held > HELD // 2:
-                        held = 0
-                        yield from sent(parts)
+                    at, key = at[on], key[on]
+                    key, _, check, at = _summed([(key, np.ones(len(at), np.int64), _check(spans, at, size), at)], 2)
+                    slot = ((key ^ check) & np.uint64(len(seen_keys) - 1)).astype(np.int64)
+                    new = (seen_keys[slot] != key) | (seen_checks[slot] != check)
+                    key, check, at, slot = key[new], check[new], at[new], slot[new]
+                    seen_keys[slot], seen_checks[slot] = key, check
+                    if len(at):
+                        parts.append((key, check, lang[spans.text[at]], [
+                            b" ".join(data[x:y].tobytes().lower().split())
+                            for x, y in zip(spans.start[at].tolist(), spans.end[at + size - 1].tolist(), strict=True)]))
+                        held += len(at)
+                if held > SENT:
+                    yield sent(parts, list(codes))
+                    parts, held = [], 0
         if parts:
-            yield from sent(parts)
-
-    rows = docs.select("text", "doc", "salt").mapInArrow(run, SPANS).groupBy("key", "check", "size").agg(
-        F.sum("n").alias("n"), F.first("doc").alias("doc"), F.first("at").alias("at"))
-    return rows.where((F.col("size") == 0) | (F.col("n") >= least))
-
-
-def materialised(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """(lang, phrase, size, n) of frequent runs, read from the documents that they point to.
-
-    Documents of equal text and language are one; a document's pointers are at most its words. The fingerprint of the
-    text at each pointer must be the one that was counted.
-    """
-    at = runs.groupBy("doc").agg(F.collect_list(F.struct("at", "size", "key", "check", "n")).alias("runs"))
-    texts = docs.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"),
-                                    F.first("salt").alias("salt"))
-
+            yield sent(parts, list(codes))
+
+    return docs.select("text", "lang", "salt").mapInArrow(run, RUNS_DDL)
+
+
+def named(phrases: DataFrame, runs: DataFrame, last: bool) -> DataFrame:
+    """The counted ``runs`` by language with their phrases, if ``phrases`` has them, else as they are."""
+    def match(phrases: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+        if runs.empty:
+            return _frame([])
+        bucket = int(runs["bucket"].iloc[0])
+        wanted = pd.DataFrame({
+            "key": np.frombuffer(b"".join(runs["keys"]), "<u8"), "check": np.frombuffer(b"".join(runs["checks"]), "<u4"),
+            "n": np.concatenate([unpacked(x) for x in runs["counts"]]),
+            "size": np.repeat(runs["size"].to_numpy(), [len(x) // 8 for x in runs["keys"]])})
+        got = pd.DataFrame({
+            "key": np.frombuffer(b"".join(phrases["keys"]), "<u8"), "check": np.frombuffer(b"".join(phrases["checks"]), "<u4"),
+            "lang": np.repeat(phrases["lang"].to_numpy(object), [len(x) // 8 for x in phrases["keys"]]),
+            "phrase": pd.Series([x for p in phrases["phrases"] for x in p.split(b"\n")], dtype=object)})
+        got = wanted.merge(got.drop_duplicates(["key", "check"]), on=["key", "check"], how="left")
+        is_open = got["phrase"].isna()
+        if last and is_open.any():
+            raise ValueError("a phrase that was counted is in no text")
+        return _frame([
+            {"size": size, "bucket": bucket, "lang": lang, "counts": packed(part["n"].to_numpy()),
+             "phrases": b"\n".join(part["phrase"])} for (lang, size), part in got[~is_open].groupby(["lang", "size"])
+        ] + [
+            {"size": size, "bucket": bucket, "keys": part["key"].to_numpy().tobytes(),
+             "checks": part["check"].to_numpy().tobytes(), "counts": packed(part["n"].to_numpy())}
+            for size, part in got[is_open].groupby("size")])
+
+    return phrases.groupBy("bucket").cogroup(runs.groupBy("bucket")).applyInPandas(match, RUNS_DDL)
+
+
+def unfolded(found: DataFrame) -> DataFrame:
+    """(lang, phrase, size, n) of rows that hold many phrases."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            salts_of, wanted = batch.column("salt").to_numpy().view(np.uint64), batch.column("runs")
-            langs = batch.column("lang")
-            for rows, texts in blocks(batch):
-                spans = Spans(texts, salts_of[rows])
-                first_word = np.searchsorted(spans.text, np.arange(len(texts)))
-                runs = wanted.take(pa.array(rows))
-                of = np.repeat(np.arange(len(rows)), np.diff(runs.offsets.to_numpy()))
-                at, size, key, check, n = (runs.flatten().field(i).to_numpy() for i in range(5))
-                at = at + first_word[of]
-                for k in np.unique(size[size > 0]):
-                    one = np.flatnonzero(size == k)
-                    same = ((spans.keys(at[one], k).view(np.int64) == key[one])
-                            & ((spans.keys(at[one], k, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32) == check[one])
-                            & (spans.piece[at[one]] == spans.piece[at[one] + k - 1]))
-                    if not same.all():
-                        raise ValueError("the text at a pointer is not the phrase that was counted")
-                data = spans.letters[1]
-                starts, ends = spans.start, spans.end
-                phrases = [b" ".join(data[starts[a]:ends[a + k - 1]].tobytes().lower().split()) if k else b""
-                           for a, k in zip(at.tolist(), size.tolist(), strict=True)]
+            for row in batch.to_pylist():
+                n = unpacked(row["counts"])
+                phrases = pa.array(row["phrases"].split(b"\n"), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([
-                    langs.take(pa.array(np.array(rows)[of])), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(size),
+                    pa.array([row["lang"]] * len(n), pa.string()), phrases, pa.array(np.full(len(n), row["size"], np.int32)),
                     pa.array(n)], ["lang", "phrase", "size", "n"])
 
-    return (texts.join(at, "doc").select("lang", "text", "salt", "runs")
-            .mapInArrow(run, "lang string, phrase string, size int, n long"))
+    return found.select("lang", "size", "counts", "phrases").mapInArrow(run, "lang string, phrase string, size int, n long")
 
 
 def frequent_phrases(df: DataFrame, text: str, lang: str, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, size, n): every run of one to ``longest`` words inside a piece that occurs ``least`` times in its
-    language, and, with size 0, the number of words of each language."""
+    language, and, with size 0, the number of words of each language.
+
+    Any occurrence gives the phrase of a run, so that it does not matter which rows are read first; every row is read last.
+    """
     docs = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
-    docs = docs.select("lang", "text", F.xxhash64("lang", "text").alias("doc"),
-                       F.xxhash64(F.lit(7), "lang").alias("salt"))
+    docs = docs.select("lang", "text", F.xxhash64(F.lit(7), "lang").alias("salt"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(SLICE_BITS, math.ceil(math.log2(max(size / BUCKET_BYTES, 1))))
-    maps: dict[int, bytes] = {}
+    buckets = max(BUCKET_BITS, math.ceil(math.log2(max(size / BUCKET_BYTES, 1))))
+    maps: dict[int, dict[int, bytes]] = {}
+    tables = []
     for k in range(1, longest + 1):
-        maps[k] = frequent_map(docs, k, maps.get(k - 1), least, buckets)
-    return materialised(docs, cut(counted(docs, maps, least)))
+        tables.append(cut(counted(docs, k, maps.get(k - 1), least, buckets)))
+        maps[k] = frequent_map(tables[-1], k, buckets)
+    runs = functools.reduce(DataFrame.unionByName, tables)
+    found, runs = [runs.where("size = 0")], runs.where("size > 0")
+    for share in SHARES if size > BUCKET_BYTES else SHARES[-1:]:
+        some = docs if share == 1 else docs.where(F.rand(share) < 1 / share)
+        both = cut(named(read_phrases(some, maps, buckets), runs, share == 1))
+        found.append(both.where("phrases IS NOT NULL"))
+        runs = both.where("phrases IS NULL")
+        if share > 1:
+            maps = {k: frequent_map(runs, k, buckets) for k in maps}
+            if not any(maps.values()):
+                break
+    return unfolded(functools.reduce(DataFrame.unionByName, found))
 
 
 def _joined(words: str, first: str, last: str) -> Column:

@@ -200,6 +200,48 @@ def test_phrases_that_collide_stay_apart(spark, monkeypatch):
     assert mined(spark.createDataFrame(rows, "lang string, text string"), least=2) == brute_phrases(rows, 2, 3, 2000)
 
 
+@pytest.mark.parametrize("forgetful", [False, True])
+def test_phrases_read_from_shares_of_the_rows(spark, monkeypatch, forgetful):
+    """Phrases that a share of the rows does not hold are read from more rows, to the last one."""
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 1000)
+    if forgetful:
+        monkeypatch.setattr(phrases, "SEEN_BITS", 0)
+        monkeypatch.setattr(phrases, "SENT", 20)
+    rows = babble(21, 300) + [("en", "seldom seen. ")] * 2 + [("en", "often seen. ")] * 200
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert mined(df, least=2, top=50) == brute_phrases(rows, 2, 3, 50)
+
+
+def test_tasks_send_few_rows_of_runs(spark, monkeypatch):
+    """Every task holds the same frequent runs; what it sends are their sums by bucket, not a row for each."""
+    frame = type(spark.range(1))
+    plain, rows = frame.mapInArrow, []
+
+    def observed(self, func, schema, *more, **options):
+        sent = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for batch in func(batches):
+                sent.add(batch.num_rows)
+                yield batch
+
+        rows.append((str(schema), sent))
+        return plain(self, run, schema, *more, **options)
+
+    monkeypatch.setattr(frame, "mapInArrow", observed)
+    text = " ".join(f"w{i}" for i in range(3000))
+    df = spark.createDataFrame([("en", text)] * 12, "lang string, text string").repartition(6)
+    got = phrases.frequent_phrases(df, "text", "lang").collect()
+    assert len(got) == 3 * 3000 - 3 + 1 and {r["n"] for r in got} == {12, 36000}
+    sent = [n.value for schema, n in rows if schema != "lang string, phrase string, size int, n long"]
+    assert sent and max(sent) <= 6 * 300
+
+
+def test_sums_tell_keys_of_different_checks_apart():
+    key, n, check = phrases._summed([(np.array([5, 5, 5, 7], np.uint64), np.array([1, 2, 3, 4]), np.array([1, 2, 1, 1]))], 2)
+    assert list(zip(key.tolist(), n.tolist(), check.tolist())) == [(5, 4, 1), (5, 2, 2), (7, 4, 1)]
+
+
 def test_phrases_of_edges(spark, edge, empty):
     rows = [(r["lang"], r["text"]) for r in edge.collect()]
     assert mined(edge, least=2, top=50) == brute_phrases_long(rows)
