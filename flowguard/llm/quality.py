@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import BLANKS, WORD, crc_of_id, cut, n_words, read_table
+from flowguard.llm.common import BLANKS, WORD, crc_of_id, cut, read_table
 from flowguard.llm.host_rules import let
 
 #: Labelled rows that a fit uses at most (about; drawn by a hash of the id).
@@ -26,8 +26,9 @@ STATISTICS = ("words", "word_chars", "short", "upper", "marks", "stops", "bangs"
               "distinct", "lines", "same_lines", "first_upper")
 
 
-def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with one struct column ``_s`` of STATISTICS, all doubles and defined for every text (null: empty).
+def statistics(df: DataFrame, text: str = "text", names: tuple[str, ...] = STATISTICS) -> DataFrame:
+    """``df`` with one struct column ``_s`` of STATISTICS (or those of ``names``), all doubles and defined for every text
+    (null: empty).
 
     Mostly shares: of characters in words (upper case, marks, bangs, pipes, digits, other than ASCII), of words (one
     to three characters long, ending a sentence, distinct, capitalised) and of lines (per word, equal to another).
@@ -35,25 +36,46 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """
     body = F.coalesce(F.col(text), F.lit(""))
     count = lambda pattern: F.regexp_count(body, F.lit(pattern)).cast("double")
-    words = n_words(body).cast("double")
-    chars = F.char_length(body).cast("double") - count(r"[\x20\x09-\x0D]")
-    different = F.size(F.array_distinct(F.split(body, BLANKS))).cast("double")
+    # a single character is found without a regular expression
+    single = lambda c: (F.octet_length(body) - F.octet_length(F.replace(body, F.lit(c), F.lit("")))).cast("double")
+    size = lambda a: F.size(a).cast("double")
+
+    def of_words(ws: Column) -> dict[str, Column]:
+        """From the pieces between blanks: the words, and an empty one at either end of a text that has a blank there."""
+        return {"w": size(F.array_remove(ws, "")), "c": F.char_length(F.array_join(ws, "")).cast("double"),
+                "short": size(F.filter(ws, lambda x: F.char_length(x).between(1, 3))),
+                "first": size(F.filter(ws, lambda x: (x >= "A") & (x < "["))), "different": size(F.array_distinct(ws))}
+
+    def of_lines(ls: Column) -> dict[str, Column]:
+        return {"n": size(ls), "d": size(F.array_distinct(ls))}
+
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD))
-    of_lines = let(lines, lambda ls: F.struct(F.size(ls).cast("double").alias("n"),
-                                              F.size(F.array_distinct(ls)).cast("double").alias("d")))
-    raw = {"w": words, "c": chars, "short": count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,3}(?![^\x20\x09-\x0D])"),
-           "upper": count("[A-Z]"), "marks": count(r"[#*$%&<>@^~=_{}\\]"), "stops": count(r"[.?](?![^\x20\x09-\x0D])"),
-           "bangs": count("!"), "pipes": count(r"\|"), "digits": count("[0-9]"), "accents": count(r"[^\x00-\x7F]"),
-           "first": count(r"(?<![^\x20\x09-\x0D])[A-Z]"), "different": different, "l": of_lines}
-    out = df.withColumn("_raw", F.struct(*[v.alias(k) for k, v in raw.items()]))
-    r = lambda k: F.col(f"_raw.{k}")
-    per_word, per_char = (lambda x: x / F.greatest(r("w"), F.lit(1.0))), (lambda x: x / F.greatest(r("c"), F.lit(1.0)))
-    made = {"words": r("w"), "word_chars": per_word(r("c")), "short": per_word(r("short")),
-            "upper": per_char(r("upper")), "marks": per_char(r("marks")), "stops": per_word(r("stops")),
-            "bangs": per_char(r("bangs")), "pipes": per_word(r("pipes")), "digits": per_char(r("digits")),
-            "accents": per_char(r("accents")), "distinct": per_word(r("different")), "lines": per_word(r("l.n")),
-            "same_lines": (r("l.n") - r("l.d")) / F.greatest(r("l.n"), F.lit(1.0)), "first_upper": per_word(r("first"))}
-    return out.withColumn("_s", F.struct(*[made[k].alias(k) for k in STATISTICS])).drop("_raw")
+    counts = {"upper": count("[A-Z]"), "marks": count(r"[#*$%&<>@^~=_{}\\]"),
+              "stops": count(r"[.?](?![^\x20\x09-\x0D])"), "bangs": single("!"), "pipes": single("|"),
+              "digits": count("[0-9]"), "accents": count(r"[^\x00-\x7F]")}
+    #: statistic -> (what is counted, per words, characters or lines)
+    shares = {"words": ("w", None), "word_chars": ("c", "w"), "short": ("short", "w"), "upper": ("upper", "c"),
+              "marks": ("marks", "c"), "stops": ("stops", "w"), "bangs": ("bangs", "c"), "pipes": ("pipes", "w"),
+              "digits": ("digits", "c"), "accents": ("accents", "c"), "distinct": ("different", "w"), "lines": ("n", "w"),
+              "same_lines": ("same", "n"), "first_upper": ("first", "w")}
+    used = {x for name in names for x in shares[name]} | ({"d"} if "same_lines" in names else set())
+
+    def kept_of(made: dict[str, Column]) -> Column:
+        return F.struct(*[v.alias(k) for k, v in made.items() if k in used], F.lit(0).alias("_"))
+
+    raw = F.struct(let(F.split(body, BLANKS), lambda ws: kept_of(of_words(ws))).alias("t"),
+                   let(lines, lambda ls: kept_of(of_lines(ls))).alias("l"), kept_of(counts).alias("r"))
+
+    def made(r: Column) -> Column:
+        def at(k: str) -> Column:
+            if k == "same":
+                return at("n") - at("d")
+            return r["r"][k] if k in counts else r["l"][k] if k in ("n", "d") else r["t"][k]
+        return F.struct(*[(at(k) if per is None else at(k) / F.greatest(at(per), F.lit(1.0))).alias(name)
+                          for name, (k, per) in shares.items() if name in names])
+
+    # bound once, so that no share counts again what another one has counted
+    return df.withColumn("_s", let(raw, made))
 
 
 @dataclass(frozen=True)
@@ -61,10 +83,11 @@ class Rule:
     """Conditions (statistic, above, threshold), all of which hold; above: > threshold, else <=."""
     conditions: tuple[tuple[str, bool, float], ...]
 
-    def column(self) -> Column:
-        out = F.lit(True)
+    def column(self, stats: Column | None = None) -> Column:
+        """Whether the conditions hold for ``stats`` (column ``_s``, if not given)."""
+        stats, out = F.col("_s") if stats is None else stats, F.lit(True)
         for name, above, at in self.conditions:
-            x = F.col(f"_s.{name}")
+            x = stats[name]
             out = out & ((x > at) if above else (x <= at))
         return out
 
@@ -78,11 +101,18 @@ class Ensemble:
     intercept: float
     weights: tuple[tuple[Rule, float], ...]
 
+    def used(self) -> tuple[str, ...]:
+        """The statistics that its rules look at (one at least)."""
+        return tuple(sorted({name for rule, _ in self.weights for name, *_ in rule.conditions})) or STATISTICS[:1]
+
     def column(self) -> Column:
-        z = F.lit(self.intercept)
-        for rule, w in self.weights:
-            z = z + F.when(rule.column(), F.lit(w)).otherwise(F.lit(0.0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        """The score; ``_s`` is named once in it, so that a filter that moves below ``_s`` computes it once."""
+        def weighed(stats: Column) -> Column:
+            z = F.lit(self.intercept)
+            for rule, w in self.weights:
+                z = z + F.when(rule.column(stats), F.lit(w)).otherwise(F.lit(0.0))
+            return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        return let(F.col("_s"), weighed)
 
 
 def paths(node, held: tuple = ()) -> list[tuple]:
@@ -147,13 +177,13 @@ def fit_on(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_
 def score(df: DataFrame, ensemble: Ensemble, text: str = "text") -> DataFrame:
     """``df`` with ``score`` (0 to 1) and ``predicted`` (1 if score >= CUT). Every row stays; null and empty texts are
     scored by their (zero) statistics; columns of these names are replaced. One scan, no shuffle, no Python."""
-    return (statistics(df, text).withColumn("score", ensemble.column())
+    return (statistics(df, text, ensemble.used()).withColumn("score", ensemble.column())
             .withColumn("predicted", (F.col("score") >= CUT).cast("int")).drop("_s"))
 
 
 def kept(df: DataFrame, ensemble: Ensemble, text: str = "text") -> DataFrame:
     """The rows of ``df``, its own columns only, that ``score`` would predict as 1."""
-    return statistics(df, text).where(ensemble.column() >= CUT).select(*df.columns)
+    return statistics(df, text, ensemble.used()).where(ensemble.column() >= CUT).select(*df.columns)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,3 +217,19 @@ def test_lm_of_edge_rows(edge, empty):
     nothing = lm.score(edge, F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 for r in nothing)
     assert lm.score(empty, F.lit(False)).count() == 0
+
+
+def test_statistics_are_computed_once_for_all_rules(spark):
+    """A filter by a score moves below the statistics: each count stays in the plan once, however many rules look at it."""
+    texts = [(0, None), (1, ""), (2, " "), (3, "\t\x0b a\x1fb  Ca!|A. \u00c9? \u00e99 #{}\\ \r\n\nab\nab\n"), (4, "[b Z[ A"), (5, "a ")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rules = tuple((quality.Rule((("digits", True, i / 10), ("words", False, 9.0 + i))), 0.5) for i in range(6))
+    ensemble = quality.Ensemble(0.1, rules)
+    for made in (quality.kept(df, ensemble), quality.score(df, ensemble)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("[0-9]") == 1 and "[A-Z]" not in plan
+    few, every = [
+        quality.statistics(df.where("doc_id = 3"), names=names).first()["_s"].asDict()
+        for names in (("digits", "same_lines"), quality.STATISTICS)]
+    assert list(every) == list(quality.STATISTICS) and few == {k: every[k] for k in few}
+    assert every["words"] == 7 and every["short"] == 5 / 7 and every["first_upper"] == 1 / 7 and every["same_lines"] == 1 / 3
