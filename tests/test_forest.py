@@ -82,3 +82,24 @@ def test_neighbours_without_a_fold_come_from_one_search(spark, rows, few, monkey
         want = {tuple(r) for r in knn_within_class(points, "label", 5).select("label", "pid", "nn_rank", "nn_pid").collect()}
         got = [tuple(r) for r in shared.without(fold).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_neighbours_of_scaled_folds_come_from_one_search(spark, rows):
+    """Every fold scales its own way, one by far: neighbours are those of a search in the fold's own scale."""
+    from flowguard.operators.prepare import PopulationScaler
+    df = cut(rows.where("row_id < 900").select("row_id", "label", F.col("features").alias("plain"), F.when(
+        F.col("a") > 1.2, 3).otherwise(F.col("row_id") % 3).cast("int").alias("fold")))
+    scaler = PopulationScaler(inputCol="plain", outputCol="features")
+    whole = scaler.fit(df)
+    shared = B.FoldNeighbours(whole.transform(df), "label", "features", 5, plain="plain")
+    small = [r[0] for r in shared.rows.select("label").distinct().collect()]
+    for fold in (None, 0, 1, 2, 3):
+        rest = df if fold is None else df.where(F.col("fold") != fold)
+        own = scaler.fit(rest)
+        std = own.getOrDefault(own.std)
+        stretch = min(a / b for a, b in zip(whole.getOrDefault(whole.std), std))
+        points = own.transform(rest).where(F.col("label").isin(small)).select(
+            "label", F.col("row_id").alias("pid"), B.vector_to_array("features").alias("x"))
+        want = {tuple(r) for r in knn_within_class(points, "label", 5).select("label", "pid", "nn_rank", "nn_pid").collect()}
+        got = [tuple(r) for r in shared.without(fold, (range(5), own.getOrDefault(own.mean), std, stretch)).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
